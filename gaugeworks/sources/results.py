@@ -18,6 +18,22 @@ def write_report(lines: DataFrame, path: str) -> None:
     lines.write.mode("error").text(path)
 
 
+def write_export(lines: DataFrame, header: str, path: str, single_file: bool = False) -> None:
+    """Overwrite a directory of ready-made CSV lines, each part file headed by ``header``.
+
+    The lines are one column to Spark, so separator and quote are set to characters outside the data.
+    """
+    named = lines.toDF(header)
+    writer = (named.coalesce(1) if single_file else named).write.mode("overwrite").option("header", True)
+    (
+        writer.option("sep", "\u0001")
+        .option("quote", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a result directory back: every part file, all values as text."""
     return spark.read.option("header", True).option("escape", '"').csv(path)
