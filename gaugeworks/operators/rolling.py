@@ -1,15 +1,19 @@
 """Trailing time-window averages per sensor.
 
 The frame of a reading at second ``t`` is ``[t - length, t]``, both ends included, with every
-reading of second ``t``. A sliding window frame would re-add its whole frame for each row, and one
-window group per sensor would put a busy sensor into one task. Instead the time line is cut into
-spans of the frame's length, so that a frame is always
+reading of second ``t``. Three ways give the same frames; the data decides which one runs.
 
-    the readings of its own span up to ``t``  +  the readings of the span before from ``t - length``.
+*Sliding*: Spark's own range frame over one group per sensor. It re-adds the frame for every row,
+which is cheapest while a sensor has few readings and quadratic when it has many.
 
-Each reading is used twice: as itself, and as a carry placed ``length`` seconds later, that is in
-the next span. Both parts are then running sums inside one (sensor, span) group, one ascending and
-one descending, computed in a single pass each.
+*Spans*: the time line is cut into spans of the frame's length, so that a frame is always the
+readings of its own span up to ``t`` plus those of the span before from ``t - length``. Each reading
+is used twice: as itself, and as a carry placed ``length`` seconds later, that is in the next span.
+Both parts are then running sums inside one (sensor, span) group, one ascending and one descending,
+so the work per reading does not depend on the frame, and a sensor spreads over its spans.
+
+*Seconds*: the span way over one row per (sensor, second), joined back. A group then has at most
+``2 * length`` rows however many readings a sensor has.
 """
 
 from __future__ import annotations
@@ -22,10 +26,12 @@ from gaugeworks.functions.time import epoch_seconds
 from gaugeworks.sources.readings import MEASURES
 
 DAY_SECONDS = 86_400
-# A sensor with more readings than this is reduced to one row per second first.
-MAX_ROWS_PER_SENSOR = 5_000_000
-# At most this many busy sensors are told apart; with more, all sensors are reduced.
-MAX_BUSY_SENSORS = 1_000
+# Sliding frames are used while no sensor has more readings than this.
+SLIDING_ROWS = 1_000
+# A sensor with more readings than this within one span is reduced to seconds.
+SPAN_ROWS = 5_000_000
+# At most this many such sensors are told apart; with more, all sensors are reduced.
+BUSY_SENSORS = 1_000
 
 
 def trailing_averages(
@@ -33,49 +39,57 @@ def trailing_averages(
     measures: tuple[str, ...] = MEASURES,
     seconds: int = DAY_SECONDS,
     names: tuple[str, ...] | None = None,
-    max_rows_per_sensor: int = MAX_ROWS_PER_SENSOR,
-    max_busy_sensors: int = MAX_BUSY_SENSORS,
+    sliding_rows: int = SLIDING_ROWS,
+    span_rows: int = SPAN_ROWS,
+    busy_sensors: int = BUSY_SENSORS,
 ) -> DataFrame:
     """All columns of ``readings`` plus the trailing average of each measure, one row per reading.
 
-    Readings without a time share one frame per sensor. Sensors are counted first (one narrow scan,
-    reduced map-side): those within ``max_rows_per_sensor`` take one shuffle; the busy ones are
-    reduced to seconds, which bounds a group at ``2 * seconds`` rows, and joined back.
+    Readings without a time share one frame per sensor. Counts the readings per sensor first: one
+    narrow scan, reduced map-side, of which only the largest count reaches the driver.
     """
     names = names or tuple(f"rolling_{m}" for m in measures)
-    busy = _busy_sensors(readings, max_rows_per_sensor, max_busy_sensors)
-    if not busy:
-        return _direct(readings, measures, seconds, names)
-    if len(busy) > max_busy_sensors:
+    counts = readings.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.agg(F.max("n")).first()[0] or 0
+    if largest <= sliding_rows:
+        return _sliding(readings, measures, seconds, names)
+    if largest <= span_rows:
+        return _by_span(readings, measures, seconds, names)
+    busy = _busy_sensors(readings, seconds, span_rows, busy_sensors + 1)
+    if len(busy) > busy_sensors:
         return _by_second(readings, measures, seconds, names)
-    known = [s for s in busy if s is not None]
-    is_busy = F.coalesce(F.col("sensor_id").isin(known), F.lit(None in busy))
-    return _direct(readings.filter(~is_busy), measures, seconds, names).unionByName(
+    is_busy = F.coalesce(F.col("sensor_id").isin([s for s in busy if s is not None]), F.lit(None in busy))
+    return _by_span(readings.filter(~is_busy), measures, seconds, names).unionByName(
         _by_second(readings.filter(is_busy), measures, seconds, names)
     )
 
 
-def rolling_24h(readings: DataFrame) -> DataFrame:
+def rolling_24h(readings: DataFrame, **sizes: int) -> DataFrame:
     """``sensor_id, time`` and the trailing 24-hour average of both measures."""
     narrow = readings.select("sensor_id", "time", *MEASURES)
     names = ("rolling_pm25_24h", "rolling_no2_24h")
-    return trailing_averages(narrow, names=names).select("sensor_id", "time", *names)
+    return trailing_averages(narrow, names=names, **sizes).select("sensor_id", "time", *names)
 
 
-def _busy_sensors(readings: DataFrame, max_rows: int, max_busy: int) -> list[str | None]:
-    """Ids of sensors above ``max_rows``; never fetches more than ``max_busy + 1`` of them."""
-    counts = readings.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n"))
-    return [row[0] for row in counts.filter(F.col("n") > max_rows).select("sensor_id").limit(max_busy + 1).collect()]
+def _busy_sensors(readings: DataFrame, seconds: int, span_rows: int, at_most: int) -> list[str | None]:
+    """Ids of up to ``at_most`` sensors with a span of more than ``span_rows`` readings."""
+    span = F.floor(epoch_seconds(readings, "time") / F.lit(seconds))
+    counts = readings.groupBy("sensor_id", span.alias("span")).agg(F.count(F.lit(1)).alias("n"))
+    return [r[0] for r in counts.filter(F.col("n") > span_rows).select("sensor_id").distinct().limit(at_most).collect()]
 
 
-def _direct(readings: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...]) -> DataFrame:
-    """Readings and their carries in one shuffle on (sensor, span)."""
+def _sliding(readings: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...]) -> DataFrame:
+    """One range frame per reading, all measures over the same window."""
+    frame = W.partitionBy("sensor_id").orderBy("_second").rangeBetween(-seconds, W.currentRow)
     rows = readings.withColumn("_second", epoch_seconds(readings, "time"))
-    for m in measures:
-        rows = rows.withColumn(f"_{m}_sum", F.col(m)).withColumn(
-            f"_{m}_count", F.col(m).isNotNull().cast("long")
-        )
-    return _span_averages(rows, measures, seconds, names).select(*readings.columns, *names)
+    return rows.select(*readings.columns, *[F.avg(m).over(frame).alias(name) for m, name in zip(measures, names)])
+
+
+def _by_span(readings: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...]) -> DataFrame:
+    """Readings and their carries in one shuffle on (sensor, span)."""
+    parts = {m: (F.sum, F.col(m), F.count, F.col(m)) for m in measures}
+    copies = _with_carries(readings, epoch_seconds(readings, "time"), set(measures), seconds)
+    return _span_averages(copies, parts, names).select(*readings.columns, *names)
 
 
 def _by_second(readings: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...]) -> DataFrame:
@@ -89,43 +103,48 @@ def _by_second(readings: DataFrame, measures: tuple[str, ...], seconds: int, nam
     for m in measures:
         sums += [F.sum(m).alias(f"_{m}_sum"), F.count(m).alias(f"_{m}_count")]
     per_second = rows.groupBy("sensor_id", "_second").agg(*sums)
-    rolled = _span_averages(per_second, measures, seconds, names).select(
-        F.col("sensor_id").alias("_sensor"), F.col("_second").alias("_at"), *names
+    parts = {m: (F.sum, F.col(f"_{m}_sum"), F.sum, F.col(f"_{m}_count")) for m in measures}
+    copies = _with_carries(per_second, F.col("_second"), set(per_second.columns), seconds)
+    rolled = _span_averages(copies, parts, names).select(
+        F.col("sensor_id").alias("_sensor"), F.col("_place").alias("_at"), *names
     )
     same = F.col("sensor_id").eqNullSafe(F.col("_sensor")) & F.col("_second").eqNullSafe(F.col("_at"))
     return rows.join(rolled, same, "left").select(*readings.columns, *names)
 
 
-def _span_averages(rows: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...]) -> DataFrame:
-    """Average over each frame from per-row ``_<m>_sum`` and ``_<m>_count``."""
-    needed = {"sensor_id", "_second", *[f"_{m}_{p}" for m in measures for p in ("sum", "count")]}
-    place = F.col("_second") + F.when(F.col("_carry"), seconds).otherwise(0)
-    copies = (
-        rows.withColumn("_carry", F.explode(F.array(F.lit(False), F.lit(True))))
-        .filter(~F.col("_carry") | F.col("_second").isNotNull())
-        # a carry travels without the columns that only the reading itself returns
-        .select(
-            *[F.col(c) if c in needed else F.when(~F.col("_carry"), F.col(c)).alias(c) for c in rows.columns],
-            "_carry",
-            place.alias("_place"),
-            F.floor(place / F.lit(seconds)).alias("_span"),
-        )
-    )
-    group = W.partitionBy("sensor_id", "_span")
-    upto = group.orderBy(F.asc("_place")).rangeBetween(W.unboundedPreceding, W.currentRow)
-    since = group.orderBy(F.desc("_place")).rangeBetween(W.unboundedPreceding, W.currentRow)
+def _with_carries(rows: DataFrame, second: Column, carried: set[str], seconds: int) -> DataFrame:
+    """Each row at its own second and again, as a carry, ``seconds`` later; with the span of its place.
 
-    def part(name: str, carry: bool, window) -> Column:
-        wanted = F.col("_carry") if carry else ~F.col("_carry")
-        return F.coalesce(F.sum(F.when(wanted, F.col(name))).over(window), F.lit(0))
-
-    own = copies.select("*", *[part(f"_{m}_{p}", False, upto).alias(f"_own_{m}_{p}") for m in measures for p in ("sum", "count")])
-    both = own.select("*", *[part(f"_{m}_{p}", True, since).alias(f"_prev_{m}_{p}") for m in measures for p in ("sum", "count")])
+    A carry travels only with its sensor and the ``carried`` columns.
+    """
+    both = rows.withColumn("_carry", F.explode(F.array(F.lit(False), F.lit(True))))
+    own_only = [c for c in rows.columns if c not in carried and c != "sensor_id"]
+    place = second + F.when(F.col("_carry"), F.lit(seconds)).otherwise(F.lit(0))
+    return (
+        both.withColumn("_place", place)
+        .filter(~F.col("_carry") | F.col("_place").isNotNull())
+        .withColumns({c: F.when(~F.col("_carry"), F.col(c)) for c in own_only})
+        .withColumn("_span", F.floor(F.col("_place") / F.lit(seconds)))
+    )
 
-    def average(m: str) -> Column:
-        count = F.col(f"_own_{m}_count") + F.col(f"_prev_{m}_count")
-        return F.when(count > 0, (F.col(f"_own_{m}_sum") + F.col(f"_prev_{m}_sum")) / count)
 
-    return both.filter(~F.col("_carry")).select(
-        *rows.columns, *[average(m).alias(name) for m, name in zip(measures, names)]
-    )
+def _span_averages(copies: DataFrame, parts: dict[str, tuple], names: tuple[str, ...]) -> DataFrame:
+    """Average over each frame; ``parts`` names per measure how its sum and its count are added up."""
+    group = W.partitionBy("sensor_id", "_span")
+    ascending = group.orderBy(F.asc("_place")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    descending = group.orderBy(F.desc("_place")).rangeBetween(W.unboundedPreceding, W.currentRow)
+
+    def running(side: str, wanted: Column, window) -> list[Column]:
+        columns = []
+        for m, (add, value, add_count, count) in parts.items():
+            columns.append(add(F.when(wanted, value)).over(window).alias(f"_{side}_{m}"))
+            columns.append(add_count(F.when(wanted, count)).over(window).alias(f"_{side}_{m}_n"))
+        return columns
+
+    def total(m: str, suffix: str = "") -> Column:
+        return F.coalesce(F.col(f"_own_{m}{suffix}"), F.lit(0)) + F.coalesce(F.col(f"_prev_{m}{suffix}"), F.lit(0))
+
+    own = copies.select("*", *running("own", ~F.col("_carry"), ascending))
+    both = own.select("*", *running("prev", F.col("_carry"), descending)).filter(~F.col("_carry"))
+    averages = [F.when(total(m, "_n") > 0, total(m) / total(m, "_n")).alias(name) for m, name in zip(parts, names)]
+    return both.select(*copies.columns, *averages)
