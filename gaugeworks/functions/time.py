@@ -17,12 +17,20 @@ def epoch_seconds(df: DataFrame, name: str) -> Column:
 
     A zone-less timestamp is counted on its own clock, so the session zone does not matter.
     """
+    time = F.col(name)
     if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(name))
-        return F.floor(micros / F.lit(1_000_000)).cast("long")
-    return F.unix_timestamp(F.col(name))
+        days = F.unix_date(F.to_date(time)).cast("long")
+        return days * 86_400 + F.hour(time) * 3_600 + F.minute(time) * 60 + F.second(time)
+    return F.unix_timestamp(time)
 
 
 def iso_millis(time: Column) -> Column:
     """Timestamp as ``yyyy-MM-ddTHH:mm:ss.SSS``."""
     return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSS")
+
+
+def on_day(df: DataFrame, name: str, day: str) -> Column:
+    """Whether a typed time falls on ``day``, as a range that reaches the Parquet scan."""
+    kind = df.schema[name].dataType
+    start = F.lit(day).cast("date")
+    return (F.col(name) >= start.cast(kind)) & (F.col(name) < F.date_add(start, 1).cast(kind))

@@ -20,7 +20,7 @@ from gaugeworks.operators import keyed
 from gaugeworks.operators.anomalies import anomalies
 from gaugeworks.operators.rolling import rolling_24h
 from gaugeworks.session import get_session
-from gaugeworks.sources.readings import HEADERS, scan_by_header, scan_positional
+from gaugeworks.sources.readings import HEADERS, scan_block, scan_by_header, scan_positional
 from gaugeworks.sources.results import write_csv, write_export, write_report
 
 # Names that result files use for the canonical columns.
@@ -102,8 +102,7 @@ def ingest_job(spark: SparkSession, source: str, table: str, limit: int | None =
     batch = keyed.to_cells(scan_positional(spark, source))
     if limit is not None:
         seq = F.col("ingest_seq")
-        block = F.struct(seq["file"].alias("file"), seq["block"].alias("block"))
-        batch = keyed.first_accepted(batch, int(limit), block, seq)
+        batch = keyed.first_accepted(batch, int(limit), scan_block(seq), seq)
     if table_exists(spark, table):
         keyed.merge_into_table(spark, table, batch, f"{table.rstrip('/')}_staging/{uuid.uuid4().hex}")
     else:

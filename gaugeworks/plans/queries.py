@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.text import as_text, quoted, row_key
-from gaugeworks.functions.time import iso_millis
+from gaugeworks.functions.time import iso_millis, on_day
 from gaugeworks.operators import aggregates as agg
 from gaugeworks.operators import keyed, rolling, serving
 from gaugeworks.operators.anomalies import anomalies
@@ -34,9 +34,8 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns])
 
 
-def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings as text, the way the positional scan delivers them."""
-    typed_rows = readings(spark, sf_dir)
+def as_raw(typed_rows: DataFrame) -> DataFrame:
+    """Typed readings as text, the way the positional scan delivers them."""
     return typed_rows.select(
         "ingest_seq",
         "sensor_id",
@@ -45,6 +44,10 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_raw(readings(spark, sf_dir))
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw readings written out as the quoted text lines of a readings file."""
     filled = {pos: name for name, pos in FIELD_POSITIONS.items() if name in ("sensor_id", "time", "sensor_name", "pm25", "no2")}
@@ -62,6 +65,11 @@ def daily_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.to_cells(by_day)
 
 
+def exported_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readings(spark, sf_dir)
+    return keyed.export_day(keyed.to_cells(as_raw(rows.filter(on_day(rows, "time", DAY)))), DAY)
+
+
 MERGED_CELLS = ["pm25", "no2", "sensor_name", "datasourceid", "time"]
 
 
@@ -128,8 +136,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prefix_scan": lambda s, d: keyed.prefix_scan(cells(s, d), f"{SENSOR}_"),
         "latest_per_sensor": lambda s, d: keyed.latest_per_sensor(cells(s, d)),
         "latest_for_sensor": lambda s, d: keyed.latest_for_sensor(cells(s, d), SENSOR),
-        "export_day": lambda s, d: keyed.export_day(cells(s, d), DAY),
-        "export_day_lines": lambda s, d: keyed.export_lines(keyed.export_day(cells(s, d), DAY)),
+        "export_day": exported_day,
+        "export_day_lines": lambda s, d: keyed.export_lines(exported_day(s, d)),
         "ingest_limit": lambda s, d: keyed.first_accepted(
             cells(s, d), 100, F.floor(F.col("ingest_seq") / 1_000_000), F.col("ingest_seq")
         ),

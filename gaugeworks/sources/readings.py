@@ -43,26 +43,27 @@ NUMERIC = ("pm25", "no2", "humidity", "temp", "lat", "lon")
 def scan_positional(spark: SparkSession, path: str) -> DataFrame:
     """Raw readings by field position from text lines, tolerant of quotes and ragged rows.
 
-    ``ingest_seq`` orders rows as they stand in the files: (file, block start, line in block).
-    A block is read by one task in order, so the order does not depend on how Spark packs blocks.
+    ``ingest_seq`` grows with the line in each file: Spark numbers the scan's partitions in the order
+    of a file's blocks, and lines within a partition. Ingest files one by one where one must win.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias("ingest_seq"),
-    )
-    return parse_lines(lines)
+    return parse_lines(spark.read.text(path).withColumn("ingest_seq", F.monotonically_increasing_id()))
+
+
+def scan_block(ingest_seq: Column) -> Column:
+    """The scan partition of a row of ``scan_positional``; its size is bounded by the reader."""
+    return F.shiftright(ingest_seq, 33)
 
 
 def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Raw readings from a column of text lines; drops headers and lines with too few fields."""
+    """Raw readings from a column of text lines; drops headers and lines with too few fields.
+
+    ``explode`` of the one split line keeps Spark from pushing the filters, and with them further
+    copies of the split, below it.
+    """
     others = [c for c in lines.columns if c != line]
     fields = F.col("_fields")
     return (
-        lines.select(*others, split_line(F.col(line)).alias("_fields"))
+        lines.select(*others, F.explode(F.array(split_line(F.col(line)))).alias("_fields"))
         .filter(F.size(fields) >= MIN_FIELDS)
         .select(*others, *[strip_blank(fields[pos]).alias(name) for name, pos in FIELD_POSITIONS.items()])
         .filter(F.col("sensor_id") != ID_HEADER)

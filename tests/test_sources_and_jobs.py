@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gaugeworks.operators import aggregates as agg
 from gaugeworks.operators import keyed, serving
 from gaugeworks.plans import jobs
-from gaugeworks.sources.readings import FIELD_POSITIONS, HEADERS, scan_by_header, scan_positional, typed
+from gaugeworks.sources.readings import FIELD_POSITIONS, HEADERS, scan_block, scan_by_header, scan_positional, typed
 from gaugeworks.sources.results import read_csv, write_csv
 
 
@@ -76,12 +76,11 @@ def test_ingest_order_is_file_order(spark, tmp_path):
     with_blocks = spark.newSession()
     with_blocks.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     scan = scan_positional(with_blocks, path)
-    assert scan.select("ingest_seq.block").distinct().count() > 3
+    assert scan.select(scan_block(F.col("ingest_seq"))).distinct().count() > 3
     assert [r.pm25 for r in scan.repartition(5).orderBy("ingest_seq").collect()] == [str(i) for i in range(3000)]
     seq = F.col("ingest_seq")
-    block = F.struct(seq["file"].alias("file"), seq["block"].alias("block"))
     for n in (1, 700, 2999, 3000, 9999):
-        kept = keyed.first_accepted(scan, n, block, seq, max_top=0)
+        kept = keyed.first_accepted(scan, n, scan_block(seq), seq, max_top=0)
         assert sorted(int(r.pm25) for r in kept.collect()) == list(range(min(n, 3000)))
 
 
@@ -264,5 +263,5 @@ def test_command_line(spark, source, tmp_path, capsys):
     assert "3" in capsys.readouterr().out
 
 
-def test_typed_keeps_order_columns(spark, source):
-    assert typed(scan_positional(spark, source)).select("ingest_seq.line").distinct().count() == 6
+def test_typed_keeps_ingest_order(spark, source):
+    assert typed(scan_positional(spark, source)).select("ingest_seq").distinct().count() == 6
