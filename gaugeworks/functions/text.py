@@ -21,19 +21,23 @@ def to_number(text: Column) -> Column:
     return text.try_cast("double")
 
 
+# Balanced quotes with no comma inside them. Possessive, so the match is one pass without recursion.
+SIMPLE_QUOTES = '^(?:[^"]*+"[^",]*+")*+[^"]*+$'
+
+
 def split_line(line: Column) -> Column:
     """Split a comma separated line into fields.
 
-    A quote toggles quoted state and vanishes; commas count only outside quotes. The pieces
-    between quotes alternate outside / inside, so separators are marked in the even pieces.
+    A quote toggles quoted state and vanishes; commas count only outside quotes. Where quotes hide no
+    comma they are simply removed. Otherwise the pieces between quotes alternate outside / inside,
+    and the separators are marked in the even pieces.
     """
-    pieces = F.split(line, '"', -1)
     marked = F.transform(
-        pieces,
+        F.split(line, '"', -1),
         lambda piece, i: F.when(i % 2 == 0, F.translate(piece, ",", FIELD_MARK)).otherwise(piece),
     )
-    return F.when(F.contains(line, F.lit('"')), F.split(F.array_join(marked, ""), FIELD_MARK, -1)).otherwise(
-        F.split(line, ",", -1)
+    return F.when(line.rlike(SIMPLE_QUOTES), F.split(F.translate(line, '"', ""), ",", -1)).otherwise(
+        F.split(F.array_join(marked, ""), FIELD_MARK, -1)
     )
 
 

@@ -19,7 +19,7 @@ from gaugeworks.operators import aggregates as agg
 from gaugeworks.operators import keyed
 from gaugeworks.operators.anomalies import anomalies
 from gaugeworks.operators.rolling import rolling_24h
-from gaugeworks.session import get_session
+from gaugeworks.session import get_session, shared_folder
 from gaugeworks.sources.readings import HEADERS, scan_block, scan_by_header, scan_positional
 from gaugeworks.sources.results import write_csv, write_export, write_report
 
@@ -31,13 +31,13 @@ def _result(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(RESULT_NAMES)
 
 
-def staged(spark: SparkSession, df: DataFrame, near: str) -> DataFrame:
-    """``df`` written once as Parquet and read back.
+def _fresh(spark: SparkSession, near: str) -> str:
+    return f"{shared_folder(spark, near)}/{uuid.uuid4().hex}"
+
 
-    The folder is the one the cluster names for checkpoints; where it names none, next to ``near``.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{near.rstrip('/')}_staged"
-    path = f"{folder.rstrip('/')}/readings-{uuid.uuid4().hex}"
+def staged(spark: SparkSession, df: DataFrame, near: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back."""
+    path = _fresh(spark, near)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -104,7 +104,7 @@ def ingest_job(spark: SparkSession, source: str, table: str, limit: int | None =
         seq = F.col("ingest_seq")
         batch = keyed.first_accepted(batch, int(limit), scan_block(seq), seq)
     if table_exists(spark, table):
-        keyed.merge_into_table(spark, table, batch, f"{table.rstrip('/')}_staging/{uuid.uuid4().hex}")
+        keyed.merge_into_table(spark, table, batch, _fresh(spark, table))
     else:
         keyed.write_table(keyed.reduce_batch(batch, list(keyed.CELLS)), table)
 

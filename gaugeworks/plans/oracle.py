@@ -157,6 +157,8 @@ SELECT sensor_id || chr(9) || 'pm25_exceedances=' || pm25_exceedances || ', no2_
 FROM exceedances""",
         "anomalies": f"WITH {ANOMALIES} SELECT * FROM anomalies",
         "rolling_24h": f"WITH {ROLLING} SELECT * FROM rolling",
+        "rolling_24h_spans": f"WITH {ROLLING} SELECT * FROM rolling",
+        "rolling_24h_seconds": f"WITH {ROLLING} SELECT * FROM rolling",
         "keyed_cells": f"WITH {CELLS} SELECT * FROM cells",
         "keyed_upsert": f"WITH {DAILY_CELLS} SELECT rowkey, {upserted} FROM daily_cells GROUP BY rowkey",
         "keyed_merge": f"WITH {DAILY_CELLS} SELECT rowkey, {merged} FROM daily_cells GROUP BY rowkey",
@@ -171,6 +173,7 @@ SELECT rowkey || ',' || coalesce(pm25, '') || ',' || coalesce(no2, '') || ',,,,,
        replace(coalesce(sensor_name, ''), '"', chr(39)) || '",' || datasourceid || ',"' || time || '"' AS value
 FROM cells WHERE starts_with(time, '{DAY}') ORDER BY rowkey""",
         "ingest_limit": f"WITH {CELLS} SELECT * FROM cells ORDER BY ingest_seq LIMIT 100",
+        "ingest_limit_blocks": f"WITH {CELLS} SELECT * FROM cells ORDER BY ingest_seq LIMIT 4500",
         "top_sensors": f"""WITH {SUMMARY}
 SELECT {SUMMARY_COLUMNS} FROM summary ORDER BY coalesce(summary.pm25_avg, 0) DESC, sensor_id LIMIT 15""",
         "top_sensors_display": f"""WITH {SUMMARY}, top AS (SELECT * FROM summary ORDER BY pm25_avg DESC NULLS LAST, sensor_id LIMIT 15)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.text import as_text, quoted, row_key
@@ -65,6 +65,11 @@ def daily_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.to_cells(by_day)
 
 
+def ingest_block() -> Column:
+    """A coarse part of the ingest order, standing for the blocks of a file."""
+    return F.floor(F.col("ingest_seq") / 1000)
+
+
 def exported_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = readings(spark, sf_dir)
     return keyed.export_day(keyed.to_cells(as_raw(rows.filter(on_day(rows, "time", DAY)))), DAY)
@@ -128,6 +133,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # anomalies and rolling averages
         "anomalies": on_readings(anomalies),
         "rolling_24h": on_readings(rolling.rolling_24h, ROLLING_DIGITS),
+        # the other two ways of the rolling average, whatever the sizes
+        "rolling_24h_spans": on_readings(lambda r: rolling.rolling_24h(r, sliding_rows=0), ROLLING_DIGITS),
+        "rolling_24h_seconds": on_readings(
+            lambda r: rolling.rolling_24h(r, sliding_rows=0, span_rows=0, busy_sensors=0), ROLLING_DIGITS
+        ),
         # keyed table
         "keyed_cells": cells,
         "keyed_upsert": keyed_upsert,
@@ -138,8 +148,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_for_sensor": lambda s, d: keyed.latest_for_sensor(cells(s, d), SENSOR),
         "export_day": exported_day,
         "export_day_lines": lambda s, d: keyed.export_lines(exported_day(s, d)),
-        "ingest_limit": lambda s, d: keyed.first_accepted(
-            cells(s, d), 100, F.floor(F.col("ingest_seq") / 1_000_000), F.col("ingest_seq")
+        "ingest_limit": lambda s, d: keyed.first_accepted(cells(s, d), 100, ingest_block(), F.col("ingest_seq")),
+        "ingest_limit_blocks": lambda s, d: keyed.first_accepted(
+            cells(s, d), 4500, ingest_block(), F.col("ingest_seq"), max_top=0
         ),
         # presentation slices
         "top_sensors": on_readings(lambda r: serving.top_sensors(agg.per_sensor_summary(r)), DIGITS),

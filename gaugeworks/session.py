@@ -21,3 +21,12 @@ def get_session(app: str = "gaugeworks", master: str | None = None, **conf: str)
     for name, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession, near: str) -> str:
+    """Folder for intermediate tables that outlive executors.
+
+    The one the cluster names in ``spark.checkpoint.dir``; where it names none, next to ``near``.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named.rstrip("/") if named else f"{near.rstrip('/')}_staged"

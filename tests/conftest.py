@@ -16,6 +16,7 @@ def spark():
         master="local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.driver.memory": "8g",
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="warehouse-"),
         },

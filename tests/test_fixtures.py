@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.text import row_key
+from gaugeworks.functions.text import row_key, split_line
 from gaugeworks.operators import aggregates as agg
 from gaugeworks.operators import keyed, serving
 from gaugeworks.operators.anomalies import anomalies
@@ -261,3 +261,35 @@ def test_anomaly_points_drop_unknown_time(spark):
 
 def test_nan_average_is_kept(spark):
     assert math.isnan(agg.per_sensor_summary(measured(spark, [("A", NAN, 1.0), ("A", 1.0, 1.0)])).first().pm25_avg)
+
+
+# --- line splitting ----------------------------------------------------------------------------
+
+
+def toggled(line):
+    fields, field, inside = [], "", False
+    for c in line:
+        if c == '"':
+            inside = not inside
+        elif c == "," and not inside:
+            fields.append(field)
+            field = ""
+        else:
+            field += c
+    return fields + [field]
+
+
+def test_split_line(spark):
+    lines = ["", ",", "a,b", '"a,b",c', '"a","b,"', 'x"y,z"w,', '"open,a', 'a,"b""c",d', '"a"",b"', '""""', 'ä,"ö,ü",\t']
+    lines += ['"1",' * 50_000, '"1,",' * 50_000]
+    got = spark.createDataFrame([(x,) for x in lines], "v string").select("v", split_line(F.col("v")).alias("f")).collect()
+    assert [r.f == toggled(r.v) for r in got] == [True] * len(lines)
+
+
+def test_split_line_on_random_text(spark):
+    import random
+
+    pick = random.Random(5)
+    lines = ["".join(pick.choice('a,"" ') for _ in range(pick.randint(0, 25))) for _ in range(3000)]
+    got = spark.createDataFrame([(x,) for x in lines], "v string").select("v", split_line(F.col("v")).alias("f")).collect()
+    assert all(r.f == toggled(r.v) for r in got)

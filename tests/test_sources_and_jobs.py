@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gaugeworks.operators import aggregates as agg
 from gaugeworks.operators import keyed, serving
 from gaugeworks.plans import jobs
+from gaugeworks.session import shared_folder
 from gaugeworks.sources.readings import FIELD_POSITIONS, HEADERS, scan_block, scan_by_header, scan_positional, typed
 from gaugeworks.sources.results import read_csv, write_csv
 
@@ -265,3 +266,22 @@ def test_command_line(spark, source, tmp_path, capsys):
 
 def test_typed_keeps_ingest_order(spark, source):
     assert typed(scan_positional(spark, source)).select("ingest_seq").distinct().count() == 6
+
+
+def test_intermediate_tables_go_to_the_named_folder(spark, source, tmp_path, monkeypatch):
+    class Named:
+        """A session whose cluster names a folder (the setting is fixed once Spark runs)."""
+
+        conf = {"spark.checkpoint.dir": f"{tmp_path}/shared/"}
+
+    assert shared_folder(Named, "/any/out") == f"{tmp_path}/shared"
+    class Unnamed:
+        conf = {}
+
+    assert shared_folder(Unnamed, "/any/out/") == "/any/out_staged"
+    monkeypatch.setattr(jobs, "shared_folder", lambda session, near: shared_folder(Named, near))
+    jobs.summary_job(spark, source, str(tmp_path / "out"))
+    jobs.ingest_job(spark, source, str(tmp_path / "table"))
+    jobs.ingest_job(spark, source, str(tmp_path / "table"))
+    assert len(os.listdir(tmp_path / "shared")) == 2
+    assert not os.path.exists(tmp_path / "out_staged") and not os.path.exists(tmp_path / "table_staged")
