@@ -12,8 +12,9 @@ is used twice: as itself, and as a carry placed ``length`` seconds later, that i
 Both parts are then running sums inside one (sensor, span) group, one ascending and one descending,
 so the work per reading does not depend on the frame, and a sensor spreads over its spans.
 
-*Seconds*: the span way over one row per (sensor, second), joined back. A group then has at most
-``2 * length`` rows however many readings a sensor has.
+*Seconds*: the span way over one row per (sensor, second), joined back to the readings. A group then
+has at most ``2 * length`` rows however many readings a sensor has. Seconds that hold many readings
+are joined in several parts.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ SLIDING_ROWS = 1_000
 SPAN_ROWS = 5_000_000
 # At most this many such sensors are told apart; with more, all sensors are reduced.
 BUSY_SENSORS = 1_000
+# A second is joined back in parts if it holds more than this share of all readings (and more than a
+# span's worth); fewer than 1 / share seconds can, which bounds the list of them.
+HOT_SHARE = 1 / 10_000
 
 
 def trailing_averages(
@@ -50,17 +54,18 @@ def trailing_averages(
     """
     names = names or tuple(f"rolling_{m}" for m in measures)
     counts = readings.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.agg(F.max("n")).first()[0] or 0
+    largest, rows = counts.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     if largest <= sliding_rows:
         return _sliding(readings, measures, seconds, names)
     if largest <= span_rows:
         return _by_span(readings, measures, seconds, names)
+    hot_rows = max(span_rows, int(rows * HOT_SHARE), 1)
     busy = _busy_sensors(readings, seconds, span_rows, busy_sensors + 1)
     if len(busy) > busy_sensors:
-        return _by_second(readings, measures, seconds, names)
+        return _by_second(readings, measures, seconds, names, hot_rows)
     is_busy = F.coalesce(F.col("sensor_id").isin([s for s in busy if s is not None]), F.lit(None in busy))
     return _by_span(readings.filter(~is_busy), measures, seconds, names).unionByName(
-        _by_second(readings.filter(is_busy), measures, seconds, names)
+        _by_second(readings.filter(is_busy), measures, seconds, names, hot_rows)
     )
 
 
@@ -92,24 +97,43 @@ def _by_span(readings: DataFrame, measures: tuple[str, ...], seconds: int, names
     return _span_averages(copies, parts, names).select(*readings.columns, *names)
 
 
-def _by_second(readings: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...]) -> DataFrame:
+def _by_second(
+    readings: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...], hot_rows: int
+) -> DataFrame:
     """Frames over one row per (sensor, second), joined back to the readings.
 
-    Frame ends are whole seconds, so reducing to seconds loses nothing. The join is on (sensor,
-    second) with unique right-hand keys, which Spark can split if a single second is hot.
+    Frame ends are whole seconds, so reducing to seconds loses nothing.
     """
     rows = readings.withColumn("_second", epoch_seconds(readings, "time"))
     sums = []
     for m in measures:
         sums += [F.sum(m).alias(f"_{m}_sum"), F.count(m).alias(f"_{m}_count")]
-    per_second = rows.groupBy("sensor_id", "_second").agg(*sums)
-    parts = {m: (F.sum, F.col(f"_{m}_sum"), F.sum, F.col(f"_{m}_count")) for m in measures}
-    copies = _with_carries(per_second, F.col("_second"), set(per_second.columns), seconds)
-    rolled = _span_averages(copies, parts, names).select(
-        F.col("sensor_id").alias("_sensor"), F.col("_place").alias("_at"), *names
+    parts_of = F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).alias("_parts")
+    per_second = rows.groupBy("sensor_id", "_second").agg(*sums, parts_of)
+
+    adders = {m: (F.sum, F.col(f"_{m}_sum"), F.sum, F.col(f"_{m}_count")) for m in measures}
+    copies = _with_carries(per_second, F.col("_second"), set(per_second.columns) - {"_parts"}, seconds)
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
+    rolled = _span_averages(copies, adders, names).select(
+        F.col("sensor_id").alias("_sensor"), F.col("_place").alias("_at"), part.alias("_part_at"), *names
+    )
+    same = _same("sensor_id", "_sensor") & _same("_second", "_at") & (F.col("_part") == F.col("_part_at"))
+    return _in_parts(rows, per_second).join(rolled, same, "left").select(*readings.columns, *names)
+
+
+def _in_parts(rows: DataFrame, per_second: DataFrame) -> DataFrame:
+    """Rows with the part of their second they belong to, spread evenly over its ``_parts``."""
+    hot = per_second.filter(F.col("_parts") > 1).select(
+        F.col("sensor_id").alias("_hot_sensor"), F.col("_second").alias("_hot_second"), F.col("_parts").alias("_hot_parts")
     )
-    same = F.col("sensor_id").eqNullSafe(F.col("_sensor")) & F.col("_second").eqNullSafe(F.col("_at"))
-    return rows.join(rolled, same, "left").select(*readings.columns, *names)
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    marked = numbered.join(F.broadcast(hot), _same("sensor_id", "_hot_sensor") & _same("_second", "_hot_second"), "left")
+    part = F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_hot_parts")), F.lit(0))
+    return marked.select(*rows.columns, part.alias("_part"))
+
+
+def _same(left: str, right: str) -> Column:
+    return F.col(left).eqNullSafe(F.col(right))
 
 
 def _with_carries(rows: DataFrame, second: Column, carried: set[str], seconds: int) -> DataFrame:

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from gaugeworks.operators import rolling
 from gaugeworks.operators.rolling import rolling_24h, trailing_averages
 from gaugeworks.plans.queries import readings
 
@@ -81,3 +82,24 @@ def test_zoneless_times_ignore_the_session_zone(spark, expected):
         assert averages(spark, sliding_rows=0) == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_hot_second_is_joined_in_parts(spark):
+    """A third of all readings in one second of one sensor, as many without a time."""
+    kind = F.col("id") % 3
+    rows = spark.range(0, 60_000, 1, 12).select(
+        F.when(kind == 0, "hot").when(kind == 1, "lost").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("sensor_id"),
+        F.timestamp_seconds(F.when(kind == 0, 1000).when(kind == 2, F.col("id"))).alias("time"),
+        F.when(kind == 2, 1.0).otherwise(2.0).alias("v"),
+    )
+    out = rolling._by_second(rows, ("v",), 86_400, ("avg",), hot_rows=1000)
+    got = {r[0]: tuple(r)[1:] for r in out.groupBy("sensor_id").agg(F.count("*"), F.min("avg"), F.max("avg")).collect()}
+    assert got["hot"] == got["lost"] == (20_000, 2.0, 2.0)
+    assert sum(v[0] for v in got.values()) == 60_000
+    assert all(v[1:] == (1.0, 1.0) for s, v in got.items() if s.startswith("s"))
+
+    seconds = rows.withColumn("_second", F.unix_timestamp("time"))
+    per_second = seconds.groupBy("sensor_id", "_second").agg(F.ceil(F.count("*") / 1000).alias("_parts"))
+    parts = rolling._in_parts(seconds, per_second).groupBy("sensor_id", "_second", "_part").count()
+    assert parts.agg(F.max("count")).first()[0] < 1300
+    assert parts.filter("sensor_id IN ('hot', 'lost')").count() == 40
