@@ -20,17 +20,9 @@ from gaugeworks.operators import keyed
 from gaugeworks.operators.anomalies import anomalies
 from gaugeworks.operators.rolling import rolling_24h
 from gaugeworks.session import get_session, shared_folder
-from gaugeworks.sources.readings import HEADERS, scan_block, scan_by_header, scan_positional
+from gaugeworks.sources.readings import scan_block, scan_by_header, scan_positional
 from gaugeworks.sources.results import write_csv, write_export, write_report
 
-# Names that result files use for the canonical columns.
-RESULT_NAMES = {"sensor_id": HEADERS["sensor_id"]}
-
-
-def _result(df: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed(RESULT_NAMES)
-
-
 def _fresh(spark: SparkSession, near: str) -> str:
     return f"{shared_folder(spark, near)}/{uuid.uuid4().hex}"
 
@@ -72,18 +64,23 @@ def exceedances_job(
 # --- summaries ---------------------------------------------------------------------------------
 
 
-def summary_job(spark: SparkSession, source: str, out: str, single_file: bool = False) -> None:
-    """Per-sensor summary, daily averages and anomalies under ``out``."""
+def summary_job(spark: SparkSession, source: str, out: str, single_file: bool = False, show: bool = False) -> None:
+    """Per-sensor summary, daily averages and anomalies under ``out``; ``show`` prints 20 rows of each."""
     readings = staged(spark, scan_by_header(spark, source), out)
-    write_csv(_result(agg.per_sensor_summary(readings)), f"{out}/per_sensor", single_file)
-    write_csv(agg.daily_averages(readings), f"{out}/daily", single_file)
-    write_csv(_result(anomalies(readings)), f"{out}/anomalies", single_file)
+    results = {
+        "per_sensor": agg.per_sensor_summary(readings),
+        "daily": agg.daily_averages(readings),
+        "anomalies": anomalies(readings),
+    }
+    for name, result in results.items():
+        write_csv(result, f"{out}/{name}", single_file)
+        if show:
+            result.show(20, truncate=False)
 
 
 def rolling_job(spark: SparkSession, source: str, out: str, single_file: bool = False) -> None:
     """Trailing 24-hour averages of every reading."""
-    readings = staged(spark, scan_by_header(spark, source), out)
-    write_csv(_result(rolling_24h(readings)), out, single_file)
+    write_csv(rolling_24h(staged(spark, scan_by_header(spark, source), out)), out, single_file)
 
 
 # --- keyed table -------------------------------------------------------------------------------
@@ -131,7 +128,7 @@ JOBS = {
     "daily-averages": (daily_averages_job, ["source", "out"], {}),
     "hourly-averages": (hourly_averages_job, ["source", "out"], {}),
     "exceedances": (exceedances_job, ["source", "out"], {"pm25_threshold": float, "no2_threshold": float}),
-    "summary": (summary_job, ["source", "out"], {"single_file": bool}),
+    "summary": (summary_job, ["source", "out"], {"single_file": bool, "show": bool}),
     "rolling": (rolling_job, ["source", "out"], {"single_file": bool}),
     "ingest": (ingest_job, ["source", "table"], {"limit": int}),
     "count": (count_job, ["table"], {}),

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gaugeworks.sources.readings import ID_HEADER
+
+# Result files name the sensor column like the raw file does.
+RESULT_NAMES = {"sensor_id": ID_HEADER}
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Overwrite a headered CSV directory.
+    """Overwrite a headered CSV directory, under the column names of result files.
 
     One part file is opt-in and meant for small results: it sends every row to one task.
     """
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    named = df.withColumnsRenamed(RESULT_NAMES)
+    named = named.coalesce(1) if single_file else named
+    named.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_report(lines: DataFrame, path: str) -> None:
@@ -37,3 +45,19 @@ def write_export(lines: DataFrame, header: str, path: str, single_file: bool = F
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a result directory back: every part file, all values as text."""
     return spark.read.option("header", True).option("escape", '"').csv(path)
+
+
+def read_result(spark: SparkSession, path: str) -> DataFrame:
+    """A result directory under canonical names and types; values that do not parse become null."""
+
+    def typed(name: str) -> Column:
+        if name in ("time", "date"):
+            return F.col(name).try_cast("timestamp" if name == "time" else "date").alias(name)
+        if name == "records" or name.endswith("_count"):
+            return F.col(name).try_cast("long").alias(name)
+        if name in ("pm25", "no2") or name.startswith("rolling_") or name.endswith(("_avg", "_min", "_max")):
+            return F.col(name).try_cast("double").alias(name)
+        return F.col(name)
+
+    rows = read_csv(spark, path).withColumnsRenamed({header: name for name, header in RESULT_NAMES.items()})
+    return rows.select(*[typed(name) for name in rows.columns])

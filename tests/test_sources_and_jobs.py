@@ -11,7 +11,7 @@ from gaugeworks.operators import keyed, serving
 from gaugeworks.plans import jobs
 from gaugeworks.session import shared_folder
 from gaugeworks.sources.readings import FIELD_POSITIONS, HEADERS, scan_block, scan_by_header, scan_positional, typed
-from gaugeworks.sources.results import read_csv, write_csv
+from gaugeworks.sources.results import read_csv, read_result, write_csv
 
 
 def line(width=43, **fields):
@@ -170,7 +170,7 @@ def test_exceedance_thresholds_are_arguments(spark, source, tmp_path):
     assert lines == ["A\tpm25_exceedances=1, no2_exceedances=0", "B\tpm25_exceedances=1, no2_exceedances=0"]
 
 
-def test_summary_job(spark, source, tmp_path):
+def test_summary_job(spark, source, tmp_path, capsys):
     out = str(tmp_path / "out")
     jobs.summary_job(spark, source, out, single_file=True)
     (per_sensor,) = part_lines(f"{out}/per_sensor")
@@ -184,7 +184,8 @@ def test_summary_job(spark, source, tmp_path):
     (daily,) = part_lines(f"{out}/daily")
     assert daily == ["date,pm25_avg,no2_avg,records", "2026-02-01,30.125,75.5,2", "2026-02-02,20.0,,2", "2026-02-03,40.0,,2"]
     assert os.path.isdir(f"{out}/anomalies")
-    jobs.summary_job(spark, source, out)  # overwrites
+    jobs.summary_job(spark, source, out, show=True)  # overwrites
+    assert "|2026-02-01|30.125" in capsys.readouterr().out
 
 
 def test_rolling_job(spark, source, tmp_path):
@@ -250,6 +251,23 @@ def test_stored_table_scan_is_pruned_and_pushed(spark, source, tmp_path):
     assert len(keyed.export_day(stored, "2026-02-01").inputFiles()) >= 1
 
 
+def test_presentation_from_result_directories(spark, source, tmp_path):
+    out = str(tmp_path / "out")
+    jobs.summary_job(spark, source, f"{out}/spark")
+    jobs.rolling_job(spark, source, f"{out}/rolling")
+    summary = read_result(spark, f"{out}/spark/per_sensor")
+    assert [r.sensor_id for r in serving.top_sensors(summary, 3).collect()] == [None, "A", "B"]
+    daily = read_result(spark, f"{out}/spark/daily")
+    assert [(str(r.date), r.pm25_avg) for r in serving.daily_points(daily).collect()][0] == ("2026-02-01", 30.125)
+    rolled = read_result(spark, f"{out}/rolling")
+    assert dict(rolled.dtypes)["time"] == "timestamp" and rolled.filter("sensor_id = 'A'").count() == 2
+    assert rolled.select(serving.rolling_value(rolled).alias("v")).agg(F.max("v")).first()[0] == 40.0
+
+    save(tmp_path / "odd.csv", ["datasourceid,time,pm25,no2", "A,2026-02-01T10:00:00.000Z,1.5,", "A,never,x,"])
+    points = serving.anomaly_points(read_result(spark, str(tmp_path / "odd.csv"))).collect()
+    assert [(r.sensor_id, r.pm25) for r in points] == [("A", 1.5)]
+
+
 def test_served_rows_from_a_result_directory(spark, source, tmp_path):
     out = str(tmp_path / "out")
     jobs.summary_job(spark, source, out)
