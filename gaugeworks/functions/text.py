@@ -36,7 +36,7 @@ def split_line(line: Column) -> Column:
         F.split(line, '"', -1),
         lambda piece, i: F.when(i % 2 == 0, F.translate(piece, ",", FIELD_MARK)).otherwise(piece),
     )
-    return F.when(line.rlike(SIMPLE_QUOTES), F.split(F.translate(line, '"', ""), ",", -1)).otherwise(
+    return F.when(line.rlike(SIMPLE_QUOTES), F.split(F.replace(line, F.lit('"'), F.lit("")), ",", -1)).otherwise(
         F.split(F.array_join(marked, ""), FIELD_MARK, -1)
     )
 

@@ -30,7 +30,7 @@ DAY_SECONDS = 86_400
 # Sliding frames are used while no sensor has more readings than this.
 SLIDING_ROWS = 1_000
 # A sensor with more readings than this within one span is reduced to seconds.
-SPAN_ROWS = 5_000_000
+SPAN_ROWS = 1_000_000
 # At most this many such sensors are told apart; with more, all sensors are reduced.
 BUSY_SENSORS = 1_000
 # A second is joined back in parts if it holds more than this share of all readings (and more than a

@@ -90,7 +90,9 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema("rowkey string").parquet(path)
         return True
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 

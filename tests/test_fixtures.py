@@ -293,3 +293,9 @@ def test_split_line_on_random_text(spark):
     lines = ["".join(pick.choice('a,"" ') for _ in range(pick.randint(0, 25))) for _ in range(3000)]
     got = spark.createDataFrame([(x,) for x in lines], "v string").select("v", split_line(F.col("v")).alias("f")).collect()
     assert all(r.f == toggled(r.v) for r in got)
+
+
+def test_report_renders_nan(spark):
+    rows = raw(spark, [(1, "A", "2026-02-01T12:16:08.000", "NaN", ""), (2, "A", "2026-02-01T12:16:08.000", "1", "2.0005")])
+    (line,) = agg.averages_report(agg.sensor_averages(rows), "sensor_id").collect()
+    assert line.value == "A\tpm25_avg=NaN, pm25_count=2, no2_avg=2.001, no2_count=1"
