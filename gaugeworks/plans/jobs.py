@@ -9,7 +9,6 @@ the few columns they need to Parquet once and work from that.
 from __future__ import annotations
 
 import argparse
-import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,17 +18,13 @@ from gaugeworks.operators import aggregates as agg
 from gaugeworks.operators import keyed
 from gaugeworks.operators.anomalies import anomalies
 from gaugeworks.operators.rolling import rolling_24h
-from gaugeworks.session import get_session, shared_folder
+from gaugeworks.session import fresh_folder, get_session
 from gaugeworks.sources.readings import scan_block, scan_by_header, scan_positional
 from gaugeworks.sources.results import write_csv, write_export, write_report
 
-def _fresh(spark: SparkSession, near: str) -> str:
-    return f"{shared_folder(spark, near)}/{uuid.uuid4().hex}"
-
-
 def staged(spark: SparkSession, df: DataFrame, near: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back."""
-    path = _fresh(spark, near)
+    path = fresh_folder(spark, near)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -100,10 +95,13 @@ def ingest_job(spark: SparkSession, source: str, table: str, limit: int | None =
     """Upsert a raw file, or its first ``limit`` accepted rows, into the keyed table."""
     batch = keyed.to_cells(scan_positional(spark, source))
     if limit is not None:
+        if limit > keyed.MAX_TOP_ROWS:
+            # counted and cut in separate scans, so the row numbers must be fixed first
+            batch = staged(spark, batch, table)
         seq = F.col("ingest_seq")
-        batch = keyed.first_accepted(batch, int(limit), scan_block(seq), seq)
+        batch = keyed.first_accepted(batch, limit, scan_block(seq), seq, keyed.MAX_TOP_ROWS)
     if table_exists(spark, table):
-        keyed.merge_into_table(spark, table, batch, _fresh(spark, table))
+        keyed.merge_into_table(spark, table, batch, fresh_folder(spark, table))
     else:
         keyed.write_table(keyed.reduce_batch(batch, list(keyed.CELLS)), table)
 

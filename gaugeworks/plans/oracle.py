@@ -130,6 +130,11 @@ def all_oracles() -> dict[str, str]:
         "positional_scan": f"""WITH {READINGS}
 SELECT ingest_seq, sensor_id, replace(sensor_name, '"', chr(39)) AS sensor_name,
        date_trunc('milliseconds', time) AS time, pm25, no2 FROM readings""",
+        "text_file_scan": f"""WITH {READINGS}
+SELECT sensor_id, replace(sensor_name, '"', chr(39)) AS sensor_name, date_trunc('milliseconds', time) AS time, pm25, no2
+FROM readings""",
+        "header_file_scan": f"WITH {READINGS} SELECT sensor_id, date_trunc('milliseconds', time) AS time, pm25, no2 FROM readings",
+        "result_round_trip": f"WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary",
         "readings_long": f"""WITH {READINGS}
 SELECT sensor_id, time, 'pm25' AS measure, pm25 AS value FROM readings WHERE pm25 IS NOT NULL
 UNION ALL
@@ -162,6 +167,15 @@ FROM exceedances""",
         "keyed_cells": f"WITH {CELLS} SELECT * FROM cells",
         "keyed_upsert": f"WITH {DAILY_CELLS} SELECT rowkey, {upserted} FROM daily_cells GROUP BY rowkey",
         "keyed_merge": f"WITH {DAILY_CELLS} SELECT rowkey, {merged} FROM daily_cells GROUP BY rowkey",
+        "keyed_families": f"""WITH {CELLS}
+SELECT rowkey, pm25 AS m_pm25, no2 AS m_no2, humidity AS m_humidity, temp AS m_temp, lat AS g_lat, lon AS g_lon,
+       location AS g_location, sensor_name AS meta_sensor_name, datasourceid AS meta_datasourceid, time AS meta_time
+FROM cells""",
+        "stored_table": f"""WITH {DAILY_CELLS},
+merged AS (SELECT rowkey, {merged} FROM daily_cells GROUP BY rowkey)
+SELECT *, CAST(NULL AS VARCHAR) AS humidity, CAST(NULL AS VARCHAR) AS temp, CAST(NULL AS VARCHAR) AS lat,
+       CAST(NULL AS VARCHAR) AS lon, CAST(NULL AS VARCHAR) AS location, left(time, 10) AS day
+FROM merged""",
         "table_count": f"WITH {DAILY_CELLS} SELECT count(DISTINCT rowkey) AS row_count FROM daily_cells",
         "prefix_scan": f"WITH {CELLS} SELECT * FROM cells WHERE starts_with(rowkey, '{SENSOR}_')",
         "latest_per_sensor": f"""WITH {CELLS}

@@ -16,7 +16,19 @@ from gaugeworks.functions.time import iso_millis, on_day
 from gaugeworks.operators import aggregates as agg
 from gaugeworks.operators import keyed, rolling, serving
 from gaugeworks.operators.anomalies import anomalies
-from gaugeworks.sources.readings import FIELD_POSITIONS, MIN_FIELDS, from_events, parse_lines, to_long, typed
+from gaugeworks.session import fresh_folder
+from gaugeworks.sources.readings import (
+    FIELD_POSITIONS,
+    HEADERS,
+    MIN_FIELDS,
+    from_events,
+    parse_lines,
+    scan_by_header,
+    scan_positional,
+    to_long,
+    typed,
+)
+from gaugeworks.sources.results import read_result, write_csv
 
 DIGITS = 10
 ROLLING_DIGITS = 8
@@ -90,9 +102,55 @@ def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.upsert(first, second, MERGED_CELLS)
 
 
+def zoneless(df: DataFrame) -> DataFrame:
+    return df.withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
 def positional_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = typed(parse_lines(lines(spark, sf_dir)))
-    return parsed.select("ingest_seq", "sensor_id", "sensor_name", F.col("time").cast("timestamp_ntz").alias("time"), "pm25", "no2")
+    return zoneless(parsed.select("ingest_seq", "sensor_id", "sensor_name", "time", "pm25", "no2"))
+
+
+# --- queries over files that Spark writes from the table first ---------------------------------
+
+
+def new_folder(spark: SparkSession) -> str:
+    return fresh_folder(spark, spark.conf.get("spark.sql.warehouse.dir"))
+
+
+def text_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark)
+    lines(spark, sf_dir).select("value").write.text(path)
+    return zoneless(typed(scan_positional(spark, path)).select("sensor_id", "sensor_name", "time", "pm25", "no2"))
+
+
+def header_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark)
+    raw = raw_readings(spark, sf_dir).select("sensor_name", *HEADERS).withColumnsRenamed(HEADERS)
+    raw.write.option("header", True).option("escape", '"').csv(path)
+    return zoneless(scan_by_header(spark, path))
+
+
+def result_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark)
+    write_csv(agg.per_sensor_summary(readings(spark, sf_dir)), path)
+    return rounded(read_result(spark, path))
+
+
+def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two ingests of ``keyed_merge`` into a stored table."""
+    path, rows = new_folder(spark), daily_cells(spark, sf_dir)
+    keyed.write_table(keyed.reduce_batch(rows.filter(F.col("no2").isNull()), list(keyed.CELLS)), path)
+    keyed.merge_into_table(spark, path, rows.filter(F.col("no2").isNotNull()), new_folder(spark))
+    return keyed.read_table(spark, path)
+
+
+# --- registry ----------------------------------------------------------------------------------
+
+
+def families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = keyed.by_family(cells(spark, sf_dir))
+    return rows.select("rowkey", *[F.col(f"{f}.{c}").alias(f"{f}_{c}") for f, names in keyed.FAMILIES.items() for c in names])
 
 
 def report(averages: Callable[[DataFrame], DataFrame], key: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -112,6 +170,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # scans and projections
         "readings_scan": on_readings(lambda r: r),
         "positional_scan": positional_scan,
+        "text_file_scan": text_file_scan,
+        "header_file_scan": header_file_scan,
+        "result_round_trip": result_round_trip,
         "readings_long": on_readings(to_long),
         "rowkeys": on_readings(lambda r: r.select("ingest_seq", row_key(F.col("sensor_id"), iso_millis(F.col("time"))).alias("rowkey"))),
         # aggregations
@@ -142,6 +203,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "keyed_cells": cells,
         "keyed_upsert": keyed_upsert,
         "keyed_merge": keyed_merge,
+        "keyed_families": families,
+        "stored_table": stored_table,
         "table_count": lambda s, d: keyed.table_count(keyed_upsert(s, d)),
         "prefix_scan": lambda s, d: keyed.prefix_scan(cells(s, d), f"{SENSOR}_"),
         "latest_per_sensor": lambda s, d: keyed.latest_per_sensor(cells(s, d)),

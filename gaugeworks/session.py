@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Raw times carry no zone, so they are read and written in UTC.
@@ -30,3 +32,8 @@ def shared_folder(spark: SparkSession, near: str) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     return named.rstrip("/") if named else f"{near.rstrip('/')}_staged"
+
+
+def fresh_folder(spark: SparkSession, near: str) -> str:
+    """A new, not yet existing folder below the shared one."""
+    return f"{shared_folder(spark, near)}/{uuid.uuid4().hex}"

@@ -76,7 +76,7 @@ def test_zoneless_times_ignore_the_session_zone(spark, expected):
     rows = spark.createDataFrame([("A", "2024-03-10 01:30:00", 1.0), ("A", "2024-03-10 02:30:00", 3.0), ("A", "2024-03-10 03:30:00", 5.0)], "sensor_id string, t string, v double")
     rows = rows.withColumn("time", F.col("t").cast("timestamp_ntz"))
     try:
-        spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         out = trailing_averages(rows, ("v",), 3600, ("avg",))
         assert [r.avg for r in out.orderBy("t").collect()] == [1.0, 2.0, 4.0]
         assert averages(spark, sliding_rows=0) == expected

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gaugeworks.operators import aggregates as agg
 from gaugeworks.operators import keyed, serving
 from gaugeworks.plans import jobs
-from gaugeworks.session import shared_folder
+from gaugeworks.session import fresh_folder, shared_folder
 from gaugeworks.sources.readings import FIELD_POSITIONS, HEADERS, scan_block, scan_by_header, scan_positional, typed
 from gaugeworks.sources.results import read_csv, read_result, write_csv
 
@@ -94,12 +94,13 @@ def test_header_scan(spark, tmp_path):
             header(),
             reading("B", "zzz", "", "2"),
             line(time='"2026-02-01T12:16:08.000"', pm25="4"),
+            line(sensor_id='"x ""y"", z"', no2="5"),
         ],
     )
     df = scan_by_header(spark, path)
     assert df.dtypes == [("sensor_id", "string"), ("time", "timestamp"), ("pm25", "double"), ("no2", "double")]
     rows = {r.sensor_id: (r.time is not None, r.pm25, r.no2) for r in df.collect()}
-    assert rows == {"A": (True, 1.5, None), "B": (False, None, 2.0), None: (True, 4.0, None)}
+    assert rows == {"A": (True, 1.5, None), "B": (False, None, 2.0), None: (True, 4.0, None), 'x "y", z': (False, None, 5.0)}
 
 
 def test_header_scan_reads_only_the_used_columns(spark, tmp_path):
@@ -230,6 +231,15 @@ def test_keyed_table_jobs(spark, source, tmp_path, capsys):
     ]
 
 
+def test_ingest_limit_beyond_a_top_n(spark, source, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "MAX_TOP_ROWS", 1)
+    for limit, rows in ((1, 1), (2, 2), (4, 4), (99, 5)):
+        table = str(tmp_path / f"table{limit}")
+        jobs.ingest_job(spark, source, table, limit)
+        kept = sorted(r.rowkey for r in keyed.read_table(spark, table).collect())
+        assert kept == ["A_2026-02-01T10_00_00.000", "A_2026-02-01T10_30_00.000", "B_2026-02-02T11_00_00.000", "B_2026-02-02T12_00_00.000", "C_2026-02-03T00_00_00.000"][:rows]
+
+
 def test_interrupted_merge_can_be_repeated(spark, source, tmp_path):
     table, staging = str(tmp_path / "table"), str(tmp_path / "staging")
     jobs.ingest_job(spark, source, table)
@@ -297,7 +307,7 @@ def test_intermediate_tables_go_to_the_named_folder(spark, source, tmp_path, mon
         conf = {}
 
     assert shared_folder(Unnamed, "/any/out/") == "/any/out_staged"
-    monkeypatch.setattr(jobs, "shared_folder", lambda session, near: shared_folder(Named, near))
+    monkeypatch.setattr(jobs, "fresh_folder", lambda session, near: fresh_folder(Named, near))
     jobs.summary_job(spark, source, str(tmp_path / "out"))
     jobs.ingest_job(spark, source, str(tmp_path / "table"))
     jobs.ingest_job(spark, source, str(tmp_path / "table"))
