@@ -93,7 +93,7 @@ def _sliding(readings: DataFrame, measures: tuple[str, ...], seconds: int, names
 def _by_span(readings: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...]) -> DataFrame:
     """Readings and their carries in one shuffle on (sensor, span)."""
     parts = {m: (F.sum, F.col(m), F.count, F.col(m)) for m in measures}
-    copies = _with_carries(readings, epoch_seconds(readings, "time"), set(measures), seconds)
+    copies = _with_carries(readings, epoch_seconds(readings, "time"), list(measures), [], seconds)
     return _span_averages(copies, parts, names).select(*readings.columns, *names)
 
 
@@ -112,7 +112,8 @@ def _by_second(
     per_second = rows.groupBy("sensor_id", "_second").agg(*sums, parts_of)
 
     adders = {m: (F.sum, F.col(f"_{m}_sum"), F.sum, F.col(f"_{m}_count")) for m in measures}
-    copies = _with_carries(per_second, F.col("_second"), set(per_second.columns) - {"_parts"}, seconds)
+    values, counts = [f"_{m}_sum" for m in measures], [f"_{m}_count" for m in measures]
+    copies = _with_carries(per_second, F.col("_second"), values, counts, seconds)
     part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
     rolled = _span_averages(copies, adders, names).select(
         F.col("sensor_id").alias("_sensor"), F.col("_place").alias("_at"), part.alias("_part_at"), *names
@@ -136,17 +137,18 @@ def _same(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col(right))
 
 
-def _with_carries(rows: DataFrame, second: Column, carried: set[str], seconds: int) -> DataFrame:
+def _with_carries(rows: DataFrame, second: Column, values: list[str], counts: list[str], seconds: int) -> DataFrame:
     """Each row at its own second and again, as a carry, ``seconds`` later; with the span of its place.
 
-    A carry travels only with its sensor and the ``carried`` columns.
+    A carry travels only with its sensor, ``values`` and ``counts``, and only if it has some value.
     """
     both = rows.withColumn("_carry", F.explode(F.array(F.lit(False), F.lit(True))))
-    own_only = [c for c in rows.columns if c not in carried and c != "sensor_id"]
+    own_only = [c for c in rows.columns if c not in {"sensor_id", *values, *counts}]
     place = second + F.when(F.col("_carry"), F.lit(seconds)).otherwise(F.lit(0))
+    useful = F.col("_place").isNotNull() & F.coalesce(*values).isNotNull()
     return (
         both.withColumn("_place", place)
-        .filter(~F.col("_carry") | F.col("_place").isNotNull())
+        .filter(~F.col("_carry") | useful)
         .withColumns({c: F.when(~F.col("_carry"), F.col(c)) for c in own_only})
         .withColumn("_span", F.floor(F.col("_place") / F.lit(seconds)))
     )
