@@ -50,7 +50,7 @@ def trailing_averages(
     """All columns of ``readings`` plus the trailing average of each measure, one row per reading.
 
     Readings without a time share one frame per sensor. Counts the readings per sensor first: one
-    narrow scan, reduced map-side, of which only the largest count reaches the driver.
+    narrow scan, reduced map-side, of which only the largest count and their sum reach the driver.
     """
     names = names or tuple(f"rolling_{m}" for m in measures)
     counts = readings.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n"))
@@ -61,9 +61,12 @@ def trailing_averages(
         return _by_span(readings, measures, seconds, names)
     hot_rows = max(span_rows, int(rows * HOT_SHARE), 1)
     busy = _busy_sensors(readings, seconds, span_rows, busy_sensors + 1)
+    if not busy:
+        return _by_span(readings, measures, seconds, names)
     if len(busy) > busy_sensors:
         return _by_second(readings, measures, seconds, names, hot_rows)
-    is_busy = F.coalesce(F.col("sensor_id").isin([s for s in busy if s is not None]), F.lit(None in busy))
+    sensor = F.col("sensor_id")
+    is_busy = F.when(sensor.isNull(), None in busy).otherwise(sensor.isin([s for s in busy if s is not None]))
     return _by_span(readings.filter(~is_busy), measures, seconds, names).unionByName(
         _by_second(readings.filter(is_busy), measures, seconds, names, hot_rows)
     )

@@ -106,6 +106,10 @@ def zoneless(df: DataFrame) -> DataFrame:
     return df.withColumn("time", F.col("time").cast("timestamp_ntz"))
 
 
+def rowkeys(rows: DataFrame) -> DataFrame:
+    return rows.select("ingest_seq", row_key(F.col("sensor_id"), iso_millis(F.col("time"))).alias("rowkey"))
+
+
 def positional_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = typed(parse_lines(lines(spark, sf_dir)))
     return zoneless(parsed.select("ingest_seq", "sensor_id", "sensor_name", "time", "pm25", "no2"))
@@ -174,7 +178,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "header_file_scan": header_file_scan,
         "result_round_trip": result_round_trip,
         "readings_long": on_readings(to_long),
-        "rowkeys": on_readings(lambda r: r.select("ingest_seq", row_key(F.col("sensor_id"), iso_millis(F.col("time"))).alias("rowkey"))),
+        "rowkeys": on_readings(rowkeys),
         # aggregations
         "per_sensor_summary": on_readings(agg.per_sensor_summary, DIGITS),
         "daily_averages": on_readings(agg.daily_averages, DIGITS),
@@ -217,7 +221,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         # presentation slices
         "top_sensors": on_readings(lambda r: serving.top_sensors(agg.per_sensor_summary(r)), DIGITS),
-        "top_sensors_display": on_readings(lambda r: serving.display_rows(serving.top_sensors(agg.per_sensor_summary(r), null_as_zero=False))),
+        "top_sensors_display": on_readings(
+            lambda r: serving.display_rows(serving.top_sensors(agg.per_sensor_summary(r), null_as_zero=False))
+        ),
         "daily_head": on_readings(lambda r: serving.daily_head(agg.daily_averages(r)), DIGITS),
         "daily_points": on_readings(lambda r: serving.daily_points(agg.daily_averages(r)), DIGITS),
         "anomalies_head": on_readings(lambda r: serving.anomalies_head(anomalies(r))),

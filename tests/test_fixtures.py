@@ -34,7 +34,8 @@ def measured(spark, rows):
 def timed(spark, rows):
     """Readings from (sensor, epoch seconds or null, pm25)."""
     df = spark.createDataFrame(rows, "sensor_id string, s double, pm25 double")
-    return df.select("sensor_id", F.timestamp_micros((F.col("s") * 1_000_000).cast("long")).alias("time"), "pm25", F.lit(None).cast("double").alias("no2"))
+    time = F.timestamp_micros((F.col("s") * 1_000_000).cast("long"))
+    return df.select("sensor_id", time.alias("time"), "pm25", F.lit(None).cast("double").alias("no2"))
 
 
 def as_dict(df, key, *values):

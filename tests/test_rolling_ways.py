@@ -17,9 +17,11 @@ WAYS = {
 }
 
 
-def skewed(spark):
-    rows = readings(spark, SF_DIR).withColumn("sensor_id", F.when(F.col("ingest_seq") % 3 == 0, "hot").otherwise(F.col("sensor_id")))
-    return rows.withColumn("time", F.when(F.col("ingest_seq") % 50 != 0, F.col("time"))).select("ingest_seq", "sensor_id", "time", "pm25", "no2")
+def skewed(spark, hot="hot"):
+    """A third of all readings on one sensor, and some without a time."""
+    seq = F.col("ingest_seq")
+    rows = readings(spark, SF_DIR).withColumn("sensor_id", F.when(seq % 3 == 0, F.lit(hot)).otherwise(F.col("sensor_id")))
+    return rows.withColumn("time", F.when(seq % 50 != 0, F.col("time"))).drop("sensor_name")
 
 
 def averages(spark, **sizes):
@@ -42,7 +44,11 @@ def test_ways_agree(spark, expected, way):
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     rows=st.lists(
-        st.tuples(st.sampled_from("AB"), st.one_of(st.none(), st.integers(-25, 60)), st.one_of(st.none(), st.integers(0, 8))),
+        st.tuples(
+            st.sampled_from(["A", "B", None]),
+            st.one_of(st.none(), st.integers(-25, 60)),
+            st.one_of(st.none(), st.integers(0, 8)),
+        ),
         min_size=1,
         max_size=30,
     ),
@@ -50,16 +56,26 @@ def test_ways_agree(spark, expected, way):
     way=st.sampled_from(sorted(WAYS)),
 )
 def test_brute_force(spark, rows, length, way):
-    df = spark.createDataFrame([(i, s, t, None if v is None else float(v)) for i, (s, t, v) in enumerate(rows)], "i int, sensor_id string, s long, v double")
+    data = [(i, s, t, None if v is None else float(v)) for i, (s, t, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "i int, sensor_id string, s long, v double")
     df = df.withColumn("time", F.timestamp_seconds("s"))
     out = trailing_averages(df, ("v",), length, ("avg",), **WAYS[way])
     got = {r.i: r.avg for r in out.collect()}
     for i, (sensor, t, _) in enumerate(rows):
-        frame = [v for s, u, v in rows if s == sensor and v is not None and (u is None if t is None else u is not None and t - length <= u <= t)]
+        same = [(u, v) for s, u, v in rows if s == sensor and v is not None]
+        frame = [v for u, v in same if (u is None and t is None) or (None not in (u, t) and t - length <= u <= t)]
         assert got[i] == (pytest.approx(sum(frame) / len(frame)) if frame else None)
     assert len(got) == len(rows)
 
 
+def test_readings_without_a_sensor_may_be_busy(spark):
+    rows = skewed(spark, hot=None)
+    assert rolling._busy_sensors(rows, 86_400, 60, 10) == [None]
+    plan = trailing_averages(rows, sliding_rows=0, span_rows=60)
+    a = sorted(plan.select("ingest_seq", F.round("rolling_pm25", 8)).collect())
+    assert a == sorted(trailing_averages(rows, sliding_rows=10**9).select("ingest_seq", F.round("rolling_pm25", 8)).collect())
+
+
 def test_no_readings(spark):
     assert rolling_24h(skewed(spark).filter("false")).count() == 0
 
@@ -73,7 +89,8 @@ def test_one_shuffle_unless_busy(spark):
 
 def test_zoneless_times_ignore_the_session_zone(spark, expected):
     zone = spark.conf.get("spark.sql.session.timeZone")
-    rows = spark.createDataFrame([("A", "2024-03-10 01:30:00", 1.0), ("A", "2024-03-10 02:30:00", 3.0), ("A", "2024-03-10 03:30:00", 5.0)], "sensor_id string, t string, v double")
+    data = [("A", f"2024-03-10 0{hour}:30:00", value) for hour, value in ((1, 1.0), (2, 3.0), (3, 5.0))]
+    rows = spark.createDataFrame(data, "sensor_id string, t string, v double")
     rows = rows.withColumn("time", F.col("t").cast("timestamp_ntz"))
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")

@@ -237,7 +237,8 @@ def test_ingest_limit_beyond_a_top_n(spark, source, tmp_path, monkeypatch):
         table = str(tmp_path / f"table{limit}")
         jobs.ingest_job(spark, source, table, limit)
         kept = sorted(r.rowkey for r in keyed.read_table(spark, table).collect())
-        assert kept == ["A_2026-02-01T10_00_00.000", "A_2026-02-01T10_30_00.000", "B_2026-02-02T11_00_00.000", "B_2026-02-02T12_00_00.000", "C_2026-02-03T00_00_00.000"][:rows]
+        keys = ["A_2026-02-01T10_00", "A_2026-02-01T10_30", "B_2026-02-02T11_00", "B_2026-02-02T12_00", "C_2026-02-03T00_00"]
+        assert kept == [f"{key}_00.000" for key in keys[:rows]]
 
 
 def test_interrupted_merge_can_be_repeated(spark, source, tmp_path):
