@@ -26,6 +26,16 @@ cells AS (
          nullif(sensor_name, '') AS sensor_name, sensor_id AS datasourceid, time
   FROM raw)"""
 
+ALL_CELLS = ("pm25", "no2", "humidity", "temp", "lat", "lon", "location", "sensor_name", "datasourceid", "time")
+
+
+def last_value(column: str, condition: str = "TRUE") -> str:
+    return f"arg_max({column}, ingest_seq) FILTER (WHERE {column} IS NOT NULL AND {condition})"
+
+
+KEYED = CELLS + f""",
+keyed AS (SELECT rowkey, {', '.join(f'{last_value(c)} AS {c}' for c in ALL_CELLS)} FROM cells GROUP BY rowkey)"""
+
 EXPORT = "rowkey, pm25, no2, humidity, temp, lat, lon, location, sensor_name, datasourceid, time"
 
 DAILY_CELLS = RAW + """,
@@ -111,10 +121,6 @@ HOUR = "strftime(time, '%Y-%m-%dT%H')"
 DATE = "CAST(time AS DATE)"
 
 
-def last_value(column: str, condition: str = "TRUE") -> str:
-    return f"arg_max({column}, ingest_seq) FILTER (WHERE {column} IS NOT NULL AND {condition})"
-
-
 def all_oracles() -> dict[str, str]:
     display = ", ".join(
         f"CAST({decimal_places(c, 2)} AS DOUBLE) AS {c}"
@@ -167,25 +173,25 @@ FROM exceedances""",
         "keyed_cells": f"WITH {CELLS} SELECT * FROM cells",
         "keyed_upsert": f"WITH {DAILY_CELLS} SELECT rowkey, {upserted} FROM daily_cells GROUP BY rowkey",
         "keyed_merge": f"WITH {DAILY_CELLS} SELECT rowkey, {merged} FROM daily_cells GROUP BY rowkey",
-        "keyed_families": f"""WITH {CELLS}
+        "keyed_families": f"""WITH {KEYED}
 SELECT rowkey, pm25 AS m_pm25, no2 AS m_no2, humidity AS m_humidity, temp AS m_temp, lat AS g_lat, lon AS g_lon,
        location AS g_location, sensor_name AS meta_sensor_name, datasourceid AS meta_datasourceid, time AS meta_time
-FROM cells""",
+FROM keyed""",
         "stored_table": f"""WITH {DAILY_CELLS},
 merged AS (SELECT rowkey, {merged} FROM daily_cells GROUP BY rowkey)
 SELECT *, CAST(NULL AS VARCHAR) AS humidity, CAST(NULL AS VARCHAR) AS temp, CAST(NULL AS VARCHAR) AS lat,
        CAST(NULL AS VARCHAR) AS lon, CAST(NULL AS VARCHAR) AS location, left(time, 10) AS day
 FROM merged""",
         "table_count": f"WITH {DAILY_CELLS} SELECT count(DISTINCT rowkey) AS row_count FROM daily_cells",
-        "prefix_scan": f"WITH {CELLS} SELECT * FROM cells WHERE starts_with(rowkey, '{SENSOR}_')",
-        "latest_per_sensor": f"""WITH {CELLS}
-SELECT * FROM cells QUALIFY row_number() OVER (PARTITION BY datasourceid ORDER BY rowkey DESC) = 1""",
-        "latest_for_sensor": f"WITH {CELLS} SELECT * FROM cells WHERE datasourceid = '{SENSOR}' ORDER BY rowkey DESC LIMIT 1",
-        "export_day": f"WITH {CELLS} SELECT {EXPORT} FROM cells WHERE starts_with(time, '{DAY}') ORDER BY rowkey",
-        "export_day_lines": f"""WITH {CELLS}
+        "prefix_scan": f"WITH {KEYED} SELECT * FROM keyed WHERE starts_with(rowkey, '{SENSOR}_')",
+        "latest_per_sensor": f"""WITH {KEYED}
+SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY datasourceid ORDER BY rowkey DESC) = 1""",
+        "latest_for_sensor": f"WITH {KEYED} SELECT * FROM keyed WHERE datasourceid = '{SENSOR}' ORDER BY rowkey DESC LIMIT 1",
+        "export_day": f"WITH {KEYED} SELECT {EXPORT} FROM keyed WHERE starts_with(time, '{DAY}') ORDER BY rowkey",
+        "export_day_lines": f"""WITH {KEYED}
 SELECT rowkey || ',' || coalesce(pm25, '') || ',' || coalesce(no2, '') || ',,,,,"","' ||
        replace(coalesce(sensor_name, ''), '"', chr(39)) || '",' || datasourceid || ',"' || time || '"' AS value
-FROM cells WHERE starts_with(time, '{DAY}') ORDER BY rowkey""",
+FROM keyed WHERE starts_with(time, '{DAY}') ORDER BY rowkey""",
         "ingest_limit": f"WITH {CELLS} SELECT * FROM cells ORDER BY ingest_seq LIMIT 100",
         "ingest_limit_blocks": f"WITH {CELLS} SELECT * FROM cells ORDER BY ingest_seq LIMIT 4500",
         "top_sensors": f"""WITH {SUMMARY}

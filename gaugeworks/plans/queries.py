@@ -82,9 +82,17 @@ def ingest_block() -> Column:
     return F.floor(F.col("ingest_seq") / 1000)
 
 
-def exported_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = readings(spark, sf_dir)
-    return keyed.export_day(keyed.to_cells(as_raw(rows.filter(on_day(rows, "time", DAY)))), DAY)
+def table(rows: DataFrame) -> DataFrame:
+    """Typed readings ingested into an empty keyed table."""
+    return keyed.reduce_batch(keyed.to_cells(as_raw(rows)), list(keyed.CELLS))
+
+
+def latest_for_sensor(rows: DataFrame) -> DataFrame:
+    return keyed.latest_for_sensor(table(rows.filter(F.col("sensor_id") == SENSOR)), SENSOR)
+
+
+def exported_day(rows: DataFrame) -> DataFrame:
+    return keyed.export_day(table(rows.filter(on_day(rows, "time", DAY))), DAY)
 
 
 MERGED_CELLS = ["pm25", "no2", "sensor_name", "datasourceid", "time"]
@@ -152,9 +160,9 @@ def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- registry ----------------------------------------------------------------------------------
 
 
-def families(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = keyed.by_family(cells(spark, sf_dir))
-    return rows.select("rowkey", *[F.col(f"{f}.{c}").alias(f"{f}_{c}") for f, names in keyed.FAMILIES.items() for c in names])
+def families(rows: DataFrame) -> DataFrame:
+    flat = [F.col(f"{family}.{cell}").alias(f"{family}_{cell}") for family, names in keyed.FAMILIES.items() for cell in names]
+    return keyed.by_family(table(rows)).select("rowkey", *flat)
 
 
 def report(averages: Callable[[DataFrame], DataFrame], key: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -207,14 +215,14 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "keyed_cells": cells,
         "keyed_upsert": keyed_upsert,
         "keyed_merge": keyed_merge,
-        "keyed_families": families,
+        "keyed_families": on_readings(families),
         "stored_table": stored_table,
         "table_count": lambda s, d: keyed.table_count(keyed_upsert(s, d)),
-        "prefix_scan": lambda s, d: keyed.prefix_scan(cells(s, d), f"{SENSOR}_"),
-        "latest_per_sensor": lambda s, d: keyed.latest_per_sensor(cells(s, d)),
-        "latest_for_sensor": lambda s, d: keyed.latest_for_sensor(cells(s, d), SENSOR),
-        "export_day": exported_day,
-        "export_day_lines": lambda s, d: keyed.export_lines(exported_day(s, d)),
+        "prefix_scan": on_readings(lambda r: keyed.prefix_scan(table(r), f"{SENSOR}_")),
+        "latest_per_sensor": on_readings(lambda r: keyed.latest_per_sensor(table(r))),
+        "latest_for_sensor": on_readings(latest_for_sensor),
+        "export_day": on_readings(exported_day),
+        "export_day_lines": on_readings(lambda r: keyed.export_lines(exported_day(r))),
         "ingest_limit": lambda s, d: keyed.first_accepted(cells(s, d), 100, ingest_block(), F.col("ingest_seq")),
         "ingest_limit_blocks": lambda s, d: keyed.first_accepted(
             cells(s, d), 4500, ingest_block(), F.col("ingest_seq"), max_top=0
