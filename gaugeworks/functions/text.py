@@ -21,6 +21,19 @@ def to_number(text: Column) -> Column:
     return text.try_cast("double")
 
 
+# Spellings of special numbers that a cast takes, and those that the text reports take.
+CAST_SPECIALS = "(?i)^[+-]?(inf|infinity|nan)$"
+REPORT_SPECIALS = "^[+-]?(Infinity|NaN)$"
+
+
+def to_report_number(text: Column) -> Column:
+    """Like ``to_number``, but special numbers count only in their exact spelling."""
+    value = to_number(text)
+    special = F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
+    loose = special & strip_blank(text).rlike(CAST_SPECIALS) & ~strip_blank(text).rlike(REPORT_SPECIALS)
+    return F.when(~F.coalesce(loose, F.lit(False)), value)
+
+
 # Balanced quotes with no comma inside them. Possessive, so the match is one pass without recursion.
 SIMPLE_QUOTES = '^(?:[^"]*+"[^",]*+")*+[^"]*+$'
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.functions.text import three_decimals, to_number
+from gaugeworks.functions.text import three_decimals, to_report_number
 from gaugeworks.sources.readings import MEASURES
 
 # Default exceedance thresholds.
@@ -28,7 +28,7 @@ def _is_text(df: DataFrame, name: str) -> bool:
 
 
 def _number(df: DataFrame, name: str) -> Column:
-    return to_number(F.col(name)) if _is_text(df, name) else F.col(name)
+    return to_report_number(F.col(name)) if _is_text(df, name) else F.col(name)
 
 
 def _present(df: DataFrame, name: str) -> Column:

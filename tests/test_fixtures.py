@@ -300,3 +300,12 @@ def test_report_renders_nan(spark):
     rows = raw(spark, [(1, "A", "2026-02-01T12:16:08.000", "NaN", ""), (2, "A", "2026-02-01T12:16:08.000", "1", "2.0005")])
     (line,) = agg.averages_report(agg.sensor_averages(rows), "sensor_id").collect()
     assert line.value == "A\tpm25_avg=NaN, pm25_count=2, no2_avg=2.001, no2_count=1"
+
+
+def test_special_numbers_in_reports(spark):
+    texts = ["inf", "-INF", "nan", "infinity", "Infinity", "-Infinity", "NaN", "1e999", " 7 ", "x"]
+    rows = raw(spark, [(i, f"{i}", "t", text, "") for i, text in enumerate(texts)])
+    counted = as_dict(agg.sensor_averages(rows), "sensor_id", "pm25_count")
+    assert [counted[str(i)][0] for i in range(len(texts))] == [0, 0, 0, 0, 1, 1, 1, 1, 1, 0]
+    above = as_dict(agg.sensor_exceedances(rows), "sensor_id", "pm25_exceedances")
+    assert above == {"4": (1,), "7": (1,)}
