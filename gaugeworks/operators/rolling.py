@@ -27,11 +27,11 @@ from gaugeworks.functions.time import epoch_seconds
 from gaugeworks.sources.readings import MEASURES
 
 DAY_SECONDS = 86_400
-# Sliding frames are used while no sensor has more readings than this.
+# Sliding frames are used for sensors with at most this many readings.
 SLIDING_ROWS = 1_000
 # A sensor with more readings than this within one span is reduced to seconds.
 SPAN_ROWS = 1_000_000
-# At most this many such sensors are told apart; with more, all sensors are reduced.
+# At most this many sensors are told apart by name; with more, all are treated like them.
 BUSY_SENSORS = 1_000
 # A second is joined back in parts if it holds more than this share of all readings (and more than a
 # span's worth); fewer than 1 / share seconds can, which bounds the list of them.
@@ -50,28 +50,51 @@ def trailing_averages(
     """All columns of ``readings`` plus the trailing average of each measure, one row per reading.
 
     Readings without a time share one frame per sensor. Counts the readings per sensor first: one
-    narrow scan, reduced map-side, of which only the largest count and their sum reach the driver.
+    narrow scan, reduced map-side, of which only the largest ``busy_sensors + 1`` counts reach the driver.
     """
     names = names or tuple(f"rolling_{m}" for m in measures)
     counts = readings.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n"))
-    largest, rows = counts.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if largest <= sliding_rows:
+    top = counts.orderBy(F.desc("n")).limit(busy_sensors + 1).collect()
+    large = [row["sensor_id"] for row in top if row["n"] > sliding_rows]
+    if not large:
         return _sliding(readings, measures, seconds, names)
-    if largest <= span_rows:
-        return _by_span(readings, measures, seconds, names)
-    hot_rows = max(span_rows, int(rows * HOT_SHARE), 1)
-    busy = _busy_sensors(readings, seconds, span_rows, busy_sensors + 1)
+    bounded = top[0]["n"] <= span_rows
+    if len(large) == len(top):  # all sensors, or more of them than are told apart
+        return _large(readings, measures, seconds, names, span_rows, busy_sensors, bounded)
+    is_large = _among(large)
+    return _sliding(readings.filter(~is_large), measures, seconds, names).unionByName(
+        _large(readings.filter(is_large), measures, seconds, names, span_rows, busy_sensors, bounded)
+    )
+
+
+def _large(
+    readings: DataFrame,
+    measures: tuple[str, ...],
+    seconds: int,
+    names: tuple[str, ...],
+    span_rows: int,
+    busy_sensors: int,
+    bounded: bool,
+) -> DataFrame:
+    """Spans, except for sensors with too many readings in one; ``bounded`` if none can have."""
+    busy = [] if bounded else _busy_sensors(readings, seconds, span_rows, busy_sensors + 1)
     if not busy:
         return _by_span(readings, measures, seconds, names)
+    hot_rows = max(span_rows, int(readings.count() * HOT_SHARE), 1)
     if len(busy) > busy_sensors:
         return _by_second(readings, measures, seconds, names, hot_rows)
-    sensor = F.col("sensor_id")
-    is_busy = F.when(sensor.isNull(), None in busy).otherwise(sensor.isin([s for s in busy if s is not None]))
+    is_busy = _among(busy)
     return _by_span(readings.filter(~is_busy), measures, seconds, names).unionByName(
         _by_second(readings.filter(is_busy), measures, seconds, names, hot_rows)
     )
 
 
+def _among(sensors: list[str | None]) -> Column:
+    """Whether the sensor is in a list that may hold null."""
+    sensor = F.col("sensor_id")
+    return F.when(sensor.isNull(), None in sensors).otherwise(sensor.isin([s for s in sensors if s is not None]))
+
+
 def rolling_24h(readings: DataFrame, **sizes: int) -> DataFrame:
     """``sensor_id, time`` and the trailing 24-hour average of both measures."""
     narrow = readings.select("sensor_id", "time", *MEASURES)

@@ -11,6 +11,8 @@ from gaugeworks.plans.queries import readings
 
 SF_DIR = "/root/testdata/sf0.01"
 WAYS = {
+    "large apart": {"sliding_rows": 60},
+    "large and busy apart": {"sliding_rows": 60, "span_rows": 20},
     "spans": {"sliding_rows": 0},
     "busy apart": {"sliding_rows": 0, "span_rows": 20},
     "seconds": {"sliding_rows": 0, "span_rows": 0, "busy_sensors": 0},
@@ -80,10 +82,14 @@ def test_no_readings(spark):
     assert rolling_24h(skewed(spark).filter("false")).count() == 0
 
 
-def test_one_shuffle_unless_busy(spark):
-    for sizes in ({}, {"sliding_rows": 0}):
-        plan = rolling_24h(skewed(spark), **sizes)._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning") == 1
+def test_each_reading_is_shuffled_once_unless_busy(spark):
+    for rows, sizes, shuffles in (
+        (readings(spark, SF_DIR), {}, 1),
+        (readings(spark, SF_DIR), {"sliding_rows": 0}, 1),
+        (skewed(spark), {}, 2),  # the large sensor in one, the others in the other
+    ):
+        plan = rolling_24h(rows, **sizes)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == shuffles
         assert "Python" not in plan
 
 
