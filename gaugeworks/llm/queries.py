@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import decontaminate, quality_rules, secrets
+from gaugeworks.llm import decontaminate, quality_rules, secrets, token_files
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_secrets": secrets.op7_secrets,
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_quality_rules": quality_rules.op9_quality_rules,
+        "op10_token_files": token_files.op10_token_files,
     }
 
 
