@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import decontaminate, quality_rules, secrets, token_files
+from gaugeworks.llm import decontaminate, licenses, packing, quality_rules, secrets, token_files
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_licenses": licenses.op2_licenses,
+        "op4_pack": packing.op4_pack,
         "op7_secrets": secrets.op7_secrets,
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_quality_rules": quality_rules.op9_quality_rules,
