@@ -14,7 +14,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -39,8 +41,28 @@ def spaced(text: bytes) -> bytes:
     return text.translate(_LOWER_WORDS)
 
 
-def code_points(text: bytes) -> int:
-    return len(text.decode("utf-8", "replace"))
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the `alnum_words` of all texts, one after the other, and where each text begins (one more entry)."""
+    sizes = np.array([len(t) if t else 0 for t in texts], np.int64) + 1
+    data = np.frombuffer((b" ".join([t or b"" for t in texts]) + b" ").translate(_LOWER_WORDS), np.uint8)
+    solid = data != 0x20
+    edges = np.flatnonzero(np.diff(solid.view(np.int8), prepend=0))
+    starts, ends = edges[::2], edges[1::2]
+    at = np.concatenate([[0], np.cumsum(ends - starts)])
+    if at[-1] >= 2**31 - 1:
+        raise ValueError("a batch of over 2 GB of text")
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data[solid])])
+    coded = words.dictionary_encode()
+    distinct = np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    hashes = distinct[coded.indices.to_numpy(zero_copy_only=False)] if len(starts) else np.zeros(0, np.uint64)
+    return hashes, np.concatenate([[0], np.searchsorted(starts, np.cumsum(sizes))])
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers whose bits all depend on all bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 def free_name(df: DataFrame, name: str) -> str:

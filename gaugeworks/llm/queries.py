@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import decontaminate, language, licenses, packing, quality_rules, secrets, token_files
+from gaugeworks.llm import decontaminate, language, licenses, near_dedup, packing, quality_rules, secrets, token_files
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_licenses": licenses.op2_licenses,
+        "op3_near_dedup": near_dedup.op3_near_dedup,
         "op4_pack": packing.op4_pack,
         "op5_language": language.op5_language,
         "op7_secrets": secrets.op7_secrets,
