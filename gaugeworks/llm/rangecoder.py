@@ -33,6 +33,8 @@ BLOCK = 1024
 TOGETHER = 8192
 SLOTS1, SLOTS2 = 256, 512
 STEP, HALVE = 24, 64
+#: With at most so many classes an id takes 31 bits of the range at most, which it has; else the range settles in between.
+NARROW = 17
 MAX_RUN = 7
 U64 = np.uint64
 _LOW32 = U64(0xFFFFFFFF)
@@ -188,7 +190,8 @@ def encode_blocks(ids: np.ndarray, classes: int, block: int = BLOCK) -> list[byt
         part = size[:n] >> _16
         low[:n] += start * part
         size[:n] = part * width
-        coder.settle(n, shift)
+        if classes > NARROW:
+            coder.settle(n, shift)
         bits = np.where(hit2 | hit1, 0, offset_bits(kinds))
         part = size[:n] >> bits.astype(U64)
         low[:n] += part * (now & ((np.int64(1) << bits) - 1)).astype(U64)
@@ -244,7 +247,8 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], classes: int) -> list
         width = np.where(hit2, share2, np.where(hit1, share1, width)).astype(U64)
         low[:n] += start * part
         size[:n] = part * width
-        coder.settle(n, shift)
+        if classes > NARROW:
+            coder.settle(n, shift)
         bits = np.where(hit2 | hit1, 0, offset_bits(kinds))
         part = size[:n] >> bits.astype(U64)
         top = np.int64(1) << bits

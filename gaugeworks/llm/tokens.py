@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +50,10 @@ class WordEncoder:
             part = words[at : at + 50_000]
             encoded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
             ids = [e.ids for e in encoded]
-            flat = np.array([i for x in ids for i in x], "<u4").tobytes()
-            ends = np.cumsum([len(x) for x in ids]) * 4
-            out.update(zip(part, (flat[a:b] for a, b in zip([0, *ends[:-1]], ends))))
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) * 4
+            flat = np.fromiter(chain.from_iterable(ids), "<u4", int(ends[-1]) // 4).tobytes()
+            ends = ends.tolist()
+            out.update(zip(part, map(flat.__getitem__, map(slice, [0, *ends], ends))))
         return out
 
     def _lookup(self, words: list[bytes]) -> list[bytes]:
@@ -79,21 +81,25 @@ class WordEncoder:
             gaps = np.flatnonzero(_LETTER[data[:-1]] & _POINT[data[1:]]) + 1
         else:
             data, gaps = np.frombuffer(body, np.uint8), np.zeros(0, np.int64)
-        solid = ~_SPACE[data]
-        first = solid.copy()
-        first[1:] &= ~solid[:-1]
-        first[gaps] = True
-        starts = np.flatnonzero(first)
-        packed = data[solid]
-        before = np.cumsum(solid, dtype=np.int64)
-        word_at = np.concatenate([before[starts] - 1, [len(packed)]])
+        space = _SPACE[data]
+        cut = np.ones(len(data) + 1, bool)  # a word begins, or has ended, here
+        cut[1:-1] = space[1:] != space[:-1]
+        cut[0] = not space[0]
+        cut[-1] = False  # the last byte is a space
+        cut[gaps] = False  # both: put in twice below
+        edges = np.flatnonzero(cut)
+        if len(gaps):
+            edges = np.sort(np.concatenate([edges, gaps, gaps]))
+        starts, ends = edges[::2], edges[1::2]
+        packed = data[~space]
+        word_at = np.concatenate([[0], np.cumsum(ends - starts)])
         if word_at[-1] >= 2**31 - 1:
             raise ValueError("a batch of over 2 GB of text")
         words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(word_at.astype(np.int32)), pa.py_buffer(packed)])
         coded = words.dictionary_encode()
         ids = self._lookup(coded.dictionary.to_pylist())
         flat = np.frombuffer(b"".join(ids), "<u4")
-        lengths = np.array([len(x) // 4 for x in ids], np.int64)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         origins = np.concatenate([[0], np.cumsum(lengths)])
         which = coded.indices.to_numpy(zero_copy_only=False)
         text_ends = np.cumsum(sizes)
@@ -106,7 +112,7 @@ class WordEncoder:
             words_to = words_to + np.arange(1, len(texts) + 1)
         ends = np.cumsum(counts)
         source = np.repeat(origins[which] - (ends - counts), counts)
-        source += np.arange(len(source))
+        source += np.arange(len(source))  # the place in flat of every id
         out = flat[source]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], words_to])]
         return out, bounds
