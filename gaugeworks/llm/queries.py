@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import decontaminate, language, licenses, near_dedup, packing, quality_rules, secrets, token_files
+from gaugeworks.llm import decontaminate, language, licenses, near_dedup, packing, quality_model, quality_rules, secrets, token_files
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_near_dedup": near_dedup.op3_near_dedup,
         "op4_pack": packing.op4_pack,
         "op5_language": language.op5_language,
+        "op6_quality_model": quality_model.op6_quality_model,
         "op7_secrets": secrets.op7_secrets,
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_quality_rules": quality_rules.op9_quality_rules,
