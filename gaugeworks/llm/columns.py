@@ -41,10 +41,11 @@ def spaced(text: bytes) -> bytes:
     return text.translate(_LOWER_WORDS)
 
 
-def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the `alnum_words` of all texts, one after the other, and where each text begins (one more entry)."""
+def word_codes(texts: list[bytes | None], table: bytes = _LOWER_WORDS) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Words of all texts, one after the other, as places in a list of distinct words; that list; and where each text begins (one
+    more entry). ``table`` maps bytes, and those that separate words to a space."""
     sizes = np.array([len(t) if t else 0 for t in texts], np.int64) + 1
-    data = np.frombuffer((b" ".join([t or b"" for t in texts]) + b" ").translate(_LOWER_WORDS), np.uint8)
+    data = np.frombuffer((b" ".join([t or b"" for t in texts]) + b" ").translate(table), np.uint8)
     solid = data != 0x20
     edges = np.flatnonzero(np.diff(solid.view(np.int8), prepend=0))
     starts, ends = edges[::2], edges[1::2]
@@ -53,9 +54,18 @@ def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         raise ValueError("a batch of over 2 GB of text")
     words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data[solid])])
     coded = words.dictionary_encode()
-    distinct = np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    hashes = distinct[coded.indices.to_numpy(zero_copy_only=False)] if len(starts) else np.zeros(0, np.uint64)
-    return hashes, np.concatenate([[0], np.searchsorted(starts, np.cumsum(sizes))])
+    codes = coded.indices.to_numpy(zero_copy_only=False) if len(starts) else np.zeros(0, np.int32)
+    return codes, coded.dictionary.to_pylist(), np.concatenate([[0], np.searchsorted(starts, np.cumsum(sizes))])
+
+
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the `alnum_words` of all texts, one after the other, and where each text begins (one more entry)."""
+    codes, distinct, at = word_codes(texts)
+    return hashed(distinct)[codes], at
+
+
+def hashed(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import decontaminate, language, licenses, near_dedup, packing, quality_model, quality_rules, secrets, token_files
+from gaugeworks.llm import decontaminate, language, licenses, near_dedup, packing, quality_model, quality_rules, secrets, suffix_tree, token_files
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_tree": suffix_tree.op1_suffix_tree,
         "op2_licenses": licenses.op2_licenses,
         "op3_near_dedup": near_dedup.op3_near_dedup,
         "op4_pack": packing.op4_pack,
