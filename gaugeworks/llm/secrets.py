@@ -188,15 +188,23 @@ def _spans(body: bytes | None) -> list[dict]:
     return [{"kind": k, "start": a, "end": b} for k, a, b in spans]
 
 
-def mask_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every span replaced by ``mark``; overlapping spans together. Null and clean texts stay as they are."""
+def mask_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]", length: str | None = None) -> DataFrame:
+    """``docs`` with every span replaced by ``mark``; overlapping spans together. Null and clean texts stay as they are.
+
+    ``length`` names a column that holds the text's characters; it follows the changed texts.
+    """
     name = free_name(docs, "masked")
 
     def work(texts: list) -> list:
         return [[None if t is None else masked(t.decode("utf-8", "replace"), mark) for t in texts]]
 
     with_text = append_columns(docs, [text], T.StructType([T.StructField(name, T.StringType())]), work)
-    return with_text.select(*[F.col(f"`{name}`").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    new, old = F.col(f"`{name}`"), F.col(f"`{text}`")
+    changed = {text: new}
+    if length is not None:
+        changed[length] = F.when(new == old, F.col(f"`{length}`")).otherwise(F.char_length(new)).cast(docs.schema[length].dataType)
+        changed[length] = F.when(old.isNull(), F.col(f"`{length}`")).otherwise(changed[length])
+    return with_text.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def masked(text: str, mark: str) -> str:
