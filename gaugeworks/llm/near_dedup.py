@@ -17,10 +17,11 @@ From signatures to classes, without all pairs of a group:
 3. Stars (twice, with different centres): in every bucket that holds several components, each node of another component than the
    centre's is a candidate of the centre; of a node's candidates, the one that agrees in most coordinates is verified on the
    whole texts. Verified links join components. This is linear in the bucket.
-4. The rest: in buckets that still hold several components, each node outside the bucket's largest component is compared, by
-   signature, with every node of other components. Both sides are dealt into chunks of about `CHUNK` nodes, and a group is one
-   chunk against one, whatever the bucket's size. Pairs that agree in `LEAST_AGREEMENT` of the coordinates (three standard
-   deviations below the threshold) are all verified, each once, in the first band that they share. No partner is dropped.
+4. The rest: in buckets that still hold several components, each node outside the bucket's largest component is compared with
+   every node of other components. Both sides are dealt into chunks of about `CHUNK` nodes, and a group is one chunk against
+   one, whatever the bucket's size. Pairs that agree in `LEAST_AGREEMENT` of the coordinates (three standard deviations below the
+   threshold) are verified on all their shingles inside the group, in the first band that they share, and only links leave it.
+   No partner is dropped.
 
 So every pair of nodes that shares a bucket is either inside one component, or verified, or too far apart by its signatures. A pair
 at the threshold shares a bucket with a probability of over 0.9999.
@@ -50,7 +51,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 LEAST_AGREEMENT = 0.69
-CHUNK = 1024
+CHUNK = 512
 ROUNDS = 2
 #: A table of ids and hashes with at most so many rows (about 30 MB) is broadcast.
 SMALL_ROWS = 500_000
@@ -178,6 +179,38 @@ def signed(texts: list[bytes | None]) -> list:
     ]
 
 
+SHINGLED = T.StructType([T.StructField("keys", T.BinaryType()), T.StructField("weights", T.BinaryType())])
+
+
+def shingles(texts: list[bytes | None]) -> list:
+    """Ordered hashes of each text's different shingles, and how often they occur, as bytes."""
+    owners, keys, weights = elements(*word_hashes(texts))
+    at = np.searchsorted(owners, np.arange(len(texts) + 1))
+    return [[part[a:b].astype(kind).tobytes() for a, b in zip(at, at[1:])] for part, kind in ((keys, "<u8"), (weights, "<u4"))]
+
+
+class ShingleIndex:
+    """Weighted Jaccard similarity of a text to many, by their `shingles`."""
+
+    def __init__(self, rows: list[tuple[bytes, bytes]]):
+        keys = [np.frombuffer(k, "<u8") for k, _ in rows]
+        weights = [np.frombuffer(w, "<u4").astype(np.int64) for _, w in rows]
+        self.totals = np.array([w.sum() for w in weights], np.int64)
+        owner = np.repeat(np.arange(len(rows)), [len(k) for k in keys])
+        every = np.concatenate(keys) if rows else np.zeros(0, np.uint64)
+        order = np.argsort(every, kind="stable")
+        self.keys, self.owner = every[order], owner[order]
+        self.weights = np.concatenate(weights)[order] if rows else np.zeros(0, np.int64)
+
+    def similarities(self, keys: bytes, weights: bytes) -> np.ndarray:
+        mine, weight = np.frombuffer(keys, "<u8"), np.frombuffer(weights, "<u4").astype(np.int64)
+        low, high = np.searchsorted(self.keys, mine, "left"), np.searchsorted(self.keys, mine, "right")
+        counts = high - low
+        at = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        both = np.bincount(self.owner[at], np.minimum(np.repeat(weight, counts), self.weights[at]), len(self.totals))
+        return both / np.maximum(self.totals + weight.sum() - both, 1)
+
+
 def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """``df``, a staged table, marked for broadcast if it has few rows."""
     return F.broadcast(df) if df.count() <= rows else df
@@ -256,8 +289,8 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
 PAIR = "a binary, b binary"
 
 
-def _far_pairs(several: DataFrame, signed_nodes: DataFrame, least: float) -> DataFrame:
-    """Pairs of different components that agree in a share ``least``, each once; see step 4 above."""
+def _far_links(several: DataFrame, nodes: DataFrame, least: float, threshold: float) -> DataFrame:
+    """Links between different components, see step 4 above. ``nodes`` has signature, bands, keys and weights of a node."""
     counts = several.groupBy("band", "bucket", "label").agg(F.count("*").alias("n"))
     sizes = counts.groupBy("band", "bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
     rows = several.select("band", "bucket", "node", "label").join(sizes, ["band", "bucket"])
@@ -271,7 +304,7 @@ def _far_pairs(several: DataFrame, signed_nodes: DataFrame, least: float) -> Dat
     other = rows.where(outside).select(
         "band", "bucket", F.explode(F.sequence(F.lit(0), lefts - 1)).alias("left"), F.pmod(F.xxhash64("node"), rights).cast("int").alias("right"), F.lit(1).alias("side"), outside.alias("outside"), "node", "label"
     )
-    dealt = one.unionByName(other).join(signed_nodes, "node").select(*key, "side", "outside", "node", "label", "signature", "bands")
+    dealt = one.unionByName(other).join(nodes, "node").select(*key, "side", "outside", "node", "label", "signature", "bands", "keys", "weights")
 
     def group(rows: list[dict]) -> list[tuple[bytes, bytes]]:
         band = rows[0]["band"]
@@ -280,13 +313,17 @@ def _far_pairs(several: DataFrame, signed_nodes: DataFrame, least: float) -> Dat
             [np.array([f(r) for r in side]) for side in sides]
             for f in (lambda r: np.frombuffer(r["signature"], "<u4"), lambda r: r["bands"], lambda r: r["label"].hex())
         )
+        index = ShingleIndex([(r["keys"], r["weights"]) for r in sides[1]])
         out = []
         for k, r in enumerate(sides[0]):
             far = np.flatnonzero(labels[1] != labels[0][k])
             far = far[(signatures[1][far] == signatures[0][k]).mean(axis=1) >= least]
             far = far[(bands[1][far, :band] != bands[0][k][:band]).all(axis=1)]
             # Two nodes outside meet twice, once on either side.
-            out += [(r["node"], sides[1][j]["node"]) for j in far if not r["outside"] or r["node"] < sides[1][j]["node"]]
+            far = [j for j in far if not r["outside"] or r["node"] < sides[1][j]["node"]]
+            if far:
+                near = index.similarities(r["keys"], r["weights"])
+                out += [(r["node"], sides[1][j]["node"]) for j in far if near[j] >= threshold]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,8 +369,9 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
         stars = _several(members, labels, salt).where(F.col("label") != F.col("centre.label")).select(F.col("centre.node").alias("a"), F.col("node").alias("b")).distinct()
         best = _agreeing(stars, signed_nodes, LEAST_AGREEMENT).groupBy("b").agg(F.max_by("a", F.struct("agreement", "a")).alias("a"))
         labels = _merge(labels, _verified(staged(best.select("a", "b")), texts, threshold))
-    rest = staged(_far_pairs(_several(members, labels, ROUNDS), signed_nodes, LEAST_AGREEMENT))
-    return keyed.select("id", "hash", "node"), _merge(labels, _verified(rest, texts, threshold))
+    shingled = append_columns(texts, ["body"], SHINGLED, shingles).drop("body")
+    rest = _far_links(_several(members, labels, ROUNDS), signed_nodes.join(shingled, "node"), LEAST_AGREEMENT, threshold)
+    return keyed.select("id", "hash", "node"), _merge(labels, staged(rest))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
