@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 # Every character up to and including the space counts as blank.
 BLANK_CHARS = "".join(map(chr, range(0x21)))
-# Stands for a separating comma while a line is split; a Unicode noncharacter, so not in data.
-FIELD_MARK = "\uffff"
 
 
 def strip_blank(text: Column) -> Column:
@@ -36,21 +34,21 @@ def to_report_number(text: Column) -> Column:
 
 # Balanced quotes with no comma inside them. Possessive, so the match is one pass without recursion.
 SIMPLE_QUOTES = '^(?:[^"]*+"[^",]*+")*+[^"]*+$'
+# A field: unquoted pieces and quoted ones, which may hold commas. Possessive as well.
+FIELD = r'(?:^|(?<=,))([^",]*+(?:"[^"]*+"[^",]*+)*+)'
 
 
 def split_line(line: Column) -> Column:
     """Split a comma separated line into fields.
 
     A quote toggles quoted state and vanishes; commas count only outside quotes. Where quotes hide no
-    comma they are simply removed. Otherwise the pieces between quotes alternate outside / inside,
-    and the separators are marked in the even pieces.
+    comma they are simply removed; otherwise the fields are matched one by one.
     """
-    marked = F.transform(
-        F.split(line, '"', -1),
-        lambda piece, i: F.when(i % 2 == 0, F.translate(piece, ",", FIELD_MARK)).otherwise(piece),
-    )
-    return F.when(line.rlike(SIMPLE_QUOTES), F.split(F.replace(line, F.lit('"'), F.lit("")), ",", -1)).otherwise(
-        F.split(F.array_join(marked, ""), FIELD_MARK, -1)
+    bare = F.replace(line, F.lit('"'), F.lit(""))
+    open_end = (F.length(line) - F.length(bare)) % 2 == 1
+    fields = F.regexp_extract_all(F.when(open_end, F.concat(line, F.lit('"'))).otherwise(line), F.lit(FIELD), F.lit(1))
+    return F.when(line.rlike(SIMPLE_QUOTES), F.split(bare, ",", -1)).otherwise(
+        F.transform(fields, lambda field: F.replace(field, F.lit('"'), F.lit("")))
     )
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 
 def to_time(text: Column) -> Column:
-    """Text to timestamp; what does not parse becomes null instead of raising under ANSI."""
-    return text.try_cast("timestamp")
+    """Text to zone-less timestamp; what does not parse becomes null instead of raising under ANSI."""
+    return text.try_cast("timestamp_ntz")
 
 
 def epoch_seconds(df: DataFrame, name: str) -> Column:
@@ -25,8 +25,13 @@ def epoch_seconds(df: DataFrame, name: str) -> Column:
 
 
 def iso_millis(time: Column) -> Column:
-    """Timestamp as ``yyyy-MM-ddTHH:mm:ss.SSS``."""
-    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    """Timestamp as ``yyyy-MM-ddTHH:mm:ss.SSS``.
+
+    Built from the timestamp's own text: formatting would read a zone-less one in the session's zone, where an hour may be
+    missing.
+    """
+    text = time.cast("string")
+    return F.concat(F.translate(F.substring(text, 1, 19), " ", "T"), F.lit("."), F.rpad(F.substring(text, 21, 3), 3, "0"))
 
 
 def on_day(df: DataFrame, name: str, day: str) -> Column:

@@ -108,13 +108,15 @@ def daily_measures(df: DataFrame) -> DataFrame:
 def hourly_averages(df: DataFrame) -> DataFrame:
     """Report averages per hour, keyed ``yyyy-MM-ddTHH``.
 
-    Text times shorter than that are dropped. Typed times are grouped as truncated timestamps and
-    labelled afterwards, once per group.
+    Text times shorter than that are dropped. Typed times are grouped by whole hours of their own clock,
+    whatever the session's zone, and labelled afterwards, once per group.
     """
     if _is_text(df, "time"):
         return report_averages(df.filter(F.length("time") >= 13), F.substring("time", 1, 13), "hour")
-    hours = report_averages(df.filter(F.col("time").isNotNull()), F.date_trunc("HOUR", "time"), "hour")
-    return hours.withColumn("hour", F.date_format("hour", "yyyy-MM-dd'T'HH"))
+    hour = F.struct(F.to_date("time").alias("date"), F.hour("time").alias("hour"))
+    hours = report_averages(df.filter(F.col("time").isNotNull()), hour, "hour")
+    label = F.concat(F.col("hour.date").cast("string"), F.lit("T"), F.lpad(F.col("hour.hour").cast("string"), 2, "0"))
+    return hours.withColumn("hour", label)
 
 
 def averages_report(averages: DataFrame, key: str, measures: tuple[str, ...] = MEASURES) -> DataFrame:

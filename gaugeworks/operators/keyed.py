@@ -1,12 +1,15 @@
 """Keyed table: one row per ``rowkey``, cells overwritten one by one.
 
 A cell is a column; null means absent. Ingesting a key again replaces the cells that come with a
-value and leaves the others. The stored form is Parquet, partitioned by day and range-sorted by
-row key inside a day, so day and key-prefix predicates skip partitions and row groups.
+value and leaves the others. The stored form is Parquet, partitioned by the day that the row key shows and range-sorted
+by row key inside a day, so day and key-prefix predicates skip partitions and row groups. As the day follows from the key,
+a key can only be in one partition, and a merge that reads the partitions of its keys' days finds every one of them.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,14 +23,9 @@ FAMILIES = {
     "meta": ("sensor_name", "datasourceid", "time"),
 }
 CELLS = tuple(cell for cells in FAMILIES.values() for cell in cells)
-EXPORT_COLUMNS = ("rowkey", *CELLS[:7], "sensor_name", "datasourceid", "time")
+EXPORT_COLUMNS = ("rowkey", "pm25", "no2", "humidity", "temp", "lat", "lon", "location", "sensor_name", "datasourceid", "time")
 QUOTED_COLUMNS = ("location", "sensor_name", "time")
 
-# Up to this many rows an ordered limit is a plain top-n.
-MAX_TOP_ROWS = 100_000
-# Up to this many days a merge names the days it rewrites; beyond, it rewrites the whole table.
-MAX_TOUCHED_DAYS = 10_000
-
 
 # --- ingest ------------------------------------------------------------------------------------
 
@@ -48,15 +46,12 @@ def to_cells(raw: DataFrame) -> DataFrame:
     return accepted.select("ingest_seq", row_key(F.col("sensor_id"), F.col("time")).alias("rowkey"), *map(cell, CELLS))
 
 
-def first_accepted(batch: DataFrame, n: int, block: Column, order: Column, max_top: int = MAX_TOP_ROWS) -> DataFrame:
+def first_accepted(batch: DataFrame, n: int, block: Column, order: Column) -> DataFrame:
     """The first ``n`` rows in ingest order.
 
-    A small ``n`` is a top-n. A larger one must not pass through one task: rows are counted per
-    ``block`` (an ordered, coarse part of ``order`` of bounded size, such as a file block), every
-    block before the one holding row ``n`` is kept whole, and only that one block is ranked.
+    No task gets ``n`` rows: rows are counted per ``block`` (an ordered, coarse part of ``order`` of bounded size, see
+    `scan_block`), every block before the one holding row ``n`` is kept whole, and only that one block is ranked.
     """
-    if n <= max_top:
-        return batch.orderBy(order).limit(n)
     upto = W.orderBy("block").rowsBetween(W.unboundedPreceding, W.currentRow)  # one row per block
     counts = batch.groupBy(block.alias("block")).agg(F.count(F.lit(1)).alias("rows"))
     running = counts.withColumn("upto", F.sum("rows").over(upto))
@@ -70,7 +65,8 @@ def first_accepted(batch: DataFrame, n: int, block: Column, order: Column, max_t
 def reduce_batch(batch: DataFrame, cells: list[str], key: str = "rowkey", seq: str = "ingest_seq") -> DataFrame:
     """One row per key: each cell takes its last present value in ingest order.
 
-    Reduced map-side, so a key that holds much of the batch stays cheap.
+    Reduced map-side, so a key that holds much of the batch stays cheap. Text in the buffers rules out hash
+    aggregation: each scan task sorts its rows by key first.
     """
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in cells]
     return batch.groupBy(key).agg(*last)
@@ -88,6 +84,18 @@ def upsert(stored: DataFrame, batch: DataFrame, cells: list[str], key: str = "ro
 # --- stored table ------------------------------------------------------------------------------
 
 DAY = "day"
+# The partition of keys that show no day, or several.
+OTHER_DAY = "other"
+DATE = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+
+
+def key_day(rowkey: Column) -> Column:
+    """The day that a key shows after an underscore, if it shows exactly one.
+
+    A time that begins with a day puts it there, so a row whose time begins with day D is in partition D or in the other one.
+    """
+    shown = F.regexp_extract_all(rowkey, F.lit(f"_({DATE})"), F.lit(1))
+    return F.when(F.size(shown) == 1, shown[0]).otherwise(F.lit(OTHER_DAY))
 
 
 def _table_schema() -> str:
@@ -101,35 +109,25 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def write_table(table: DataFrame, path: str) -> None:
     """Write a new table: a busy day is split over tasks by key range, a quiet one is one file."""
-    with_day = table.select("rowkey", *CELLS, F.substring("time", 1, 10).alias(DAY))
-    _write_days(with_day.repartitionByRange(DAY, "rowkey"), path, "error")
+    _write_days(table, path, "error")
 
 
-def _write_days(rows: DataFrame, path: str, mode: str) -> None:
-    writer = rows.sortWithinPartitions(DAY, "rowkey").write.mode(mode).partitionBy(DAY)
+def _write_days(table: DataFrame, path: str, mode: str) -> None:
+    rows = table.select("rowkey", *CELLS, key_day(F.col("rowkey")).alias(DAY))
+    writer = rows.repartitionByRange(DAY, "rowkey").sortWithinPartitions(DAY, "rowkey").write.mode(mode).partitionBy(DAY)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def merge_into_table(spark: SparkSession, path: str, batch: DataFrame, staging: str) -> None:
-    """Upsert a batch of cells into the stored table, rewriting only the days it touches.
+def merge_into_table(spark: SparkSession, path: str, batch: DataFrame) -> None:
+    """Upsert a batch of cells, reduced to one row per key and staged, into the stored table.
 
-    The merged days are first written whole to ``staging`` (a fresh folder on the same storage) and
-    then replace those days of the table. If the second step is interrupted, ``apply_staged``
-    repeats it.
+    Reads the partitions of the batch's days, joins, and writes once; Spark's commit replaces those partitions, whose
+    list it keeps in the driver anyway, and leaves the others. Merging the same batch again changes nothing, which also repairs
+    an interrupted commit. One writer at a time.
     """
-    reduced = reduce_batch(batch, list(CELLS))
-    day = F.substring("time", 1, 10)
-    touched = [r[0] for r in batch.select(day).distinct().limit(MAX_TOUCHED_DAYS + 1).collect()]
-    stored = read_table(spark, path)
-    if len(touched) <= MAX_TOUCHED_DAYS:
-        stored = stored.filter(F.col(DAY).isin(touched))
-    write_table(upsert(stored, reduced, list(CELLS)), staging)
-    apply_staged(spark, staging, path)
-
-
-def apply_staged(spark: SparkSession, staging: str, path: str) -> None:
-    """Replace the staged days in the table; safe to repeat."""
-    _write_days(read_table(spark, staging), path, "overwrite")
+    days = [r[0] for r in batch.select(key_day(F.col("rowkey"))).distinct().collect()]
+    stored = read_table(spark, path).filter(F.col(DAY).isin(days)).drop(DAY)
+    _write_days(upsert(stored, batch, list(CELLS)), path, "overwrite")
 
 
 # --- queries -----------------------------------------------------------------------------------
@@ -159,8 +157,8 @@ def latest_for_sensor(table: DataFrame, sensor_id: str, sensor: str = "datasourc
 def export_day(table: DataFrame, day: str) -> DataFrame:
     """Rows whose time starts with ``day``, in key order."""
     rows = table.filter(F.col("time").startswith(day))
-    if DAY in table.columns:
-        rows = rows.filter(F.col(DAY).startswith(day[:10]))
+    if DAY in table.columns and re.match(DATE, day):
+        rows = rows.filter(F.col(DAY).isin(day[:10], OTHER_DAY))
     return rows.select(*EXPORT_COLUMNS).orderBy("rowkey")
 
 

@@ -50,6 +50,11 @@ def anomaly_points(anomalies: DataFrame) -> DataFrame:
     return anomalies.filter(F.col("time").isNotNull()).select("sensor_id", "time", "pm25")
 
 
+def served_anomaly_points(anomalies: DataFrame) -> DataFrame:
+    """Time and pm25 of every anomaly, a missing pm25 as 0."""
+    return anomalies.select("sensor_id", "time", F.coalesce("pm25", F.lit(0.0)).alias("pm25"))
+
+
 def sensor_list(rows: DataFrame, n: int = SENSORS_SHOWN) -> DataFrame:
     """First sensors, each once, in id order."""
     return rows.select("sensor_id").distinct().orderBy("sensor_id").limit(n)
@@ -60,6 +65,12 @@ def rolling_value(df: DataFrame) -> Column:
     return F.col(next(c for c in ROLLING_COLUMNS if c in df.columns))
 
 
+def served_rolling_value(df: DataFrame) -> Column:
+    """The first rolling pm25 value that a row has, else 0."""
+    present = [F.col(c) for c in ROLLING_COLUMNS[:2] if c in df.columns]
+    return F.coalesce(*present, F.lit(0.0))
+
+
 def sensor_series(readings: DataFrame, sensor_id: str, n: int = SERIES_ROWS) -> DataFrame:
     """First rows of one sensor's rolling averages in time order; only that sensor is computed."""
     rolled = rolling_24h(readings.filter(F.col("sensor_id") == sensor_id))

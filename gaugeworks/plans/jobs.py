@@ -18,15 +18,16 @@ from gaugeworks.operators import aggregates as agg
 from gaugeworks.operators import keyed
 from gaugeworks.operators.anomalies import anomalies
 from gaugeworks.operators.rolling import rolling_24h
-from gaugeworks.session import fresh_folder, get_session
+from gaugeworks.session import fresh_folder, get_session, remove_folder
 from gaugeworks.sources.readings import scan_block, scan_by_header, scan_positional
 from gaugeworks.sources.results import write_csv, write_export, write_report
 
-def staged(spark: SparkSession, df: DataFrame, near: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read back."""
+
+def staged(spark: SparkSession, df: DataFrame, near: str) -> tuple[DataFrame, str]:
+    """``df`` written once as Parquet to the shared folder and read back, and that folder, for removal in the end."""
     path = fresh_folder(spark, near)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 # --- text reports ------------------------------------------------------------------------------
@@ -61,21 +62,22 @@ def exceedances_job(
 
 def summary_job(spark: SparkSession, source: str, out: str, single_file: bool = False, show: bool = False) -> None:
     """Per-sensor summary, daily averages and anomalies under ``out``; ``show`` prints 20 rows of each."""
-    readings = staged(spark, scan_by_header(spark, source), out)
+    readings, folder = staged(spark, scan_by_header(spark, source), out)
     results = {
-        "per_sensor": agg.per_sensor_summary(readings),
-        "daily": agg.daily_averages(readings),
-        "anomalies": anomalies(readings),
+        "per_sensor": (agg.per_sensor_summary(readings), (F.desc_nulls_last("pm25_avg"), "sensor_id")),
+        "daily": (agg.daily_averages(readings), ("date",)),
+        "anomalies": (anomalies(readings), ()),
     }
-    for name, result in results.items():
-        write_csv(result, f"{out}/{name}", single_file)
+    for name, (result, order) in results.items():
+        write_csv(result, f"{out}/{name}", single_file, order)
         if show:
             result.show(20, truncate=False)
+    remove_folder(spark, folder)
 
 
 def rolling_job(spark: SparkSession, source: str, out: str, single_file: bool = False) -> None:
     """Trailing 24-hour averages of every reading."""
-    write_csv(rolling_24h(staged(spark, scan_by_header(spark, source), out)), out, single_file)
+    write_csv(rolling_24h(scan_by_header(spark, source)), out, single_file)
 
 
 # --- keyed table -------------------------------------------------------------------------------
@@ -92,18 +94,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def ingest_job(spark: SparkSession, source: str, table: str, limit: int | None = None) -> None:
-    """Upsert a raw file, or its first ``limit`` accepted rows, into the keyed table."""
+    """Upsert a raw file or folder, or its first ``limit`` accepted rows, into the keyed table."""
     batch = keyed.to_cells(scan_positional(spark, source))
+    folders = []
     if limit is not None:
-        if limit > keyed.MAX_TOP_ROWS:
-            # counted and cut in separate scans, so the row numbers must be fixed first
-            batch = staged(spark, batch, table)
+        # counted and cut in separate scans, so the line numbers must be fixed first
+        batch, folder = staged(spark, batch, table)
+        folders.append(folder)
         seq = F.col("ingest_seq")
-        batch = keyed.first_accepted(batch, limit, scan_block(seq), seq, keyed.MAX_TOP_ROWS)
+        batch = keyed.first_accepted(batch, limit, scan_block(seq), seq)
+    reduced = keyed.reduce_batch(batch, list(keyed.CELLS))
     if table_exists(spark, table):
-        keyed.merge_into_table(spark, table, batch, fresh_folder(spark, table))
+        reduced, folder = staged(spark, reduced, table)
+        folders.append(folder)
+        keyed.merge_into_table(spark, table, reduced)
     else:
-        keyed.write_table(keyed.reduce_batch(batch, list(keyed.CELLS)), table)
+        keyed.write_table(reduced, table)
+    for folder in folders:
+        remove_folder(spark, folder)
 
 
 def count_job(spark: SparkSession, table: str) -> None:

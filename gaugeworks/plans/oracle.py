@@ -15,15 +15,17 @@ readings AS (
 RAW = READINGS + """,
 raw AS (
   SELECT ingest_seq, sensor_id, strftime(time, '%Y-%m-%dT%H:%M:%S.%g') AS time,
-         CAST(pm25 AS VARCHAR) AS pm25, CAST(no2 AS VARCHAR) AS no2, sensor_name
+         CAST(pm25 AS VARCHAR) AS pm25, CAST(no2 AS VARCHAR) AS no2, sensor_name,
+         CASE WHEN ingest_seq % 7 <> 0 THEN CAST(ingest_seq % 100 AS VARCHAR) END AS humidity,
+         CASE WHEN ingest_seq % 5 <> 0 THEN (ingest_seq % 40) || '.5' END AS temp,
+         printf('41.%03d', ingest_seq % 1000) AS lat, printf('-87.%03d', ingest_seq % 1000) AS lon,
+         printf('POINT (-87.%03d 41.%03d)', ingest_seq % 1000, ingest_seq % 1000) AS location
   FROM readings)"""
 
 CELLS = RAW + """,
 cells AS (
   SELECT ingest_seq, replace(sensor_id || '_' || time, ':', '_') AS rowkey, pm25, no2,
-         CAST(NULL AS VARCHAR) AS humidity, CAST(NULL AS VARCHAR) AS temp,
-         CAST(NULL AS VARCHAR) AS lat, CAST(NULL AS VARCHAR) AS lon, CAST(NULL AS VARCHAR) AS location,
-         nullif(sensor_name, '') AS sensor_name, sensor_id AS datasourceid, time
+         humidity, temp, lat, lon, location, nullif(sensor_name, '') AS sensor_name, sensor_id AS datasourceid, time
   FROM raw)"""
 
 ALL_CELLS = ("pm25", "no2", "humidity", "temp", "lat", "lon", "location", "sensor_name", "datasourceid", "time")
@@ -41,9 +43,36 @@ EXPORT = "rowkey, pm25, no2, humidity, temp, lat, lon, location, sensor_name, da
 DAILY_CELLS = RAW + """,
 daily_cells AS (
   SELECT ingest_seq, sensor_id || '_' || left(time, 10) AS rowkey, pm25, no2, sensor_name,
-         sensor_id AS datasourceid, left(time, 10) AS time
+         sensor_id AS datasourceid, left(time, 10) AS time, humidity, temp, lat, lon, location
   FROM raw)"""
 
+FURTHER = ("humidity", "temp", "lat", "lon", "location")
+# The row key without a day in one place: readings without no2 have it in the id, the others in the time.
+CONFLICTS = RAW + """,
+conflicts AS (
+  SELECT ingest_seq, sensor_id || '_' || left(time, 10) || '_' || time[12:13] AS rowkey, pm25, no2, sensor_name,
+         CASE WHEN no2 IS NULL THEN sensor_id || '_' || left(time, 10) ELSE sensor_id END AS datasourceid,
+         CASE WHEN no2 IS NULL THEN time[12:13] ELSE left(time, 10) || '_' || time[12:13] END AS time,
+         left(time, 10) AS day, humidity, temp, lat, lon, location
+  FROM raw)"""
+
+DIRTY = RAW + """,
+dirty AS (
+  SELECT ingest_seq,
+         CASE WHEN ingest_seq % 20 = 6 THEN '' ELSE sensor_id END AS sensor_id,
+         CASE ingest_seq % 20 WHEN 5 THEN 'not a time at all' WHEN 7 THEN '' WHEN 9 THEN left(time, 4) || 'x' ELSE time END AS time,
+         CASE ingest_seq % 20 WHEN 4 THEN 'abc' WHEN 10 THEN '' ELSE coalesce(pm25, '') END AS pm25,
+         CASE ingest_seq % 20 WHEN 4 THEN '1,5' WHEN 10 THEN '' ELSE coalesce(no2, '') END AS no2,
+         replace(CASE WHEN ingest_seq % 20 = 8 THEN 'a, b, ' ELSE '' END || sensor_name, '"', chr(39)) AS sensor_name,
+         coalesce(humidity, '') AS humidity, coalesce(temp, '') AS temp, lat, lon, location
+  FROM raw WHERE ingest_seq % 20 NOT IN (0, 3))"""
+
+DIRTY_READINGS = DIRTY.replace("readings AS (", "all_readings AS (").replace("FROM readings)", "FROM all_readings)") + """,
+readings AS (
+  SELECT ingest_seq, sensor_id, time, TRY_CAST(pm25 AS DOUBLE) AS pm25, TRY_CAST(no2 AS DOUBLE) AS no2,
+         pm25 AS pm25_text, no2 AS no2_text
+  FROM dirty)"""
+
 STATS = READINGS + """,
 stats AS (
   SELECT coalesce(avg(pm25), 0) AS pm25_mean, coalesce(stddev_samp(pm25), 0) AS pm25_std,
@@ -109,6 +138,19 @@ SELECT CAST({name} AS VARCHAR) || chr(9) ||
 FROM averages"""
 
 
+def dirty_report(key: str, name: str, condition: str) -> str:
+    return f"""WITH {DIRTY_READINGS},
+averages AS (
+  SELECT {key} AS {name},
+         coalesce(avg(pm25), 0) AS pm25_avg, count(pm25) AS pm25_count,
+         coalesce(avg(no2), 0) AS no2_avg, count(no2) AS no2_count
+  FROM readings WHERE (pm25_text <> '' OR no2_text <> '') AND {condition} GROUP BY 1)
+SELECT {name} || chr(9) ||
+       'pm25_avg=' || {decimal_places('pm25_avg', 3)} || ', pm25_count=' || pm25_count ||
+       ', no2_avg=' || {decimal_places('no2_avg', 3)} || ', no2_count=' || no2_count AS value
+FROM averages"""
+
+
 def exceedances(pm25: float, no2: float) -> str:
     return f"""{READINGS},
 exceedances AS (
@@ -130,6 +172,10 @@ def all_oracles() -> dict[str, str]:
         f"coalesce({last_value(c, 'no2 IS NOT NULL')}, {last_value(c, 'no2 IS NULL')}) AS {c}"
         for c in ("pm25", "no2", "sensor_name", "datasourceid", "time")
     )
+    merged_all = ", ".join(
+        f"coalesce({last_value(c, 'no2 IS NOT NULL')}, {last_value(c, 'no2 IS NULL')}) AS {c}" for c in ALL_CELLS
+    )
+    numbers = ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in ("pm25", "no2", "humidity", "temp", "lat", "lon")) + ", location"
     upserted = ", ".join(f"{last_value(c)} AS {c}" for c in ("pm25", "no2", "sensor_name", "datasourceid", "time"))
     return {
         "readings_scan": f"WITH {READINGS} SELECT * FROM readings",
@@ -178,10 +224,34 @@ SELECT rowkey, pm25 AS m_pm25, no2 AS m_no2, humidity AS m_humidity, temp AS m_t
        location AS g_location, sensor_name AS meta_sensor_name, datasourceid AS meta_datasourceid, time AS meta_time
 FROM keyed""",
         "stored_table": f"""WITH {DAILY_CELLS},
-merged AS (SELECT rowkey, {merged} FROM daily_cells GROUP BY rowkey)
-SELECT *, CAST(NULL AS VARCHAR) AS humidity, CAST(NULL AS VARCHAR) AS temp, CAST(NULL AS VARCHAR) AS lat,
-       CAST(NULL AS VARCHAR) AS lon, CAST(NULL AS VARCHAR) AS location, left(time, 10) AS day
-FROM merged""",
+merged AS (SELECT rowkey, {merged_all} FROM daily_cells GROUP BY rowkey)
+SELECT *, left(time, 10) AS day FROM merged""",
+        "stored_conflicts": f"WITH {CONFLICTS} SELECT rowkey, any_value(day) AS day, {merged_all} FROM conflicts GROUP BY rowkey",
+        "stored_conflicts_count": f"WITH {CONFLICTS} SELECT count(DISTINCT rowkey) AS row_count FROM conflicts",
+        "stored_count": f"WITH {KEYED} SELECT count(*) AS row_count FROM keyed",
+        "stored_prefix": f"WITH {KEYED} SELECT * FROM keyed WHERE starts_with(rowkey, '{SENSOR}_')",
+        "stored_latest": f"WITH {KEYED} SELECT * FROM keyed WHERE datasourceid = '{SENSOR}' ORDER BY rowkey DESC LIMIT 1",
+        "stored_latest_per_sensor": f"""WITH {KEYED}
+SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY datasourceid ORDER BY rowkey DESC) = 1""",
+        "stored_export": f"WITH {KEYED} SELECT {EXPORT} FROM keyed WHERE starts_with(time, '{DAY}') ORDER BY rowkey",
+        "dirty_file_scan": f"""WITH {DIRTY}
+SELECT sensor_id, sensor_name, TRY_CAST(time AS TIMESTAMP) AS time, {numbers} FROM dirty""",
+        "dirty_sensor_report": dirty_report("sensor_id", "sensor_id", "sensor_id <> ''"),
+        "dirty_daily_report": dirty_report("left(time, 10)", "date", "time <> ''"),
+        "dirty_hourly_report": dirty_report("left(time, 13)", "hour", "length(time) >= 13"),
+        "dirty_exceedance_report": f"""WITH {DIRTY_READINGS}
+SELECT sensor_id || chr(9) || 'pm25_exceedances=' || count(*) FILTER (WHERE pm25 > 35.4) ||
+       ', no2_exceedances=' || count(*) FILTER (WHERE no2 > 100) AS value
+FROM readings WHERE sensor_id <> '' AND (pm25 > 35.4 OR no2 > 100) GROUP BY sensor_id""",
+        "dirty_ingest": f"""WITH {DIRTY},
+accepted AS (
+  SELECT ingest_seq, replace(sensor_id || '_' || time, ':', '_') AS rowkey, sensor_id AS datasourceid, time,
+         {', '.join(f"nullif({c}, '') AS {c}" for c in ("pm25", "no2", "sensor_name", *FURTHER))}
+  FROM dirty WHERE sensor_id <> '' AND time <> '')
+SELECT rowkey, {', '.join(f'{last_value(c)} AS {c}' for c in ALL_CELLS)} FROM accepted GROUP BY rowkey""",
+        "dirty_points": f"""WITH {DIRTY}
+SELECT sensor_id, TRY_CAST(time AS TIMESTAMP) AS time, coalesce(TRY_CAST(pm25 AS DOUBLE), 0) AS pm25
+FROM dirty WHERE TRY_CAST(time AS TIMESTAMP) IS NOT NULL""",
         "table_count": f"WITH {DAILY_CELLS} SELECT count(DISTINCT rowkey) AS row_count FROM daily_cells",
         "prefix_scan": f"WITH {KEYED} SELECT * FROM keyed WHERE starts_with(rowkey, '{SENSOR}_')",
         "latest_per_sensor": f"""WITH {KEYED}
@@ -189,7 +259,8 @@ SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY datasourceid ORDER B
         "latest_for_sensor": f"WITH {KEYED} SELECT * FROM keyed WHERE datasourceid = '{SENSOR}' ORDER BY rowkey DESC LIMIT 1",
         "export_day": f"WITH {KEYED} SELECT {EXPORT} FROM keyed WHERE starts_with(time, '{DAY}') ORDER BY rowkey",
         "export_day_lines": f"""WITH {KEYED}
-SELECT rowkey || ',' || coalesce(pm25, '') || ',' || coalesce(no2, '') || ',,,,,"","' ||
+SELECT rowkey || ',' || coalesce(pm25, '') || ',' || coalesce(no2, '') || ',' || coalesce(humidity, '') || ',' ||
+       coalesce(temp, '') || ',' || lat || ',' || lon || ',"' || location || '","' ||
        replace(coalesce(sensor_name, ''), '"', chr(39)) || '",' || datasourceid || ',"' || time || '"' AS value
 FROM keyed WHERE starts_with(time, '{DAY}') ORDER BY rowkey""",
         "ingest_limit": f"WITH {CELLS} SELECT * FROM cells ORDER BY ingest_seq LIMIT 100",
@@ -202,6 +273,11 @@ SELECT sensor_id, {display}, pm25_count, no2_count FROM top""",
         "daily_points": f"WITH {DAILY} SELECT date, coalesce(pm25_avg, 0) AS pm25_avg FROM daily ORDER BY date",
         "anomalies_head": f"WITH {ANOMALIES} SELECT * FROM anomalies ORDER BY time, sensor_id LIMIT 50",
         "anomaly_points": f"WITH {ANOMALIES} SELECT sensor_id, time, pm25 FROM anomalies WHERE time IS NOT NULL",
+        "served_anomaly_points": f"WITH {ANOMALIES} SELECT sensor_id, time, coalesce(pm25, 0) AS pm25 FROM anomalies",
+        "served_sensor_points": f"""WITH {READINGS}
+SELECT time, round(coalesce(avg(pm25) OVER (
+  ORDER BY CAST(floor(epoch(time)) AS BIGINT) RANGE BETWEEN 60 PRECEDING AND CURRENT ROW), no2, 0), 8) AS value
+FROM readings WHERE sensor_id = '{SENSOR}' ORDER BY time""",
         "sensor_list": f"WITH {READINGS} SELECT DISTINCT sensor_id FROM readings ORDER BY sensor_id LIMIT 50",
         "sensor_series": f"WITH {ROLLING} SELECT * FROM rolling WHERE sensor_id = '{SENSOR}' ORDER BY time LIMIT 100",
         "sensor_points": f"WITH {ROLLING} SELECT time, rolling_pm25_24h AS value FROM rolling WHERE sensor_id = '{SENSOR}' ORDER BY time",

@@ -20,6 +20,7 @@ from gaugeworks.session import fresh_folder
 from gaugeworks.sources.readings import (
     FIELD_POSITIONS,
     HEADERS,
+    MEASURES,
     MIN_FIELDS,
     from_events,
     parse_lines,
@@ -46,6 +47,16 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns])
 
 
+# The further cells of a reading, as text made from its number; some are missing.
+FURTHER_CELLS = {
+    "humidity": "if(ingest_seq % 7 = 0, '', cast(ingest_seq % 100 AS string))",
+    "temp": "if(ingest_seq % 5 = 0, '', concat(cast(ingest_seq % 40 AS string), '.5'))",
+    "lat": "concat('41.', lpad(cast(ingest_seq % 1000 AS string), 3, '0'))",
+    "lon": "concat('-87.', lpad(cast(ingest_seq % 1000 AS string), 3, '0'))",
+    "location": "concat('POINT (-87.', lpad(cast(ingest_seq % 1000 AS string), 3, '0'), ' 41.', lpad(cast(ingest_seq % 1000 AS string), 3, '0'), ')')",
+}
+
+
 def as_raw(typed_rows: DataFrame) -> DataFrame:
     """Typed readings as text, the way the positional scan delivers them."""
     return typed_rows.select(
@@ -53,6 +64,7 @@ def as_raw(typed_rows: DataFrame) -> DataFrame:
         "sensor_id",
         iso_millis(F.col("time")).alias("time"),
         *[as_text(F.col(c)).alias(c) for c in ("pm25", "no2", "sensor_name")],
+        *[F.expr(text).alias(c) for c, text in FURTHER_CELLS.items()],
     )
 
 
@@ -62,9 +74,36 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw readings written out as the quoted text lines of a readings file."""
-    filled = {pos: name for name, pos in FIELD_POSITIONS.items() if name in ("sensor_id", "time", "sensor_name", "pm25", "no2")}
-    fields = [quoted(F.col(filled[i])) if i in filled else F.lit("") for i in range(MIN_FIELDS)]
-    return raw_readings(spark, sf_dir).select("ingest_seq", F.concat_ws(",", *fields).alias("value"))
+    return raw_readings(spark, sf_dir).select("ingest_seq", F.concat_ws(",", *line_fields()).alias("value"))
+
+
+def line_fields() -> list[Column]:
+    filled = {pos: name for name, pos in FIELD_POSITIONS.items()}
+    return [quoted(F.col(filled[i])) if i in filled else F.lit("") for i in range(MIN_FIELDS)]
+
+
+def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which known shares are short, long, padded, header-like, or hold bad or missing values, by number modulo 20."""
+    turn = F.col("ingest_seq") % 20
+
+    def spoiled(name: str, cases: dict[int, Column]) -> Column:
+        value = F.col(name)
+        for k, other in cases.items():
+            value = F.when(turn == k, other).otherwise(value)
+        return value.alias(name)
+
+    raw = raw_readings(spark, sf_dir)
+    cases = {
+        "sensor_id": {2: F.concat(F.lit(" \t"), "sensor_id", F.lit("  ")), 3: F.lit("datasourceid"), 6: F.lit("")},
+        "time": {5: F.lit("not a time at all"), 7: F.lit(""), 9: F.concat(F.substring("time", 1, 4), F.lit("x"))},
+        "pm25": {4: F.lit("abc"), 10: F.lit("")},
+        "no2": {4: F.lit("1,5"), 10: F.lit("")},
+        "sensor_name": {8: F.concat(F.lit("a, b, "), "sensor_name")},
+    }
+    rows = raw.select(*[spoiled(c, cases[c]) if c in cases else F.col(c) for c in raw.columns])
+    fields = F.array(*line_fields())
+    fields = F.when(turn == 0, F.slice(fields, 1, MIN_FIELDS - 1)).when(turn == 1, F.concat(fields, F.array(F.lit("x"), F.lit('"y,z"')))).otherwise(fields)
+    return rows.select("ingest_seq", F.array_join(fields, ",").alias("value"))
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,17 +149,13 @@ def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.upsert(first, second, MERGED_CELLS)
 
 
-def zoneless(df: DataFrame) -> DataFrame:
-    return df.withColumn("time", F.col("time").cast("timestamp_ntz"))
-
-
 def rowkeys(rows: DataFrame) -> DataFrame:
     return rows.select("ingest_seq", row_key(F.col("sensor_id"), iso_millis(F.col("time"))).alias("rowkey"))
 
 
 def positional_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = typed(parse_lines(lines(spark, sf_dir)))
-    return zoneless(parsed.select("ingest_seq", "sensor_id", "sensor_name", "time", "pm25", "no2"))
+    return parsed.select("ingest_seq", "sensor_id", "sensor_name", "time", "pm25", "no2")
 
 
 # --- queries over files that Spark writes from the table first ---------------------------------
@@ -133,14 +168,35 @@ def new_folder(spark: SparkSession) -> str:
 def text_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark)
     lines(spark, sf_dir).select("value").write.text(path)
-    return zoneless(typed(scan_positional(spark, path)).select("sensor_id", "sensor_name", "time", "pm25", "no2"))
+    return typed(scan_positional(spark, path)).select("sensor_id", "sensor_name", "time", "pm25", "no2")
+
+
+def dirty_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark)
+    dirty_lines(spark, sf_dir).select("value").write.text(path)
+    return scan_positional(spark, path)
+
+
+def dirty_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["sensor_id", "sensor_name", "time", "pm25", "no2", "humidity", "temp", "lat", "lon", "location"]
+    return typed(dirty_readings(spark, sf_dir)).select(*columns)
+
+
+def on_dirty(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(dirty_readings(spark, sf_dir))
+
+
+def dirty_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty readings whose time parses, as the points of a series."""
+    rows = typed(dirty_readings(spark, sf_dir)).where("time IS NOT NULL")
+    return rows.select("sensor_id", "time", F.coalesce("pm25", F.lit(0.0)).alias("pm25"))
 
 
 def header_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark)
     raw = raw_readings(spark, sf_dir).select("sensor_name", *HEADERS).withColumnsRenamed(HEADERS)
     raw.write.option("header", True).option("escape", '"').csv(path)
-    return zoneless(scan_by_header(spark, path))
+    return scan_by_header(spark, path)
 
 
 def result_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,11 +208,54 @@ def result_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two ingests of ``keyed_merge`` into a stored table."""
     path, rows = new_folder(spark), daily_cells(spark, sf_dir)
+    return ingested_twice(spark, path, rows)
+
+
+def ingested_twice(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """A stored table of cells without no2, into which those with no2 are merged."""
+    batch = new_folder(spark)
     keyed.write_table(keyed.reduce_batch(rows.filter(F.col("no2").isNull()), list(keyed.CELLS)), path)
-    keyed.merge_into_table(spark, path, rows.filter(F.col("no2").isNotNull()), new_folder(spark))
+    keyed.reduce_batch(rows.filter(F.col("no2").isNotNull()), list(keyed.CELLS)).write.parquet(batch)
+    keyed.merge_into_table(spark, path, spark.read.parquet(batch))
     return keyed.read_table(spark, path)
 
 
+def stored_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``stored_table``, but the day stands in the id of readings without no2 and in the time of the others.
+
+    Equal keys come with times of different days, or of none.
+    """
+    raw = raw_readings(spark, sf_dir)
+    day, hour = F.substring("time", 1, 10), F.substring("time", 12, 2)
+    without = F.col("no2") == ""
+    rows = raw.withColumns(
+        {
+            "sensor_id": F.when(without, F.concat_ws("_", "sensor_id", day)).otherwise(F.col("sensor_id")),
+            "time": F.when(without, hour).otherwise(F.concat_ws("_", day, hour)),
+        }
+    )
+    return ingested_twice(spark, new_folder(spark), keyed.to_cells(rows))
+
+
+def on_stored(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``operator`` over all readings, ingested into a stored table first."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = new_folder(spark)
+        keyed.write_table(table(readings(spark, sf_dir)), path)
+        return operator(keyed.read_table(spark, path))
+
+    return query
+
+
+def served_points(rows: DataFrame) -> DataFrame:
+    """One sensor's series; where the 24-hour average is missing the raw value stands in, else 0."""
+    narrow = rows.filter(F.col("sensor_id") == SENSOR).select("sensor_id", "time", *MEASURES)
+    rolled = rolling.trailing_averages(narrow, seconds=60, names=("rolling_pm25_24h", "rolling_no2_24h"))
+    rolled = rolled.withColumn("rolling_pm25", F.col("no2"))
+    return rolled.select("time", serving.served_rolling_value(rolled).alias("value")).orderBy("time")
+
+
 # --- registry ----------------------------------------------------------------------------------
 
 
@@ -224,9 +323,23 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "export_day": on_readings(exported_day),
         "export_day_lines": on_readings(lambda r: keyed.export_lines(exported_day(r))),
         "ingest_limit": lambda s, d: keyed.first_accepted(cells(s, d), 100, ingest_block(), F.col("ingest_seq")),
-        "ingest_limit_blocks": lambda s, d: keyed.first_accepted(
-            cells(s, d), 4500, ingest_block(), F.col("ingest_seq"), max_top=0
-        ),
+        "ingest_limit_blocks": lambda s, d: keyed.first_accepted(cells(s, d), 4500, ingest_block(), F.col("ingest_seq")),
+        # the same over a stored table
+        "stored_conflicts": stored_conflicts,
+        "stored_conflicts_count": lambda s, d: keyed.table_count(stored_conflicts(s, d)),
+        "stored_count": on_stored(keyed.table_count),
+        "stored_prefix": on_stored(lambda t: keyed.prefix_scan(t, f"{SENSOR}_").drop("day")),
+        "stored_latest": on_stored(lambda t: keyed.latest_for_sensor(t, SENSOR).drop("day")),
+        "stored_latest_per_sensor": on_stored(lambda t: keyed.latest_per_sensor(t).drop("day")),
+        "stored_export": on_stored(lambda t: keyed.export_day(t, DAY)),
+        # dirty files
+        "dirty_file_scan": dirty_file_scan,
+        "dirty_sensor_report": on_dirty(lambda r: agg.averages_report(agg.sensor_averages(r), "sensor_id")),
+        "dirty_daily_report": on_dirty(lambda r: agg.averages_report(agg.daily_measures(r), "date")),
+        "dirty_hourly_report": on_dirty(lambda r: agg.averages_report(agg.hourly_averages(r), "hour")),
+        "dirty_exceedance_report": on_dirty(lambda r: agg.exceedances_report(agg.sensor_exceedances(r))),
+        "dirty_ingest": on_dirty(lambda r: keyed.reduce_batch(keyed.to_cells(r), list(keyed.CELLS))),
+        "dirty_points": dirty_points,
         # presentation slices
         "top_sensors": on_readings(lambda r: serving.top_sensors(agg.per_sensor_summary(r)), DIGITS),
         "top_sensors_display": on_readings(
@@ -236,8 +349,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_points": on_readings(lambda r: serving.daily_points(agg.daily_averages(r)), DIGITS),
         "anomalies_head": on_readings(lambda r: serving.anomalies_head(anomalies(r))),
         "anomaly_points": on_readings(lambda r: serving.anomaly_points(anomalies(r))),
+        "served_anomaly_points": on_readings(lambda r: serving.served_anomaly_points(anomalies(r))),
+        "served_sensor_points": on_readings(served_points, ROLLING_DIGITS),
         "sensor_list": on_readings(serving.sensor_list),
         "sensor_series": on_readings(lambda r: serving.sensor_series(r, SENSOR), ROLLING_DIGITS),
         "sensor_points": on_readings(lambda r: serving.sensor_points(r, SENSOR), ROLLING_DIGITS),
-        "json_rows": lambda s, d: serving.json_rows(raw_readings(s, d), "ingest_seq"),
+        "json_rows": lambda s, d: serving.json_rows(raw_readings(s, d).drop(*FURTHER_CELLS), "ingest_seq"),
     }

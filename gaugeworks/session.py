@@ -28,10 +28,20 @@ def get_session(app: str = "gaugeworks", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession, near: str) -> str:
     """Folder for intermediate tables that outlive executors.
 
-    The one the cluster names in ``spark.checkpoint.dir``; where it names none, next to ``near``.
+    The one the cluster names in ``spark.checkpoint.dir``; a session on one machine may go without, next to ``near``.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else f"{near.rstrip('/')}_staged"
+    if named:
+        return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{near.rstrip('/')}_staged"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `fresh_folder` named, on whatever storage it is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def fresh_folder(spark: SparkSession, near: str) -> str:

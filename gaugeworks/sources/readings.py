@@ -43,15 +43,27 @@ NUMERIC = ("pm25", "no2", "humidity", "temp", "lat", "lon")
 def scan_positional(spark: SparkSession, path: str) -> DataFrame:
     """Raw readings by field position from text lines, tolerant of quotes and ragged rows.
 
-    ``ingest_seq`` grows with the line in each file: Spark numbers the scan's partitions in the order
-    of a file's blocks, and lines within a partition. Ingest files one by one where one must win.
+    ``ingest_seq`` orders lines by file name, block and line, however the scan packs blocks into tasks: lines of one block
+    are read by one task, one after the other.
     """
-    return parse_lines(spark.read.text(path).withColumn("ingest_seq", F.monotonically_increasing_id()))
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return parse_lines(spark.read.text(path).select("value", place.alias("ingest_seq")))
+
+
+#: Lines of a part of a file block, see `scan_block`, as a power of two.
+BLOCK_BITS = 17
 
 
 def scan_block(ingest_seq: Column) -> Column:
-    """The scan partition of a row of ``scan_positional``; its size is bounded by the reader."""
-    return F.shiftright(ingest_seq, 33)
+    """An ordered, coarse part of ``scan_positional``'s order: at most 131,072 lines of one file block.
+
+    A file that cannot be split, such as a compressed one, is one block of many such parts.
+    """
+    return F.struct(ingest_seq["file"], ingest_seq["start"], F.shiftright(ingest_seq["line"], BLOCK_BITS))
 
 
 def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:

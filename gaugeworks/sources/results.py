@@ -11,14 +11,18 @@ from gaugeworks.sources.readings import ID_HEADER
 RESULT_NAMES = {"sensor_id": ID_HEADER}
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, order: tuple[Column | str, ...] = ()) -> None:
     """Overwrite a headered CSV directory, under the column names of result files.
 
-    One part file is opt-in and meant for small results: it sends every row to one task.
+    One part file is opt-in and meant for small results: one task writes every row, and sorts them by ``order``. Whatever
+    computes the rows keeps its tasks.
     """
     named = df.withColumnsRenamed(RESULT_NAMES)
-    named = named.coalesce(1) if single_file else named
-    named.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    if single_file:
+        named = df.repartition(1)
+        named = (named.sortWithinPartitions(*order) if order else named).withColumnsRenamed(RESULT_NAMES)
+    writer = named.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").csv(path)
 
 
 def write_report(lines: DataFrame, path: str) -> None:
@@ -29,7 +33,7 @@ def write_report(lines: DataFrame, path: str) -> None:
 def write_export(lines: DataFrame, header: str, path: str, single_file: bool = False) -> None:
     """Overwrite a directory of ready-made CSV lines, each part file headed by ``header``.
 
-    The lines are one column to Spark, so separator and quote are set to characters outside the data.
+    With ``single_file`` one task does the last step of the lines' plan: for lines that are sorted, the sort. The lines are one column to Spark, so separator and quote are set to characters outside the data.
     """
     named = lines.toDF(header)
     writer = (named.coalesce(1) if single_file else named).write.mode("overwrite").option("header", True)
@@ -52,7 +56,7 @@ def read_result(spark: SparkSession, path: str) -> DataFrame:
 
     def typed(name: str) -> Column:
         if name in ("time", "date"):
-            return F.col(name).try_cast("timestamp" if name == "time" else "date").alias(name)
+            return F.col(name).try_cast("timestamp_ntz" if name == "time" else "date").alias(name)
         if name == "records" or name.endswith("_count"):
             return F.col(name).try_cast("long").alias(name)
         if name in ("pm25", "no2") or name.startswith("rolling_") or name.endswith(("_avg", "_min", "_max")):

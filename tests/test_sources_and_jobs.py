@@ -81,7 +81,7 @@ def test_ingest_order_is_file_order(spark, tmp_path):
     assert [r.pm25 for r in scan.repartition(5).orderBy("ingest_seq").collect()] == [str(i) for i in range(3000)]
     seq = F.col("ingest_seq")
     for n in (1, 700, 2999, 3000, 9999):
-        kept = keyed.first_accepted(scan, n, scan_block(seq), seq, max_top=0)
+        kept = keyed.first_accepted(scan, n, scan_block(seq), seq)
         assert sorted(int(r.pm25) for r in kept.collect()) == list(range(min(n, 3000)))
 
 
@@ -98,7 +98,7 @@ def test_header_scan(spark, tmp_path):
         ],
     )
     df = scan_by_header(spark, path)
-    assert df.dtypes == [("sensor_id", "string"), ("time", "timestamp"), ("pm25", "double"), ("no2", "double")]
+    assert df.dtypes == [("sensor_id", "string"), ("time", "timestamp_ntz"), ("pm25", "double"), ("no2", "double")]
     rows = {r.sensor_id: (r.time is not None, r.pm25, r.no2) for r in df.collect()}
     assert rows == {"A": (True, 1.5, None), "B": (False, None, 2.0), None: (True, 4.0, None), 'x "y", z': (False, None, 5.0)}
 
@@ -231,8 +231,7 @@ def test_keyed_table_jobs(spark, source, tmp_path, capsys):
     ]
 
 
-def test_ingest_limit_beyond_a_top_n(spark, source, tmp_path, monkeypatch):
-    monkeypatch.setattr(keyed, "MAX_TOP_ROWS", 1)
+def test_ingest_limit(spark, source, tmp_path):
     for limit, rows in ((1, 1), (2, 2), (4, 4), (99, 5)):
         table = str(tmp_path / f"table{limit}")
         jobs.ingest_job(spark, source, table, limit)
@@ -241,16 +240,65 @@ def test_ingest_limit_beyond_a_top_n(spark, source, tmp_path, monkeypatch):
         assert kept == [f"{key}_00.000" for key in keys[:rows]]
 
 
-def test_interrupted_merge_can_be_repeated(spark, source, tmp_path):
-    table, staging = str(tmp_path / "table"), str(tmp_path / "staging")
+def test_merge_can_be_repeated(spark, source, tmp_path):
+    table = str(tmp_path / "table")
     jobs.ingest_job(spark, source, table)
     update = save(tmp_path / "update.csv", [header(), reading("A", "2026-02-01T10:00:00.000", "", "9")])
-    keyed.merge_into_table(spark, table, keyed.to_cells(scan_positional(spark, update)), staging)
+    jobs.ingest_job(spark, update, table)
     before = sorted(map(str, keyed.read_table(spark, table).collect()))
-    keyed.apply_staged(spark, staging, table)
+    jobs.ingest_job(spark, update, table)
     assert sorted(map(str, keyed.read_table(spark, table).collect())) == before
 
 
+def test_a_key_stays_one_row_whatever_day_its_time_shows(spark, tmp_path):
+    """The id may show the day, or the time, or both, or neither; equal keys are one row, and none is left behind."""
+    batches = [[("a_b", "2026-02-01")], [("a", "b_2026-02-01")], [("x_2026-02-01", "2026-03-01")], [("x", "2026-02-01_2026-03-01")], [("q", "r"), ("a_b", "2026-02-02")]]
+    table = str(tmp_path / "table")
+    for k, rows in enumerate(batches):
+        path = save(tmp_path / f"{k}.csv", [header(), *(line(sensor_id=i, time=t, pm25=str(k)) for i, t in rows)])
+        jobs.ingest_job(spark, path, table)
+    rows = {r.rowkey: (r.pm25, r.day) for r in keyed.read_table(spark, table).collect()}
+    assert rows == {
+        "a_b_2026-02-01": ("1", "2026-02-01"),
+        "x_2026-02-01_2026-03-01": ("3", keyed.OTHER_DAY),
+        "q_r": ("4", keyed.OTHER_DAY),
+        "a_b_2026-02-02": ("4", "2026-02-02"),
+    }
+    assert keyed.read_table(spark, table).count() == 4
+    stored = keyed.read_table(spark, table)
+    for day in ("2026-02-01", "2026-02", "r", "2026-02-01_"):
+        expected = sorted(r.rowkey for r in stored.drop("day").collect() if r.time.startswith(day))
+        assert [r.rowkey for r in keyed.export_day(stored, day).collect()] == expected
+
+
+def test_a_folder_is_ingested_in_the_order_of_its_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    time = "2026-02-01T10:00:00.000"
+    save(tmp_path / "in/1.csv", [header(), reading("A", time, "old")])
+    save(tmp_path / "in/2.csv", [header(), *(reading(f"S{i}", time, "1") for i in range(5000)), reading("A", time, "new")])
+    save(tmp_path / "in/3.csv", [header(), reading("B", time, "1")])
+    for limit, value in ((None, "new"), (1, "old"), (5001, "old"), (5002, "new")):
+        table = str(tmp_path / f"table{limit}")
+        jobs.ingest_job(spark, str(tmp_path / "in"), table, limit)
+        stored = keyed.read_table(spark, table)
+        assert stored.filter("datasourceid = 'A'").first().pm25 == value
+        assert limit is None or stored.count() == limit - (limit == 5002)
+
+
+def test_parts_of_an_unsplit_file_are_bounded(spark, tmp_path, monkeypatch):
+    import gzip
+
+    from gaugeworks.sources import readings as sources
+
+    monkeypatch.setattr(sources, "BLOCK_BITS", 4)
+    path = tmp_path / "r.csv.gz"
+    path.write_bytes(gzip.compress("\n".join([header(), *(reading(f"S{i}", "2026-02-01T00:00:00.000", str(i)) for i in range(500))]).encode()))
+    scan = scan_positional(spark, str(path))
+    seq = F.col("ingest_seq")
+    assert scan.groupBy(scan_block(seq).alias("b")).count().agg(F.max("count")).first()[0] == 16
+    assert sorted(int(r.pm25) for r in keyed.first_accepted(scan, 333, scan_block(seq), seq).collect()) == list(range(333))
+
+
 def test_stored_table_scan_is_pruned_and_pushed(spark, source, tmp_path):
     table = str(tmp_path / "table")
     jobs.ingest_job(spark, source, table)
@@ -258,7 +306,7 @@ def test_stored_table_scan_is_pruned_and_pushed(spark, source, tmp_path):
     prefix = keyed.prefix_scan(stored, "A_")._jdf.queryExecution().toString()
     assert "StringStartsWith(rowkey,A_)" in prefix
     day = keyed.export_day(stored, "2026-02-01")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(day" in day and "StartsWith(day" in day
+    assert "PartitionFilters: [day" in day and "IN (2026-02-01,other)" in day.replace("#", " ").replace("  ", " ")
     assert len(keyed.export_day(stored, "2026-02-01").inputFiles()) >= 1
 
 
@@ -271,7 +319,7 @@ def test_presentation_from_result_directories(spark, source, tmp_path):
     daily = read_result(spark, f"{out}/spark/daily")
     assert [(str(r.date), r.pm25_avg) for r in serving.daily_points(daily).collect()][0] == ("2026-02-01", 30.125)
     rolled = read_result(spark, f"{out}/rolling")
-    assert dict(rolled.dtypes)["time"] == "timestamp" and rolled.filter("sensor_id = 'A'").count() == 2
+    assert dict(rolled.dtypes)["time"] == "timestamp_ntz" and rolled.filter("sensor_id = 'A'").count() == 2
     assert rolled.select(serving.rolling_value(rolled).alias("v")).agg(F.max("v")).first()[0] == 40.0
 
     save(tmp_path / "odd.csv", ["datasourceid,time,pm25,no2", "A,2026-02-01T10:00:00.000Z,1.5,", "A,never,x,"])
@@ -305,12 +353,18 @@ def test_intermediate_tables_go_to_the_named_folder(spark, source, tmp_path, mon
 
     assert shared_folder(Named, "/any/out") == f"{tmp_path}/shared"
     class Unnamed:
-        conf = {}
+        conf = {"spark.master": "local[2]"}
+
+    class Cluster:
+        conf = {"spark.master": "yarn"}
 
     assert shared_folder(Unnamed, "/any/out/") == "/any/out_staged"
-    monkeypatch.setattr(jobs, "fresh_folder", lambda session, near: fresh_folder(Named, near))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster, "/any/out")
+    used = []
+    monkeypatch.setattr(jobs, "fresh_folder", lambda session, near: used.append(near) or fresh_folder(Named, near))
     jobs.summary_job(spark, source, str(tmp_path / "out"))
     jobs.ingest_job(spark, source, str(tmp_path / "table"))
     jobs.ingest_job(spark, source, str(tmp_path / "table"))
-    assert len(os.listdir(tmp_path / "shared")) == 2
+    assert len(used) == 2 and os.listdir(tmp_path / "shared") == []
     assert not os.path.exists(tmp_path / "out_staged") and not os.path.exists(tmp_path / "table_staged")
