@@ -11,7 +11,8 @@ Conventions of all operators of this subpackage:
 
 from __future__ import annotations
 
-import uuid
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from gaugeworks.session import fresh_folder
 
 #: Rows of a batch are worked on in slices of at most about this much text, so Python holds little beside the batch.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 _LOWER_WORDS = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
@@ -122,6 +123,14 @@ def slices(batch: pa.RecordBatch, sized: list[int]) -> Iterator[pa.RecordBatch]:
     rows = max(1, int(batch.num_rows * SLICE_BYTES / max(total, SLICE_BYTES)))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+        release()
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the machine: workers of several operators share an executor's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def staged(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
@@ -130,7 +139,3 @@ def staged(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     folder = fresh_folder(spark, f"{spark.conf.get('spark.sql.warehouse.dir')}/llm")
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
-
-
-def unique(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:8]}"

@@ -21,7 +21,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-REMEMBERED = 700_000
+REMEMBERED = 300_000
 LONG = 64
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
