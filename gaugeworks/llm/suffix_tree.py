@@ -31,17 +31,17 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gaugeworks.llm.columns import as_values, hashed, staged, word_codes
+from gaugeworks.llm.columns import as_values, hashed, slices, staged, word_codes
 
 DEPTH = 3
 SYMBOL_SHARE = 5e-4
 CONTEXT_SHARE = 2e-4
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 #: Symbols are below 2 / SYMBOL_SHARE + 2, so a context of three fits a 64-bit number.
 BITS = 12
 END, REST = 0, 1
@@ -64,14 +64,11 @@ class Symbols:
     mass: np.ndarray  # by symbol: the counts of its words, one more for each, and one for new words in a class
     counts: np.ndarray  # by symbol: the counts alone
 
-    def of(self, hashes: np.ndarray, shapes: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashes), REST, np.uint16)
-        for known, values, first in ((self.shapes, shapes, 2 + len(self.words)), (self.words, hashes, 2)):
-            if len(known):
-                at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-                hit = known[at] == values
-                out[hit] = first + at[hit]
-        return out
+    def tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+        """(word, own) of the frequent words and (shape, class) of the classes."""
+        own = [(int(w), 2 + k) for k, w in enumerate(self.words)]
+        kinds = [(int(s), 2 + len(self.words) + k) for k, s in enumerate(self.shapes)]
+        return spark.createDataFrame(own, "word long, own int"), spark.createDataFrame(kinds, "shape int, class int")
 
 
 def choose_symbols(frequent: list[tuple[int, int, int]], shapes: list[tuple[int, int, int]], ends: int, least: float) -> Symbols:
@@ -129,7 +126,7 @@ class Tree:
         width = self.children.shape[1]
         children, logs = self.children.reshape(-1), self.logs.reshape(-1)
         out = np.empty(len(symbols))
-        before = np.concatenate([np.full(self.depth, END, np.int64), symbols])
+        before = np.concatenate([np.full(self.depth, END, symbols.dtype), symbols])
         for a in range(0, len(symbols), step):
             n = min(step, len(symbols) - a)
             node = longest = np.ones(n, np.int64)
@@ -223,18 +220,19 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
                 lengths,
                 _squeezed(codes.astype("<u4")),
                 hashed(words).view(np.int64),
-                [shape_of(w) for w in words],
+                np.fromiter(map(shape_of, words), np.int32, len(words)),
                 np.bincount(training, minlength=len(words)),
             ]
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, arrow)], schema=arrow)
 
-        for batch in batches:
-            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_values(batch.column(2))):
-                rows.append((row[0], row[1], row[2] or b""))
-                size += len(rows[-1][2]) + 16
-                if size >= block_bytes:
-                    yield close()
-                    number, rows, size = number + 1, [], 0
+        for whole in batches:
+            for batch in slices(whole, [2]):
+                for doc, held, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_values(batch.column(2))):
+                    rows.append((doc, held, body or b""))
+                    size += len(rows[-1][2]) + 16
+                    if size >= block_bytes:
+                        yield close()
+                        number, rows, size = number + 1, [], 0
         if rows:
             yield close()
 
@@ -244,8 +242,11 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
 def _symbol_blocks(blocks: DataFrame, totals: DataFrame, symbols: Symbols, n: int, v: int) -> DataFrame:
     """Per block: documents with their sums that need word counts, and the symbols of their tokens. Staged."""
     rows = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    counted = rows.join(totals.select("word", "c"), "word").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "c"))).alias("c"))
-    counted = counted.select(F.col("block").alias("of"), F.col("c.c").alias("totals"))
+    frequent, classes = symbols.tables(blocks.sparkSession)
+    named = totals.join(F.broadcast(frequent), "word", "left").join(F.broadcast(classes), "shape", "left")
+    named = named.select("word", "c", F.coalesce("own", "class", F.lit(REST)).cast("short").alias("symbol"))
+    known = F.array_sort(F.collect_list(F.struct("place", "c", "symbol"))).alias("known")
+    counted = rows.join(named, "word").groupBy("block").agg(known).select(F.col("block").alias("of"), F.col("known.c").alias("totals"), F.col("known.symbol").alias("own"))
     kind = blocks.schema["ids"].dataType
     doubles, longs = _array(T.DoubleType()), _array(T.LongType())
     schema = T.StructType(
@@ -257,11 +258,11 @@ def _symbol_blocks(blocks: DataFrame, totals: DataFrame, symbols: Symbols, n: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, held, lengths, codes, words, shapes, counts in zip(*(batch.column(k) for k in range(7))):
+            for ids, held, lengths, codes, counts, own in zip(*(batch.column(k) for k in range(6))):
                 lengths = np.asarray(lengths.values).astype(np.int64)
                 codes = _spread(codes.as_py(), "<u4")
                 c = np.asarray(counts.values) if counts.is_valid else np.zeros(0, np.int64)
-                own = symbols.of(np.asarray(words.values), np.asarray(shapes.values)) if len(codes) else np.zeros(0, np.uint16)
+                own = np.asarray(own.values).astype(np.uint16) if own.is_valid else np.zeros(0, np.uint16)
                 inside = np.log10(c + 1) - log_mass[own]
                 docs, owner = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
                 base = np.bincount(owner, np.log10((c + 1) / (n + v + 1))[codes], docs) + np.log10((ends + 1) / (n + v + 1))
@@ -272,12 +273,12 @@ def _symbol_blocks(blocks: DataFrame, totals: DataFrame, symbols: Symbols, n: in
                     np.bincount(owner, (c > 0)[codes], docs).astype(np.int64) + (ends > 0),
                     base,
                     np.bincount(owner, inside[codes], docs),
-                    _squeezed(np.insert(own[codes], np.cumsum(lengths), END).astype("<u2")),
+                    _squeezed(np.insert(own[codes], np.cumsum(lengths), END)),
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, arrow)], schema=arrow)
 
     joined = blocks.join(counted, blocks["block"] == counted["of"], "left")  # a block of empty texts has no words
-    return staged(joined.select("ids", "held", "lengths", "codes", "words", "shapes", "totals").mapInArrow(run, schema))
+    return staged(joined.select("ids", "held", "lengths", "codes", "totals", "own").mapInArrow(run, schema))
 
 
 def _training_symbols(row: dict) -> np.ndarray:
@@ -337,7 +338,7 @@ def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str
         for batch in batches:
             for ids, held, lengths, known_, base, inside, packed in zip(*(batch.column(k) for k in range(7))):
                 size = np.asarray(lengths.values)
-                logs = tree.score(_spread(packed.as_py(), "<u2").astype(np.int64))
+                logs = tree.score(_spread(packed.as_py(), "<u2"))
                 outside = np.bincount(np.repeat(np.arange(len(size)), size), logs, len(size))
                 train = pa.array(np.full(len(size), n))
                 score = pa.array(outside + np.asarray(inside.values))

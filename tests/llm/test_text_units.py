@@ -414,4 +414,3 @@ class TestSuffixTree:
         symbols = suffix_tree.choose_symbols([(7, 100, 50)], [(100, 3, 58), (101, 2, 40), (102, 1, 1)], 10, 5)
         assert symbols.words.tolist() == [7] and symbols.shapes.tolist() == [100, 101]
         assert symbols.counts.tolist() == [10, 1, 50, 8, 40] and symbols.mass.tolist() == [11, 3, 51, 11, 43]
-        assert symbols.of(np.array([7, 8, 9]), np.array([100, 101, 5])).tolist() == [2, 4, 1]
