@@ -1,25 +1,23 @@
 """Trailing time-window averages per sensor.
 
-The frame of a reading at second ``t`` is ``[t - length, t]``, both ends included, with every
-reading of second ``t``. Three ways give the same frames; the data decides which one runs.
+The frame of a reading at second ``t`` is ``[t - length, t]``, both ends included, with every reading of second ``t``.
 
-*Sliding*: Spark's own range frame over one group per sensor. It re-adds the frame for every row,
-which is cheapest while a sensor has few readings and quadratic when it has many.
+Spark's own sliding range frame re-adds the frame for every row and keeps a sensor in one task, which is quadratic for a busy
+sensor. Here the time line is cut into slices that divide the frame's length, and a frame is put together from three parts:
 
-*Spans*: the time line is cut into spans of the frame's length, so that a frame is always the
-readings of its own span up to ``t`` plus those of the span before from ``t - length``. Each reading
-is used twice: as itself, and as a carry placed ``length`` seconds later, that is in the next span.
-Both parts are then running sums inside one (sensor, span) group, one ascending and one descending,
-so the work per reading does not depend on the frame, and a sensor spreads over its spans.
+* the readings of its own slice up to ``t``: a running sum, ascending;
+* the whole slices between: their totals, one row per (sensor, slice), reduced map-side, and summed over the slices before;
+* the readings of the slice in which the frame begins, from ``t - length`` on: each reading is used again as a carry, placed
+  ``length`` seconds later and so in the slice of ``t``, where the carries at ``t`` or later are a running sum, descending.
 
-*Seconds*: the span way over one row per (sensor, second), joined back to the readings. A group then
-has at most ``2 * length`` rows however many readings a sensor has. Seconds that hold many readings
-are joined in several parts.
+All three meet in one group per (sensor, slice), in one shuffle: the total of the slices between comes as a row of its own, placed
+before the slice's readings. Nothing is subtracted, so special values and great magnitudes leave a frame without a trace. The
+work per reading doesn't depend on the frame, a group holds one slice of one sensor, and the plan is the same for all data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,15 +25,10 @@ from gaugeworks.functions.time import epoch_seconds
 from gaugeworks.sources.readings import MEASURES
 
 DAY_SECONDS = 86_400
-# Sliding frames are used for sensors with at most this many readings.
-SLIDING_ROWS = 1_000
-# A sensor with more readings than this within one span is reduced to seconds.
-SPAN_ROWS = 1_000_000
-# At most this many sensors are told apart by name; with more, all are treated like them.
-BUSY_SENSORS = 1_000
-# A second is joined back in parts if it holds more than this share of all readings (and more than a
-# span's worth); fewer than 1 / share seconds can, which bounds the list of them.
-HOT_SHARE = 1 / 10_000
+# A frame is cut into so many slices. More make smaller groups where sensors are very busy, and more rows of totals.
+SLICES = 2
+
+OWN, CARRY, BETWEEN = 0, 1, 2
 
 
 def trailing_averages(
@@ -43,160 +36,73 @@ def trailing_averages(
     measures: tuple[str, ...] = MEASURES,
     seconds: int = DAY_SECONDS,
     names: tuple[str, ...] | None = None,
-    sliding_rows: int = SLIDING_ROWS,
-    span_rows: int = SPAN_ROWS,
-    busy_sensors: int = BUSY_SENSORS,
+    slices: int = SLICES,
 ) -> DataFrame:
     """All columns of ``readings`` plus the trailing average of each measure, one row per reading.
 
-    Readings without a time share one frame per sensor. Counts the readings per sensor first: one
-    narrow scan, reduced map-side, of which only the largest ``busy_sensors + 1`` counts reach the driver.
+    Readings without a time share one frame per sensor. The frame is cut into at most ``slices`` slices of whole seconds.
     """
     names = names or tuple(f"rolling_{m}" for m in measures)
-    counts = readings.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n")).limit(busy_sensors + 1).collect()
-    large = [row["sensor_id"] for row in top if row["n"] > sliding_rows]
-    if not large:
-        return _sliding(readings, measures, seconds, names)
-    bounded = top[0]["n"] <= span_rows
-    if len(large) == len(top):  # all sensors, or more of them than are told apart
-        return _large(readings, measures, seconds, names, span_rows, busy_sensors, bounded)
-    is_large = _among(large)
-    return _sliding(readings.filter(~is_large), measures, seconds, names).unionByName(
-        _large(readings.filter(is_large), measures, seconds, names, span_rows, busy_sensors, bounded)
+    slices = next(n for n in range(slices, 0, -1) if seconds % n == 0)
+    length = seconds // slices
+    counts = [f"_{m}_n" for m in measures]
+    rows = readings.withColumn("_second", epoch_seconds(readings, "time")).withColumns(
+        {c: F.when(F.col(m).isNotNull(), 1).otherwise(0).cast("long") for m, c in zip(measures, counts)}
     )
+    parts = _with_carries(rows, measures, counts, seconds).withColumn("_slice", F.floor(F.col("_place") / length))
+    if slices > 1:
+        parts = parts.unionByName(_between(rows, measures, counts, length, slices), allowMissingColumns=True)
+    return _averages(parts, measures, counts, names).select(*readings.columns, *names)
 
 
-def _large(
-    readings: DataFrame,
-    measures: tuple[str, ...],
-    seconds: int,
-    names: tuple[str, ...],
-    span_rows: int,
-    busy_sensors: int,
-    bounded: bool,
-) -> DataFrame:
-    """Spans, except for sensors with too many readings in one; ``bounded`` if none can have."""
-    busy = [] if bounded else _busy_sensors(readings, seconds, span_rows, busy_sensors + 1)
-    if not busy:
-        return _by_span(readings, measures, seconds, names)
-    hot_rows = max(span_rows, int(readings.count() * HOT_SHARE), 1)
-    if len(busy) > busy_sensors:
-        return _by_second(readings, measures, seconds, names, hot_rows)
-    is_busy = _among(busy)
-    return _by_span(readings.filter(~is_busy), measures, seconds, names).unionByName(
-        _by_second(readings.filter(is_busy), measures, seconds, names, hot_rows)
-    )
-
-
-def _among(sensors: list[str | None]) -> Column:
-    """Whether the sensor is in a list that may hold null."""
-    sensor = F.col("sensor_id")
-    return F.when(sensor.isNull(), None in sensors).otherwise(sensor.isin([s for s in sensors if s is not None]))
-
-
-def rolling_24h(readings: DataFrame, **sizes: int) -> DataFrame:
+def rolling_24h(readings: DataFrame, slices: int = SLICES) -> DataFrame:
     """``sensor_id, time`` and the trailing 24-hour average of both measures."""
     narrow = readings.select("sensor_id", "time", *MEASURES)
     names = ("rolling_pm25_24h", "rolling_no2_24h")
-    return trailing_averages(narrow, names=names, **sizes).select("sensor_id", "time", *names)
-
-
-def _busy_sensors(readings: DataFrame, seconds: int, span_rows: int, at_most: int) -> list[str | None]:
-    """Ids of up to ``at_most`` sensors with a span of more than ``span_rows`` readings."""
-    span = F.floor(epoch_seconds(readings, "time") / F.lit(seconds))
-    counts = readings.groupBy("sensor_id", span.alias("span")).agg(F.count(F.lit(1)).alias("n"))
-    return [r[0] for r in counts.filter(F.col("n") > span_rows).select("sensor_id").distinct().limit(at_most).collect()]
-
-
-def _sliding(readings: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...]) -> DataFrame:
-    """One range frame per reading, all measures over the same window."""
-    frame = W.partitionBy("sensor_id").orderBy("_second").rangeBetween(-seconds, W.currentRow)
-    rows = readings.withColumn("_second", epoch_seconds(readings, "time"))
-    return rows.select(*readings.columns, *[F.avg(m).over(frame).alias(name) for m, name in zip(measures, names)])
-
+    return trailing_averages(narrow, names=names, slices=slices).select("sensor_id", "time", *names)
 
-def _by_span(readings: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...]) -> DataFrame:
-    """Readings and their carries in one shuffle on (sensor, span)."""
-    parts = {m: (F.sum, F.col(m), F.count, F.col(m)) for m in measures}
-    copies = _with_carries(readings, epoch_seconds(readings, "time"), list(measures), [], seconds)
-    return _span_averages(copies, parts, names).select(*readings.columns, *names)
 
+def _with_carries(rows: DataFrame, measures: tuple[str, ...], counts: list[str], seconds: int) -> DataFrame:
+    """Each reading at its own second and again, as a carry, ``seconds`` later.
 
-def _by_second(
-    readings: DataFrame, measures: tuple[str, ...], seconds: int, names: tuple[str, ...], hot_rows: int
-) -> DataFrame:
-    """Frames over one row per (sensor, second), joined back to the readings.
-
-    Frame ends are whole seconds, so reducing to seconds loses nothing.
+    A carry travels only with its sensor, measures and counts, and only if it has a time and some value.
     """
-    rows = readings.withColumn("_second", epoch_seconds(readings, "time"))
-    sums = []
-    for m in measures:
-        sums += [F.sum(m).alias(f"_{m}_sum"), F.count(m).alias(f"_{m}_count")]
-    parts_of = F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).alias("_parts")
-    per_second = rows.groupBy("sensor_id", "_second").agg(*sums, parts_of)
-
-    adders = {m: (F.sum, F.col(f"_{m}_sum"), F.sum, F.col(f"_{m}_count")) for m in measures}
-    values, counts = [f"_{m}_sum" for m in measures], [f"_{m}_count" for m in measures]
-    copies = _with_carries(per_second, F.col("_second"), values, counts, seconds)
-    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
-    rolled = _span_averages(copies, adders, names).select(
-        F.col("sensor_id").alias("_sensor"), F.col("_place").alias("_at"), part.alias("_part_at"), *names
-    )
-    same = _same("sensor_id", "_sensor") & _same("_second", "_at") & (F.col("_part") == F.col("_part_at"))
-    return _in_parts(rows, per_second).join(rolled, same, "left").select(*readings.columns, *names)
-
-
-def _in_parts(rows: DataFrame, per_second: DataFrame) -> DataFrame:
-    """Rows with the part of their second they belong to, spread evenly over its ``_parts``."""
-    hot = per_second.filter(F.col("_parts") > 1).select(
-        F.col("sensor_id").alias("_hot_sensor"), F.col("_second").alias("_hot_second"), F.col("_parts").alias("_hot_parts")
+    carry = F.col("_kind") == CARRY
+    useful = F.col("_second").isNotNull() & F.coalesce(*measures).isNotNull()
+    own_only = [c for c in rows.columns if c not in {"sensor_id", "_second", *measures, *counts}]
+    return (
+        rows.withColumn("_kind", F.explode(F.array(F.lit(OWN), F.lit(CARRY))))
+        .filter(~carry | useful)
+        .withColumns({c: F.when(~carry, F.col(c)) for c in own_only})
+        .withColumn("_place", F.col("_second") + F.when(carry, F.lit(seconds)).otherwise(F.lit(0)))
+        .drop("_second")
     )
-    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
-    marked = numbered.join(F.broadcast(hot), _same("sensor_id", "_hot_sensor") & _same("_second", "_hot_second"), "left")
-    part = F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_hot_parts")), F.lit(0))
-    return marked.select(*rows.columns, part.alias("_part"))
 
 
-def _same(left: str, right: str) -> Column:
-    return F.col(left).eqNullSafe(F.col(right))
-
-
-def _with_carries(rows: DataFrame, second: Column, values: list[str], counts: list[str], seconds: int) -> DataFrame:
-    """Each row at its own second and again, as a carry, ``seconds`` later; with the span of its place.
-
-    A carry travels only with its sensor, ``values`` and ``counts``, and only if it has some value.
-    """
-    both = rows.withColumn("_carry", F.explode(F.array(F.lit(False), F.lit(True))))
-    own_only = [c for c in rows.columns if c not in {"sensor_id", *values, *counts}]
-    place = second + F.when(F.col("_carry"), F.lit(seconds)).otherwise(F.lit(0))
-    useful = F.col("_place").isNotNull() & F.coalesce(*values).isNotNull()
-    return (
-        both.withColumn("_place", place)
-        .filter(~F.col("_carry") | useful)
-        .withColumns({c: F.when(~F.col("_carry"), F.col(c)) for c in own_only})
-        .withColumn("_span", F.floor(F.col("_place") / F.lit(seconds)))
-    )
+def _between(rows: DataFrame, measures: tuple[str, ...], counts: list[str], length: int, slices: int) -> DataFrame:
+    """For each slice with readings the total of the ``slices - 1`` slices before it, placed before its first second."""
+    slice_ = F.floor(F.col("_second") / length).alias("_slice")
+    totals = rows.filter(F.col("_second").isNotNull()).groupBy("sensor_id", slice_).agg(*[F.sum(c).alias(c) for c in (*measures, *counts)])
+    before = W.partitionBy("sensor_id").orderBy("_slice").rangeBetween(1 - slices, -1)
+    sums = [F.sum(c).over(before).alias(c) for c in (*measures, *counts)]
+    placed = totals.select("sensor_id", "_slice", (F.col("_slice") * length - 1).alias("_place"), F.lit(BETWEEN).alias("_kind"), *sums)
+    return placed.filter(F.coalesce(*measures).isNotNull())
 
 
-def _span_averages(copies: DataFrame, parts: dict[str, tuple], names: tuple[str, ...]) -> DataFrame:
-    """Average over each frame; ``parts`` names per measure how its sum and its count are added up."""
-    group = W.partitionBy("sensor_id", "_span")
+def _averages(parts: DataFrame, measures: tuple[str, ...], counts: list[str], names: tuple[str, ...]) -> DataFrame:
+    # Groups are sorted by a number first, which tells most of them apart at once.
+    group = W.partitionBy("_group", "sensor_id", "_slice")
     ascending = group.orderBy(F.asc("_place")).rangeBetween(W.unboundedPreceding, W.currentRow)
     descending = group.orderBy(F.desc("_place")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    carry = F.col("_kind") == CARRY
 
-    def running(side: str, wanted: Column, window) -> list[Column]:
-        columns = []
-        for m, (add, value, add_count, count) in parts.items():
-            columns.append(add(F.when(wanted, value)).over(window).alias(f"_{side}_{m}"))
-            columns.append(add_count(F.when(wanted, count)).over(window).alias(f"_{side}_{m}_n"))
-        return columns
+    def running(side: str, wanted, window) -> list:
+        return [F.sum(F.when(wanted, F.col(c))).over(window).alias(f"{side}{c}") for c in (*measures, *counts)]
 
-    def total(m: str, suffix: str = "") -> Column:
-        return F.coalesce(F.col(f"_own_{m}{suffix}"), F.lit(0)) + F.coalesce(F.col(f"_prev_{m}{suffix}"), F.lit(0))
+    def total(c: str):
+        return F.coalesce(F.col(f"_to{c}"), F.lit(0)) + F.coalesce(F.col(f"_from{c}"), F.lit(0))
 
-    own = copies.select("*", *running("own", ~F.col("_carry"), ascending))
-    both = own.select("*", *running("prev", F.col("_carry"), descending)).filter(~F.col("_carry"))
-    averages = [F.when(total(m, "_n") > 0, total(m) / total(m, "_n")).alias(name) for m, name in zip(parts, names)]
-    return both.select(*copies.columns, *averages)
+    grouped = parts.withColumn("_group", F.xxhash64("sensor_id", "_slice"))
+    there = grouped.select("*", *running("_to", ~carry, ascending))
+    both = there.select("*", *running("_from", carry, descending)).filter(F.col("_kind") == OWN)
+    return both.select("*", *[F.when(total(n) > 0, total(m) / total(n)).alias(name) for m, n, name in zip(measures, counts, names)])

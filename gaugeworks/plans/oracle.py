@@ -216,6 +216,12 @@ FROM exceedances""",
         "rolling_24h": f"WITH {ROLLING} SELECT * FROM rolling",
         "rolling_24h_spans": f"WITH {ROLLING} SELECT * FROM rolling",
         "rolling_24h_seconds": f"WITH {ROLLING} SELECT * FROM rolling",
+        "rolling_24h_skewed": "WITH " + ROLLING.replace("readings AS (", "all_readings AS (", 1).replace(
+            "FROM events),", """FROM events),
+readings AS (
+  SELECT CASE WHEN ingest_seq % 3 = 0 THEN 'busy' WHEN ingest_seq % 11 <> 0 THEN sensor_id END AS sensor_id,
+         CASE WHEN ingest_seq % 50 <> 0 THEN time END AS time, pm25, no2
+  FROM all_readings),""", 1) + " SELECT * FROM rolling",
         "keyed_cells": f"WITH {CELLS} SELECT * FROM cells",
         "keyed_upsert": f"WITH {DAILY_CELLS} SELECT rowkey, {upserted} FROM daily_cells GROUP BY rowkey",
         "keyed_merge": f"WITH {DAILY_CELLS} SELECT rowkey, {merged} FROM daily_cells GROUP BY rowkey",

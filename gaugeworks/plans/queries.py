@@ -248,6 +248,13 @@ def on_stored(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSess
     return query
 
 
+def skewed(rows: DataFrame) -> DataFrame:
+    """A third of the readings on one sensor, some without a sensor, some without a time."""
+    seq = F.col("ingest_seq")
+    sensor = F.when(seq % 3 == 0, "busy").when(seq % 11 != 0, F.col("sensor_id"))
+    return rows.withColumns({"sensor_id": sensor, "time": F.when(seq % 50 != 0, F.col("time"))})
+
+
 def served_points(rows: DataFrame) -> DataFrame:
     """One sensor's series; where the 24-hour average is missing the raw value stands in, else 0."""
     narrow = rows.filter(F.col("sensor_id") == SENSOR).select("sensor_id", "time", *MEASURES)
@@ -305,11 +312,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # anomalies and rolling averages
         "anomalies": on_readings(anomalies),
         "rolling_24h": on_readings(rolling.rolling_24h, ROLLING_DIGITS),
-        # the other two ways of the rolling average, whatever the sizes
-        "rolling_24h_spans": on_readings(lambda r: rolling.rolling_24h(r, sliding_rows=0), ROLLING_DIGITS),
-        "rolling_24h_seconds": on_readings(
-            lambda r: rolling.rolling_24h(r, sliding_rows=0, span_rows=0, busy_sensors=0), ROLLING_DIGITS
-        ),
+        # the same with slices of a day and of a second
+        "rolling_24h_spans": on_readings(lambda r: rolling.rolling_24h(r, slices=1), ROLLING_DIGITS),
+        "rolling_24h_seconds": on_readings(lambda r: rolling.rolling_24h(r, slices=rolling.DAY_SECONDS), ROLLING_DIGITS),
+        "rolling_24h_skewed": on_readings(lambda r: rolling.rolling_24h(skewed(r)), ROLLING_DIGITS),
         # keyed table
         "keyed_cells": cells,
         "keyed_upsert": keyed_upsert,

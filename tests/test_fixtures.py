@@ -142,12 +142,7 @@ FRAMES = {
     "before epoch": ([("A", -86400.0, 1.0), ("A", 0.0, 3.0), ("A", 1.0, 5.0)], [1.0, 2.0, 4.0]),
     "missing": ([("A", 1.0, None), ("A", 2.0, 4.0), ("A", 3.0, None)], [None, 4.0, 4.0]),
 }
-WAYS = {
-    "sliding": {},
-    "spans": {"sliding_rows": 0},
-    "busy apart": {"sliding_rows": 0, "span_rows": 1},
-    "seconds": {"sliding_rows": 0, "span_rows": 0, "busy_sensors": 0},
-}
+WAYS = {"half days": {}, "hours": {"slices": 24}, "days": {"slices": 1}, "seconds": {"slices": 86_400}}
 
 
 @pytest.mark.parametrize("way", WAYS)

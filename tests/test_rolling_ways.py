@@ -1,22 +1,17 @@
-"""The three ways of computing trailing averages agree, with a sensor that holds a third of all rows."""
+"""Trailing averages with slices of any length agree with Spark's own sliding frame, also where one sensor holds a third of all rows."""
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugeworks.operators import rolling
+from gaugeworks.functions.time import epoch_seconds
 from gaugeworks.operators.rolling import rolling_24h, trailing_averages
 from gaugeworks.plans.queries import readings
 
 SF_DIR = "/root/testdata/sf0.01"
-WAYS = {
-    "large apart": {"sliding_rows": 60},
-    "large and busy apart": {"sliding_rows": 60, "span_rows": 20},
-    "spans": {"sliding_rows": 0},
-    "busy apart": {"sliding_rows": 0, "span_rows": 20},
-    "seconds": {"sliding_rows": 0, "span_rows": 0, "busy_sensors": 0},
-}
+WAYS = {"half days": {}, "hours": {"slices": 24}, "days": {"slices": 1}, "six": {"slices": 7}, "seconds": {"slices": 86_400}}
 
 
 def skewed(spark, hot="hot"):
@@ -34,7 +29,10 @@ def averages(spark, **sizes):
 
 @pytest.fixture(scope="module")
 def expected(spark):
-    return averages(spark, sliding_rows=10**9)
+    rows = skewed(spark)
+    frame = W.partitionBy("sensor_id").orderBy("s").rangeBetween(-86_400, 0)
+    out = rows.withColumn("s", epoch_seconds(rows, "time")).select("ingest_seq", *[F.round(F.avg(m).over(frame), 8) for m in ("pm25", "no2")])
+    return sorted(tuple(r) for r in out.collect())
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -70,27 +68,35 @@ def test_brute_force(spark, rows, length, way):
     assert len(got) == len(rows)
 
 
-def test_readings_without_a_sensor_may_be_busy(spark):
-    rows = skewed(spark, hot=None)
-    assert rolling._busy_sensors(rows, 86_400, 60, 10) == [None]
-    plan = trailing_averages(rows, sliding_rows=0, span_rows=60)
-    a = sorted(plan.select("ingest_seq", F.round("rolling_pm25", 8)).collect())
-    assert a == sorted(trailing_averages(rows, sliding_rows=10**9).select("ingest_seq", F.round("rolling_pm25", 8)).collect())
-
-
 def test_no_readings(spark):
     assert rolling_24h(skewed(spark).filter("false")).count() == 0
 
 
-def test_each_reading_is_shuffled_once_unless_busy(spark):
-    for rows, sizes, shuffles in (
-        (readings(spark, SF_DIR), {}, 1),
-        (readings(spark, SF_DIR), {"sliding_rows": 0}, 1),
-        (skewed(spark), {}, 2),  # the large sensor in one, the others in the other
-    ):
-        plan = rolling_24h(rows, **sizes)._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning") == shuffles
-        assert "Python" not in plan
+def shape(rows):
+    plan = rolling_24h(rows)._jdf.queryExecution().executedPlan().toString()
+    return [line.split("#")[0].strip(" +-:").split(" ")[0].split("(")[0] for line in plan.splitlines()]
+
+
+def test_one_plan_for_all_data(spark):
+    """Readings and carries are shuffled once, totals of slices twice; nothing runs while the plan is made."""
+    even, uneven = shape(readings(spark, SF_DIR)), shape(readings(spark, SF_DIR).withColumn("sensor_id", F.lit("hot")).where("ingest_seq > 5"))
+    assert even.count("Exchange") == 3 and "Python" not in " ".join(even)
+    assert [x for x in even if x in ("Exchange", "Window", "HashAggregate", "Union", "Generate")] == [
+        x for x in uneven if x in ("Exchange", "Window", "HashAggregate", "Union", "Generate")
+    ]
+    rows = skewed(spark)  # reads the file's schema
+    spark.sparkContext.setJobGroup("planning", "no jobs")
+    rolling_24h(rows)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+
+
+def test_special_values_leave_the_frame(spark):
+    """What a frame once held doesn't linger: not a number, infinity, and numbers that swallow others."""
+    values = [float("nan"), float("inf"), 1e300, 2.0, 4.0]
+    rows = spark.createDataFrame([("A", 86_500 * k, v) for k, v in enumerate(values)], "sensor_id string, s long, v double").withColumn("time", F.timestamp_seconds("s"))
+    for way in WAYS.values():
+        out = [r.avg for r in trailing_averages(rows, ("v",), names=("avg",), **way).orderBy("time").collect()]
+        assert str(out[0]) == "nan" and out[1:] == values[1:]
 
 
 def test_zoneless_times_ignore_the_session_zone(spark, expected):
@@ -102,27 +108,6 @@ def test_zoneless_times_ignore_the_session_zone(spark, expected):
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         out = trailing_averages(rows, ("v",), 3600, ("avg",))
         assert [r.avg for r in out.orderBy("t").collect()] == [1.0, 2.0, 4.0]
-        assert averages(spark, sliding_rows=0) == expected
+        assert averages(spark) == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-
-
-def test_a_hot_second_is_joined_in_parts(spark):
-    """A third of all readings in one second of one sensor, as many without a time."""
-    kind = F.col("id") % 3
-    rows = spark.range(0, 60_000, 1, 12).select(
-        F.when(kind == 0, "hot").when(kind == 1, "lost").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("sensor_id"),
-        F.timestamp_seconds(F.when(kind == 0, 1000).when(kind == 2, F.col("id"))).alias("time"),
-        F.when(kind == 2, 1.0).otherwise(2.0).alias("v"),
-    )
-    out = rolling._by_second(rows, ("v",), 86_400, ("avg",), hot_rows=1000)
-    got = {r[0]: tuple(r)[1:] for r in out.groupBy("sensor_id").agg(F.count("*"), F.min("avg"), F.max("avg")).collect()}
-    assert got["hot"] == got["lost"] == (20_000, 2.0, 2.0)
-    assert sum(v[0] for v in got.values()) == 60_000
-    assert all(v[1:] == (1.0, 1.0) for s, v in got.items() if s.startswith("s"))
-
-    seconds = rows.withColumn("_second", F.unix_timestamp("time"))
-    per_second = seconds.groupBy("sensor_id", "_second").agg(F.ceil(F.count("*") / 1000).alias("_parts"))
-    parts = rolling._in_parts(seconds, per_second).groupBy("sensor_id", "_second", "_part").count()
-    assert parts.agg(F.max("count")).first()[0] < 1300
-    assert parts.filter("sensor_id IN ('hot', 'lost')").count() == 40
