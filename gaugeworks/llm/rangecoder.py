@@ -12,8 +12,9 @@ Model of a block, starting empty:
 
 The order-2 id is right with a probability mixed from what its own run of successes and the order-1 run say; the weight moves
 towards whichever was closer. The order-1 id, if it differs, takes its adaptive part of the rest, and the order-0 classes take
-what remains. The three make one interval, which narrows a 64-bit carry-less range coder that emits 16 bits at a time. Only
-integers are used, so any machine decodes alike.
+what remains. The three make one interval, which narrows a 64-bit carry-less range coder that emits 32 bits at a time: when
+the range falls below 32 bits, and cut to a multiple of 2**32 where it straddles one. Integers, and divisions that are exact after
+truncation, make any machine decode alike.
 
 Frame layout (little-endian): ``TKF1``, block length u32, ids u64, documents u32, blocks u32, classes u32;
 documents: id i64, id is null u8, length u32, each as an array; blocks: ids u32, payload bytes u32, crc32 of the ids u32, each as an array; crc32 of all before
@@ -32,14 +33,14 @@ BLOCK = 1024
 #: Blocks that are worked on together at most, which bounds the memory of their tables.
 TOGETHER = 8192
 SLOTS1, SLOTS2 = 256, 512
-STEP, HALVE = 24, 64
+STEP, HALVE = 12, 64
 #: With at most so many classes an id takes 31 bits of the range at most, which it has; else the range settles in between.
 NARROW = 17
 MAX_RUN = 7
 U64 = np.uint64
 _LOW32 = U64(0xFFFFFFFF)
 _LIMIT = U64(1 << 32)
-_16, _48 = U64(16), U64(48)
+_16, _32 = U64(16), U64(32)
 
 
 class Model:
@@ -74,11 +75,10 @@ class Model:
         self.say1, self.say2 = self.right1.take(self.q1), self.right2.take(self.q2)
         self.other = np.where(self.agree, self.say1, (65536 - self.say1) >> 3)
         w = self.weight[:n]
-        share2 = np.minimum(np.maximum((w * self.say2 + (64 - w) * self.other) >> 6, 32), 49152)
+        share2 = np.minimum(np.maximum((w * self.say2 + (64 - w) * self.other) >> 6, 32), 61440)
         rest = 65536 - share2
         share1 = np.minimum(np.maximum(rest * (self.say1 >> 4) >> 12, 32), rest >> 1)
-        share1[self.agree] = 0
-        return c2, share2, c1, share1
+        return c2, share2, c1, share1 * ~self.agree
 
     def learn(self, n: int, ids: np.ndarray, kinds: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """``kinds``: classes of ``ids``. Every statistic moves, whichever order coded the id."""
@@ -116,9 +116,13 @@ class Model:
         return (self.sums[1:, :n] <= within[None, :].astype(np.uint16)).sum(axis=0)
 
 
+_SHORT = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)
+
+
 def class_of(ids: np.ndarray) -> np.ndarray:
     """Bit length of each id."""
-    return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
+    high = ids >> 16
+    return np.where(high > 0, 16 + _SHORT[np.minimum(high, 0xFFFF)], _SHORT[ids & 0xFFFF]) if high.any() else _SHORT[ids]
 
 
 def offset_bits(kinds: np.ndarray) -> np.ndarray:
@@ -132,21 +136,16 @@ class _Narrow:
         self.low, self.range = np.zeros(lanes, U64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, U64)
 
     def settle(self, n: int, shift) -> None:
+        """Afterwards every range has at least 32 bits."""
         low, size = self.low[:n], self.range[:n]
-        which = None
-        while True:
-            lo, sz = (low, size) if which is None else (low[which], size[which])
-            same = ((lo ^ (lo + sz)) >> _48) == 0
-            small = sz < _LIMIT
-            some = np.flatnonzero(same | small)
-            if not len(some):
-                return
-            lo, sz, cut = lo[some], sz[some], (small & ~same)[some]
-            if cut.any():
-                sz = np.where(cut, (~lo + U64(1)) & _LOW32, sz)
-            which = some if which is None else which[some]
-            shift(which, lo)
-            low[which], size[which] = lo << _16, sz << _16
+        which = np.flatnonzero(size < _LIMIT)
+        if not len(which):
+            return
+        lo, sz = low[which], size[which]
+        room = (~lo + U64(1)) & _LOW32  # up to the next multiple, 0 on one
+        sz = np.where((room > 0) & (room < sz), room, sz)
+        shift(which, lo)
+        low[which], size[which] = lo << _32, sz << _32
 
 
 def _blocks(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,17 +169,19 @@ def encode_blocks(ids: np.ndarray, classes: int, block: int = BLOCK) -> list[byt
     if not lanes:
         return []
     model, coder = Model(lanes, classes), _Narrow(lanes)
-    words = np.zeros((lanes, 3 * min(block, len(ids)) + 64), np.uint16)
+    words = np.zeros((lanes, 2 * min(block, len(ids)) + 64), np.uint32)
     filled = np.zeros(lanes, np.int64)
 
     def shift(which, low):
-        words[which, filled[which]] = low >> _48
-        filled[which] += 1
+        at = filled[which]
+        words[which, at] = low >> _32
+        filled[which] = at + 1
 
+    classes_of = class_of(columns)
     for t in range(min(block, len(ids))):
         n = lanes if t < sizes[-1] else lanes - 1
         now = columns[t, :n]
-        kinds = class_of(now)
+        kinds = classes_of[t, :n]
         c2, share2, c1, share1 = model.predict(n)
         hit2, hit1 = now == c2, now == c1
         lower, width = model.class_interval(n, kinds.astype(np.int64), share2.astype(np.int64) + share1)
@@ -198,12 +199,10 @@ def encode_blocks(ids: np.ndarray, classes: int, block: int = BLOCK) -> list[byt
         size[:n] = part
         coder.settle(n, shift)
         model.learn(n, now, kinds, hit2, hit1)
-        if t % 16 == 15 and filled.max() + 160 > words.shape[1]:
-            words = np.concatenate([words, np.zeros_like(words)], axis=1)
     out = []
     for k in range(lanes):
         tail = int(coder.low[k]).to_bytes(8, "big")
-        out.append(words[k, : filled[k]].astype(">u2").tobytes() + tail)
+        out.append(words[k, : filled[k]].astype(">u4").tobytes() + tail)
     return out
 
 
@@ -217,19 +216,19 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], classes: int) -> list
     order = np.argsort(-np.asarray(sizes), kind="stable")
     lengths = np.asarray(sizes)[order]
     lanes = len(order)
-    longest = max(len(p) for p in payloads) // 2 + 8
+    longest = max(len(p) for p in payloads) // 4 + 4
     words = np.zeros((lanes, longest), U64)
     for row, k in enumerate(order):
-        body = np.frombuffer(payloads[k], ">u2", len(payloads[k]) // 2)
+        body = np.frombuffer(payloads[k], ">u4", len(payloads[k]) // 4)
         words[row, : len(body)] = body
-    code = words[:, 0] << _48 | words[:, 1] << U64(32) | words[:, 2] << _16 | words[:, 3]
-    at = np.full(lanes, 4)
+    code = words[:, 0] << _32 | words[:, 1]
+    at = np.full(lanes, 2)
     model, coder = Model(lanes, classes), _Narrow(lanes)
 
     def shift(which, low):
-        place = np.minimum(at[which], longest - 1)
-        code[which] = code[which] << _16 | words[which, place]
-        at[which] += 1
+        place = at[which]
+        code[which] = code[which] << _32 | words[which, np.minimum(place, longest - 1)]
+        at[which] = place + 1
 
     out = np.zeros((int(lengths[0]), lanes), np.uint32)
     for t in range(int(lengths[0])):

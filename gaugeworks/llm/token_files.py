@@ -29,6 +29,8 @@ from gaugeworks.llm.tokens import encoder, ids_crc32
 from gaugeworks.session import fresh_folder
 
 END = 1
+#: Words that a writing process remembers, about 150 MB; frames need little memory beside them.
+REMEMBERED = 700_000
 #: A frame is closed when it holds so many ids; it ends with a document.
 FRAME_IDS = 8192 * BLOCK
 
@@ -57,7 +59,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "do
 
         for whole in batches:
             for batch in slices(whole, [1]):
-                flat, at = encoder(tokenizer).encode(as_values(batch.column(1)), end)
+                flat, at = encoder(tokenizer, REMEMBERED).encode(as_values(batch.column(1)), end)
                 for doc, a, b in zip(as_values(batch.column(0)), at, at[1:]):
                     ids.append(doc)
                     bodies.append(flat[a:b].tobytes())

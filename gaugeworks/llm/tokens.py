@@ -118,10 +118,10 @@ class WordEncoder:
         return out, bounds
 
 
-def encoder(path: str) -> WordEncoder:
-    """The process's encoder for a file."""
+def encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
+    """The process's encoder for a file; the first call sets how many words it remembers."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = WordEncoder(path, remembered)
     return _encoders[path]
 
 
