@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -126,6 +127,14 @@ def slices(batch: pa.RecordBatch, sized: list[int]) -> Iterator[pa.RecordBatch]:
         release()
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers started from now on import this package, also where only the driver's path leads to it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def release() -> None:
     """Give memory that is free in this process back to the machine: workers of several operators share an executor's."""
     pa.default_memory_pool().release_unused()

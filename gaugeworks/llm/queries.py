@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeworks.llm import decontaminate, language, licenses, near_dedup, packing, quality_model, quality_rules, secrets, suffix_tree, token_files
+from gaugeworks.llm.columns import share_code
+
+
+def _shared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        share_code(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    queries = {
         "op1_suffix_tree": suffix_tree.op1_suffix_tree,
         "op2_licenses": licenses.op2_licenses,
         "op3_near_dedup": near_dedup.op3_near_dedup,
@@ -22,6 +31,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_rules": quality_rules.op9_quality_rules,
         "op10_token_files": token_files.op10_token_files,
     }
+    return {name: _shared(query) for name, query in queries.items()}
 
 
 def llm_oracles() -> dict[str, str]:
