@@ -10,28 +10,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeworks.llm import decontaminate, near_dedup, packing, quality_rules, secrets
-from gaugeworks.llm.columns import staged
+from gaugeworks.llm.columns import share_code, staged
 
 TOKENIZER = "word_bpe_49k.json"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
+    share_code(spark)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near copies."""
+    share_code(spark)
     return near_dedup.without_copies(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
+    share_code(spark)
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked."""
+    share_code(spark)
     return secrets.mask_secrets(docs, length="n_chars" if "n_chars" in docs.columns else None)
 
 
@@ -39,6 +43,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 tokens."""
     import public_tokenizers
 
+    share_code(spark)
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
