@@ -7,16 +7,24 @@ something through its ending. Inside a class a word keeps its share by its own c
 like one word that was never seen. The probability of a token is that of its symbol, given the symbols before it, times its share of
 the symbol.
 
-Contexts are the last one to `DEPTH` symbols; a text begins as if after an end. Contexts that make up `CONTEXT_SHARE` of all
-training tokens are candidates, which again bounds their number. A candidate is retained if its next symbols diverge enough from
+Contexts are the last one to `DEPTH` symbols; a text begins as if after an end. Of symbols, contexts that make up `CONTEXT_SHARE` of
+all training tokens are candidates, which again bounds their number. A candidate is retained if its next symbols diverge enough from
 those of its suffix: the log likelihood that they gain must exceed one per distinct next symbol (Akaike's criterion). Suffixes of
 retained contexts are retained. Distributions are smoothed with the suffix's, weighted by the number of distinct next symbols; the
-shortest is that of the counts plus one. A text is scored by the longest retained suffix at each place.
+shortest is that of the counts plus one. What the longest retained suffix says is where the contexts of words begin.
 
-What it gathers grows with the corpus: the counts of all words. They are neither collected nor broadcast. Texts are packed into
-blocks of about `BLOCK_BYTES`; a block sends each of its distinct words once, the counts are summed by word (a frequent word has one
-row per block), and come back to the block in the order of its words. Words are told apart by a 64-bit hash. Only the
-symbols and the counts after candidate contexts, both bounded as above, come to the driver and go back to the tasks.
+Contexts of the words themselves, one to `DEPTH`, are candidates from `LEAST` training occurrences on, however large the corpus is.
+The same test decides, against what the next shorter context of words gives at the same places (the symbols', at first), and the same
+smoothing holds. A token is scored by its longest context of words that passes; contexts are looked up by hash, so that none needs
+its suffixes to pass.
+
+What it gathers grows with the corpus: the counts of all words, and of all contexts of words with what follows them. None of it is
+collected or broadcast. Texts are packed into blocks of about `BLOCK_BYTES`; a block sends each of its distinct words once, the counts
+are summed by word (a frequent word has one row per block), and come back to the block in the order of its words. For each depth a
+block sends each distinct context with its next word once, then each distinct context once, to a bucket of hashes that adds them up and
+answers in the block's order; so a frequent context has one entry per block too. A context that is longer is sent only where the
+shorter one came back often enough. Words and contexts are told apart by 64-bit hashes. Only the symbols and the counts after
+candidate contexts of symbols, both bounded as above, come to the driver and go back to the tasks.
 
 A null text is empty and has the end alone. Repeated rows each count. Without training texts all that is known is that a text may
 end or go on. An empty table gives an empty result.
@@ -36,12 +44,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gaugeworks.llm.columns import as_values, hashed, slices, staged, word_codes
+from gaugeworks.llm.columns import as_values, hashed, mixed, slices, staged, word_codes
 
 DEPTH = 3
 SYMBOL_SHARE = 5e-4
 CONTEXT_SHARE = 2e-4
+#: Training occurrences of a context of words.
+LEAST = 2
 BLOCK_BYTES = 8 << 20
+#: Places of the corpus for each bucket of hashes.
+BUCKET = 1 << 20
 #: Symbols are below 2 / SYMBOL_SHARE + 2, so a context of three fits a 64-bit number.
 BITS = 12
 END, REST = 0, 1
@@ -240,7 +252,8 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
 
 
 def _symbol_blocks(blocks: DataFrame, totals: DataFrame, symbols: Symbols, n: int, v: int) -> DataFrame:
-    """Per block: documents with their sums that need word counts, and the symbols of their tokens. Staged."""
+    """Per block: documents with their sums that need word counts, the symbols of their tokens, and these as places among the end and
+    the block's distinct words, with the words' hashes, training counts and log10 shares of their symbols. Staged."""
     rows = blocks.select("block", F.posexplode("words").alias("place", "word"))
     frequent, classes = symbols.tables(blocks.sparkSession)
     named = totals.join(F.broadcast(frequent), "word", "left").join(F.broadcast(classes), "shape", "left")
@@ -249,16 +262,15 @@ def _symbol_blocks(blocks: DataFrame, totals: DataFrame, symbols: Symbols, n: in
     counted = rows.join(named, "word").groupBy("block").agg(known).select(F.col("block").alias("of"), F.col("known.c").alias("totals"), F.col("known.symbol").alias("own"))
     kind = blocks.schema["ids"].dataType
     doubles, longs = _array(T.DoubleType()), _array(T.LongType())
-    schema = T.StructType(
-        [T.StructField(c, t) for c, t in [("ids", kind), ("held", _array(T.BooleanType())), ("n_tokens", longs), ("n_known", longs), ("base", doubles), ("inside", doubles), ("symbols", T.BinaryType())]]
-    )
+    documents = [("block", T.LongType()), ("ids", kind), ("held", _array(T.BooleanType())), ("n_tokens", longs), ("n_known", longs), ("base", doubles)]
+    schema = T.StructType([T.StructField(c, t) for c, t in [*documents, *((c, T.BinaryType()) for c in ("symbols", "codes", "words", "counts", "inside"))]])
     arrow = to_arrow_schema(schema)
     log_mass = np.log10(symbols.mass)
     ends = int(symbols.counts[END])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, held, lengths, codes, counts, own in zip(*(batch.column(k) for k in range(6))):
+            for block, ids, held, lengths, codes, words, counts, own in zip(*(batch.column(k) for k in range(8))):
                 lengths = np.asarray(lengths.values).astype(np.int64)
                 codes = _spread(codes.as_py(), "<u4")
                 c = np.asarray(counts.values) if counts.is_valid else np.zeros(0, np.int64)
@@ -266,19 +278,24 @@ def _symbol_blocks(blocks: DataFrame, totals: DataFrame, symbols: Symbols, n: in
                 inside = np.log10(c + 1) - log_mass[own]
                 docs, owner = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
                 base = np.bincount(owner, np.log10((c + 1) / (n + v + 1))[codes], docs) + np.log10((ends + 1) / (n + v + 1))
+                at = np.cumsum(lengths)
                 row = [
+                    block.as_py(),
                     ids.as_py(),
                     held.as_py(),
                     lengths + 1,
                     np.bincount(owner, (c > 0)[codes], docs).astype(np.int64) + (ends > 0),
                     base,
-                    np.bincount(owner, inside[codes], docs),
-                    _squeezed(np.insert(own[codes], np.cumsum(lengths), END)),
+                    _squeezed(np.insert(own[codes], at, END)),
+                    _packed(np.insert(codes + np.uint32(1), at, 0).astype("<u4")),
+                    _packed(np.concatenate([[0], np.asarray(words.values)]).astype("<i8")),
+                    _packed(np.concatenate([[ends], c]).astype("<i8")),
+                    _packed(np.concatenate([[0.0], inside]).astype("<f8")),
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, arrow)], schema=arrow)
 
     joined = blocks.join(counted, blocks["block"] == counted["of"], "left")  # a block of empty texts has no words
-    return staged(joined.select("ids", "held", "lengths", "codes", "totals", "own").mapInArrow(run, schema))
+    return staged(joined.select("block", "ids", "held", "lengths", "codes", "words", "totals", "own").mapInArrow(run, schema))
 
 
 def _training_symbols(row: dict) -> np.ndarray:
@@ -312,7 +329,197 @@ def learn(symbol_blocks: DataFrame, symbols: Symbols, depth: int = DEPTH, share:
     return build(symbols.mass, levels)
 
 
-def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, symbol_share: float = SYMBOL_SHARE, context_share: float = CONTEXT_SHARE) -> DataFrame:
+# ---- contexts of words ----------------------------------------------------------------------------------------------
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Squeezed, first bytes first: most numbers are small, and hashes are in order."""
+    return _squeezed(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T)
+
+
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
+_DOCUMENTS = ("ids", "held", "n_tokens", "n_known", "base")
+_SENT = T.StructType([T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()), *(T.StructField(c, T.BinaryType()) for c in ("keys", "counts", "also", "sums"))])
+_BACK = T.StructType([*(T.StructField(c, t) for c, t in (("block", T.LongType()), ("of", T.IntegerType()), ("bucket", T.IntegerType()))), *_SENT.fields[3:]])
+
+
+@dataclass
+class Places:
+    """The places of a block whose context of ``depth`` words is a candidate, in the order of the text."""
+
+    codes: np.ndarray  # of all places; 0 is the end
+    words: np.ndarray  # hashes by code
+    at: np.ndarray
+    lower: np.ndarray  # the probability of the token, given the next shorter context
+    best: np.ndarray  # given the longest that passed
+
+    @classmethod
+    def of(cls, row: dict) -> Places:
+        at = np.flatnonzero(np.unpackbits(_unpacked(row["open"], "u1")))
+        return cls(_unpacked(row["codes"], "<u4"), _unpacked(row["words"], "<i8").view(np.uint64), at, *(_unpacked(row[c], "<f4").astype(float) for c in ("lower", "best")))
+
+    def row(self) -> dict:
+        marks = np.zeros(len(self.codes), bool)
+        marks[self.at] = True
+        return {"open": _packed(np.packbits(marks)), "lower": _packed(self.lower.astype("<f4")), "best": _packed(self.best.astype("<f4"))}
+
+    def keys(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of each place's context, and of the context with the token."""
+        stream = np.concatenate([self.words[:1], self.words[self.codes]])  # the end before the first text
+        context = np.zeros(len(self.at), np.uint64)
+        for j in range(depth):
+            context = mixed(context * np.uint64(0x9E3779B97F4A7C15) + stream[self.at - j] + np.uint64(1))
+        return context, mixed(context * np.uint64(0x9E3779B97F4A7C15) + stream[self.at + 1] + np.uint64(1))
+
+
+class Grouped:
+    """What a block sends of its places: distinct contexts, distinct grams (contexts with the next word), and places of each."""
+
+    def __init__(self, places: Places, training: np.ndarray, depth: int):
+        contexts_, grams = places.keys(depth)
+        self.grams, first, self.gram = np.unique(grams, return_index=True, return_inverse=True)
+        self.contexts, of = np.unique(contexts_[first], return_inverse=True)
+        self.context_of = of  # by gram
+        seen = training[places.at]
+        self.counts = np.bincount(self.gram[seen], minlength=len(self.grams)).astype(np.int64)
+        self.logs = np.bincount(self.gram[seen], np.log(places.lower[seen]), len(self.grams))
+
+    def of_contexts(self, totals: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By context: occurrences here; distinct next words, and what they gain in log likelihood, of the grams this block answers for
+        (those whose ``logs`` are there)."""
+        mine = ~np.isnan(logs) & (totals > 0)
+        size, owner = len(self.contexts), self.context_of
+        gain = totals[mine] * np.log(totals[mine]) - logs[mine]
+        count = np.bincount(owner, self.counts, size).astype(np.int64)
+        return count, np.bincount(owner[mine], minlength=size).astype(np.int64), np.bincount(owner[mine], gain, size)
+
+
+def _parts(block: int, keys: np.ndarray, counts: np.ndarray, also: np.ndarray, sums: np.ndarray, buckets: int) -> list[dict]:
+    """Rows of `_SENT` for each bucket of hashes: ranges of equal size, so the keys' order stays."""
+    ends = np.searchsorted(keys >> np.uint64(32), [(k << 32) // buckets for k in range(1, buckets)] + [1 << 32])
+    starts = [0, *ends[:-1].tolist()]
+    return [
+        {"block": block, "bucket": k, "keys": _packed(keys[a:b].view("<u8")), "counts": _packed(counts[a:b]), "also": _packed(also[a:b]), "sums": _packed(sums[a:b].astype("<f8"))}
+        for k, (a, b) in enumerate(zip(starts, ends.tolist()))
+        if b > a
+    ]
+
+
+def _added(table: pa.Table, second: bool) -> pa.Table:
+    """One bucket: sums by key, answered to each block in its order. First, the counts, and the sums to one of the blocks that have
+    the key; then both counts, and whether a context of this count passes."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["block"])
+    keys = [_unpacked(r["keys"], "<u8") for r in rows]
+    counts, also = (np.concatenate([_unpacked(r[c], "<i8") for r in rows]) for c in ("counts", "also"))
+    sums = np.concatenate([_unpacked(r["sums"], "<f8") for r in rows])
+    distinct, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    counts, sums = np.bincount(place, counts, len(distinct)).astype(np.int64), np.bincount(place, sums, len(distinct))
+    also = np.bincount(place, also, len(distinct)).astype(np.int64)
+    if second:
+        passes = sums - counts * np.log(np.maximum(counts, 1)) > also
+        answer = passes.astype(float)[place]
+    else:
+        answer = np.full(len(place), np.nan)
+        answer[first] = sums
+    at = np.cumsum([0, *map(len, keys)])
+    return _table(
+        _BACK,
+        [
+            {"block": r["block"], "of": 1 + second, "bucket": r["bucket"], "counts": _packed(counts[place[a:b]]), "also": _packed(also[place[a:b]] if second else np.zeros(0, "<i8")), "sums": _packed(answer[a:b])}
+            for r, a, b in zip(rows, at, at[1:])
+        ],
+    )
+
+
+def _table(schema: T.StructType, rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema=to_arrow_schema(schema))
+
+
+def _answers(table: pa.Table, of: int, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    """The columns of the answers of all buckets, in the order of the keys."""
+    rows = sorted((r for r in table.to_pylist() if r["of"] == of), key=lambda r: r["bucket"])
+    return [np.concatenate([np.zeros(0, k), *(_unpacked(r[c], k) for r in rows)]) for c, k in zip(("counts", "also", "sums"), kinds)]
+
+
+def _training(row: dict) -> np.ndarray:
+    return np.repeat(~np.array(row["held"], bool), row["n_tokens"])
+
+
+def _sums_by_text(row: dict, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    owner = np.searchsorted(np.cumsum(row["n_tokens"]), at, side="right")
+    return np.bincount(owner, values, len(row["n_tokens"]))
+
+
+def _settled(row: dict, places: Places, stay: np.ndarray) -> dict:
+    """What changes in ``row`` when the places ``stay`` remain: the others' scores are added to their texts'."""
+    done = np.array(row["done"]) + _sums_by_text(row, places.at[~stay], np.log10(places.best[~stay]))
+    left = Places(places.codes, places.words, places.at[stay], places.lower[stay], places.best[stay])
+    return {"done": done.tolist(), **left.row()}
+
+
+def _open(tokens: DataFrame, tree: Tree, least: int) -> DataFrame:
+    """Blocks before the first depth: what the symbols say of each token, and places after a frequent enough word. Staged."""
+    documents = [tokens.schema[c] for c in ("block", *_DOCUMENTS)]
+    binary = [T.StructField(c, T.BinaryType()) for c in ("codes", "words", "open", "lower", "best")]
+    schema = T.StructType([*documents, T.StructField("done", _array(T.DoubleType())), *binary])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                codes, counts = _unpacked(row["codes"], "<u4"), _unpacked(row["counts"], "<i8")
+                known = 10 ** (tree.score(_spread(row["symbols"], "<u2")) + _unpacked(row["inside"], "<f8")[codes])
+                places = Places(codes, _unpacked(row["words"], "<i8").view(np.uint64), np.arange(len(codes)), known, known)
+                row["done"] = [0.0] * len(row["ids"])
+                row |= _settled(row, places, counts[np.concatenate([[0], codes[:-1]])] >= least)
+                yield pa.RecordBatch.from_pylist([{f.name: row[f.name] for f in arrow}], schema=arrow)
+
+    return staged(tokens.mapInArrow(run, schema))
+
+
+def _deeper(state: DataFrame, depth: int, buckets: int, least: int) -> DataFrame:
+    """Blocks after the contexts of ``depth`` words. Staged."""
+    arrow = to_arrow_schema(state.schema)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = Grouped(Places.of(row), _training(row), depth)
+                yield from _table(_SENT, _parts(row["block"], own.grams, own.counts, np.zeros(len(own.grams), "<i8"), own.logs, buckets)).to_batches()
+
+    def send_contexts(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for row in left.to_pylist():
+            own = Grouped(Places.of(row), _training(row), depth)
+            totals, _, logs = _answers(right, 1, ("<i8", "<i8", "<f8"))
+            out += _parts(row["block"], own.contexts, *own.of_contexts(totals, logs), buckets)
+        return _table(_SENT, out)
+
+    def take(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for row in left.to_pylist():
+            places = Places.of(row)
+            own = Grouped(places, _training(row), depth)
+            totals, _, _ = _answers(right, 1, ("<i8", "<i8", "<f8"))
+            count, distinct, passes = (x[own.context_of] for x in _answers(right, 2, ("<i8", "<i8", "<f8")))
+            given = ((totals / (count + distinct))[own.gram] + (distinct / (count + distinct))[own.gram] * places.lower) if len(places.at) else places.lower
+            places = Places(places.codes, places.words, places.at, given, np.where(passes[own.gram] > 0, given, places.best))
+            longer = places.at[(totals[own.gram] >= least) & (places.codes[places.at] > 0)] + 1
+            out.append({f.name: row[f.name] for f in arrow} | _settled(row, places, np.isin(places.at, longer, assume_unique=True)))
+        return pa.Table.from_pylist(out, schema=arrow)
+
+    first = staged(state.mapInArrow(send, _SENT).groupBy("bucket").applyInArrow(lambda t: _added(t, False), _BACK))
+    blocks = state.groupBy("block")
+    contexts_ = blocks.cogroup(first.groupBy("block")).applyInArrow(send_contexts, _SENT)
+    second = contexts_.groupBy("bucket").applyInArrow(lambda t: _added(t, True), _BACK)
+    return staged(blocks.cogroup(first.unionAll(second).groupBy("block")).applyInArrow(take, state.schema))
+
+
+def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, symbol_share: float = SYMBOL_SHARE, context_share: float = CONTEXT_SHARE, depth: int = DEPTH, least: int = LEAST, bucket: int = BUCKET) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learned where not ``held_out``."""
     blocks = _blocks(docs.select(F.col(doc_id).alias("id"), held_out.alias("held"), F.col(text).alias("body")), block_bytes)
     zipped = F.explode(F.arrays_zip("words", "shapes", "counts")).alias("w")
@@ -327,6 +534,10 @@ def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str
     symbols = choose_symbols(frequent, shapes, ends, max(1.0, symbol_share * n))
     tokens = _symbol_blocks(blocks, totals, symbols, n, v)
     tree = learn(tokens, symbols, share=context_share)
+    places = tokens.select(F.explode("n_tokens").alias("n")).agg(F.sum("n")).first()[0] or 0
+    state = _open(tokens, tree, least)
+    for d in range(1, depth + 1):
+        state = _deeper(state, d, max(1, -(-places // bucket)), least)
     schema = T.StructType(
         [T.StructField("doc_id", blocks.schema["ids"].dataType.elementType), T.StructField("held_out", T.BooleanType())]
         + [T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")]
@@ -336,16 +547,13 @@ def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, held, lengths, known_, base, inside, packed in zip(*(batch.column(k) for k in range(7))):
-                size = np.asarray(lengths.values)
-                logs = tree.score(_spread(packed.as_py(), "<u2"))
-                outside = np.bincount(np.repeat(np.arange(len(size)), size), logs, len(size))
-                train = pa.array(np.full(len(size), n))
-                score = pa.array(outside + np.asarray(inside.values))
-                columns = [ids.values, held.values, lengths.values, known_.values, train, base.values, score]
-                yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, arrow)], schema=arrow)
-
-    return tokens.mapInArrow(run, schema)
+            for row in batch.to_pylist():
+                places = Places.of(row)
+                left = _settled(row, places, np.zeros(len(places.at), bool))["done"]
+                columns = [row["ids"], row["held"], row["n_tokens"], row["n_known"], [n] * len(left), row["base"], left]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, arrow)], schema=arrow)
+
+    return state.select("ids", "held", "n_tokens", "n_known", "base", "done", "codes", "words", "open", "lower", "best").mapInArrow(run, schema)
 
 
 def op1_suffix_tree(spark, sf_dir: str) -> DataFrame:
