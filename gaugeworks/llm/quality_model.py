@@ -6,7 +6,10 @@ disagree. It needs only how many documents have each pattern of votes, which is
 patterns is bounded by the labellers (3 to their power). The posterior of a document's pattern is its label.
 
 A linear scorer is then trained on posterior labels: features are words, hashed into `FEATURES` places, and the votes. Its
-training sample is bounded by `SAMPLE` documents; scoring covers all of them.
+training sample is bounded by about `SAMPLE` different texts; scoring covers all of them. The draw is stratified by the patterns of
+either task, so that each has its part of the sample or all of its texts: a rare kind of text is learned in a corpus of any size. The
+chance of a text depends on its votes alone, which are among the features and decide the target, so the scorer needs no weights to
+make up for it. In training a pattern's texts are repeated until there are `LEAST` of them.
 
 The same model runs twice, with labellers of quality and of toxicity (a vote of 1 is clean there). A text is kept if both scores
 reach one half.
@@ -26,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.columns import alnum_words, append_columns, word_hashes
+from gaugeworks.llm.columns import alnum_words, append_columns, staged, word_hashes
 from gaugeworks.llm.quality_rules import SYMBOLS, duplicate_lines, repeated_words
 
 SAMPLE = 6000
+LEAST = 32
 FEATURES = 1 << 16
 ITERATIONS = 60
 EPOCHS = 5
@@ -245,17 +249,45 @@ def _word_places(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - 16)).astype(np.int64)
 
 
-def vote_patterns(docs: DataFrame, text: str = "text") -> list[tuple[list[int], int]]:
-    """All patterns of votes with their counts over all documents."""
+def voted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(key, votes) of all rows; the key is a hash of the text. Staged: a few bytes a row."""
     kind = T.StructType([T.StructField("votes", T.ArrayType(T.ByteType()))])
-    voted = append_columns(docs.select(text), [text], kind, lambda texts: [[votes_of(t) for t in texts]])
-    return [(list(r.votes), r["count"]) for r in voted.groupBy("votes").count().collect()]
+    bodies = docs.select(F.coalesce(F.col(text), F.lit("")).alias("body")).withColumn("key", F.xxhash64("body"))
+    return staged(append_columns(bodies, ["body"], kind, lambda texts: [[votes_of(t) for t in texts]]).select("key", "votes"))
 
 
-def _sampled(docs: DataFrame, text: str, rows: int, total: int) -> list:
-    """(votes, word places, their counts) of about ``rows`` different texts, in a fixed order."""
-    space = 1 << 30
-    drawn = docs.select(F.coalesce(F.col(text), F.lit("")).alias("body")).where(F.pmod(F.xxhash64("body"), F.lit(space)) < int(rows * space / max(total, 1)) + 1)
+def vote_patterns(votes: DataFrame) -> list[tuple[list[int], int, int]]:
+    """All patterns of votes with their counts of rows, and of different texts, over all documents."""
+    different = votes.groupBy("key", "votes").count()
+    found = different.groupBy("votes").agg(F.sum("count").alias("n"), F.count("*").alias("texts")).collect()
+    return [(list(r.votes), r.n, r.texts) for r in found]
+
+
+def shares(patterns: np.ndarray, texts: np.ndarray, sample: int) -> np.ndarray:
+    """The share of each pattern's texts to draw, about ``sample`` in all: the largest of what is alike for all texts, and what gives
+    each pattern of a task as many texts."""
+    each = [np.full(len(texts), 1 / max(texts.sum(), 1))]
+    at = 0
+    for labellers in TASKS.values():
+        kinds, own = np.unique(patterns[:, at : at + len(labellers)], axis=0, return_inverse=True)
+        at += len(labellers)
+        each.append(1 / (len(kinds) * np.bincount(own.ravel(), texts)[own.ravel()]))
+    rate = np.max(each, axis=0)
+    low, high = 0.0, 1 / rate.min(initial=1)
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if (texts * np.minimum(1, middle * rate)).sum() <= sample else (low, middle)
+    return np.minimum(1, high * rate)
+
+
+def _sampled(docs: DataFrame, text: str, votes: DataFrame, patterns: list[list[int]], share: np.ndarray) -> list:
+    """(votes, word places, their counts) of different texts, of each pattern about its share, in a fixed order."""
+    space, spark = 1 << 30, docs.sparkSession
+    least = spark.createDataFrame([(p, int(x)) for p, x in zip(patterns, np.ceil(share * space))], "votes array<tinyint>, least long")
+    keys = votes.join(F.broadcast(least), "votes").where(F.pmod("key", F.lit(space)) < F.col("least")).select("key").distinct()
+    known = spark.createDataFrame(keys.collect(), "key long")  # about as many as the sample
+    bodies = docs.select(F.coalesce(F.col(text), F.lit("")).alias("body")).withColumn("key", F.xxhash64("body"))
+    drawn = bodies.join(F.broadcast(known), "key", "left_semi").select("body")
     kind = T.StructType([T.StructField("votes", T.ArrayType(T.ByteType())), T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))])
 
     def work(texts: list) -> list:
@@ -267,12 +299,19 @@ def _sampled(docs: DataFrame, text: str, rows: int, total: int) -> list:
     return [(list(r.votes), np.array(r.places, np.int64), np.array(r.counts, float)) for r in sorted(rows_, key=lambda r: r.k)]
 
 
+def repeated(patterns: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """Places of all rows, those of a rare pattern again until there are ``least``."""
+    _, own, counts = np.unique(patterns, axis=0, return_inverse=True, return_counts=True)
+    return np.repeat(np.arange(len(patterns)), np.maximum(1, -(-least // counts))[own.ravel()])
+
+
 def learn(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict[str, tuple]:
     """For each task: prior, accuracies and the trained scorer."""
-    found = vote_patterns(docs, text)
-    patterns = np.array([p for p, _ in found], np.int64).reshape(len(found), len(ALL))
-    counts = np.array([n for _, n in found], float)
-    rows = _sampled(docs, text, sample, int(counts.sum())) if len(found) else []
+    votes = voted(docs, text)
+    found = vote_patterns(votes)
+    patterns = np.array([p for p, _, _ in found], np.int64).reshape(len(found), len(ALL))
+    counts, texts = (np.array([f[k] for f in found], float) for k in (1, 2))
+    rows = _sampled(docs, text, votes, [p for p, _, _ in found], shares(patterns, texts, sample)) if len(found) else []
     sampled = np.array([v for v, _, _ in rows], np.int64).reshape(len(rows), len(ALL))
     out, at = {}, 0
     for name, labellers in TASKS.items():
@@ -282,10 +321,11 @@ def learn(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict[str
         target = posterior(sampled[:, mine], prior, right)
         scorer = Scorer()
         if len(rows):
-            votes = vote_features(sampled[:, mine], name)
-            places = [np.concatenate([p, v]) for (_, p, _), v in zip(rows, votes)]
+            votes_at = vote_features(sampled[:, mine], name)
+            places = [np.concatenate([p, v]) for (_, p, _), v in zip(rows, votes_at)]
             values = [np.concatenate([c / np.sqrt(max(c.sum(), 1)), np.ones(len(labellers))]) for _, _, c in rows]
-            scorer.train(places, values, target)
+            again = repeated(sampled[:, mine])
+            scorer.train([places[k] for k in again], [values[k] for k in again], target[again])
         out[name] = (prior, right, scorer)
     return out
 
