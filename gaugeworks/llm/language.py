@@ -4,8 +4,8 @@ The network reads windows of `WINDOW` bytes (A-Z lower-cased, zero-padded): an e
 the maximum of each filter over the window after a rectifier, and a softmax over the learned languages. A text is cut into
 consecutive windows, all of them; its prediction is the mean of the windows' probabilities, weighted by their bytes.
 
-Training uses a sample: about `PER_LANGUAGE` different texts of every language, and at most `PER_TEXT` windows of each, which are
-cut in the tasks, so that the sample's size is bounded by these parameters and the number of languages. Some windows are
+Training uses a sample: `PER_LANGUAGE` different texts with a letter of every language (all where there are fewer), those of the
+smallest hashes, and at most `PER_TEXT` windows of each, which are cut in the tasks, so that the sample's size is bounded by these parameters and the number of languages. Some windows are
 shortened, so that short texts are learned too. Training is deterministic for given rows.
 
 For prediction the first layer is folded into tables by byte pairs, so that a filter of four bytes costs two look-ups.
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.columns import append_columns, as_values, slices
+from gaugeworks.llm.columns import append_columns, as_values, slices, staged
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -39,6 +39,7 @@ UNKNOWN = "und"
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _LETTER = re.compile(r"[^\W\d_]")
+_JAVA_LETTER = r"[\p{L}\p{Nl}\p{No}]"
 
 
 def has_letter(text: bytes | None) -> bool:
@@ -168,10 +169,18 @@ def _gradients(net: Network, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -
 def training_windows(docs: DataFrame, language: Column, text: Column, per_language: int = PER_LANGUAGE, per_text: int = PER_TEXT, window: int = WINDOW) -> list:
     """Rows (language, window) of a bounded sample, in a fixed order."""
     rows = docs.select(language.cast("string").alias("lang"), text.alias("body")).where("lang IS NOT NULL AND body IS NOT NULL")
-    counts = rows.groupBy("lang").count()
+    rows = rows.select("lang", "body", F.xxhash64("body").alias("key"))
     space = 1 << 30
-    share = counts.select("lang", F.ceil(F.lit(per_language * space) / F.col("count")).alias("share"))
-    drawn = rows.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("body"), F.lit(space)) < F.col("share"))  # one row a language
+    # Different texts, told apart by their hash: copies are reduced in the scan, and only hashes are shuffled.
+    known = staged(rows.where(F.col("body").rlike(_JAVA_LETTER)).select("lang", "key").distinct())
+    place = F.pmod("key", F.lit(space))
+    counts = known.groupBy("lang").agg(F.ceil(F.lit(2 * per_language * space) / F.count("*")).alias("share"))  # one row a language
+    near = known.join(F.broadcast(counts), "lang").where(place < F.col("share")).select("lang", place.alias("place"), "key").collect()
+    taken: dict[str, list] = {}
+    for r in sorted(near):
+        taken.setdefault(r.lang, []).append(r.key)
+    keys = [(lang, key) for lang, own in taken.items() for key in own[:per_language]]
+    drawn = rows.join(F.broadcast(rows.sparkSession.createDataFrame(keys, "lang string, key long")), ["lang", "key"])
     different = drawn.select("lang", "body").dropDuplicates()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
