@@ -2,8 +2,9 @@
 
 A text that zstandard shrinks far more than prose of its length is repetitive; one that it hardly shrinks is noise. Small
 texts shrink less, so the band of accepted ratios (bytes before / bytes after) depends on the length. The same holds
-for each chunk of `CHUNK` bytes: a text may have a tenth of its chunks outside the chunk band, which lets a table or an
-address list pass and rejects a text of which a good part repeats or is noise.
+for each chunk of `CHUNK` bytes, the last one being the final `CHUNK` bytes, so that every byte is in one: a text may have a tenth
+of its bytes in chunks outside the chunk band, which lets a table or an address list pass and rejects a text of which a good part
+repeats or is noise. A text shorter than a chunk is judged by its whole ratio.
 
 Counts are over words ``[^\\x20\\x09-\\x0D]+``; a null text has none and is not kept. `repeated_words` is exact: windows
 are grouped by a hash, and windows of equal hash are compared word by word.
@@ -102,13 +103,17 @@ def compression(text: bytes, squeeze) -> tuple[float | None, int, int, bool]:
     ratio = len(text) / len(squeeze(text))
     limits = band(len(text))
     passes = limits is None or limits[0] <= ratio <= limits[1]
-    chunks = odd = 0
-    if len(text) >= 2 * CHUNK:  # a shorter text is about one chunk, which the whole ratio covers
-        for at in range(0, len(text) - CHUNK + 1, CHUNK):
+    chunks = odd = odd_bytes = reach = 0
+    if len(text) >= CHUNK:
+        for start in range(0, len(text), CHUNK):
+            at = min(start, len(text) - CHUNK)  # the last chunk may overlap the one before
             share = CHUNK / len(squeeze(text[at : at + CHUNK]))
             chunks += 1
-            odd += not CHUNK_BAND[0] <= share <= CHUNK_BAND[1]
-    return ratio, chunks, odd, passes and odd <= MAX_ODD_CHUNKS * chunks
+            if not CHUNK_BAND[0] <= share <= CHUNK_BAND[1]:
+                odd += 1
+                odd_bytes += at + CHUNK - max(at, reach)
+                reach = at + CHUNK
+    return ratio, chunks, odd, passes and odd_bytes <= MAX_ODD_CHUNKS * len(text)
 
 
 def rules(text: bytes | None, squeeze) -> dict:
