@@ -2,8 +2,8 @@
 
 A text is lower-cased (A-Z) and cut into words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``; rules are regular expressions over the
 words joined by single spaces, so punctuation, line breaks and comment marks don't matter. A rule belongs to a tier, which is
-its priority, and to a keyword; an automaton finds the keywords of a text in one pass, and only rules whose keyword occurs are
-tried. Of overlapping detections, one that lies inside another of equal or higher priority is suppressed.
+its priority, and has keywords, one in each of its alternatives; an automaton finds the keywords of a text in one pass, and only
+rules of which a keyword occurs are tried. Of overlapping detections, one that lies inside another of equal or higher priority is suppressed.
 
 Tiers, from high to low: identifier lines, addresses, whole notices, statements that something is under a license, names.
 Four phrases (`BASE`) are counted wherever they stand and always give their label.
@@ -18,6 +18,8 @@ import re
 from bisect import bisect_right
 from functools import lru_cache
 from itertools import accumulate
+from re import _constants as sre  # the parts of a parsed expression
+from re import _parser as parser
 
 import ahocorasick
 import numpy as np
@@ -33,7 +35,8 @@ BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("c
 #: Tier: priority and score.
 TIERS = {"identifier": (5, 1.0), "address": (4, 0.95), "notice": (3, 0.9), "statement": (2, 0.8), "name": (1, 0.6)}
 
-#: label | keyword | names (alternatives, longest first). Each gives a name rule and a statement rule.
+#: label | keyword | names (alternatives, longest first). Each gives a name rule and a statement rule. A name that can do without the
+#: keyword has one of its own (`_keyword`).
 NAMES = r"""
 agpl-3.0 | affero | gnu affero general public license(?: as published by the free software foundation)?,? (?:either )?version 3; gnu affero general public license v(?:ersion )?3; affero gpl v?3; agpl ?v?3(?: 0)?
 agpl | affero | gnu affero general public license; affero general public license
@@ -231,7 +234,7 @@ python-2.0 | python software foundation | python software foundation license ver
 postgresql | without a written agreement | permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted
 openssl | openssl project | this product includes software developed by the openssl project for use in the openssl toolkit
 x11 | in advertising or otherwise | except as contained in this notice the name of .{1,60}? shall not be used in advertising or otherwise to promote the sale
-ncsa | documentation files | to deal with the software without restriction including without limitation the rights to use copy
+ncsa | deal with the software | to deal with the software without restriction including without limitation the rights to use copy
 ms-pl | microsoft public license | this license governs use of the accompanying software if you use the software you accept this license
 public-domain | public domain | this (?:work|file|software|code) is (?:hereby )?(?:released|placed|dedicated) (?:in|into|to) the public domain
 public-domain | no rights reserved | no rights reserved
@@ -311,28 +314,47 @@ def _rows(table: str) -> list[list[str]]:
     return [[x.strip() for x in line.split("|", 2)] for line in table.strip().splitlines()]
 
 
+def required(rule: str) -> list[str]:
+    """Runs of characters that are in whatever ``rule`` matches; what is optional or has a choice ends a run."""
+    runs = [""]
+    for kind, value in parser.parse(rule):
+        if kind is sre.LITERAL:
+            runs[-1] += chr(value)
+        else:
+            runs.append("")
+    return [r for r in runs if r]
+
+
+def _keyword(name: str, key: str) -> str:
+    """``key`` where the name can't do without it, else the longest run of its own, the last of equals."""
+    runs = required(name)
+    return key if any(key in r for r in runs) else max(reversed(runs), key=len)
+
+
 @lru_cache(maxsize=1)
-def rules() -> list[tuple[str, str, str, re.Pattern]]:
-    """(label, tier, keyword, expression), higher tiers first."""
+def rules() -> list[tuple[str, str, tuple[str, ...], re.Pattern]]:
+    """(label, tier, keywords, expression), higher tiers first."""
     out = []
     for name in IDENTIFIERS.split():
         words = " ".join(re.findall(r"[0-9a-z]+", name.lower()))
-        out.append((name.lower(), "identifier", "spdx", rf"spdx license identifier {words}"))
-    out += [(label, "address", key, rule) for label, key, rule in _rows(ADDRESSES)]
-    out += [(label, "notice", key, rule) for label, key, rule in _rows(NOTICES)]
+        out.append((name.lower(), "identifier", ("spdx",), rf"spdx license identifier {words}"))
+    out += [(label, "address", (key,), rule) for label, key, rule in _rows(ADDRESSES)]
+    out += [(label, "notice", (key,), rule) for label, key, rule in _rows(NOTICES)]
     for label, key, names in _rows(NAMES):
-        choices = "|".join(n.strip().replace(",", "") for n in names.split(";"))
+        single = [n.strip().replace(",", "") for n in names.split(";")]
+        choices, keys = "|".join(single), tuple(sorted({_keyword(n, key) for n in single}))
         if label != "proprietary":
-            out.append((label, "statement", key, _STATEMENT.format(choices)))
-        out.append((label, "name", key, choices))
-    return [(label, tier, key, re.compile(rf"(?<= )(?:{rule})(?= )")) for label, tier, key, rule in out]
+            out.append((label, "statement", keys, _STATEMENT.format(choices)))
+        out.append((label, "name", keys, choices))
+    return [(label, tier, keys, re.compile(rf"(?<= )(?:{rule})(?= )")) for label, tier, keys, rule in out]
 
 
 @lru_cache(maxsize=1)
 def _gate() -> tuple[ahocorasick.Automaton, dict[str, list[int]]]:
     by_key: dict[str, list[int]] = {}
-    for k, (_, _, key, _) in enumerate(rules()):
-        by_key.setdefault(key, []).append(k)
+    for k, (_, _, keys, _) in enumerate(rules()):
+        for key in keys:
+            by_key.setdefault(key, []).append(k)
     automaton = ahocorasick.Automaton()
     for key in [*by_key, *(phrase for phrase, _ in BASE)]:
         automaton.add_word(key, key)
@@ -375,8 +397,9 @@ def scan(text: bytes | None) -> dict:
             places.append(int(np.searchsorted(gaps, at)))
             labels.add(label)
             at = joined.find(f" {phrase} ", at + 1)
-    found = [(*m.span(), k) for key in keys for k in by_key.get(key, ()) for m in rules()[k][3].finditer(joined)]
-    table, kept = rules(), suppressed(found)
+    table = rules()
+    found = [(*m.span(), k) for k in {k for key in keys for k in by_key.get(key, ())} for m in table[k][3].finditer(joined)]
+    kept = suppressed(found)
     runs = [(int(np.searchsorted(gaps, a)) - 1, int(np.searchsorted(gaps, b)) - 1) for a, b, _ in kept]
     spans = char_spans(text or b"", runs)
     out["detections"] = [
