@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import decontaminate, language, licenses, near_dedup, packing, quality_model, quality_rules, secrets, suffix_tree, token_files
+from gaugeworks.llm import (
+    collocations,
+    decontaminate,
+    hard_negatives,
+    language,
+    licenses,
+    near_dedup,
+    packing,
+    quality_model,
+    quality_rules,
+    secrets,
+    sharding,
+    suffix_tree,
+    token_files,
+)
 from gaugeworks.llm.columns import share_code
 
 
@@ -30,9 +44,16 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_quality_rules": quality_rules.op9_quality_rules,
         "op10_token_files": token_files.op10_token_files,
+        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_sharding": sharding.op12_sharding,
+        "op13_collocations": collocations.op13_collocations,
     }
     return {name: _shared(query) for name, query in queries.items()}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op8_decontaminate": decontaminate.OP8_SQL}
+    return {
+        "op8_decontaminate": decontaminate.OP8_SQL,
+        "op11_hard_negatives": hard_negatives.OP11_SQL,
+        "op13_collocations": collocations.OP13_SQL,
+    }
