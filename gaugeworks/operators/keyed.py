@@ -1,16 +1,14 @@
 """Keyed table: one row per ``rowkey``, cells overwritten one by one.
 
 A cell is a column; null means absent. Ingesting a key again replaces the cells that come with a
-value and leaves the others. The stored form is Parquet, partitioned by the day that the row key shows and range-sorted
-by row key inside a day, so day and key-prefix predicates skip partitions and row groups. As the day follows from the key,
-a key can only be in one partition, and a merge that reads the partitions of its keys' days finds every one of them.
+value and leaves the others. `gaugeworks.operators.stored` keeps such a table in files.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -81,10 +79,10 @@ def upsert(stored: DataFrame, batch: DataFrame, cells: list[str], key: str = "ro
     return stored.alias("old").join(batch.alias("new"), key, "full_outer").select(key, *merged)
 
 
-# --- stored table ------------------------------------------------------------------------------
+# --- days --------------------------------------------------------------------------------------
 
 DAY = "day"
-# The partition of keys that show no day, or several.
+# The day of keys that show no day, or several.
 OTHER_DAY = "other"
 DATE = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
@@ -92,44 +90,12 @@ DATE = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
 def key_day(rowkey: Column) -> Column:
     """The day that a key shows after an underscore, if it shows exactly one.
 
-    A time that begins with a day puts it there, so a row whose time begins with day D is in partition D or in the other one.
+    A time that begins with a day puts it there, so a row whose time begins with day D has day D or the other one.
     """
     shown = F.regexp_extract_all(rowkey, F.lit(f"_({DATE})"), F.lit(1))
     return F.when(F.size(shown) == 1, shown[0]).otherwise(F.lit(OTHER_DAY))
 
 
-def _table_schema() -> str:
-    return ", ".join(f"{c} string" for c in ("rowkey", *CELLS, DAY))
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The stored table, with ``day`` as text."""
-    return spark.read.schema(_table_schema()).parquet(path)
-
-
-def write_table(table: DataFrame, path: str) -> None:
-    """Write a new table: a busy day is split over tasks by key range, a quiet one is one file."""
-    _write_days(table, path, "error")
-
-
-def _write_days(table: DataFrame, path: str, mode: str) -> None:
-    rows = table.select("rowkey", *CELLS, key_day(F.col("rowkey")).alias(DAY))
-    writer = rows.repartitionByRange(DAY, "rowkey").sortWithinPartitions(DAY, "rowkey").write.mode(mode).partitionBy(DAY)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-
-
-def merge_into_table(spark: SparkSession, path: str, batch: DataFrame) -> None:
-    """Upsert a batch of cells, reduced to one row per key and staged, into the stored table.
-
-    Reads the partitions of the batch's days, joins, and writes once; Spark's commit replaces those partitions, whose
-    list it keeps in the driver anyway, and leaves the others. Merging the same batch again changes nothing, which also repairs
-    an interrupted commit. One writer at a time.
-    """
-    days = [r[0] for r in batch.select(key_day(F.col("rowkey"))).distinct().collect()]
-    stored = read_table(spark, path).filter(F.col(DAY).isin(days)).drop(DAY)
-    _write_days(upsert(stored, batch, list(CELLS)), path, "overwrite")
-
-
 # --- queries -----------------------------------------------------------------------------------
 
 

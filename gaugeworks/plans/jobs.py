@@ -9,25 +9,43 @@ the few columns they need to Parquet once and work from that.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import aggregates as agg
-from gaugeworks.operators import keyed
+from gaugeworks.operators import keyed, stored
 from gaugeworks.operators.anomalies import anomalies
 from gaugeworks.operators.rolling import rolling_24h
 from gaugeworks.session import fresh_folder, get_session, remove_folder
-from gaugeworks.sources.readings import scan_block, scan_by_header, scan_positional
+from gaugeworks.sources.readings import scan_block, scan_by_header, scan_first, scan_positional
 from gaugeworks.sources.results import write_csv, write_export, write_report
 
 
-def staged(spark: SparkSession, df: DataFrame, near: str) -> tuple[DataFrame, str]:
-    """``df`` written once as Parquet to the shared folder and read back, and that folder, for removal in the end."""
-    path = fresh_folder(spark, near)
-    df.write.parquet(path)
-    return spark.read.parquet(path), path
+class Staging:
+    """Tables written once as Parquet to the shared folder and read back."""
+
+    def __init__(self, spark: SparkSession, near: str):
+        self.spark, self.near, self.folders = spark, near, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = fresh_folder(self.spark, self.near)
+        self.folders.append(path)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession, near: str) -> Iterator[Staging]:
+    """Staged tables that are removed in the end, also when a job fails."""
+    tables = Staging(spark, near)
+    try:
+        yield tables
+    finally:
+        for folder in tables.folders:
+            remove_folder(spark, folder)
 
 
 # --- text reports ------------------------------------------------------------------------------
@@ -62,17 +80,17 @@ def exceedances_job(
 
 def summary_job(spark: SparkSession, source: str, out: str, single_file: bool = False, show: bool = False) -> None:
     """Per-sensor summary, daily averages and anomalies under ``out``; ``show`` prints 20 rows of each."""
-    readings, folder = staged(spark, scan_by_header(spark, source), out)
-    results = {
-        "per_sensor": (agg.per_sensor_summary(readings), (F.desc_nulls_last("pm25_avg"), "sensor_id")),
-        "daily": (agg.daily_averages(readings), ("date",)),
-        "anomalies": (anomalies(readings), ()),
-    }
-    for name, (result, order) in results.items():
-        write_csv(result, f"{out}/{name}", single_file, order)
-        if show:
-            result.show(20, truncate=False)
-    remove_folder(spark, folder)
+    with staging(spark, out) as tables:
+        readings = tables.keep(scan_by_header(spark, source))
+        results = {
+            "per_sensor": (agg.per_sensor_summary(readings), (F.desc_nulls_last("pm25_avg"), "sensor_id")),
+            "daily": (agg.daily_averages(readings), ("date",)),
+            "anomalies": (anomalies(readings), ()),
+        }
+        for name, (result, order) in results.items():
+            write_csv(result, f"{out}/{name}", single_file, order)
+            if show:
+                result.show(20, truncate=False)
 
 
 def rolling_job(spark: SparkSession, source: str, out: str, single_file: bool = False) -> None:
@@ -83,48 +101,43 @@ def rolling_job(spark: SparkSession, source: str, out: str, single_file: bool =
 # --- keyed table -------------------------------------------------------------------------------
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("rowkey string").parquet(path)
-        return True
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+def first_rows(spark: SparkSession, source: str, limit: int, tables: Staging) -> DataFrame:
+    """Cells of the first ``limit`` accepted rows of a file or folder; files behind them aren't read."""
+
+    def keep(raw: DataFrame) -> tuple[DataFrame, int]:
+        # counted and cut in separate scans, so the line numbers must be fixed first
+        rows = tables.keep(keyed.to_cells(raw))
+        return rows, rows.count()
+
+    rows = scan_first(spark, source, limit, keep)
+    if rows is None:
+        return keyed.to_cells(scan_positional(spark, source))
+    seq = F.col("ingest_seq")
+    return keyed.first_accepted(rows, limit, scan_block(seq), seq)
 
 
 def ingest_job(spark: SparkSession, source: str, table: str, limit: int | None = None) -> None:
     """Upsert a raw file or folder, or its first ``limit`` accepted rows, into the keyed table."""
-    batch = keyed.to_cells(scan_positional(spark, source))
-    folders = []
-    if limit is not None:
-        # counted and cut in separate scans, so the line numbers must be fixed first
-        batch, folder = staged(spark, batch, table)
-        folders.append(folder)
-        seq = F.col("ingest_seq")
-        batch = keyed.first_accepted(batch, limit, scan_block(seq), seq)
-    reduced = keyed.reduce_batch(batch, list(keyed.CELLS))
-    if table_exists(spark, table):
-        reduced, folder = staged(spark, reduced, table)
-        folders.append(folder)
-        keyed.merge_into_table(spark, table, reduced)
-    else:
-        keyed.write_table(reduced, table)
-    for folder in folders:
-        remove_folder(spark, folder)
+    with staging(spark, table) as tables:
+        batch = keyed.to_cells(scan_positional(spark, source)) if limit is None else first_rows(spark, source, limit, tables)
+        reduced = keyed.reduce_batch(batch, list(keyed.CELLS))
+        if stored.table_exists(spark, table):
+            stored.merge_into_table(spark, table, tables.keep(reduced))
+        else:
+            stored.write_table(reduced, table)
 
 
 def count_job(spark: SparkSession, table: str) -> None:
-    keyed.table_count(keyed.read_table(spark, table)).show()
+    stored.count_rows(spark, table).show()
 
 
 def latest_job(spark: SparkSession, table: str, sensor_id: str) -> None:
-    latest = keyed.latest_for_sensor(keyed.read_table(spark, table), sensor_id)
+    latest = stored.latest_for_sensor(spark, table, sensor_id)
     keyed.by_family(latest).show(1, truncate=False, vertical=True)
 
 
 def export_day_job(spark: SparkSession, table: str, day: str, out: str, single_file: bool = False) -> None:
-    rows = keyed.export_day(keyed.read_table(spark, table), day)
+    rows = keyed.export_day(stored.read_table(spark, table), day)
     write_export(keyed.export_lines(rows), ",".join(keyed.EXPORT_COLUMNS), out, single_file)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.text import as_text, quoted, row_key
 from gaugeworks.functions.time import iso_millis, on_day
 from gaugeworks.operators import aggregates as agg
-from gaugeworks.operators import keyed, rolling, serving
+from gaugeworks.operators import keyed, rolling, serving, stored
 from gaugeworks.operators.anomalies import anomalies
 from gaugeworks.session import fresh_folder
 from gaugeworks.sources.readings import (
@@ -214,10 +214,10 @@ def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingested_twice(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """A stored table of cells without no2, into which those with no2 are merged."""
     batch = new_folder(spark)
-    keyed.write_table(keyed.reduce_batch(rows.filter(F.col("no2").isNull()), list(keyed.CELLS)), path)
+    stored.write_table(keyed.reduce_batch(rows.filter(F.col("no2").isNull()), list(keyed.CELLS)), path)
     keyed.reduce_batch(rows.filter(F.col("no2").isNotNull()), list(keyed.CELLS)).write.parquet(batch)
-    keyed.merge_into_table(spark, path, spark.read.parquet(batch))
-    return keyed.read_table(spark, path)
+    stored.merge_into_table(spark, path, spark.read.parquet(batch))
+    return stored.read_table(spark, path)
 
 
 def stored_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,13 +237,13 @@ def stored_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingested_twice(spark, new_folder(spark), keyed.to_cells(rows))
 
 
-def on_stored(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """``operator`` over all readings, ingested into a stored table first."""
+def on_stored(operator: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``operator`` (of a session and a stored table) over all readings, ingested into a stored table first."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = new_folder(spark)
-        keyed.write_table(table(readings(spark, sf_dir)), path)
-        return operator(keyed.read_table(spark, path))
+        stored.write_table(table(readings(spark, sf_dir)), path)
+        return operator(spark, path)
 
     return query
 
@@ -333,11 +333,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # the same over a stored table
         "stored_conflicts": stored_conflicts,
         "stored_conflicts_count": lambda s, d: keyed.table_count(stored_conflicts(s, d)),
-        "stored_count": on_stored(keyed.table_count),
-        "stored_prefix": on_stored(lambda t: keyed.prefix_scan(t, f"{SENSOR}_").drop("day")),
-        "stored_latest": on_stored(lambda t: keyed.latest_for_sensor(t, SENSOR).drop("day")),
-        "stored_latest_per_sensor": on_stored(lambda t: keyed.latest_per_sensor(t).drop("day")),
-        "stored_export": on_stored(lambda t: keyed.export_day(t, DAY)),
+        "stored_count": on_stored(stored.count_rows),
+        "stored_prefix": on_stored(lambda s, t: stored.prefix_scan(s, t, f"{SENSOR}_").drop("day")),
+        "stored_latest": on_stored(lambda s, t: stored.latest_for_sensor(s, t, SENSOR).drop("day")),
+        "stored_latest_per_sensor": on_stored(lambda s, t: stored.latest_per_sensor(s, t).drop("day")),
+        "stored_export": on_stored(lambda s, t: keyed.export_day(stored.read_table(s, t), DAY)),
         # dirty files
         "dirty_file_scan": dirty_file_scan,
         "dirty_sensor_report": on_dirty(lambda r: agg.averages_report(agg.sensor_averages(r), "sensor_id")),

@@ -38,10 +38,22 @@ def shared_folder(spark: SparkSession, near: str) -> str:
     return f"{near.rstrip('/')}_staged"
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that `fresh_folder` named, on whatever storage it is."""
+def storage(spark: SparkSession, path: str):
+    """The file system that ``path`` is on, and ``path`` as its own kind of path."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's making, on whatever storage it is."""
+    files, place = storage(spark, path)
+    files.delete(place, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none where there is no folder."""
+    files, place = storage(spark, path)
+    return sorted(entry.getPath().getName() for entry in files.listStatus(place)) if files.exists(place) else []
 
 
 def fresh_folder(spark: SparkSession, near: str) -> str:

@@ -8,6 +8,10 @@ doubles and a timestamp.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +44,7 @@ HEADERS = {
 NUMERIC = ("pm25", "no2", "humidity", "temp", "lat", "lon")
 
 
-def scan_positional(spark: SparkSession, path: str) -> DataFrame:
+def scan_positional(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw readings by field position from text lines, tolerant of quotes and ragged rows.
 
     ``ingest_seq`` orders lines by file name, block and line, however the scan packs blocks into tasks: lines of one block
@@ -54,6 +58,26 @@ def scan_positional(spark: SparkSession, path: str) -> DataFrame:
     return parse_lines(spark.read.text(path).select("value", place.alias("ingest_seq")))
 
 
+def source_files(spark: SparkSession, path: str) -> list[str]:
+    """The files that a scan of ``path`` would read, in ingest order, as paths that name one file each."""
+    files = sorted(spark.read.text(path).inputFiles())
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(f)) for f in files]
+
+
+def scan_first(spark: SparkSession, path: str, n: int, keep: Callable[[DataFrame], tuple[DataFrame, int]]) -> DataFrame | None:
+    """Raw readings of the first files that give ``n`` rows; None where there is no file.
+
+    Files are scanned in ingest order in groups that double, and no group is scanned once there are enough rows. ``keep`` accepts
+    rows of a group, stores them and counts them, so every file is parsed once at most.
+    """
+    files, kept, rows, size = source_files(spark, path), None, 0, 1
+    while files and rows < n:
+        accepted, count = keep(scan_positional(spark, files[:size]))
+        kept = accepted if kept is None else kept.unionByName(accepted)
+        files, rows, size = files[size:], rows + count, size * 2
+    return kept
+
+
 #: Lines of a part of a file block, see `scan_block`, as a power of two.
 BLOCK_BITS = 17
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import aggregates as agg
-from gaugeworks.operators import keyed, serving
+from gaugeworks.operators import keyed, serving, stored
 from gaugeworks.plans import jobs
 from gaugeworks.session import fresh_folder, shared_folder
 from gaugeworks.sources.readings import FIELD_POSITIONS, HEADERS, scan_block, scan_by_header, scan_positional, typed
@@ -200,21 +200,21 @@ def test_rolling_job(spark, source, tmp_path):
 def test_keyed_table_jobs(spark, source, tmp_path, capsys):
     table = str(tmp_path / "table")
     jobs.ingest_job(spark, source, table, limit=2)
-    assert keyed.read_table(spark, table).count() == 2
+    assert stored.read_table(spark, table).count() == 2
     jobs.ingest_job(spark, source, table)
     jobs.ingest_job(spark, source, table)
-    stored = keyed.read_table(spark, table)
-    assert stored.count() == 5
-    untouched = sorted(os.listdir(f"{table}/day=2026-02-02"))
+    rows = stored.read_table(spark, table)
+    assert rows.count() == 5
+    untouched = stored.current_days(spark, table)["2026-02-02"]
 
     update = save(tmp_path / "update.csv", [header(), reading("A", "2026-02-01T10:00:00.000", "", "9"), reading("D", "odd time", "1")])
     jobs.ingest_job(spark, update, table)
-    stored = keyed.read_table(spark, table)
-    assert stored.count() == 6
-    assert sorted(os.listdir(f"{table}/day=2026-02-02")) == untouched
-    row = stored.filter("rowkey = 'A_2026-02-01T10_00_00.000'").first()
+    rows = stored.read_table(spark, table)
+    assert rows.count() == 6
+    assert stored.current_days(spark, table)["2026-02-02"] == untouched
+    row = rows.filter("rowkey = 'A_2026-02-01T10_00_00.000'").first()
     assert (row.pm25, row.no2, row.sensor_name) == ("10", "9", "Pier 9")
-    assert [r.rowkey for r in keyed.prefix_scan(stored, "D_").collect()] == ["D_odd time"]
+    assert [r.rowkey for r in stored.prefix_scan(spark, table, "D_").collect()] == ["D_odd time"]
 
     jobs.count_job(spark, table)
     assert "6" in capsys.readouterr().out
@@ -235,7 +235,7 @@ def test_ingest_limit(spark, source, tmp_path):
     for limit, rows in ((1, 1), (2, 2), (4, 4), (99, 5)):
         table = str(tmp_path / f"table{limit}")
         jobs.ingest_job(spark, source, table, limit)
-        kept = sorted(r.rowkey for r in keyed.read_table(spark, table).collect())
+        kept = sorted(r.rowkey for r in stored.read_table(spark, table).collect())
         keys = ["A_2026-02-01T10_00", "A_2026-02-01T10_30", "B_2026-02-02T11_00", "B_2026-02-02T12_00", "C_2026-02-03T00_00"]
         assert kept == [f"{key}_00.000" for key in keys[:rows]]
 
@@ -245,9 +245,9 @@ def test_merge_can_be_repeated(spark, source, tmp_path):
     jobs.ingest_job(spark, source, table)
     update = save(tmp_path / "update.csv", [header(), reading("A", "2026-02-01T10:00:00.000", "", "9")])
     jobs.ingest_job(spark, update, table)
-    before = sorted(map(str, keyed.read_table(spark, table).collect()))
+    before = sorted(map(str, stored.read_table(spark, table).collect()))
     jobs.ingest_job(spark, update, table)
-    assert sorted(map(str, keyed.read_table(spark, table).collect())) == before
+    assert sorted(map(str, stored.read_table(spark, table).collect())) == before
 
 
 def test_a_key_stays_one_row_whatever_day_its_time_shows(spark, tmp_path):
@@ -257,18 +257,18 @@ def test_a_key_stays_one_row_whatever_day_its_time_shows(spark, tmp_path):
     for k, rows in enumerate(batches):
         path = save(tmp_path / f"{k}.csv", [header(), *(line(sensor_id=i, time=t, pm25=str(k)) for i, t in rows)])
         jobs.ingest_job(spark, path, table)
-    rows = {r.rowkey: (r.pm25, r.day) for r in keyed.read_table(spark, table).collect()}
+    rows = {r.rowkey: (r.pm25, r.day) for r in stored.read_table(spark, table).collect()}
     assert rows == {
         "a_b_2026-02-01": ("1", "2026-02-01"),
         "x_2026-02-01_2026-03-01": ("3", keyed.OTHER_DAY),
         "q_r": ("4", keyed.OTHER_DAY),
         "a_b_2026-02-02": ("4", "2026-02-02"),
     }
-    assert keyed.read_table(spark, table).count() == 4
-    stored = keyed.read_table(spark, table)
+    assert stored.read_table(spark, table).count() == 4
+    whole = stored.read_table(spark, table)
     for day in ("2026-02-01", "2026-02", "r", "2026-02-01_"):
-        expected = sorted(r.rowkey for r in stored.drop("day").collect() if r.time.startswith(day))
-        assert [r.rowkey for r in keyed.export_day(stored, day).collect()] == expected
+        expected = sorted(r.rowkey for r in whole.drop("day").collect() if r.time.startswith(day))
+        assert [r.rowkey for r in keyed.export_day(whole, day).collect()] == expected
 
 
 def test_a_folder_is_ingested_in_the_order_of_its_files(spark, tmp_path):
@@ -280,9 +280,9 @@ def test_a_folder_is_ingested_in_the_order_of_its_files(spark, tmp_path):
     for limit, value in ((None, "new"), (1, "old"), (5001, "old"), (5002, "new")):
         table = str(tmp_path / f"table{limit}")
         jobs.ingest_job(spark, str(tmp_path / "in"), table, limit)
-        stored = keyed.read_table(spark, table)
-        assert stored.filter("datasourceid = 'A'").first().pm25 == value
-        assert limit is None or stored.count() == limit - (limit == 5002)
+        rows = stored.read_table(spark, table)
+        assert rows.filter("datasourceid = 'A'").first().pm25 == value
+        assert limit is None or rows.count() == limit - (limit == 5002)
 
 
 def test_parts_of_an_unsplit_file_are_bounded(spark, tmp_path, monkeypatch):
@@ -302,12 +302,12 @@ def test_parts_of_an_unsplit_file_are_bounded(spark, tmp_path, monkeypatch):
 def test_stored_table_scan_is_pruned_and_pushed(spark, source, tmp_path):
     table = str(tmp_path / "table")
     jobs.ingest_job(spark, source, table)
-    stored = keyed.read_table(spark, table)
-    prefix = keyed.prefix_scan(stored, "A_")._jdf.queryExecution().toString()
+    rows = stored.read_table(spark, table)
+    prefix = keyed.prefix_scan(rows, "A_")._jdf.queryExecution().toString()
     assert "StringStartsWith(rowkey,A_)" in prefix
-    day = keyed.export_day(stored, "2026-02-01")._jdf.queryExecution().toString()
+    day = keyed.export_day(rows, "2026-02-01")._jdf.queryExecution().toString()
     assert "PartitionFilters: [day" in day and "IN (2026-02-01,other)" in day.replace("#", " ").replace("  ", " ")
-    assert len(keyed.export_day(stored, "2026-02-01").inputFiles()) >= 1
+    assert len(keyed.export_day(rows, "2026-02-01").inputFiles()) >= 1
 
 
 def test_presentation_from_result_directories(spark, source, tmp_path):
