@@ -21,11 +21,10 @@ once before counting, as all rounds have to see the same places. An empty table
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -164,22 +163,25 @@ def sharded(docs: DataFrame, text: str = "text", shards: int = SHARDS, tolerance
     most = max(range_bytes, sum(cells.size) // MOST_RANGES)
     cut = ranges(cells, boundaries(cells, wanted, slack), most)
     # Where shards are empty, several ranges begin at one key, and the last of them has the rows.
-    firsts = np.array([first for first, _, _ in cut], np.uint64)
-    of_range = _range_of(firsts)
     number = free_name(keyed, "shard_range")
-    at = keyed.withColumn(number, of_range(F.col(key)))
+    at = keyed.withColumn(number, range_of(F.col(key), [first for first, _, _ in cut]))
     known = docs.sparkSession.createDataFrame([(k, s, r) for k, (_, s, r) in enumerate(cut)], f"{number} int, {shard} int, before long")
-    order = W.partitionBy(number).orderBy(key, place)
+    order = W.partitionBy(number).orderBy(_signed(F.col(key)), place)
     numbered = at.withColumn(slot, F.row_number().over(order).cast("long"))
     joined = numbered.join(F.broadcast(known), number)  # at most MOST_RANGES ranges and a few for each shard
     return joined.select(*docs.columns, size, shard, (F.col(slot) - 1 + F.col("before")).alias(slot))
 
 
-def _range_of(firsts: np.ndarray) -> Callable[[Column], Column]:
-    def number(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(firsts, keys.to_numpy().view(np.uint64), side="right").astype(np.int32) - 1)
+def _signed(key: Column) -> Column:
+    """The key as a signed number of the same order."""
+    return key.bitwiseXOR(F.lit(-(1 << 63)))
 
-    return F.pandas_udf(number, "int")
+
+def range_of(key: Column, firsts: list[int]) -> Column:
+    """The last place in the ordered ``firsts`` whose key isn't above ``key``, by binary search."""
+    known = F.split(F.lit(",".join(str(first - (1 << 63)) for first in firsts)), ",").cast("array<long>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(firsts).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(known, at + step) <= _signed(key), at + step).otherwise(at))
 
 
 def op12_sharding(spark, sf_dir: str) -> DataFrame:
