@@ -9,6 +9,7 @@ The report operators accept raw text readings as well as typed ones. On text, a
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
@@ -121,18 +122,21 @@ def hourly_averages(df: DataFrame) -> DataFrame:
 
 def averages_report(averages: DataFrame, key: str, measures: tuple[str, ...] = MEASURES) -> DataFrame:
     """Report averages as sorted text lines: key, tab, ``pm25_avg=…, pm25_count=…, …``."""
+    return averages.orderBy(key).select(_line(key, _average_parts(measures)).alias("value"))
+
+
+def _average_parts(measures: Iterable[str]) -> list[Column]:
     parts = []
     for m in measures:
         parts += [
             F.concat(F.lit(f"{m}_avg="), three_decimals(F.col(f"{m}_avg"))),
             F.concat(F.lit(f"{m}_count="), F.col(f"{m}_count").cast("string")),
         ]
-    return _report(averages, key, parts)
+    return parts
 
 
-def _report(df: DataFrame, key: str, parts: list[Column]) -> DataFrame:
-    line = F.concat(F.col(key).cast("string"), F.lit("\t"), F.concat_ws(", ", *parts))
-    return df.orderBy(key).select(line.alias("value"))
+def _line(key: str, parts: list[Column]) -> Column:
+    return F.concat(F.col(key).cast("string"), F.lit("\t"), F.concat_ws(", ", *parts))
 
 
 # --- exceedances -------------------------------------------------------------------------------
@@ -162,5 +166,41 @@ def sensor_exceedances(df: DataFrame, thresholds: dict[str, float] = DEFAULT_THR
 
 def exceedances_report(exceedances: DataFrame) -> DataFrame:
     """Exceedance counts as sorted text lines: id, tab, ``pm25_exceedances=N, …``."""
-    counts = [c for c in exceedances.columns if c != "sensor_id"]
-    return _report(exceedances, "sensor_id", [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in counts])
+    measures = [c.removesuffix("_exceedances") for c in exceedances.columns if c != "sensor_id"]
+    return exceedances.orderBy("sensor_id").select(_line("sensor_id", _exceedance_parts(measures)).alias("value"))
+
+
+def _exceedance_parts(measures: Iterable[str]) -> list[Column]:
+    return [F.concat(F.lit(f"{m}_exceedances="), F.col(f"{m}_exceedances").cast("string")) for m in measures]
+
+
+# --- all reports in one pass -------------------------------------------------------------------
+
+SENSOR_REPORT, DAY_REPORT, HOUR_REPORT, EXCEEDANCE_REPORT = REPORTS = ("sensor_averages", "daily_averages", "hourly_averages", "exceedances")
+
+
+def all_reports(raw: DataFrame, thresholds: dict[str, float] = DEFAULT_THRESHOLDS, measures: tuple[str, ...] = MEASURES) -> DataFrame:
+    """The four text reports of raw text readings from one scan and one shuffle: ``report, value``, sorted by report and key.
+
+    A reading is parsed once and tagged with the reports and keys that it counts for; a key is reduced inside the scan tasks.
+    """
+    present = reduce(or_, [_present(raw, m) for m in measures])
+    above = {m: F.coalesce(_above(raw, m, t), F.lit(False)) for m, t in thresholds.items()}
+    tagged = {
+        SENSOR_REPORT: (present & (F.col("sensor_id") != ""), F.col("sensor_id")),
+        DAY_REPORT: (present & (F.col("time") != ""), F.substring("time", 1, 10)),
+        HOUR_REPORT: (present & (F.length("time") >= 13), F.substring("time", 1, 13)),
+        EXCEEDANCE_REPORT: ((F.col("sensor_id") != "") & reduce(or_, above.values()), F.col("sensor_id")),
+    }
+    tags = [F.when(counts, F.struct(F.lit(name).alias("report"), key.alias("key"))) for name, (counts, key) in tagged.items()]
+    numbers = [_number(raw, m).alias(f"_{m}") for m in measures]
+    flags = [flag.alias(f"_{m}_above") for m, flag in above.items()]
+    rows = raw.select(F.explode(F.filter(F.array(*tags), lambda tag: tag.isNotNull())).alias("tag"), *numbers, *flags)
+    aggs = []
+    for m in measures:
+        aggs += [F.coalesce(F.avg(f"_{m}"), F.lit(0.0)).alias(f"{m}_avg"), F.count(f"_{m}").alias(f"{m}_count")]
+    aggs += [F.count_if(F.col(f"_{m}_above")).alias(f"{m}_exceedances") for m in thresholds]
+    keys = rows.groupBy(F.col("tag.report").alias("report"), F.col("tag.key").alias("key")).agg(*aggs)
+    exceeded = _line("key", _exceedance_parts(thresholds))
+    line = F.when(F.col("report") == EXCEEDANCE_REPORT, exceeded).otherwise(_line("key", _average_parts(measures)))
+    return keys.orderBy("report", "key").select("report", line.alias("value"))

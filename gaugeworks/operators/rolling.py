@@ -25,8 +25,9 @@ from gaugeworks.functions.time import epoch_seconds
 from gaugeworks.sources.readings import MEASURES
 
 DAY_SECONDS = 86_400
-# A frame is cut into so many slices. More make smaller groups where sensors are very busy, and more rows of totals.
-SLICES = 2
+# A frame is cut into so many slices. One is fastest; more make smaller groups, at the price of rows of totals, where a frame of one
+# sensor is too much for a task.
+SLICES = 1
 
 OWN, CARRY, BETWEEN = 0, 1, 2
 
@@ -43,16 +44,42 @@ def trailing_averages(
     Readings without a time share one frame per sensor. The frame is cut into at most ``slices`` slices of whole seconds.
     """
     names = names or tuple(f"rolling_{m}" for m in measures)
-    slices = next(n for n in range(slices, 0, -1) if seconds % n == 0)
-    length = seconds // slices
-    counts = [f"_{m}_n" for m in measures]
-    rows = readings.withColumn("_second", epoch_seconds(readings, "time")).withColumns(
-        {c: F.when(F.col(m).isNotNull(), 1).otherwise(0).cast("long") for m, c in zip(measures, counts)}
-    )
-    parts = _with_carries(rows, measures, counts, seconds).withColumn("_slice", F.floor(F.col("_place") / length))
-    if slices > 1:
-        parts = parts.unionByName(_between(rows, measures, counts, length, slices), allowMissingColumns=True)
-    return _averages(parts, measures, counts, names).select(*readings.columns, *names)
+    length = slice_length(seconds, slices)
+    rows = _placed(readings, measures)
+    totals = _totals(rows, measures, length) if length < seconds else None
+    return _averages(_with_carries(rows, measures, seconds), totals, measures, seconds, length, names).select(*readings.columns, *names)
+
+
+def slice_length(seconds: int, slices: int = SLICES) -> int:
+    """Whole seconds of a slice, of at most ``slices`` to a frame."""
+    return seconds // next(n for n in range(slices, 0, -1) if seconds % n == 0)
+
+
+def slice_totals(readings: DataFrame, measures: tuple[str, ...] = MEASURES, seconds: int = DAY_SECONDS, slices: int = SLICES) -> DataFrame:
+    """Sums and counts per sensor and slice, the state that further readings need beside those of a frame's first slice."""
+    return _totals(_placed(readings, measures), measures, slice_length(seconds, slices))
+
+
+def trailing_averages_of_batch(
+    batch: DataFrame,
+    earlier: DataFrame,
+    totals: DataFrame,
+    measures: tuple[str, ...] = MEASURES,
+    seconds: int = DAY_SECONDS,
+    names: tuple[str, ...] | None = None,
+    slices: int = SLICES,
+) -> DataFrame:
+    """`trailing_averages` of the readings of ``batch`` alone, where others came before.
+
+    ``earlier`` has at least the readings ``seconds`` before those of the batch, up to the end of their slice; ``totals`` the
+    `slice_totals` of the frame before the batch, and of the batch.
+    """
+    names = names or tuple(f"rolling_{m}" for m in measures)
+    length = slice_length(seconds, slices)
+    parts = _with_carries(_placed(batch, measures), measures, seconds)
+    before = _with_carries(_placed(earlier, measures), measures, seconds).filter(F.col("_kind") == CARRY)
+    parts = parts.unionByName(before, allowMissingColumns=True)
+    return _averages(parts, totals, measures, seconds, length, names).select(*batch.columns, *names)
 
 
 def rolling_24h(readings: DataFrame, slices: int = SLICES) -> DataFrame:
@@ -62,14 +89,24 @@ def rolling_24h(readings: DataFrame, slices: int = SLICES) -> DataFrame:
     return trailing_averages(narrow, names=names, slices=slices).select("sensor_id", "time", *names)
 
 
-def _with_carries(rows: DataFrame, measures: tuple[str, ...], counts: list[str], seconds: int) -> DataFrame:
+def _counts(measures: tuple[str, ...]) -> list[str]:
+    return [f"_{m}_n" for m in measures]
+
+
+def _placed(readings: DataFrame, measures: tuple[str, ...]) -> DataFrame:
+    """Readings with their second, and for each measure whether it is there."""
+    there = {c: F.when(F.col(m).isNotNull(), 1).otherwise(0).cast("long") for m, c in zip(measures, _counts(measures))}
+    return readings.withColumn("_second", epoch_seconds(readings, "time")).withColumns(there)
+
+
+def _with_carries(rows: DataFrame, measures: tuple[str, ...], seconds: int) -> DataFrame:
     """Each reading at its own second and again, as a carry, ``seconds`` later.
 
     A carry travels only with its sensor, measures and counts, and only if it has a time and some value.
     """
     carry = F.col("_kind") == CARRY
     useful = F.col("_second").isNotNull() & F.coalesce(*measures).isNotNull()
-    own_only = [c for c in rows.columns if c not in {"sensor_id", "_second", *measures, *counts}]
+    own_only = [c for c in rows.columns if c not in {"sensor_id", "_second", *measures, *_counts(measures)}]
     return (
         rows.withColumn("_kind", F.explode(F.array(F.lit(OWN), F.lit(CARRY))))
         .filter(~carry | useful)
@@ -79,17 +116,25 @@ def _with_carries(rows: DataFrame, measures: tuple[str, ...], counts: list[str],
     )
 
 
-def _between(rows: DataFrame, measures: tuple[str, ...], counts: list[str], length: int, slices: int) -> DataFrame:
-    """For each slice with readings the total of the ``slices - 1`` slices before it, placed before its first second."""
+def _totals(rows: DataFrame, measures: tuple[str, ...], length: int) -> DataFrame:
     slice_ = F.floor(F.col("_second") / length).alias("_slice")
-    totals = rows.filter(F.col("_second").isNotNull()).groupBy("sensor_id", slice_).agg(*[F.sum(c).alias(c) for c in (*measures, *counts)])
+    sums = [F.sum(c).alias(c) for c in (*measures, *_counts(measures))]
+    return rows.filter(F.col("_second").isNotNull()).groupBy("sensor_id", slice_).agg(*sums)
+
+
+def _between(totals: DataFrame, measures: tuple[str, ...], length: int, slices: int) -> DataFrame:
+    """For each slice with readings the total of the ``slices - 1`` slices before it, placed before its first second."""
     before = W.partitionBy("sensor_id").orderBy("_slice").rangeBetween(1 - slices, -1)
-    sums = [F.sum(c).over(before).alias(c) for c in (*measures, *counts)]
+    sums = [F.sum(c).over(before).alias(c) for c in (*measures, *_counts(measures))]
     placed = totals.select("sensor_id", "_slice", (F.col("_slice") * length - 1).alias("_place"), F.lit(BETWEEN).alias("_kind"), *sums)
     return placed.filter(F.coalesce(*measures).isNotNull())
 
 
-def _averages(parts: DataFrame, measures: tuple[str, ...], counts: list[str], names: tuple[str, ...]) -> DataFrame:
+def _averages(parts: DataFrame, totals: DataFrame | None, measures: tuple[str, ...], seconds: int, length: int, names: tuple[str, ...]) -> DataFrame:
+    counts = _counts(measures)
+    parts = parts.withColumn("_slice", F.floor(F.col("_place") / length))
+    if totals is not None and length < seconds:
+        parts = parts.unionByName(_between(totals, measures, length, seconds // length), allowMissingColumns=True)
     # Groups are sorted by a number first, which tells most of them apart at once.
     group = W.partitionBy("_group", "sensor_id", "_slice")
     ascending = group.orderBy(F.asc("_place")).rangeBetween(W.unboundedPreceding, W.currentRow)

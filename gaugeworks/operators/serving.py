@@ -20,10 +20,16 @@ ANOMALIES_SHOWN = 50
 SENSORS_SHOWN = 50
 SERIES_ROWS = 100
 SERVED_ROWS = 1000
+PREVIEWED = 20
 # Columns that may hold the rolling measure, best first.
 ROLLING_COLUMNS = ("rolling_pm25_24h", "rolling_pm25", "pm25")
 
 
+def preview(result: DataFrame, n: int = PREVIEWED) -> DataFrame:
+    """First rows of a result, in its order."""
+    return result.limit(n)
+
+
 def top_sensors(summary: DataFrame, n: int = TOP_SENSORS, null_as_zero: bool = True) -> DataFrame:
     """Sensors with the highest pm25 average; a missing average counts as 0, or sorts last."""
     average = F.coalesce("pm25_avg", F.lit(0.0)) if null_as_zero else F.col("pm25_avg")

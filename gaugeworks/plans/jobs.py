@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import aggregates as agg
-from gaugeworks.operators import keyed, stored
+from gaugeworks.operators import keyed, serving, stored
 from gaugeworks.operators.anomalies import anomalies
 from gaugeworks.operators.rolling import rolling_24h
 from gaugeworks.session import fresh_folder, get_session, remove_folder
 from gaugeworks.sources.readings import scan_block, scan_by_header, scan_first, scan_positional
-from gaugeworks.sources.results import write_csv, write_export, write_report
+from gaugeworks.sources.results import write_csv, write_export, write_report, write_reports
 
 
 class Staging:
@@ -75,6 +75,18 @@ def exceedances_job(
     write_report(agg.exceedances_report(counts), out)
 
 
+def reports_job(
+    spark: SparkSession,
+    source: str,
+    out: str,
+    pm25_threshold: float = agg.DEFAULT_THRESHOLDS["pm25"],
+    no2_threshold: float = agg.DEFAULT_THRESHOLDS["no2"],
+) -> None:
+    """The four reports above as folders ``report=…`` under ``out``, the source parsed once."""
+    thresholds = {"pm25": float(pm25_threshold), "no2": float(no2_threshold)}
+    write_reports(agg.all_reports(scan_positional(spark, source), thresholds), out)
+
+
 # --- summaries ---------------------------------------------------------------------------------
 
 
@@ -90,7 +102,7 @@ def summary_job(spark: SparkSession, source: str, out: str, single_file: bool =
         for name, (result, order) in results.items():
             write_csv(result, f"{out}/{name}", single_file, order)
             if show:
-                result.show(20, truncate=False)
+                serving.preview(result).show(truncate=False)
 
 
 def rolling_job(spark: SparkSession, source: str, out: str, single_file: bool = False) -> None:
@@ -149,6 +161,7 @@ JOBS = {
     "daily-averages": (daily_averages_job, ["source", "out"], {}),
     "hourly-averages": (hourly_averages_job, ["source", "out"], {}),
     "exceedances": (exceedances_job, ["source", "out"], {"pm25_threshold": float, "no2_threshold": float}),
+    "reports": (reports_job, ["source", "out"], {"pm25_threshold": float, "no2_threshold": float}),
     "summary": (summary_job, ["source", "out"], {"single_file": bool, "show": bool}),
     "rolling": (rolling_job, ["source", "out"], {"single_file": bool}),
     "ingest": (ingest_job, ["source", "table"], {"limit": int}),

