@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gaugeworks.session import fresh_folder
+from gaugeworks.session import fresh_folder, remove_folder
 
 #: Rows of a batch are worked on in slices of at most about this much text, so Python holds little beside the batch.
 SLICE_BYTES = 4 << 20
@@ -148,3 +148,9 @@ def staged(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     folder = fresh_folder(spark, f"{spark.conf.get('spark.sql.warehouse.dir')}/llm")
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that `staged` gave and that nothing reads any more."""
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        remove_folder(df.sparkSession, folder)

@@ -44,14 +44,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gaugeworks.llm.columns import as_values, hashed, mixed, slices, staged, word_codes
+from gaugeworks.llm.columns import as_values, discard, hashed, mixed, release, slices, staged, word_codes
 
 DEPTH = 3
 SYMBOL_SHARE = 5e-4
 CONTEXT_SHARE = 2e-4
 #: Training occurrences of a context of words.
 LEAST = 2
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 #: Places of the corpus for each bucket of hashes.
 BUCKET = 1 << 20
 #: Symbols are below 2 / SYMBOL_SHARE + 2, so a context of three fits a 64-bit number.
@@ -196,6 +196,14 @@ def _spread(data: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows, each a block: a worker holds one beside the batch, and gives back what the last one took."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+            release()
+
+
 def _array(kind: T.DataType) -> T.ArrayType:
     return T.ArrayType(kind)
 
@@ -313,10 +321,9 @@ def learn(symbol_blocks: DataFrame, symbols: Symbols, depth: int = DEPTH, share:
             break
 
         def count(batches: Iterator[pa.RecordBatch], d: int = d, candidates: np.ndarray = candidates) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    keys, n = followers(_training_symbols(row), d, candidates)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n, pa.int64())], names=["key", "n"])
+            for row in _one_by_one(batches):
+                keys, n = followers(_training_symbols(row), d, candidates)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n, pa.int64())], names=["key", "n"])
 
         rows = symbol_blocks.select("held", "n_tokens", "symbols").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
         rows = rows.sort_values("key")
@@ -386,16 +393,16 @@ class Grouped:
         self.context_of = of  # by gram
         seen = training[places.at]
         self.counts = np.bincount(self.gram[seen], minlength=len(self.grams)).astype(np.int64)
-        self.logs = np.bincount(self.gram[seen], np.log(places.lower[seen]), len(self.grams))
+        self.logs = np.bincount(of[self.gram[seen]], np.log(places.lower[seen]), len(self.contexts))  # by context
 
-    def of_contexts(self, totals: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """By context: occurrences here; distinct next words, and what they gain in log likelihood, of the grams this block answers for
-        (those whose ``logs`` are there)."""
-        mine = ~np.isnan(logs) & (totals > 0)
+    def of_contexts(self, totals: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By context: occurrences here; distinct next words of the grams this block answers for (``mine``); and its part of what the
+        context gains in log likelihood: what these grams say, less what the shorter context said at the places here."""
+        mine = (mine > 0) & (totals > 0)
         size, owner = len(self.contexts), self.context_of
-        gain = totals[mine] * np.log(totals[mine]) - logs[mine]
+        gain = np.bincount(owner[mine], totals[mine] * np.log(totals[mine]), size) - self.logs
         count = np.bincount(owner, self.counts, size).astype(np.int64)
-        return count, np.bincount(owner[mine], minlength=size).astype(np.int64), np.bincount(owner[mine], gain, size)
+        return count, np.bincount(owner[mine], minlength=size).astype(np.int64), gain
 
 
 def _parts(block: int, keys: np.ndarray, counts: np.ndarray, also: np.ndarray, sums: np.ndarray, buckets: int) -> list[dict]:
@@ -410,8 +417,8 @@ def _parts(block: int, keys: np.ndarray, counts: np.ndarray, also: np.ndarray, s
 
 
 def _added(table: pa.Table, second: bool) -> pa.Table:
-    """One bucket: sums by key, answered to each block in its order. First, the counts, and the sums to one of the blocks that have
-    the key; then both counts, and whether a context of this count passes."""
+    """One bucket: sums by key, answered to each block in its order. First, the counts, and to one of the blocks that have the key
+    that it answers for it; then both counts, and whether a context of this count passes."""
     rows = sorted(table.to_pylist(), key=lambda r: r["block"])
     keys = [_unpacked(r["keys"], "<u8") for r in rows]
     counts, also = (np.concatenate([_unpacked(r[c], "<i8") for r in rows]) for c in ("counts", "also"))
@@ -423,8 +430,8 @@ def _added(table: pa.Table, second: bool) -> pa.Table:
         passes = sums - counts * np.log(np.maximum(counts, 1)) > also
         answer = passes.astype(float)[place]
     else:
-        answer = np.full(len(place), np.nan)
-        answer[first] = sums
+        answer = np.zeros(len(place))
+        answer[first] = 1.0
     at = np.cumsum([0, *map(len, keys)])
     return _table(
         _BACK,
@@ -469,54 +476,61 @@ def _open(tokens: DataFrame, tree: Tree, least: int) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                codes, counts = _unpacked(row["codes"], "<u4"), _unpacked(row["counts"], "<i8")
-                known = 10 ** (tree.score(_spread(row["symbols"], "<u2")) + _unpacked(row["inside"], "<f8")[codes])
-                places = Places(codes, _unpacked(row["words"], "<i8").view(np.uint64), np.arange(len(codes)), known, known)
-                row["done"] = [0.0] * len(row["ids"])
-                row |= _settled(row, places, counts[np.concatenate([[0], codes[:-1]])] >= least)
-                yield pa.RecordBatch.from_pylist([{f.name: row[f.name] for f in arrow}], schema=arrow)
+        for row in _one_by_one(batches):
+            codes, counts = _unpacked(row["codes"], "<u4"), _unpacked(row["counts"], "<i8")
+            known = 10 ** (tree.score(_spread(row["symbols"], "<u2")) + _unpacked(row["inside"], "<f8")[codes])
+            places = Places(codes, _unpacked(row["words"], "<i8").view(np.uint64), np.arange(len(codes)), known, known)
+            row["done"] = [0.0] * len(row["ids"])
+            row |= _settled(row, places, counts[np.concatenate([[0], codes[:-1]])] >= least)
+            yield pa.RecordBatch.from_pylist([{f.name: row[f.name] for f in arrow}], schema=arrow)
 
     return staged(tokens.mapInArrow(run, schema))
 
 
-def _deeper(state: DataFrame, depth: int, buckets: int, least: int) -> DataFrame:
-    """Blocks after the contexts of ``depth`` words. Staged."""
-    arrow = to_arrow_schema(state.schema)
+def _deeper(state: DataFrame, depth: int, buckets: int, least: int, last: T.StructType | None, n: int) -> DataFrame:
+    """Blocks after the contexts of ``depth`` words, staged; after the ``last`` depth, rows of this schema instead."""
+    arrow = to_arrow_schema(last or state.schema)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = Grouped(Places.of(row), _training(row), depth)
-                yield from _table(_SENT, _parts(row["block"], own.grams, own.counts, np.zeros(len(own.grams), "<i8"), own.logs, buckets)).to_batches()
+        for row in _one_by_one(batches):
+            own = Grouped(Places.of(row), _training(row), depth)
+            nothing = np.zeros(len(own.grams), "<i8")
+            yield from _table(_SENT, _parts(row["block"], own.grams, own.counts, nothing, nothing, buckets)).to_batches()
 
     def send_contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        for row in left.to_pylist():
+        for row in _one_by_one(left.to_batches()):
             own = Grouped(Places.of(row), _training(row), depth)
-            totals, _, logs = _answers(right, 1, ("<i8", "<i8", "<f8"))
-            out += _parts(row["block"], own.contexts, *own.of_contexts(totals, logs), buckets)
+            totals, _, mine = _answers(right, 1, ("<i8", "<i8", "<f8"))
+            out += _parts(row["block"], own.contexts, *own.of_contexts(totals, mine), buckets)
         return _table(_SENT, out)
 
     def take(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        for row in left.to_pylist():
+        for row in _one_by_one(left.to_batches()):
             places = Places.of(row)
             own = Grouped(places, _training(row), depth)
             totals, _, _ = _answers(right, 1, ("<i8", "<i8", "<f8"))
             count, distinct, passes = (x[own.context_of] for x in _answers(right, 2, ("<i8", "<i8", "<f8")))
             given = ((totals / (count + distinct))[own.gram] + (distinct / (count + distinct))[own.gram] * places.lower) if len(places.at) else places.lower
             places = Places(places.codes, places.words, places.at, given, np.where(passes[own.gram] > 0, given, places.best))
-            longer = places.at[(totals[own.gram] >= least) & (places.codes[places.at] > 0)] + 1
-            out.append({f.name: row[f.name] for f in arrow} | _settled(row, places, np.isin(places.at, longer, assume_unique=True)))
+            if last:
+                done = _settled(row, places, np.zeros(len(places.at), bool))["done"]
+                columns = [row["ids"], row["held"], row["n_tokens"], row["n_known"], [n] * len(done), row["base"], done]
+                out += [dict(zip(arrow.names, r)) for r in zip(*columns)]
+            else:
+                longer = places.at[(totals[own.gram] >= least) & (places.codes[places.at] > 0)] + 1
+                out.append({f.name: row[f.name] for f in arrow} | _settled(row, places, np.isin(places.at, longer, assume_unique=True)))
         return pa.Table.from_pylist(out, schema=arrow)
 
     first = staged(state.mapInArrow(send, _SENT).groupBy("bucket").applyInArrow(lambda t: _added(t, False), _BACK))
     blocks = state.groupBy("block")
     contexts_ = blocks.cogroup(first.groupBy("block")).applyInArrow(send_contexts, _SENT)
     second = contexts_.groupBy("bucket").applyInArrow(lambda t: _added(t, True), _BACK)
-    return staged(blocks.cogroup(first.unionAll(second).groupBy("block")).applyInArrow(take, state.schema))
+    out = staged(blocks.cogroup(first.unionAll(second).groupBy("block")).applyInArrow(take, last or state.schema))
+    discard(first)
+    discard(state)
+    return out
 
 
 def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, symbol_share: float = SYMBOL_SHARE, context_share: float = CONTEXT_SHARE, depth: int = DEPTH, least: int = LEAST, bucket: int = BUCKET) -> DataFrame:
@@ -536,24 +550,16 @@ def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str
     tree = learn(tokens, symbols, share=context_share)
     places = tokens.select(F.explode("n_tokens").alias("n")).agg(F.sum("n")).first()[0] or 0
     state = _open(tokens, tree, least)
-    for d in range(1, depth + 1):
-        state = _deeper(state, d, max(1, -(-places // bucket)), least)
     schema = T.StructType(
         [T.StructField("doc_id", blocks.schema["ids"].dataType.elementType), T.StructField("held_out", T.BooleanType())]
         + [T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")]
         + [T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]
     )
-    arrow = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                places = Places.of(row)
-                left = _settled(row, places, np.zeros(len(places.at), bool))["done"]
-                columns = [row["ids"], row["held"], row["n_tokens"], row["n_known"], [n] * len(left), row["base"], left]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, arrow)], schema=arrow)
-
-    return state.select("ids", "held", "n_tokens", "n_known", "base", "done", "codes", "words", "open", "lower", "best").mapInArrow(run, schema)
+    for table in (blocks, totals, tokens):  # all that is needed of them is in the state
+        discard(table)
+    for d in range(1, depth + 1):
+        state = _deeper(state, d, max(1, -(-places // bucket)), least, schema if d == depth else None, n)
+    return state
 
 
 def op1_suffix_tree(spark, sf_dir: str) -> DataFrame:
