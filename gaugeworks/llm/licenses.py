@@ -235,7 +235,7 @@ postgresql | without a written agreement | permission to use copy modify and dis
 openssl | openssl project | this product includes software developed by the openssl project for use in the openssl toolkit
 x11 | in advertising or otherwise | except as contained in this notice the name of .{1,60}? shall not be used in advertising or otherwise to promote the sale
 ncsa | deal with the software | to deal with the software without restriction including without limitation the rights to use copy
-ms-pl | microsoft public license | this license governs use of the accompanying software if you use the software you accept this license
+ms-pl | governs use of the accompanying software | this license governs use of the accompanying software if you use the software you accept this license
 public-domain | public domain | this (?:work|file|software|code) is (?:hereby )?(?:released|placed|dedicated) (?:in|into|to) the public domain
 public-domain | no rights reserved | no rights reserved
 proprietary | unauthorized copying | unauthorized copying of this file via any medium is strictly prohibited
