@@ -16,7 +16,6 @@ results; a null language isn't learned from.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,12 +37,12 @@ EPOCHS = 6
 UNKNOWN = "und"
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
-_JAVA_LETTER = r"[\p{L}\p{Nl}\p{No}]"
+_JAVA_LETTER = r"\p{L}"
 
 
 def has_letter(text: bytes | None) -> bool:
-    return bool(text) and _LETTER.search(text.decode("utf-8", "replace")) is not None
+    """Whether there is a character of category L; numbers such as \u00bd or \u2160 are none."""
+    return bool(text) and any(map(str.isalpha, text.decode("utf-8", "replace")))
 
 
 def windows_of(texts: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
