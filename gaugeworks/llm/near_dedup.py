@@ -19,12 +19,12 @@ From signatures to classes, without all pairs of a group:
    whole texts. Verified links join components. This is linear in the bucket.
 4. The rest: in buckets that still hold several components, each node outside the bucket's largest component is compared with
    every node of other components. Both sides are dealt into chunks of about `CHUNK` nodes, and a group is one chunk against
-   one, whatever the bucket's size. Pairs that agree in `LEAST_AGREEMENT` of the coordinates (three standard deviations below the
+   one, whatever the bucket's size. Pairs that agree in `LEAST_AGREEMENT` of the coordinates (five standard deviations below the
    threshold) are verified on all their shingles inside the group, in the first band that they share, and only links leave it.
    No partner is dropped.
 
 So every pair of nodes that shares a bucket is either inside one component, or verified, or too far apart by its signatures. A pair
-at the threshold shares a bucket with a probability of over 0.9999.
+at the threshold shares no bucket with a probability of 5e-5, (1 - 0.8^5)^25, and is too far apart by its signatures with one of 4e-7.
 
 What is joined with whole documents is sent to all tasks only after a count shows that it is small (`SMALL_ROWS`).
 
@@ -50,7 +50,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
-LEAST_AGREEMENT = 0.69
+LEAST_AGREEMENT = 0.62
 CHUNK = 512
 ROUNDS = 2
 #: A table of ids and hashes with at most so many rows (about 30 MB) is broadcast.
