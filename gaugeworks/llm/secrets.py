@@ -3,13 +3,15 @@
 Three plain kinds are reported as they match (`assign`, `access`, `hex`). Further kinds are candidates of a loose pattern
 that are reported only when what they encode holds together:
 
-* `pem`: an armoured private key whose body decodes to DER or to an OpenSSH key;
+* `pem`: an armoured private key, with or without header lines, whose body decodes to DER or to an OpenSSH key; or, where headers say
+  that the body is enciphered, to whole blocks of the named cipher;
 * `jwt`: three base64url parts; the first decodes to a JSON object with a known `alg`, the second to a JSON object, and the
   signature has the length that the algorithm gives;
 * `der`: base64 or hex that decodes to a DER private key: a SEQUENCE that fills the data, whose elements' nested lengths add
-  up, beginning with a version number and shaped like PKCS#1, PKCS#8 or SEC1;
-* `ssh`: base64 of an OpenSSH private key: magic, then length-prefixed fields that stay inside the data;
-* `wrapped`: base64 or hex that decodes to printable text in which a plain kind matches.
+  up, shaped like PKCS#1, DSA, PKCS#8 (enciphered too) or SEC1;
+* `ssh`: base64 of an OpenSSH private key: magic, cipher, key derivation, as many public keys as it counts, and a private part, whose
+  nested lengths stay inside the data;
+* `wrapped`: base64 or hex that decodes to printable text in which a plain kind matches, or to base64 or hex that decodes to any of these.
 
 Offsets are in code points, end exclusive; a span is the whole match. Matches of one kind are leftmost and don't overlap; a
 plain match that is too short is used up and dropped. A null text is empty. Copies and long texts need no special care: each
@@ -36,7 +38,10 @@ BASE_KINDS = KINDS[:3]
 _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )?PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )?PRIVATE KEY)-----((?:\s*[A-Za-z][A-Za-z0-9-]*:\x20[^\n]*\n)*)([A-Za-z0-9+/=\s]+)-----END \1-----")
+#: Object identifiers of password-based encryption begin like this (PKCS#5 and PKCS#12).
+_ENCIPHERED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c"))
+_CIPHER = re.compile(r"DEK-Info:\x20*([A-Z0-9-]+),([0-9A-Fa-f]+)")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
 _HEX_ANY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])")
@@ -85,16 +90,24 @@ def der_elements(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_der_key(data: bytes) -> bool:
-    """PKCS#1: version and at least eight integers. PKCS#8: version, algorithm, octets. SEC1: version 1, octets, [0]..."""
+    """PKCS#1: version and at least eight integers. DSA: version 0 and five. PKCS#8: version, algorithm, octets; enciphered: algorithm,
+    octets. SEC1: version 1, octets, [0]..."""
     outer = der_elements(data)
     if not outer or len(outer) != 1 or outer[0][0] != 0x30:
         return False
     inner = der_elements(outer[0][1])
-    if not inner or inner[0][0] != 0x02 or inner[0][1] not in (b"\x00", b"\x01"):
+    if not inner:
         return False
     tags = [t for t, _ in inner]
+    if tags == [0x30, 0x04]:
+        algorithm = der_elements(inner[0][1])
+        return bool(algorithm) and algorithm[0][0] == 0x06 and algorithm[0][1].startswith(_ENCIPHERED) and len(inner[1][1]) > 0
+    if inner[0][0] != 0x02 or inner[0][1] not in (b"\x00", b"\x01"):
+        return False
     if len(tags) >= 9 and tags[:9] == [0x02] * 9:
         return all(content for _, content in inner[:9])
+    if tags == [0x02] * 6:
+        return inner[0][1] == b"\x00" and all(len(content) >= 16 for _, content in inner[1:])
     if tags[1:3] == [0x30, 0x04]:
         algorithm = der_elements(inner[1][1])
         return bool(algorithm) and algorithm[0][0] == 0x06 and len(inner[2][1]) > 0
@@ -106,11 +119,36 @@ def is_ssh_key(data: bytes) -> bool:
     if not data.startswith(magic):
         return False
     at = len(magic)
+
+    def number() -> int:
+        nonlocal at
+        at += 4
+        return int.from_bytes(data[at - 4 : at], "big") if at <= len(data) else len(data)
+
+    def field() -> bytes:
+        nonlocal at
+        size = number()
+        at += size
+        return data[at - size : at]
+
     for _ in range(3):  # cipher, key derivation, its options
-        if at + 4 > len(data):
+        field()
+    keys = number()
+    if not 1 <= keys <= 64:
+        return False
+    for _ in range(keys):
+        public = field()
+        if at > len(data) or public and int.from_bytes(public[:4], "big") > len(public) - 4:
             return False
-        at += 4 + int.from_bytes(data[at : at + 4], "big")
-    return at + 8 <= len(data) and 1 <= int.from_bytes(data[at : at + 4], "big") <= 64
+    field()
+    return at <= len(data)
+
+
+def is_enciphered(headers: str, body: bytes | None) -> bool:
+    """Whole blocks of the cipher that the headers name, whose first block is as long as it needs."""
+    cipher = _CIPHER.search(headers)
+    block = 16 if cipher and "AES" in cipher[1] else 8
+    return bool(cipher and body) and "ENCRYPTED" in headers and len(cipher[2]) == 2 * block and len(body) % block == 0
 
 
 def holds_secret(data: bytes) -> bool:
@@ -139,16 +177,29 @@ def is_token(head: str, body: str, signature: str) -> bool:
     return size == expected if expected is not None else size >= 128
 
 
-def _kind(data: bytes | None) -> str | None:
+def _kind(data: bytes | None, layers: int = 1) -> str | None:
+    """What decoded bytes are. Text of one more layer of base64 or hex is decoded again, once."""
     if not data:
         return None
-    return "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else "wrapped" if holds_secret(data) else None
+    if is_der_key(data):
+        return "der"
+    if is_ssh_key(data):
+        return "ssh"
+    if holds_secret(data):
+        return "wrapped"
+    if layers and data.isascii():
+        text = data.decode().strip()
+        for pattern, decode in ((_HEX_ANY, bytes_of_hex), (_BASE64, decode_base64)):
+            if pattern.fullmatch(text) and _kind(decode(text), layers - 1):
+                return "wrapped"
+    return None
 
 
 def confirmed_spans(text: str) -> list[Span]:
     found: list[Span] = []
     for m in _PEM.finditer(text) if "PRIVATE KEY" in text else ():
-        if _kind(decode_base64(m[2])) in ("der", "ssh"):
+        body = decode_base64(m[3])
+        if _kind(body, 0) in ("der", "ssh") or is_enciphered(m[2], body):
             found.append(("pem", *m.span()))
     for m in _JWT.finditer(text) if "eyJ" in text else ():
         if is_token(m[1], m[2], m[3]):
