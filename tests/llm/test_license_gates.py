@@ -19,8 +19,10 @@ def example(parts):
             out += example(value[1][0])
         elif kind is licenses.sre.IN:
             out += chr(value[0][1] if value[0][0] is licenses.sre.LITERAL else value[0][1][0])
-        elif kind is licenses.sre.MAX_REPEAT:
+        elif kind in (licenses.sre.MAX_REPEAT, licenses.sre.MIN_REPEAT):
             out += example(value[2]) * value[0]
+        elif kind is licenses.sre.ANY:
+            out += "x"
     return out
 
 
@@ -39,9 +41,22 @@ def test_each_name_alone_is_found_as_without_keywords(label, name):
         assert [(d["label"], d["tier"], d["start"], d["end"]) for d in licenses.scan(whole.encode())["detections"]] == expected
 
 
+@pytest.mark.parametrize("number", range(len(licenses.rules())))
+def test_every_rule_s_keywords_let_its_own_text_through(number):
+    """All rules: names, statements, addresses and notices."""
+    label, _, _, expression = licenses.rules()[number]
+    text = example(licenses.parser.parse(expression.pattern)).strip()
+    assert expression.search(f" {text} ")
+    found = licenses.scan(f"{text} ".encode())["detections"]
+    covered = [(*m.span(), k) for k, r in enumerate(licenses.rules()) for m in r[3].finditer(f" {text} ")]
+    expected = [(licenses.rules()[k][0], licenses.rules()[k][1], a - 1, b - 1) for a, b, k in licenses.suppressed(covered)]
+    assert [(d["label"], d["tier"], d["start"], d["end"]) for d in found] == expected and expected
+
+
 @pytest.mark.parametrize(
     "text, label",
     [
+        ("This license governs use of the accompanying software. If you use the software, you accept this license.", "ms-pl"),
         ("AGPLv3", "agpl-3.0"),
         ("AGPL 3.0", "agpl-3.0"),
         ("GNU Public License", "gpl"),
