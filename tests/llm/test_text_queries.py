@@ -93,7 +93,7 @@ def any_dir(request):
 
 def test_every_query_is_registered(spark):
     assert set(llm_queries()) | {"pipeline"} <= set(driver.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 14))
 
 
 class TestQueries:
