@@ -3,22 +3,26 @@
 A frame holds whole documents: their ids are one stream, cut into blocks of `BLOCK` ids that are coded independently. All
 blocks of a frame advance together, one id of every block at a time, so that each step is a few array operations.
 
-Model of a block, starting empty:
-
-* order 2: the id that last followed the last two ids, and how often in a row it was right;
-* order 1: the same for the last id;
-* order 0: adaptive frequencies of id classes (the bit length, up to that of the frame's largest id); an id is uniform
-  within its class.
-
-The order-2 id is right with a probability mixed from what its own run of successes and the order-1 run say; the weight moves
-towards whichever was closer. The order-1 id, if it differs, takes its adaptive part of the rest, and the order-0 classes take
-what remains. The three make one interval, which narrows a 64-bit carry-less range coder that emits 32 bits at a time: when
-the range falls below 32 bits, and cut to a multiple of 2**32 where it straddles one. Integers, and divisions that are exact after
-truncation, make any machine decode alike.
-
-Frame layout (little-endian): ``TKF1``, block length u32, ids u64, documents u32, blocks u32, classes u32;
-documents: id i64, id is null u8, length u32, each as an array; blocks: ids u32, payload bytes u32, crc32 of the ids u32, each as an array; crc32 of all before
-u32; the payloads.
+An id is coded as a symbol, its bits above the frame's `low` bits; these follow as they are. `low` is 0 for ids below 2**20.
+The frame's directory has tables that every block starts from, counted over the whole frame:
+
+* order 0: how often each symbol occurs;
+* order 1: the usual follower of every symbol, and how surely it follows;
+* order 2: the same for the last two symbols, by a hash of them.
+
+A block adds what it sees itself: the symbol that last followed the last two, and how often in a row it was right, which
+goes before the frame's follower once it has been right. How often a follower of some certainty is right, and how far order
+1 and order 2 are trusted where they agree, starts equal in every block and adapts with every id.
+
+The order-2 symbol takes its mixed share of the interval, the order-1 symbol, if it differs, its share of the rest, and what
+remains is divided by the order-0 counts. The interval narrows a 64-bit carry-less range coder that emits 32 bits at a time:
+when the range falls below 32 bits, and cut to a multiple of 2**32 where it straddles one. Integers alone make any machine
+decode alike.
+
+Frame layout (little-endian): ``TKF2``, block length u32, ids u64, documents u32, blocks u32, low bits u32, symbols u32,
+order-2 slots u32, bytes of tables u32; documents: id i64, id is null u8, length u32, each as an array; blocks: ids u32,
+payload bytes u32, crc32 of the ids u32, each as an array; the tables (steps between symbols, counts, followers of order 1
+and order 2, u32 each, bytes of equal weight together, deflated); crc32 of all before u32; the payloads.
 """
 
 from __future__ import annotations
@@ -28,105 +32,159 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"TKF1"
+MAGIC = b"TKF2"
 BLOCK = 1024
 #: Blocks that are worked on together at most, which bounds the memory of their tables.
 TOGETHER = 8192
-SLOTS1, SLOTS2 = 256, 512
-STEP, HALVE = 12, 64
-#: With at most so many classes an id takes 31 bits of the range at most, which it has; else the range settles in between.
-NARROW = 17
-MAX_RUN = 7
+#: Followers a block remembers itself, and those of two symbols in the frame's table at most.
+SLOTS, SLOTS2 = 256, 1 << 16
+#: A symbol has at most so many bits, and order 0 shares out 2**26 places, 32 of them at least to each.
+SYMBOL_BITS, PLACE_BITS, LEAST = 20, 26, 32
+GUIDE = 10
+#: Counted at a time, and cells of counts for order 1 at most.
+AT_ONCE, CELLS = 1 << 20, 1 << 22
 U64 = np.uint64
 _LOW32 = U64(0xFFFFFFFF)
 _LIMIT = U64(1 << 32)
-_16, _32 = U64(16), U64(32)
+_3, _RUN, _SLOT = np.uint32(3), np.uint32(7), np.uint32(SLOTS - 1)
+_32, _PLACES = U64(32), U64(PLACE_BITS)
+
+
+def pair_hash(last: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """20 bits of two symbols, given as unsigned 32-bit numbers."""
+    return (last * np.uint32(0x9E3779B1) + before * np.uint32(0x85EBCA6B)) >> np.uint32(12)
+
+
+class Tables:
+    """What all blocks of a frame start from."""
+
+    def __init__(self, low: int, symbols: np.ndarray, counts: np.ndarray, follows1: np.ndarray, follows2: np.ndarray):
+        self.low, self.symbols, self.counts, self.follows1, self.follows2 = low, symbols, counts, follows1, follows2
+        n = len(symbols)
+        width = np.zeros(n, np.int64)
+        if n:
+            free = (1 << PLACE_BITS) - LEAST * n
+            width = LEAST + counts.astype(np.int64) * free // int(counts.sum())
+            width[int(counts.argmax())] += (1 << PLACE_BITS) - int(width.sum())
+        #: Where a symbol's places begin; it ends where the next begins.
+        self.bounds = np.concatenate([[0], np.cumsum(width)])
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> tuple[Tables, np.ndarray]:
+        """The tables of a frame's ids, and the number of each id's symbol."""
+        low = max(0, (int(ids.max()).bit_length() if len(ids) else 0) - SYMBOL_BITS)
+        high = ids >> np.uint32(low) if low else ids
+        counts = np.bincount(high)
+        symbols = np.flatnonzero(counts)
+        number = np.zeros(len(counts), np.uint32)
+        number[symbols] = np.arange(len(symbols))
+        ranks = number[high]
+        spread = 64
+        while spread * len(symbols) > CELLS and spread > 4:
+            spread //= 2
+        slots = min(SLOTS2, 1 << max(0, (len(ids) // 128).bit_length() - 1))
+        follows1 = _followers(ranks, max(1, len(symbols)), spread, lambda last, before: last)
+        follows2 = _followers(ranks, slots, 32, lambda last, before: pair_hash(last, before) & np.uint32(slots - 1))
+        return cls(low, symbols.astype("<u4"), counts[symbols].astype("<u4"), follows1, follows2), ranks
+
+    def pack(self) -> bytes:
+        steps = np.diff(self.symbols.astype(np.int64), prepend=0)
+        whole = np.concatenate([steps, self.counts, self.follows1, self.follows2]).astype("<u4")
+        return zlib.compress(np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 4).T).tobytes(), 6)
+
+    @classmethod
+    def unpack(cls, data: bytes, low: int, symbols: int, slots: int) -> Tables:
+        planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+        whole = np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+        steps, counts, follows1, follows2 = np.split(whole, np.cumsum([symbols, symbols, max(1, symbols)]))
+        return cls(low, np.cumsum(steps.astype(np.int64)).astype("<u4"), counts, follows1, follows2)
+
+    def guide(self) -> np.ndarray:
+        """The first symbol that may hold a place of order 0, by the place's upper bits."""
+        return np.searchsorted(self.bounds[1:], np.arange(1 << (PLACE_BITS - GUIDE)) << GUIDE, side="right")
+
+
+def _followers(ranks: np.ndarray, contexts: int, spread: int, context) -> np.ndarray:
+    """Per context a symbol that usually follows, with its certainty, 0 to 7, in the lowest three bits.
+
+    Followers are counted in ``spread`` hashed cells a context; of the fullest cell the last one is taken.
+    """
+
+    def parts():
+        for a in range(2, len(ranks), AT_ONCE):
+            b = min(len(ranks), a + AT_ONCE)
+            now = ranks[a:b]
+            yield now, context(ranks[a - 1 : b - 1], ranks[a - 2 : b - 2]), (now * np.uint32(0x9E3779B1) >> np.uint32(20)) & np.uint32(spread - 1)
+
+    cells = np.zeros(contexts * spread, np.int64)
+    for _, ctx, cell in parts():
+        cells += np.bincount(ctx * np.uint32(spread) + cell, minlength=len(cells))
+    cells = cells.reshape(contexts, spread)
+    best, total, right = cells.argmax(axis=1), cells.sum(axis=1), cells.max(axis=1)
+    found = np.zeros(contexts, np.int64)
+    best = best.astype(np.uint32)
+    for now, ctx, cell in parts():
+        usual = np.flatnonzero(cell == best.take(ctx))
+        found[ctx[usual]] = now[usual]
+    certainty = np.zeros(contexts, np.int64)
+    for k in range(1, 8):
+        certainty[right << (8 - k) > total] = k  # surer than one in 2 ** (8 - k)
+    return (found << 3 | certainty).astype("<u4")
 
 
 class Model:
     """Predictions and statistics of ``lanes`` blocks."""
 
-    def __init__(self, lanes: int, classes: int):
-        self.classes = classes
-        self.lane = np.arange(lanes)
-        self.base1, self.base2, self.row = self.lane * SLOTS1, self.lane * SLOTS2, self.lane * (2 * (MAX_RUN + 1))
-        self.prev1 = np.zeros(lanes, np.int64)
-        self.prev2 = np.zeros(lanes, np.int64)
-        # An entry is the id and, in the lowest three bits, the run.
-        self.last1, self.last2 = np.zeros(lanes * SLOTS1, np.int64), np.zeros(lanes * SLOTS2, np.int64)
-        self.right1 = np.full(lanes * 2 * (MAX_RUN + 1), 4096, np.int32)
-        self.right2 = np.full(lanes * 2 * (MAX_RUN + 1), 4096, np.int32)
+    def __init__(self, lanes: int, tables: Tables):
+        lane = np.arange(lanes)
+        self.follows1, self.follows2 = tables.follows1.astype(np.uint32), tables.follows2.astype(np.uint32)
+        self.mask2 = np.uint32(len(self.follows2) - 1)
+        self.base, self.row = lane * SLOTS, (lane * 32).astype(np.uint32)
+        self.prev1 = np.zeros(lanes, np.uint32)
+        self.prev2 = np.zeros(lanes, np.uint32)
+        # An entry is the symbol and, in the lowest three bits, the run.
+        self.last = np.zeros(lanes * SLOTS, np.uint32)
+        # Of 65536, by whether both orders name the same symbol, whether it is the block's own, and by certainty or run.
+        start = [max(256, 49152 >> (7 - k)) for k in range(8)] + [65536 * (k + 1) // (k + 3) for k in range(8)]
+        self.right1 = np.tile(np.array(2 * start, np.int32), lanes)
+        self.right2 = self.right1.copy()
         self.weight = np.full(lanes, 32, np.int32)
-        self.sums = np.ascontiguousarray(np.repeat(np.arange(classes + 1, dtype=np.uint16)[:, None], lanes, axis=1))
-        self.order = np.arange(classes + 1, dtype=np.uint8)[:, None]
-        self.steps = 0
 
     def predict(self, n: int) -> tuple[np.ndarray, ...]:
-        """For the first ``n`` blocks: order-2 id and its share of 65536, order-1 id and its share."""
-        p1, p2 = self.prev1[:n], self.prev2[:n]
-        self.at1 = self.base1[:n] + ((p1 * 0x9E3779B1 >> 16) & (SLOTS1 - 1))
-        self.at2 = self.base2[:n] + (((p1 * 0x85EBCA6B + p2 * 0xC2B2AE35) >> 15) & (SLOTS2 - 1))
-        e1, e2 = self.last1.take(self.at1), self.last2.take(self.at2)
-        self.ran1, self.ran2 = e1 & MAX_RUN, e2 & MAX_RUN
-        c1, c2 = e1 >> 3, e2 >> 3
-        self.agree = c1 == c2
-        row = self.row[:n] + self.agree
-        self.q1, self.q2 = row + 2 * self.ran1, row + 2 * self.ran2
+        """For the first ``n`` blocks: order-2 symbol and its share of 65536, order-1 symbol and its share."""
+        p1 = self.prev1[:n]
+        mixed = pair_hash(p1, self.prev2[:n])
+        self.at = self.base[:n] + (mixed & _SLOT)
+        self.own = self.last.take(self.at)
+        self.ran = self.own & _RUN
+        proven = self.ran > 0
+        e1, e2 = self.follows1.take(p1), np.where(proven, self.own, self.follows2.take(mixed & self.mask2))
+        c1, c2 = e1 >> _3, e2 >> _3
+        agree = c1 == c2
+        row = self.row[:n] + (agree.view(np.uint8) << 4)
+        self.q1 = row + (e1 & _RUN)
+        self.q2 = row + (e2 & _RUN) + (proven.view(np.uint8) << 3)
         self.say1, self.say2 = self.right1.take(self.q1), self.right2.take(self.q2)
-        self.other = np.where(self.agree, self.say1, (65536 - self.say1) >> 3)
+        self.other = np.where(agree, self.say1, self.say2)
         w = self.weight[:n]
-        share2 = np.minimum(np.maximum((w * self.say2 + (64 - w) * self.other) >> 6, 32), 61440)
+        share2 = np.minimum(np.maximum((w * (self.say2 - self.other) >> 6) + self.other, 32), 61440)
         rest = 65536 - share2
         share1 = np.minimum(np.maximum(rest * (self.say1 >> 4) >> 12, 32), rest >> 1)
-        return c2, share2, c1, share1 * ~self.agree
+        share1 *= ~agree
+        return c2, share2, c1, share1
 
-    def learn(self, n: int, ids: np.ndarray, kinds: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """``kinds``: classes of ``ids``. Every statistic moves, whichever order coded the id."""
+    def learn(self, n: int, ranks: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """Every statistic moves, whichever order coded the symbol."""
         goal2, goal1 = hit2.astype(np.int32) << 16, hit1.astype(np.int32) << 16
-        closer = np.abs(goal2 - self.say2) < np.abs(goal2 - self.other)
-        w = self.weight[:n] + 2 * closer.astype(np.int32) - 1
+        # Where both say too little or too much, the weight moves to the one that said more or less.
+        w = self.weight[:n] + np.sign(self.say2 - self.other) * (2 * hit2.view(np.int8) - 1)
         self.weight[:n] = np.minimum(np.maximum(w, 1), 63)
-        self.right2[self.q2] = self.say2 + ((goal2 - self.say2) >> 4)
-        self.right1[self.q1] = self.say1 + ((goal1 - self.say1) >> 4)
-        entry = ids.astype(np.int64) << 3
-        self.last2[self.at2] = entry | np.minimum(self.ran2 + 1, MAX_RUN) * hit2
-        self.last1[self.at1] = entry | np.minimum(self.ran1 + 1, MAX_RUN) * hit1
-        self.sums[:, :n] += (self.order > kinds[None, :]).view(np.uint8) * np.uint16(STEP)
+        self.right2[self.q2] = self.say2 + ((goal2 - self.say2) >> 6)
+        self.right1[self.q1] = self.say1 + ((goal1 - self.say1) >> 6)
+        same = (self.own >> _3) == ranks
+        self.last[self.at] = ranks << _3 | np.minimum(self.ran + np.uint32(1), _RUN) * same
         self.prev2[:n] = self.prev1[:n]
-        self.prev1[:n] = ids
-        self.steps += 1
-        if self.steps % HALVE == 0:
-            counts = (np.diff(self.sums.astype(np.int32), axis=0) + 1) >> 1
-            self.sums[1:] = np.cumsum(counts, axis=0)
-
-    def class_interval(self, n: int, kinds: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        rest, lane = 65536 - used, self.lane[:n]
-        total = self.sums[self.classes, :n].astype(np.float64)
-        place = kinds * self.sums.shape[1] + lane
-        sums = self.sums.reshape(-1)
-        # Products stay below 2**28 and totals below 2**13, so the quotients truncate exactly.
-        low = used + (sums.take(place) * rest / total).astype(np.int64)
-        high = used + (sums.take(place + self.sums.shape[1]) * rest / total).astype(np.int64)
-        return low, high - low
-
-    def class_at(self, n: int, place: np.ndarray, used: np.ndarray) -> np.ndarray:
-        rest = 65536 - used
-        total = self.sums[self.classes, :n].astype(np.int64)
-        within = np.maximum(((place - used + 1) * total - 1) / rest, 0)
-        return (self.sums[1:, :n] <= within[None, :].astype(np.uint16)).sum(axis=0)
-
-
-_SHORT = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)
-
-
-def class_of(ids: np.ndarray) -> np.ndarray:
-    """Bit length of each id."""
-    high = ids >> 16
-    return np.where(high > 0, 16 + _SHORT[np.minimum(high, 0xFFFF)], _SHORT[ids & 0xFFFF]) if high.any() else _SHORT[ids]
-
-
-def offset_bits(kinds: np.ndarray) -> np.ndarray:
-    return np.maximum(kinds.astype(np.int64) - 1, 0)
+        self.prev1[:n] = ranks
 
 
 class _Narrow:
@@ -159,106 +217,123 @@ def _blocks(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(padded.reshape(lanes, block).T), sizes
 
 
-def encode_blocks(ids: np.ndarray, classes: int, block: int = BLOCK) -> list[bytes]:
+def encode_blocks(ids: np.ndarray, ranks: np.ndarray, tables: Tables, block: int = BLOCK) -> list[bytes]:
     """The payload of every block of ``ids``."""
     if len(ids) > TOGETHER * block:
-        parts = range(0, len(ids), TOGETHER * block)
-        return [p for at in parts for p in encode_blocks(ids[at : at + TOGETHER * block], classes, block)]
-    columns, sizes = _blocks(ids, block)
+        parts = [slice(at, at + TOGETHER * block) for at in range(0, len(ids), TOGETHER * block)]
+        return [p for part in parts for p in encode_blocks(ids[part], ranks[part], tables, block)]
+    columns, sizes = _blocks(ranks, block)
     lanes = len(sizes)
     if not lanes:
         return []
-    model, coder = Model(lanes, classes), _Narrow(lanes)
-    words = np.zeros((lanes, 2 * min(block, len(ids)) + 64), np.uint32)
+    lows = _blocks(ids & np.uint32((1 << tables.low) - 1), block)[0] if tables.low else None
+    model, coder = Model(lanes, tables), _Narrow(lanes)
+    words = np.zeros((lanes, 64), np.uint32)
     filled = np.zeros(lanes, np.int64)
 
     def shift(which, low):
+        nonlocal words
         at = filled[which]
+        if len(at) and int(at.max()) >= words.shape[1]:
+            words = np.concatenate([words, np.zeros((lanes, max(64, words.shape[1] // 2)), np.uint32)], axis=1)
         words[which, at] = low >> _32
         filled[which] = at + 1
 
-    classes_of = class_of(columns)
     for t in range(min(block, len(ids))):
         n = lanes if t < sizes[-1] else lanes - 1
         now = columns[t, :n]
-        kinds = classes_of[t, :n]
         c2, share2, c1, share1 = model.predict(n)
         hit2, hit1 = now == c2, now == c1
-        lower, width = model.class_interval(n, kinds.astype(np.int64), share2.astype(np.int64) + share1)
-        start = np.where(hit2, 0, np.where(hit1, share2, lower)).astype(U64)
-        width = np.where(hit2, share2, np.where(hit1, share1, width)).astype(U64)
+        _narrow(coder, n, tables, now, hit2, hit1, share2, share1)
+        coder.settle(n, shift)
         low, size = coder.low, coder.range
-        part = size[:n] >> _16
-        low[:n] += start * part
-        size[:n] = part * width
-        if classes > NARROW:
+        if tables.low:
+            part = size[:n] >> U64(tables.low)
+            low[:n] += part * lows[t, :n].astype(U64)
+            size[:n] = part
             coder.settle(n, shift)
-        bits = np.where(hit2 | hit1, 0, offset_bits(kinds))
-        part = size[:n] >> bits.astype(U64)
-        low[:n] += part * (now & ((np.int64(1) << bits) - 1)).astype(U64)
-        size[:n] = part
-        coder.settle(n, shift)
-        model.learn(n, now, kinds, hit2, hit1)
+        model.learn(n, now, hit2, hit1)
     out = []
     for k in range(lanes):
-        tail = int(coder.low[k]).to_bytes(8, "big")
+        # The range has 32 bits, so a multiple of 2**32 lies in it; zeros follow.
+        tail = (int(coder.low[k]) + 0xFFFFFFFF >> 32).to_bytes(4, "big")
         out.append(words[k, : filled[k]].astype(">u4").tobytes() + tail)
     return out
 
 
-def decode_blocks(payloads: list[bytes], sizes: list[int], classes: int) -> list[np.ndarray]:
+def _narrow(coder: _Narrow, n: int, tables: Tables, now: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, share2: np.ndarray, share1: np.ndarray) -> None:
+    """Narrows to the order-2 symbol's share, the order-1 symbol's, or the symbol's own within the rest."""
+    used = share2 + share1
+    left = np.int64(65536) - used
+    start, stop = tables.bounds.take(now) * left >> 16, tables.bounds.take(now + np.uint32(1)) * left >> 16
+    start += used.astype(np.int64) << 10
+    stop += used.astype(np.int64) << 10
+    for hit, a, b in ((hit1, share2, used), (hit2, None, share2)):
+        k = np.flatnonzero(hit)
+        start[k] = 0 if a is None else a[k].astype(np.int64) << 10
+        stop[k] = b[k].astype(np.int64) << 10
+    part = coder.range[:n] >> _PLACES
+    coder.low[:n] += start.view(U64) * part
+    coder.range[:n] = (stop - start).view(U64) * part
+
+
+def decode_blocks(payloads: list[bytes], sizes: list[int], tables: Tables) -> list[np.ndarray]:
     """Ids of blocks, given how many each holds."""
     if len(payloads) > TOGETHER:
         parts = range(0, len(payloads), TOGETHER)
-        return [b for at in parts for b in decode_blocks(payloads[at : at + TOGETHER], sizes[at : at + TOGETHER], classes)]
+        return [b for at in parts for b in decode_blocks(payloads[at : at + TOGETHER], sizes[at : at + TOGETHER], tables)]
     if not payloads:
         return []
     order = np.argsort(-np.asarray(sizes), kind="stable")
     lengths = np.asarray(sizes)[order]
     lanes = len(order)
     longest = max(len(p) for p in payloads) // 4 + 4
-    words = np.zeros((lanes, longest), U64)
+    words = np.zeros((lanes, longest), np.uint32)
     for row, k in enumerate(order):
         body = np.frombuffer(payloads[k], ">u4", len(payloads[k]) // 4)
         words[row, : len(body)] = body
-    code = words[:, 0] << _32 | words[:, 1]
+    code = words[:, 0].astype(U64) << _32 | words[:, 1]
     at = np.full(lanes, 2)
-    model, coder = Model(lanes, classes), _Narrow(lanes)
+    model, coder = Model(lanes, tables), _Narrow(lanes)
 
     def shift(which, low):
         place = at[which]
         code[which] = code[which] << _32 | words[which, np.minimum(place, longest - 1)]
         at[which] = place + 1
 
+    guide, ends = tables.guide().astype(np.uint32), tables.bounds[1:]
     out = np.zeros((int(lengths[0]), lanes), np.uint32)
     for t in range(int(lengths[0])):
         n = int(np.searchsorted(-lengths, -t, side="left"))
         low, size = coder.low, coder.range
         c2, share2, c1, share1 = model.predict(n)
-        part = size[:n] >> _16
-        place = np.minimum((code[:n] - low[:n]) // part, U64(65535)).astype(np.int64)
-        used = share2.astype(np.int64) + share1
-        hit2 = place < share2
-        hit1 = ~hit2 & (place < used)
-        kinds = model.class_at(n, np.maximum(place, used), used)
-        lower, width = model.class_interval(n, kinds, used)
-        start = np.where(hit2, 0, np.where(hit1, share2, lower)).astype(U64)
-        width = np.where(hit2, share2, np.where(hit1, share1, width)).astype(U64)
-        low[:n] += start * part
-        size[:n] = part * width
-        if classes > NARROW:
-            coder.settle(n, shift)
-        bits = np.where(hit2 | hit1, 0, offset_bits(kinds))
-        part = size[:n] >> bits.astype(U64)
-        top = np.int64(1) << bits
-        rest = np.minimum((code[:n] - low[:n]) // part, (top - 1).astype(U64))
-        low[:n] += part * rest
-        size[:n] = part
+        place = np.minimum((code[:n] - low[:n]) // (size[:n] >> _PLACES), U64((1 << PLACE_BITS) - 1)).astype(np.int64)
+        upper = place >> 10
+        used = share2 + share1
+        hit2 = upper < share2
+        now = np.where(hit2, c2, c1)
+        rest = np.flatnonzero(upper >= used)
+        used = used[rest].astype(np.int64)
+        # The last place of order 0 that falls on this one.
+        place = np.minimum(((place[rest] - (used << 10) + 1 << 16) - 1) // (65536 - used), (1 << PLACE_BITS) - 1)
+        symbol = guide.take(place >> GUIDE)
+        beyond = np.flatnonzero(ends.take(symbol) <= place)
+        while len(beyond):
+            symbol[beyond] += np.uint32(1)
+            beyond = beyond[ends.take(symbol[beyond]) <= place[beyond]]
+        now[rest] = symbol
+        hit2, hit1 = now == c2, now == c1
+        _narrow(coder, n, tables, now, hit2, hit1, share2, share1)
         coder.settle(n, shift)
-        plain = np.where(kinds > 0, top, 0) + rest.astype(np.int64)
-        now = np.where(hit2, c2, np.where(hit1, c1, plain)).astype(np.uint32)
-        out[t, :n] = now
-        model.learn(n, now, class_of(now), now == c2, now == c1)
+        out[t, :n] = tables.symbols.take(now)
+        if tables.low:
+            part = size[:n] >> U64(tables.low)
+            bits = np.minimum((code[:n] - low[:n]) // part, U64((1 << tables.low) - 1))
+            low[:n] += part * bits
+            size[:n] = part
+            coder.settle(n, shift)
+            out[t, :n] = out[t, :n] << np.uint32(tables.low) | bits.astype(np.uint32)
+        model.learn(n, now, hit2, hit1)
     rows = [None] * lanes
     for row, k in enumerate(order):
         rows[k] = np.ascontiguousarray(out[: lengths[row], row])
@@ -268,15 +343,17 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], classes: int) -> list
 def pack_frame(doc_ids: list[int | None], documents: list[bytes], block: int = BLOCK) -> bytes:
     """A frame of whole documents, given as little-endian unsigned 32-bit ids."""
     ids = np.frombuffer(b"".join(documents), "<u4")
-    classes = int(ids.max()).bit_length() + 1 if len(ids) else 1
-    payloads = encode_blocks(ids, classes, block)
+    tables, ranks = Tables.of(ids)
+    payloads = encode_blocks(ids, ranks, tables, block)
     sizes = [min(block, len(ids) - k * block) for k in range(len(payloads))]
     crcs = [zlib.crc32(ids[k * block : (k + 1) * block].astype("<u4").tobytes()) for k in range(len(payloads))]
-    head = MAGIC + struct.pack("<IQIII", block, len(ids), len(documents), len(payloads), classes)
+    packed = tables.pack()
+    head = MAGIC + struct.pack("<IQIIIIII", block, len(ids), len(documents), len(payloads), tables.low, len(tables.symbols), len(tables.follows2), len(packed))
     head += np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes()
     head += np.array([d is None for d in doc_ids], np.uint8).tobytes()
     head += np.array([len(d) // 4 for d in documents], "<u4").tobytes()
     head += np.array(sizes, "<u4").tobytes() + np.array([len(p) for p in payloads], "<u4").tobytes() + np.array(crcs, "<u4").tobytes()
+    head += packed
     return b"".join([head, struct.pack("<I", zlib.crc32(head)), *payloads])
 
 
@@ -286,10 +363,10 @@ class Frame:
     def __init__(self, data: bytes):
         if data[:4] != MAGIC:
             raise ValueError("not a token frame")
-        block, self.n_ids, docs, blocks, self.classes = struct.unpack_from("<IQIII", data, 4)
-        at = 28
+        block, self.n_ids, docs, blocks, low, symbols, slots, packed = struct.unpack_from("<IQIIIIII", data, 4)
+        at = 40
         self.block = block
-        if len(data) < at + 13 * docs + 12 * blocks + 4:
+        if len(data) < at + 13 * docs + 12 * blocks + packed + 4:
             raise ValueError("token frame is cut short")
 
         def take(kind: str, count: int) -> np.ndarray:
@@ -301,8 +378,11 @@ class Frame:
         ids, nulls, self.lengths = take("<i8", docs), take("u1", docs), take("<u4", docs)
         self.doc_ids = [None if z else int(d) for d, z in zip(ids, nulls)]
         self.sizes, self.bytes, self.crcs = take("<u4", blocks), take("<u4", blocks), take("<u4", blocks)
+        tables_at = at
+        at += packed
         if zlib.crc32(data[:at]) != struct.unpack_from("<I", data, at)[0]:
             raise ValueError("token frame has a damaged directory")
+        self.tables = Tables.unpack(data[tables_at:at], low, symbols, slots)
         self.payload_at = at + 4 + np.concatenate(([0], np.cumsum(self.bytes.astype(np.int64))))
         self.data = data
 
@@ -310,7 +390,7 @@ class Frame:
         """Ids of the given blocks (all), each checked against its checksum."""
         which = list(range(len(self.sizes))) if which is None else which
         payloads = [self.data[self.payload_at[k] : self.payload_at[k + 1]] for k in which]
-        decoded = decode_blocks(payloads, [int(self.sizes[k]) for k in which], self.classes)
+        decoded = decode_blocks(payloads, [int(self.sizes[k]) for k in which], self.tables)
         for k, ids in zip(which, decoded):
             if zlib.crc32(ids.astype("<u4").tobytes()) != self.crcs[k]:
                 raise ValueError(f"token block {k} is damaged")

@@ -66,6 +66,25 @@ class TestRangeCoder:
         ids = np.tile(np.arange(20, dtype="<u4") * 97, 2000)
         assert len(rangecoder.pack_frame([1], [ids.tobytes()])) < len(ids) * 4 / 40
 
+    def test_predictions_save_bits(self):
+        """Fewer bits than the ids' order-0 entropy where followers tell something, hardly more where they don't."""
+        rng = np.random.default_rng(3)
+        alone = rng.geometric(0.01, 100_000).astype("<u4") * 11
+        counts = np.unique(alone, return_counts=True)[1] / len(alone)
+        entropy = -(counts * np.log2(counts)).sum() * len(alone) / 8
+        assert len(rangecoder.pack_frame([1], [alone.tobytes()])) < 1.08 * entropy + 30_000
+        led = alone.copy()
+        led[1::2] = led[::2] * 7 % 1009
+        counts = np.unique(led, return_counts=True)[1] / len(led)
+        entropy = -(counts * np.log2(counts)).sum() * len(led) / 8
+        assert len(rangecoder.pack_frame([1], [led.tobytes()])) < 0.75 * entropy
+
+    @pytest.mark.parametrize("step", [1, 4099])
+    def test_very_many_symbols(self, step):
+        ids = np.random.default_rng(1).permutation(1_048_577).astype("<u4")[:200_000] * np.uint32(step)
+        frame = rangecoder.Frame(rangecoder.pack_frame([1], [ids.tobytes()]))
+        assert frame.documents() == [ids.tobytes()]
+
     def test_damage_is_found(self):
         ids = np.arange(3000, dtype="<u4")
         data = bytearray(rangecoder.pack_frame([1], [ids.tobytes()]))
