@@ -4,16 +4,19 @@ A document's ids and its end id are cut into pieces of at most ``size`` ids; onl
 sequence of its own. The others are dealt by a hash into blocks of about `BLOCK` pieces, and each block is one small packing
 problem, solved by several islands:
 
-* an individual is a set of bins (a grouping of the block's pieces); the first is best-fit decreasing, others start disturbed;
+* an individual is a set of bins (a grouping of the block's pieces); one island starts from best-fit decreasing, every other
+  individual from best fit in an order disturbed in its own way, so that islands differ;
 * crossover injects whole well-filled bins of one parent into the other, drops the other's bins that hold a piece twice, and
   best-fits the displaced pieces; mutation empties a few badly filled bins and best-fits their pieces;
 * the fitness rewards few and well-filled bins;
-* each island is a row that any task can work on. After `GENERATIONS` generations every island sends its best individual
-  to the next island of its block, for `EPOCHS` epochs; the best island's bins count. An island whose best individual has
-  as few bins as the total length allows stops early.
+* each island is a row that any task can work on. It breeds until `PATIENCE` children in a row bring no better best one, at
+  most `GENERATIONS` of them; then it sends its best individual to the next island of its block, for `EPOCHS` epochs. The
+  best island's bins count. A block is done as soon as an island needs no more bins than the lengths allow at least.
 
 A block's well-filled bins are final. What lies in the others goes, with that of the other blocks, to the next level, which is
-packed in the same way, until a level is a single block or more than three quarters of its pieces lie in such bins.
+packed in the same way. Where more than three quarters of the pieces lie in such bins, they hardly fit together better elsewhere: then
+only an eighth of each block's bins, the emptiest, goes on. The last level is a single block. A level that gets hardly smaller
+(its bins are as large as blocks) doubles the pieces of a block.
 
 Null and empty texts are the end id alone. Rows with equal ids are packed as rows of their own. An empty table gives no pieces.
 """
@@ -26,6 +29,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.columns import append_columns, staged
@@ -35,9 +39,10 @@ SIZE = 4096
 END = 1
 BLOCK = 2048
 ISLANDS = 3
-POPULATION = 4
-GENERATIONS = 6
-EPOCHS = 2
+POPULATION = 6
+GENERATIONS = 100
+PATIENCE = 25
+EPOCHS = 3
 #: Bins that are at least so full stay; the pieces of others are packed again with those of other blocks.
 WELL_FILLED = 0.995
 
@@ -60,10 +65,11 @@ def best_fit(lengths: list[int], items: list[int], bins: Bins, size: int) -> Bin
 
 
 def disturbed(lengths: list[int], rng: random.Random, size: int) -> Bins:
-    """Best fit in an order that follows the length only roughly."""
+    """Best fit in an order that follows the length more or less roughly."""
+    least = rng.uniform(0.5, 1)
     room: list[tuple[int, int]] = []
     bins: Bins = []
-    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i] * rng.uniform(0.7, 1)):
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i] * rng.uniform(least, 1)):
         at = bisect_left(room, (lengths[i], -1))
         left, k = room.pop(at) if at < len(room) else (size, len(bins))
         if k == len(bins):
@@ -97,31 +103,46 @@ def least_bins(lengths: list[int], size: int) -> int:
     return max(-(-sum(lengths) // size), sum(2 * n > size for n in lengths))
 
 
-def evolve(lengths: list[int], population: list[Bins], seed: int, size: int = SIZE, individuals: int = POPULATION, generations: int = GENERATIONS) -> list[Bins]:
-    """The island's population after some generations, best first. An empty population is filled."""
+def evolve(
+    lengths: list[int], population: list[Bins], seed: int, size: int = SIZE, individuals: int = POPULATION, generations: int = GENERATIONS, patience: int = PATIENCE, first: bool = True
+) -> list[Bins]:
+    """The island's population after some generations, best first; one individual if it has the least possible bins.
+
+    An empty population is filled, with best-fit decreasing if this is the ``first`` island.
+    """
     rng = random.Random(seed)
     if not lengths:
         return [[]]
-    if not population:
-        population = [best_fit(lengths, list(range(len(lengths))), [], size)]
     least = least_bins(lengths, size)
-    scored = sorted(((fitness(lengths, p, size), p) for p in population), key=lambda x: x[0], reverse=True)
-    if len(scored[0][1]) == least:
-        return [scored[0][1]]
+    if not population:
+        plain = best_fit(lengths, list(range(len(lengths))), [], size)
+        if len(plain) == least:
+            return [plain]
+        population = [plain] if first else []
+
+    def rated(bins: Bins) -> tuple[tuple[int, float], Bins]:
+        return fitness(lengths, bins, size), bins
+
+    scored = [rated(p) for p in population]
     while len(scored) < individuals:
-        bins = disturbed(lengths, rng, size)
-        scored.append((fitness(lengths, bins, size), bins))
+        scored.append(rated(disturbed(lengths, rng, size)))
+    scored.sort(key=lambda x: x[0], reverse=True)
+    del scored[individuals:]
+    waited = 0
     for _ in range(generations):
-        scored.sort(key=lambda x: x[0], reverse=True)
-        if len(scored[0][1]) == least:
+        if len(scored[0][1]) == least or waited >= patience:
             break
         giver, taker = rng.sample(range(len(scored)), 2)
         child = crossover(lengths, scored[giver][1], scored[taker][1], rng, size)
         if rng.random() < 0.5:
             child = mutation(lengths, child, rng, size)
-        scored[-1] = max(scored[-1], (fitness(lengths, child, size), child), key=lambda x: x[0])
-    scored.sort(key=lambda x: x[0], reverse=True)
-    return [p for _, p in scored[:individuals]]
+        child = rated(child)
+        waited = 0 if child[0] > scored[0][0] else waited + 1
+        # A child takes the worst place, unless it is worse still or here already.
+        if child[0] > scored[-1][0] and all(child[0] != other for other, _ in scored):
+            scored[-1] = child
+            scored.sort(key=lambda x: x[0], reverse=True)
+    return [p for _, p in scored][: 1 if len(scored[0][1]) == least else None]
 
 
 def as_places(bins: Bins, n: int) -> list[int]:
@@ -167,7 +188,7 @@ def _islands(islands: DataFrame, size: int, epoch: int, tasks: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                grown = evolve(r["lengths"], [as_bins(p) for p in r["population"]], hash((r["block"], r["island"], epoch)), size)
+                grown = evolve(r["lengths"], [as_bins(p) for p in r["population"]], hash((r["block"], r["island"], epoch)), size, first=r["island"] == 0)
                 r["population"] = [as_places(p, len(r["lengths"])) for p in grown]
                 yield pa.RecordBatch.from_pylist([r], schema=batch.schema)
 
@@ -187,6 +208,7 @@ def _pack_level(pieces: DataFrame, blocks: int, size: int, islands: int, epochs:
     )
     # The work of an island doesn't show in its bytes, so tasks aren't left to adaptive coalescing.
     tasks = min(blocks * islands, max(4 * spark.sparkContext.defaultParallelism, blocks * islands // 64))
+    settled: list[DataFrame] = []  # islands of blocks that one of them has solved
     for epoch in range(epochs):
         if epoch:
             best = rows.select("block", ((F.col("island") + 1) % islands).alias("island"), F.element_at("population", 1).alias("guest"))
@@ -194,6 +216,14 @@ def _pack_level(pieces: DataFrame, blocks: int, size: int, islands: int, epochs:
                 "block", "island", "rows", "lengths", F.array_union("population", F.array("guest")).alias("population")
             )
         rows = staged(_islands(rows, size, epoch, tasks))
+        if epoch + 1 < epochs:
+            state = rows.groupBy("block").agg(F.min(F.size("population")).alias("individuals"))
+            settled.append(rows.join(state.where("individuals = 1"), "block", "left_semi"))
+            rows = staged(rows.join(state.where("individuals > 1"), "block", "left_semi"))
+            if rows.isEmpty():
+                break
+    for part in settled:
+        rows = rows.unionByName(part)
     first = F.element_at("population", 1)
     ranked = rows.select("block", "rows", "lengths", first.alias("places"), F.array_max(first).alias("last_bin"), "island")
     chosen = ranked.groupBy("block").agg(F.min_by(F.struct("rows", "lengths", "places"), F.struct("last_bin", "island")).alias("c"))
@@ -224,14 +254,22 @@ def pack(pieces: DataFrame, size: int = SIZE, block: int = BLOCK, islands: int =
     while count := rest.count():
         blocks = -(-count // block)
         packed = staged(_pack_level(rest, blocks, size, islands, epochs), spark)
-        loose = packed.where(F.col("filled") < WELL_FILLED).count()
-        last = blocks == 1 or loose > 0.75 * count  # pieces that hardly fit together won't fit better elsewhere
-        final = packed if last else packed.where(F.col("filled") >= WELL_FILLED)
+        bins = packed.groupBy("block", "bin").agg(F.first("filled").alias("filled"), F.count("*").alias("n"))
+        loose = bins.where(F.col("filled") < WELL_FILLED)
+        last = blocks == 1
+        if not last and (loose.agg(F.sum("n")).first()[0] or 0) > 0.75 * count:
+            emptiest = W.partitionBy("block").orderBy("filled", "bin")
+            share = F.ceil(F.count("*").over(W.partitionBy("block")) / 8)
+            loose = loose.withColumn("place", F.row_number().over(emptiest)).withColumn("share", share).where("place <= share")
+        again = staged(packed.join(loose.select("block", "bin"), ["block", "bin"], "left_semi").select("row"), spark)
+        final = packed if last else packed.join(loose.select("block", "bin"), ["block", "bin"], "left_anti")
         number = (F.lit(level << 56) + F.col("block") * F.lit(1 << 20) + F.col("bin")).alias("sequence_id")
         done.append(final.select("row", number, "offset"))
         if last:
             break
-        rest = staged(rest.join(packed.where(F.col("filled") < WELL_FILLED).select("row"), "row"), spark)
+        rest = staged(rest.join(again, "row"), spark)
+        if rest.count() > 0.9 * count:
+            block *= 2
         level += 1
     placed = done[0]
     for d in done[1:]:

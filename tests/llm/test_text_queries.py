@@ -1,5 +1,6 @@
 """The registered text queries against SQL and plain versions, and on awkward tables."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -252,6 +253,25 @@ class TestOperators:
         pieces = spark.range(300).select(F.col("id").alias("row"), F.lit(60).cast("long").alias("length"))
         assert packing.pack(pieces, size=100, block=32).select("sequence_id").distinct().count() == 300
 
+    def test_hard_lengths_in_several_blocks(self, spark):
+        """Levels go on although hardly any bin is full, to fewer sequences than best fit over all pieces needs."""
+        rng = random.Random(5)
+        lengths = [rng.randint(17, 37) for _ in range(400)]
+        pieces = spark.createDataFrame(list(enumerate(lengths)), "row long, length long")
+        found = packing.pack(pieces, size=100, block=128).collect()
+        assert sorted(r.row for r in found) == list(range(400))
+        loads = {}
+        for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)):
+            assert loads.get(r.sequence_id, 0) == r.offset
+            loads[r.sequence_id] = r.offset + r.length
+        assert max(loads.values()) <= 100
+        assert len(loads) <= len(packing.best_fit(lengths, list(range(400)), [], 100))
+
+    def test_bins_as_large_as_blocks(self, spark):
+        pieces = spark.range(600).selectExpr("id AS row", "1L AS length")
+        found = packing.pack(pieces, size=100, block=16)
+        assert found.select("sequence_id").distinct().count() == 6 and found.count() == 600
+
     def test_large_buckets_are_dealt_out(self, spark, monkeypatch):
         monkeypatch.setattr(near_dedup, "CHUNK", 4)
         words = PROSE.split()

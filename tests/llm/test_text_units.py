@@ -117,6 +117,18 @@ class TestPacking:
         best = packing.evolve(lengths, [], 1, 60, individuals=8, generations=300)[0]
         assert packing.least_bins(lengths, 60) <= len(best) <= len(first)
 
+    def test_islands_beat_best_fit_on_hard_lengths(self):
+        """By one in a hundred bins, where best fit needs more than the lengths allow at least."""
+        rng = random.Random(1)
+        lengths = [rng.randint(700, 1500) for _ in range(2048)]
+        first = packing.best_fit(lengths, list(range(len(lengths))), [], 4096)
+        islands = [[], [], []]
+        for epoch in range(packing.EPOCHS):
+            guests = [[p[0]] if p else [] for p in islands[-1:] + islands[:-1]]
+            islands = [packing.evolve(lengths, p + g, 10 * epoch + k, first=k == 0) for k, (p, g) in enumerate(zip(islands, guests))]
+        assert min(len(p[0]) for p in islands) <= 0.99 * len(first)
+        assert not any(p in islands[0] for p in islands[1])
+
 
 def _der(tag, body):
     size = struct.pack("B", len(body)) if len(body) < 128 else b"\x82" + struct.pack(">H", len(body))
