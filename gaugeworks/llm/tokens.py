@@ -10,27 +10,40 @@ Two rewritings let words share an entry and leave the ids as they are, since the
 letters from punctuation itself: ASCII capitals are lower-cased, and a space goes between an ASCII letter and ASCII
 punctuation other than an apostrophe (which may begin a contraction). Batches with a combining mark of the block U+0300
 or with ``<|``, which spells special tokens, are left alone.
+
+Unknown words of Latin letters in lower case alone are one piece each for the tokenizer's splitter, and its normaliser leaves them as
+they are. They go through the file's BPE model together, separated by spaces; as the model marks the last id of a word, the ids
+fall back to their words. Other words, and files of another make, go through the whole tokenizer.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
-from itertools import chain
+from collections.abc import Iterator
+from itertools import chain, compress
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 REMEMBERED = 300_000
 LONG = 64
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[0x61:0x7B] = True
-_POINT = np.zeros(256, bool)
-_POINT[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27]] = True
+#: By byte: 1 white space, 2 a letter, 3 punctuation but the apostrophe.
+_KIND = bytes(1 if b in b" \t\n\v\f\r" else 2 if 0x61 <= b <= 0x7A else 3 if 0x21 <= b < 0x7F and b != 0x27 and not chr(b).isalnum() else 0 for b in range(256))
+#: How byte-level models write bytes: printable Latin-1 as itself, the others from U+0100 on; here the space stays a space.
+_PRINTED = np.array([0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD for b in range(256)])
+_SIGNS = np.where(_PRINTED, np.arange(256), 0xFF + np.cumsum(~_PRINTED)).astype("<u4")
+_SIGNS[0x20] = 0x20
+#: Lower-case letters that no normaliser changes; a run of them is one piece.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -41,6 +54,7 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces, self.last = _pieces(self.tokenizer)
         self.room = remembered
         self.known: dict[bytes, bytes] = {}
 
@@ -48,12 +62,19 @@ class WordEncoder:
         out: dict[bytes, bytes] = {}
         for at in range(0, len(words), 50_000):
             part = words[at : at + 50_000]
-            encoded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            ids = [e.ids for e in encoded]
-            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) * 4
-            flat = np.fromiter(chain.from_iterable(ids), "<u4", int(ends[-1]) // 4).tobytes()
-            ends = ends.tolist()
-            out.update(zip(part, map(flat.__getitem__, map(slice, [0, *ends], ends))))
+            texts = [w.decode("utf-8", "replace") for w in part]
+            plain = [bool(self.pieces and _PLAIN(t)) for t in texts]
+            if True in plain:
+                body = _SIGNS[np.frombuffer(b" ".join(compress(part, plain)), np.uint8)].tobytes().decode("utf-32-le")
+                flat = np.array(self.pieces.encode_batch_fast([body], add_special_tokens=False)[0].ids, "<u4")
+                ends = np.flatnonzero(self.last[flat]) + 1
+                out.update(_cut(list(compress(part, plain)), flat, ends))
+            other = [not p for p in plain]
+            if True in other:
+                encoded = self.tokenizer.encode_batch_fast(list(compress(texts, other)), add_special_tokens=False)
+                ids = [e.ids for e in encoded]
+                ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+                out.update(_cut(list(compress(part, other)), np.fromiter(chain.from_iterable(ids), "<u4", int(ends[-1])), ends))
         return out
 
     def _lookup(self, words: list[bytes]) -> list[bytes]:
@@ -77,11 +98,11 @@ class WordEncoder:
         body = b" ".join([t or b"" for t in texts]) + b" "
         if b"<|" not in body and b"\xcc" not in body and b"\xcd" not in body:
             body = body.translate(_LOWER)
-            data = np.frombuffer(body, np.uint8)
-            gaps = np.flatnonzero(_LETTER[data[:-1]] & _POINT[data[1:]]) + 1
+            kind = np.frombuffer(body.translate(_KIND), np.uint8)
+            gaps = np.flatnonzero((kind[:-1] == 2) & (kind[1:] == 3)) + 1
         else:
-            data, gaps = np.frombuffer(body, np.uint8), np.zeros(0, np.int64)
-        space = _SPACE[data]
+            kind, gaps = np.frombuffer(body.translate(_KIND), np.uint8), np.zeros(0, np.int64)
+        data, space = np.frombuffer(body, np.uint8), kind == 1
         cut = np.ones(len(data) + 1, bool)  # a word begins, or has ended, here
         cut[1:-1] = space[1:] != space[:-1]
         cut[0] = not space[0]
@@ -89,7 +110,7 @@ class WordEncoder:
         cut[gaps] = False  # both: put in twice below
         edges = np.flatnonzero(cut)
         if len(gaps):
-            edges = np.sort(np.concatenate([edges, gaps, gaps]))
+            edges = np.sort(np.concatenate([edges, gaps, gaps]), kind="stable")  # three ordered runs
         starts, ends = edges[::2], edges[1::2]
         packed = data[~space]
         word_at = np.concatenate([[0], np.cumsum(ends - starts)])
@@ -97,7 +118,7 @@ class WordEncoder:
             raise ValueError("a batch of over 2 GB of text")
         words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(word_at.astype(np.int32)), pa.py_buffer(packed)])
         coded = words.dictionary_encode()
-        ids = self._lookup(coded.dictionary.to_pylist())
+        ids = self._lookup(_as_bytes(coded.dictionary))
         flat = np.frombuffer(b"".join(ids), "<u4")
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         origins = np.concatenate([[0], np.cumsum(lengths)])
@@ -118,6 +139,40 @@ class WordEncoder:
         return out, bounds
 
 
+def _as_bytes(words: pa.BinaryArray) -> list[bytes]:
+    """What `to_pylist` gives where nothing is null, without a scalar for each word."""
+    _, at, data = words.buffers()
+    at = np.frombuffer(at, np.int32)[words.offset : words.offset + len(words) + 1].tolist() if len(words) else [0]
+    return list(map((data.to_pybytes() if data else b"").__getitem__, map(slice, at, at[1:])))
+
+
+def _cut(words: list[bytes], flat: np.ndarray, ends: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+    """Each word with its ids, those of all words being ``flat``."""
+    if len(words) != len(ends) or (len(ends) and int(ends[-1]) != len(flat)):
+        raise ValueError("the tokenizer's ids don't fall back to words")
+    data, to = flat.tobytes(), (ends * 4).tolist()
+    return zip(words, map(data.__getitem__, map(slice, [0, *to], to)))
+
+
+def _pieces(tokenizer: Tokenizer) -> tuple[Tokenizer | None, np.ndarray | None]:
+    """The model alone, for words that are one piece each, written in its signs for bytes, and which ids end a word; nothing
+    where the model marks no ends."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    made = json.loads(tokenizer.to_str())
+    model = made["model"]
+    mark = model.get("end_of_word_suffix")
+    before = (made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    by_bytes = before[-1].get("type") == "ByteLevel" and not before[-1].get("add_prefix_space") and not before[-1].get("use_regex")
+    if model.get("type") != "BPE" or not mark or not by_bytes or made.get("post_processor"):
+        return None, None
+    out = Tokenizer(tokenizer.model)
+    out.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    last = np.zeros(max(model["vocab"].values()) + 1, bool)
+    last[[k for word, k in model["vocab"].items() if word.endswith(mark)]] = True
+    return out, last
+
+
 def encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
     """The process's encoder for a file; the first call sets how many words it remembers."""
     if path not in _encoders:

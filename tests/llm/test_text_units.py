@@ -38,6 +38,23 @@ class TestTokens:
             ids, at = few.encode([None if r is None else r.encode() for r in rows], 1)
             assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [plain.ids(r).tolist() for r in rows]
 
+    @given(st.lists(st.text(st.sampled_from("abehstz\u00df\u00e9\u00f1\u00f6\u00f7\u00f8\u00ff\u00d7\u00aa\u00ad\u0131\u0142A' \u0301."), max_size=30), max_size=4))
+    @short_settings
+    def test_words_by_the_model_alone(self, rows):
+        whole = tokens.WordEncoder(plain.TOKENIZER, remembered=0)
+        assert whole.pieces is not None
+        found = [x.tolist() for x in whole.encode([r.encode() for r in rows])]
+        assert [found[0][a:b] for a, b in zip(found[1], found[1][1:])] == [plain.ids(r).tolist()[:-1] for r in rows]
+        whole.pieces = None
+        assert [x.tolist() for x in whole.encode([r.encode() for r in rows])] == found
+
+    def test_letters_that_stand_alone(self):
+        whole = tokens.WordEncoder(plain.TOKENIZER)
+        for c in map(chr, range(0x61, 0x180)):
+            word = f"a{c}b{c}"
+            ids, _ = whole.encode([word.encode()])
+            assert ids.tolist() == whole.tokenizer.encode(word, add_special_tokens=False).ids
+
     def test_without_end(self):
         ids, at = tokens.encoder(plain.TOKENIZER).encode([b"a b", b"", b"a"])
         assert at.tolist() == [0, 2, 2, 3] and ids[:1].tolist() == ids[2:].tolist()
