@@ -27,6 +27,10 @@ from gaugeworks.session import fresh_folder, remove_folder
 
 #: Rows of a batch are worked on in slices of at most about this much text, so Python holds little beside the batch.
 SLICE_BYTES = 4 << 20
+#: Spark's limit of buckets in a table.
+MOST_BUCKETS = 100_000
+#: Spark's setting that removes a query's shuffle files when it ends; else they stay until the driver collects garbage.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _LOWER_WORDS = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
@@ -57,7 +61,14 @@ def word_codes(texts: list[bytes | None], table: bytes = _LOWER_WORDS) -> tuple[
     words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data[solid])])
     coded = words.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False) if len(starts) else np.zeros(0, np.int32)
-    return codes, coded.dictionary.to_pylist(), np.concatenate([[0], np.searchsorted(starts, np.cumsum(sizes))])
+    return codes, as_bytes(coded.dictionary), np.concatenate([[0], np.searchsorted(starts, np.cumsum(sizes))])
+
+
+def as_bytes(words: pa.BinaryArray) -> list[bytes]:
+    """What `to_pylist` gives where nothing is null, without a scalar for each word."""
+    _, at, data = words.buffers()
+    at = np.frombuffer(at, np.int32)[words.offset : words.offset + len(words) + 1].tolist() if len(words) else [0]
+    return list(map((data.to_pybytes() if data else b"").__getitem__, map(slice, at, at[1:])))
 
 
 def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -142,15 +153,42 @@ def release() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def staged(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
+@contextlib.contextmanager
+def _freed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
+
+
+def staged(df: DataFrame, spark: SparkSession | None = None, by: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors, and frees the shuffles on the way.
+
+    With ``by``, a column of long numbers, it is kept in as many buckets of that column as there are shuffle partitions, so that
+    grouping by it doesn't move it again.
+    """
     spark = spark or df.sparkSession
     folder = fresh_folder(spark, f"{spark.conf.get('spark.sql.warehouse.dir')}/llm")
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    if by is None:
+        with _freed(spark):
+            df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
+    name = f"staged_{os.path.basename(folder)}"
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    spark.sql(f"CREATE TABLE `{name}` ({columns}) USING parquet CLUSTERED BY (`{by}`) INTO {buckets} BUCKETS LOCATION '{folder}'")
+    with _freed(spark):
+        df.write.insertInto(name)
+    return spark.table(name)
 
 
 def discard(df: DataFrame) -> None:
     """Remove a table that `staged` gave and that nothing reads any more."""
     for folder in {os.path.dirname(f) for f in df.inputFiles()}:
         remove_folder(df.sparkSession, folder)
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS `staged_{os.path.basename(folder)}`")

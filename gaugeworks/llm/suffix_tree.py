@@ -76,11 +76,15 @@ class Symbols:
     mass: np.ndarray  # by symbol: the counts of its words, one more for each, and one for new words in a class
     counts: np.ndarray  # by symbol: the counts alone
 
-    def tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-        """(word, own) of the frequent words and (shape, class) of the classes."""
-        own = [(int(w), 2 + k) for k, w in enumerate(self.words)]
-        kinds = [(int(s), 2 + len(self.words) + k) for k, s in enumerate(self.shapes)]
-        return spark.createDataFrame(own, "word long, own int"), spark.createDataFrame(kinds, "shape int, class int")
+    def of(self, words: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+        """Symbols of words, given by hash, with their shapes."""
+        out = np.full(len(words), REST, np.uint16)
+        for names, values, start in ((self.shapes, shapes, 2 + len(self.words)), (self.words, words, 2)):
+            if len(names):
+                at = np.minimum(np.searchsorted(names, values), len(names) - 1)
+                hit = names[at] == values
+                out[hit] = start + at[hit]
+        return out
 
 
 def choose_symbols(frequent: list[tuple[int, int, int]], shapes: list[tuple[int, int, int]], ends: int, least: float) -> Symbols:
@@ -192,10 +196,6 @@ def _squeezed(values: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
 
 
-def _spread(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
-
-
 def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows, each a block: a worker holds one beside the batch, and gives back what the last one took."""
     for batch in batches:
@@ -210,17 +210,15 @@ def _array(kind: T.DataType) -> T.ArrayType:
 
 def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Blocks of ``docs`` (id, held, body), packed where they are: documents, words as places among the block's distinct words,
-    and these with their hashes, shapes and training counts."""
+    and these in the order of their hashes with their shapes and training counts; how many they are and how often they are spoken."""
     schema = T.StructType(
         [
             T.StructField("block", T.LongType()),
             T.StructField("ids", _array(docs.schema["id"].dataType)),
             T.StructField("held", _array(T.BooleanType())),
             T.StructField("lengths", _array(T.IntegerType())),
-            T.StructField("codes", T.BinaryType()),
-            T.StructField("words", _array(T.LongType())),
-            T.StructField("shapes", _array(T.IntegerType())),
-            T.StructField("counts", _array(T.IntegerType())),
+            *(T.StructField(c, T.BinaryType()) for c in ("codes", "words", "shapes", "counts")),
+            *(T.StructField(c, T.LongType()) for c in ("distinct", "spoken")),
         ]
     )
     arrow = to_arrow_schema(schema)
@@ -232,16 +230,24 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             ids, held, texts = zip(*rows)
             codes, words, at = word_codes(list(texts), _TABLE)
             lengths = np.diff(at)
-            training = codes[np.repeat(~np.array(held, bool), lengths)]
+            hashes = hashed(words)
+            order = np.argsort(hashes, kind="stable")
+            place = np.empty(len(order), np.uint32)
+            place[order] = np.arange(len(order), dtype=np.uint32)
+            codes = place[codes]
+            counts = np.bincount(codes[np.repeat(~np.array(held, bool), lengths)], minlength=len(words))
+            shapes = np.fromiter(map(shape_of, words), np.uint16, len(words))[order]
             row = [
                 (TaskContext.get().partitionId() << 32) + number,
                 list(ids),
                 list(held),
                 lengths,
-                _squeezed(codes.astype("<u4")),
-                hashed(words).view(np.int64),
-                np.fromiter(map(shape_of, words), np.int32, len(words)),
-                np.bincount(training, minlength=len(words)),
+                _packed(codes.astype("<u4")),
+                _packed(hashes[order].astype("<u8")),
+                _packed(shapes.astype("<u2")),
+                _packed(counts.astype("<i8")),
+                len(words),
+                int(counts.sum()),
             ]
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, arrow)], schema=arrow)
 
@@ -256,59 +262,93 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
         if rows:
             yield close()
 
-    return staged(docs.mapInArrow(pack, schema))
+    return staged(docs.mapInArrow(pack, schema), by="block")
+
+
+_TOTALS = T.StructType(
+    [
+        T.StructField("of", T.LongType()),
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("counts", T.BinaryType()),
+        T.StructField("frequent", _array(T.StructType([T.StructField("word", T.LongType()), T.StructField("shape", T.IntegerType()), T.StructField("c", T.LongType())]))),
+        T.StructField("kinds", _array(T.StructType([T.StructField("shape", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("c", T.LongType())]))),
+    ]
+)
+
+
+def _word_totals(blocks: DataFrame, buckets: int, least: float) -> DataFrame:
+    """Training counts of words, added up by buckets of hashes: answered to each block in its order; and, in one more row without a
+    block, the words with ``least`` and the sums by shape. Staged."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _one_by_one(batches):
+            words = _unpacked(row["words"], "<u8")
+            parts = _parts(row["block"], words, _unpacked(row["counts"], "<i8"), _unpacked(row["shapes"], "<u2").astype("<i8"), np.zeros(0, "<f8"), buckets)
+            yield from _table(_SENT, parts).to_batches()
+
+    def add(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["block"])
+        keys = [_unpacked(r["keys"], "<u8") for r in rows]
+        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([_unpacked(r["counts"], "<i8") for r in rows]), len(distinct)).astype(np.int64)
+        shapes = np.zeros(len(distinct), np.int64)
+        shapes[place] = np.concatenate([_unpacked(r["also"], "<i8") for r in rows])
+        at = np.cumsum([0, *map(len, keys)])
+        out = [{"of": r["block"], "bucket": r["bucket"], "counts": _packed(counts[place[a:b]])} for r, a, b in zip(rows, at, at[1:])]
+        often = np.flatnonzero(counts >= least)
+        known = np.flatnonzero(counts)
+        kinds, kind = np.unique(shapes[known], return_inverse=True)
+        sums = np.bincount(kind, counts[known], len(kinds)).astype(np.int64)
+        frequent = [{"word": w, "shape": s, "c": c} for w, s, c in zip(distinct[often].view(np.int64).tolist(), shapes[often].tolist(), counts[often].tolist())]
+        by_kind = [{"shape": s, "n": n, "c": c} for s, n, c in zip(kinds.tolist(), np.bincount(kind, minlength=len(kinds)).tolist(), sums.tolist())]
+        return _table(_TOTALS, [*out, {"bucket": rows[0]["bucket"], "frequent": frequent, "kinds": by_kind}])
+
+    sent = blocks.select("block", "words", "shapes", "counts").mapInArrow(send, _SENT)
+    return staged(sent.groupBy("bucket").applyInArrow(add, _TOTALS))
 
 
 def _symbol_blocks(blocks: DataFrame, totals: DataFrame, symbols: Symbols, n: int, v: int) -> DataFrame:
-    """Per block: documents with their sums that need word counts, the symbols of their tokens, and these as places among the end and
-    the block's distinct words, with the words' hashes, training counts and log10 shares of their symbols. Staged."""
-    rows = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    frequent, classes = symbols.tables(blocks.sparkSession)
-    named = totals.join(F.broadcast(frequent), "word", "left").join(F.broadcast(classes), "shape", "left")
-    named = named.select("word", "c", F.coalesce("own", "class", F.lit(REST)).cast("short").alias("symbol"))
-    known = F.array_sort(F.collect_list(F.struct("place", "c", "symbol"))).alias("known")
-    counted = rows.join(named, "word").groupBy("block").agg(known).select(F.col("block").alias("of"), F.col("known.c").alias("totals"), F.col("known.symbol").alias("own"))
+    """Per block: documents with their sums that need word counts, their tokens as places among the end and the block's distinct
+    words, and these with their hashes, training counts and symbols. Staged."""
     kind = blocks.schema["ids"].dataType
     doubles, longs = _array(T.DoubleType()), _array(T.LongType())
     documents = [("block", T.LongType()), ("ids", kind), ("held", _array(T.BooleanType())), ("n_tokens", longs), ("n_known", longs), ("base", doubles)]
-    schema = T.StructType([T.StructField(c, t) for c, t in [*documents, *((c, T.BinaryType()) for c in ("symbols", "codes", "words", "counts", "inside"))]])
+    schema = T.StructType([T.StructField(c, t) for c, t in [*documents, *((c, T.BinaryType()) for c in ("codes", "words", "counts", "own"))]])
     arrow = to_arrow_schema(schema)
-    log_mass = np.log10(symbols.mass)
     ends = int(symbols.counts[END])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, ids, held, lengths, codes, words, counts, own in zip(*(batch.column(k) for k in range(8))):
-                lengths = np.asarray(lengths.values).astype(np.int64)
-                codes = _spread(codes.as_py(), "<u4")
-                c = np.asarray(counts.values) if counts.is_valid else np.zeros(0, np.int64)
-                own = np.asarray(own.values).astype(np.uint16) if own.is_valid else np.zeros(0, np.uint16)
-                inside = np.log10(c + 1) - log_mass[own]
-                docs, owner = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
-                base = np.bincount(owner, np.log10((c + 1) / (n + v + 1))[codes], docs) + np.log10((ends + 1) / (n + v + 1))
-                at = np.cumsum(lengths)
-                row = [
-                    block.as_py(),
-                    ids.as_py(),
-                    held.as_py(),
-                    lengths + 1,
-                    np.bincount(owner, (c > 0)[codes], docs).astype(np.int64) + (ends > 0),
-                    base,
-                    _squeezed(np.insert(own[codes], at, END)),
-                    _packed(np.insert(codes + np.uint32(1), at, 0).astype("<u4")),
-                    _packed(np.concatenate([[0], np.asarray(words.values)]).astype("<i8")),
-                    _packed(np.concatenate([[ends], c]).astype("<i8")),
-                    _packed(np.concatenate([[0.0], inside]).astype("<f8")),
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, arrow)], schema=arrow)
-
-    joined = blocks.join(counted, blocks["block"] == counted["of"], "left")  # a block of empty texts has no words
-    return staged(joined.select("block", "ids", "held", "lengths", "codes", "words", "totals", "own").mapInArrow(run, schema))
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for row in _one_by_one(left.to_batches()):
+            lengths = np.array(row["lengths"], np.int64)
+            codes, words = _unpacked(row["codes"], "<u4"), _unpacked(row["words"], "<u8")
+            answers = sorted(right.to_pylist(), key=lambda r: r["bucket"])
+            c = np.concatenate([np.zeros(0, "<i8"), *(_unpacked(r["counts"], "<i8") for r in answers)])
+            own = symbols.of(words.view(np.int64), _unpacked(row["shapes"], "<u2").astype(np.int64))
+            docs, owner, at = len(lengths), np.repeat(np.arange(len(lengths)), lengths), np.cumsum(lengths)
+            out.append(
+                {
+                    "block": row["block"],
+                    "ids": row["ids"],
+                    "held": row["held"],
+                    "n_tokens": lengths + 1,
+                    "n_known": np.bincount(owner, (c > 0)[codes], docs).astype(np.int64) + (ends > 0),
+                    "base": np.bincount(owner, np.log10((c + 1) / (n + v + 1))[codes], docs) + np.log10((ends + 1) / (n + v + 1)),
+                    "codes": _packed(np.insert(codes + np.uint32(1), at, 0).astype("<u4")),
+                    "words": _packed(np.concatenate([[np.uint64(0)], words]).astype("<u8")),
+                    "counts": _packed(np.concatenate([[ends], c]).astype("<i8")),
+                    "own": _packed(np.concatenate([[END], own]).astype("<u2")),
+                }
+            )
+        return pa.Table.from_pylist(out, schema=arrow)
+
+    answered = totals.where("of is not null").select(F.col("of").alias("block"), "bucket", "counts")
+    return staged(blocks.drop("counts", "distinct", "spoken").groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(run, schema))
 
 
 def _training_symbols(row: dict) -> np.ndarray:
-    symbols = _spread(row["symbols"], "<u2").astype(np.int64)
-    return symbols[np.repeat(~np.array(row["held"], bool), row["n_tokens"])]
+    symbols = _unpacked(row["own"], "<u2").astype(np.int64)[_unpacked(row["codes"], "<u4")]
+    return symbols[_training(row)]
 
 
 def learn(symbol_blocks: DataFrame, symbols: Symbols, depth: int = DEPTH, share: float = CONTEXT_SHARE) -> Tree:
@@ -325,7 +365,7 @@ def learn(symbol_blocks: DataFrame, symbols: Symbols, depth: int = DEPTH, share:
                 keys, n = followers(_training_symbols(row), d, candidates)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n, pa.int64())], names=["key", "n"])
 
-        rows = symbol_blocks.select("held", "n_tokens", "symbols").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+        rows = symbol_blocks.select("held", "n_tokens", "codes", "own").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
         rows = rows.sort_values("key")
         key, n = rows["key"].to_numpy(np.int64), rows["n"].to_numpy(np.float64)
         context, symbol = candidates[key >> BITS], key & ((1 << BITS) - 1)
@@ -367,12 +407,17 @@ class Places:
     @classmethod
     def of(cls, row: dict) -> Places:
         at = np.flatnonzero(np.unpackbits(_unpacked(row["open"], "u1")))
-        return cls(_unpacked(row["codes"], "<u4"), _unpacked(row["words"], "<i8").view(np.uint64), at, *(_unpacked(row[c], "<f4").astype(float) for c in ("lower", "best")))
+        lower = _unpacked(row["lower"], "<f4").astype(float)
+        best = lower.copy()
+        best[np.flatnonzero(np.unpackbits(_unpacked(row["apart"], "u1")))] = _unpacked(row["best"], "<f4")
+        return cls(_unpacked(row["codes"], "<u4"), _unpacked(row["words"], "<u8"), at, lower, best)
 
     def row(self) -> dict:
         marks = np.zeros(len(self.codes), bool)
         marks[self.at] = True
-        return {"open": _packed(np.packbits(marks)), "lower": _packed(self.lower.astype("<f4")), "best": _packed(self.best.astype("<f4"))}
+        lower, best = self.lower.astype("<f4"), self.best.astype("<f4")
+        apart = lower != best  # where the last context didn't pass
+        return {"open": _packed(np.packbits(marks)), "lower": _packed(lower), "apart": _packed(np.packbits(apart)), "best": _packed(best[apart])}
 
     def keys(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of each place's context, and of the context with the token."""
@@ -384,23 +429,28 @@ class Places:
 
 
 class Grouped:
-    """What a block sends of its places: distinct contexts, distinct grams (contexts with the next word), and places of each."""
+    """What a block sends of its places: distinct grams (contexts with the next word), distinct contexts, and the gram of each place."""
 
     def __init__(self, places: Places, training: np.ndarray, depth: int):
-        contexts_, grams = places.keys(depth)
-        self.grams, first, self.gram = np.unique(grams, return_index=True, return_inverse=True)
-        self.contexts, of = np.unique(contexts_[first], return_inverse=True)
-        self.context_of = of  # by gram
-        seen = training[places.at]
-        self.counts = np.bincount(self.gram[seen], minlength=len(self.grams)).astype(np.int64)
-        self.logs = np.bincount(of[self.gram[seen]], np.log(places.lower[seen]), len(self.contexts))  # by context
+        self.places, self.seen = places, training[places.at]
+        self.context_at, grams = places.keys(depth)
+        self.grams, self.gram = np.unique(grams, return_inverse=True)
+        self.counts = np.bincount(self.gram[self.seen], minlength=len(self.grams)).astype(np.int64)
+
+    def join_contexts(self) -> Grouped:
+        """Adds the contexts, in order, and that of each gram: grams of a hash have one context, whichever place it is read from."""
+        of = np.empty(len(self.grams), np.uint64)
+        of[self.gram] = self.context_at
+        self.contexts, self.context_of = np.unique(of, return_inverse=True)
+        return self
 
     def of_contexts(self, totals: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By context: occurrences here; distinct next words of the grams this block answers for (``mine``); and its part of what the
         context gains in log likelihood: what these grams say, less what the shorter context said at the places here."""
         mine = (mine > 0) & (totals > 0)
         size, owner = len(self.contexts), self.context_of
-        gain = np.bincount(owner[mine], totals[mine] * np.log(totals[mine]), size) - self.logs
+        logs = np.bincount(owner[self.gram[self.seen]], np.log(self.places.lower[self.seen]), size)
+        gain = np.bincount(owner[mine], totals[mine] * np.log(totals[mine]), size) - logs
         count = np.bincount(owner, self.counts, size).astype(np.int64)
         return count, np.bincount(owner[mine], minlength=size).astype(np.int64), gain
 
@@ -421,22 +471,23 @@ def _added(table: pa.Table, second: bool) -> pa.Table:
     that it answers for it; then both counts, and whether a context of this count passes."""
     rows = sorted(table.to_pylist(), key=lambda r: r["block"])
     keys = [_unpacked(r["keys"], "<u8") for r in rows]
-    counts, also = (np.concatenate([_unpacked(r[c], "<i8") for r in rows]) for c in ("counts", "also"))
-    sums = np.concatenate([_unpacked(r["sums"], "<f8") for r in rows])
-    distinct, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    counts, sums = np.bincount(place, counts, len(distinct)).astype(np.int64), np.bincount(place, sums, len(distinct))
-    also = np.bincount(place, also, len(distinct)).astype(np.int64)
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    counts = np.bincount(place, np.concatenate([_unpacked(r["counts"], "<i8") for r in rows]), len(distinct)).astype(np.int64)
     if second:
+        also = np.bincount(place, np.concatenate([_unpacked(r["also"], "<i8") for r in rows]), len(distinct)).astype(np.int64)
+        sums = np.bincount(place, np.concatenate([_unpacked(r["sums"], "<f8") for r in rows]), len(distinct))
         passes = sums - counts * np.log(np.maximum(counts, 1)) > also
-        answer = passes.astype(float)[place]
+        answer = passes[place]
     else:
-        answer = np.zeros(len(place))
-        answer[first] = 1.0
+        last = np.empty(len(distinct), np.int64)
+        last[place] = np.arange(len(place))
+        answer = np.zeros(len(place), bool)
+        answer[last] = True
     at = np.cumsum([0, *map(len, keys)])
     return _table(
         _BACK,
         [
-            {"block": r["block"], "of": 1 + second, "bucket": r["bucket"], "counts": _packed(counts[place[a:b]]), "also": _packed(also[place[a:b]] if second else np.zeros(0, "<i8")), "sums": _packed(answer[a:b])}
+            {"block": r["block"], "of": 1 + second, "bucket": r["bucket"], "counts": _packed(counts[place[a:b]]), "also": _packed(also[place[a:b]] if second else np.zeros(0, "<i8")), "sums": _packed(answer[a:b].view("u1"))}
             for r, a, b in zip(rows, at, at[1:])
         ],
     )
@@ -468,23 +519,27 @@ def _settled(row: dict, places: Places, stay: np.ndarray) -> dict:
     return {"done": done.tolist(), **left.row()}
 
 
-def _open(tokens: DataFrame, tree: Tree, least: int) -> DataFrame:
+def _open(tokens: DataFrame, tree: Tree, symbols: Symbols, least: int) -> DataFrame:
     """Blocks before the first depth: what the symbols say of each token, and places after a frequent enough word. Staged."""
     documents = [tokens.schema[c] for c in ("block", *_DOCUMENTS)]
-    binary = [T.StructField(c, T.BinaryType()) for c in ("codes", "words", "open", "lower", "best")]
+    binary = [T.StructField(c, T.BinaryType()) for c in ("codes", "words", "open", "lower", "apart", "best")]
     schema = T.StructType([*documents, T.StructField("done", _array(T.DoubleType())), *binary])
     arrow = to_arrow_schema(schema)
+    log_mass = np.log10(symbols.mass)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _one_by_one(batches):
             codes, counts = _unpacked(row["codes"], "<u4"), _unpacked(row["counts"], "<i8")
-            known = 10 ** (tree.score(_spread(row["symbols"], "<u2")) + _unpacked(row["inside"], "<f8")[codes])
-            places = Places(codes, _unpacked(row["words"], "<i8").view(np.uint64), np.arange(len(codes)), known, known)
+            own = _unpacked(row["own"], "<u2")
+            inside = np.log10(counts + 1) - log_mass[own]  # of its symbol, a word's share
+            inside[0] = 0  # the end is all of its own
+            known = np.exp((tree.score(own[codes]) + inside[codes]) * np.log(10))
+            places = Places(codes, _unpacked(row["words"], "<u8"), np.arange(len(codes)), known, known)
             row["done"] = [0.0] * len(row["ids"])
             row |= _settled(row, places, counts[np.concatenate([[0], codes[:-1]])] >= least)
             yield pa.RecordBatch.from_pylist([{f.name: row[f.name] for f in arrow}], schema=arrow)
 
-    return staged(tokens.mapInArrow(run, schema))
+    return staged(tokens.mapInArrow(run, schema), by="block")
 
 
 def _deeper(state: DataFrame, depth: int, buckets: int, least: int, last: T.StructType | None, n: int) -> DataFrame:
@@ -494,14 +549,14 @@ def _deeper(state: DataFrame, depth: int, buckets: int, least: int, last: T.Stru
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _one_by_one(batches):
             own = Grouped(Places.of(row), _training(row), depth)
-            nothing = np.zeros(len(own.grams), "<i8")
+            nothing = np.zeros(0, "<i8")
             yield from _table(_SENT, _parts(row["block"], own.grams, own.counts, nothing, nothing, buckets)).to_batches()
 
     def send_contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in _one_by_one(left.to_batches()):
-            own = Grouped(Places.of(row), _training(row), depth)
-            totals, _, mine = _answers(right, 1, ("<i8", "<i8", "<f8"))
+            own = Grouped(Places.of(row), _training(row), depth).join_contexts()
+            totals, _, mine = _answers(right, 1, ("<i8", "<i8", "u1"))
             out += _parts(row["block"], own.contexts, *own.of_contexts(totals, mine), buckets)
         return _table(_SENT, out)
 
@@ -509,9 +564,9 @@ def _deeper(state: DataFrame, depth: int, buckets: int, least: int, last: T.Stru
         out = []
         for row in _one_by_one(left.to_batches()):
             places = Places.of(row)
-            own = Grouped(places, _training(row), depth)
-            totals, _, _ = _answers(right, 1, ("<i8", "<i8", "<f8"))
-            count, distinct, passes = (x[own.context_of] for x in _answers(right, 2, ("<i8", "<i8", "<f8")))
+            own = Grouped(places, _training(row), depth).join_contexts()
+            totals, _, _ = _answers(right, 1, ("<i8", "<i8", "u1"))
+            count, distinct, passes = (x[own.context_of] for x in _answers(right, 2, ("<i8", "<i8", "u1")))
             given = ((totals / (count + distinct))[own.gram] + (distinct / (count + distinct))[own.gram] * places.lower) if len(places.at) else places.lower
             places = Places(places.codes, places.words, places.at, given, np.where(passes[own.gram] > 0, given, places.best))
             if last:
@@ -519,44 +574,45 @@ def _deeper(state: DataFrame, depth: int, buckets: int, least: int, last: T.Stru
                 columns = [row["ids"], row["held"], row["n_tokens"], row["n_known"], [n] * len(done), row["base"], done]
                 out += [dict(zip(arrow.names, r)) for r in zip(*columns)]
             else:
-                longer = places.at[(totals[own.gram] >= least) & (places.codes[places.at] > 0)] + 1
-                out.append({f.name: row[f.name] for f in arrow} | _settled(row, places, np.isin(places.at, longer, assume_unique=True)))
+                longer = np.zeros(len(places.codes) + 1, bool)
+                longer[places.at[(totals[own.gram] >= least) & (places.codes[places.at] > 0)] + 1] = True
+                out.append({f.name: row[f.name] for f in arrow} | _settled(row, places, longer[places.at]))
         return pa.Table.from_pylist(out, schema=arrow)
 
     first = staged(state.mapInArrow(send, _SENT).groupBy("bucket").applyInArrow(lambda t: _added(t, False), _BACK))
     blocks = state.groupBy("block")
     contexts_ = blocks.cogroup(first.groupBy("block")).applyInArrow(send_contexts, _SENT)
-    second = contexts_.groupBy("bucket").applyInArrow(lambda t: _added(t, True), _BACK)
-    out = staged(blocks.cogroup(first.unionAll(second).groupBy("block")).applyInArrow(take, last or state.schema))
-    discard(first)
-    discard(state)
+    second = staged(contexts_.groupBy("bucket").applyInArrow(lambda t: _added(t, True), _BACK))
+    out = staged(blocks.cogroup(first.unionAll(second).groupBy("block")).applyInArrow(take, last or state.schema), by=None if last else "block")
+    for table in (first, second, state):
+        discard(table)
     return out
 
 
 def scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, symbol_share: float = SYMBOL_SHARE, context_share: float = CONTEXT_SHARE, depth: int = DEPTH, least: int = LEAST, bucket: int = BUCKET) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learned where not ``held_out``."""
     blocks = _blocks(docs.select(F.col(doc_id).alias("id"), held_out.alias("held"), F.col(text).alias("body")), block_bytes)
-    zipped = F.explode(F.arrays_zip("words", "shapes", "counts")).alias("w")
-    words = blocks.select(zipped).groupBy(F.col("w.words").alias("word"), F.col("w.shapes").alias("shape")).agg(F.sum("w.counts").alias("c"))
-    totals = staged(words)
-    known = totals.where("c > 0")
     ends = blocks.select(F.explode("held").alias("h")).where(~F.col("h")).count()
-    different, spoken = known.agg(F.count("*"), F.sum("c")).first()
-    v, n = different + (ends > 0), (spoken or 0) + ends
-    frequent = [tuple(r) for r in known.where(F.col("c") >= max(1.0, symbol_share * n)).collect()]  # at most 1 / symbol_share
-    shapes = [tuple(r) for r in known.groupBy("shape").agg(F.count("*"), F.sum("c")).collect()]  # at most 65,536 and 256
+    distinct, spoken = blocks.agg(F.sum("distinct"), F.sum("spoken")).first()
+    n = (spoken or 0) + ends
+    totals = _word_totals(blocks, max(1, -(-(distinct or 0) // bucket)), max(1.0, symbol_share * n))
+    frequent = [tuple(r[0]) for r in totals.select(F.explode("frequent")).collect()]  # at most 1 / symbol_share
+    kinds = totals.select(F.explode("kinds").alias("k")).groupBy("k.shape").agg(F.sum("k.n"), F.sum("k.c"))
+    shapes = [tuple(r) for r in kinds.collect()]  # at most 65,536 and 256
+    v = sum(k for _, k, _ in shapes) + (ends > 0)
     symbols = choose_symbols(frequent, shapes, ends, max(1.0, symbol_share * n))
     tokens = _symbol_blocks(blocks, totals, symbols, n, v)
+    for table in (blocks, totals):
+        discard(table)
     tree = learn(tokens, symbols, share=context_share)
     places = tokens.select(F.explode("n_tokens").alias("n")).agg(F.sum("n")).first()[0] or 0
-    state = _open(tokens, tree, least)
+    state = _open(tokens, tree, symbols, least)
     schema = T.StructType(
         [T.StructField("doc_id", blocks.schema["ids"].dataType.elementType), T.StructField("held_out", T.BooleanType())]
         + [T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")]
         + [T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]
     )
-    for table in (blocks, totals, tokens):  # all that is needed of them is in the state
-        discard(table)
+    discard(tokens)  # all that is needed of it is in the state
     for d in range(1, depth + 1):
         state = _deeper(state, d, max(1, -(-places // bucket)), least, schema if d == depth else None, n)
     return state

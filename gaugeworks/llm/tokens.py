@@ -29,6 +29,8 @@ from typing import TYPE_CHECKING
 import numpy as np
 import pyarrow as pa
 
+from gaugeworks.llm.columns import as_bytes
+
 if TYPE_CHECKING:
     from tokenizers import Tokenizer
 
@@ -118,7 +120,7 @@ class WordEncoder:
             raise ValueError("a batch of over 2 GB of text")
         words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(word_at.astype(np.int32)), pa.py_buffer(packed)])
         coded = words.dictionary_encode()
-        ids = self._lookup(_as_bytes(coded.dictionary))
+        ids = self._lookup(as_bytes(coded.dictionary))
         flat = np.frombuffer(b"".join(ids), "<u4")
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         origins = np.concatenate([[0], np.cumsum(lengths)])
@@ -139,13 +141,6 @@ class WordEncoder:
         return out, bounds
 
 
-def _as_bytes(words: pa.BinaryArray) -> list[bytes]:
-    """What `to_pylist` gives where nothing is null, without a scalar for each word."""
-    _, at, data = words.buffers()
-    at = np.frombuffer(at, np.int32)[words.offset : words.offset + len(words) + 1].tolist() if len(words) else [0]
-    return list(map((data.to_pybytes() if data else b"").__getitem__, map(slice, at, at[1:])))
-
-
 def _cut(words: list[bytes], flat: np.ndarray, ends: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
     """Each word with its ids, those of all words being ``flat``."""
     if len(words) != len(ends) or (len(ends) and int(ends[-1]) != len(flat)):

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import suffix_tree
+from gaugeworks.llm import columns, suffix_tree
 
 RNG = random.Random(8)
 WORDS = [f"w{k}q{RNG.randrange(10**6)}" for k in range(400)]
@@ -69,3 +69,30 @@ def test_a_repeated_passage_is_known(spark):
     found = scored(spark, [*rows, (1000, passage, True), (1001, " ".join(RNG.sample(WORDS, 60)), True)])
     assert found[1000].score / 61 > -1.2 > -2.2 > found[1001].score / 61
     assert found[1000].score > 0.6 * found[1000].base_score
+
+
+def test_blocks_stay_where_they_are(spark):
+    """Exchanges between blocks and buckets move keys and answers alone: neither the blocks' tokens, nor one row for each word."""
+    docs = spark.createDataFrame([(k, " ".join(RNG.choices(WORDS, k=50)), False) for k in range(40)], "doc_id long, text string, held boolean")
+    blocks = suffix_tree._blocks(docs.select(F.col("doc_id").alias("id"), "held", F.col("text").alias("body")), 500)
+    other = blocks.select("block").distinct()
+    plan = blocks.groupBy("block").cogroup(other.groupBy("block")).applyInArrow(lambda left, right: left, blocks.schema)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in text
+    assert {r.block for r in plan.collect()} == {r.block for r in other.collect()}
+    totals = suffix_tree._word_totals(blocks, 3, 1.0)
+    assert totals.where("of is not null").groupBy("of", "bucket").count().where("count > 1").count() == 0
+    assert totals.selectExpr("inline(frequent)").count() == len({w for r in docs.collect() for w in r.text.split()})
+    for table in (blocks, totals):
+        columns.discard(table)
+
+
+def test_staged_tables_leave_no_shuffle(spark):
+    """Shuffles of a staged table are removed with the job that wrote it, and its buckets with the table."""
+    before = spark.conf.get(columns.FREED, None)
+    table = columns.staged(spark.range(1000).withColumn("of", F.col("id") % 7), by="of")
+    assert spark.conf.get(columns.FREED, None) == before
+    assert sorted(r.id for r in table.collect()) == list(range(1000))
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith("staged_")]
+    columns.discard(table)
+    assert len([t.name for t in spark.catalog.listTables() if t.name.startswith("staged_")]) == len(names) - 1
