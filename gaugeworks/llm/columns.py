@@ -129,10 +129,10 @@ def as_values(column: pa.Array) -> list:
     return column.to_pylist()
 
 
-def slices(batch: pa.RecordBatch, sized: list[int]) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about `SLICE_BYTES` in the columns ``sized``; a row is never cut."""
+def slices(batch: pa.RecordBatch, sized: list[int], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``size`` bytes in the columns ``sized``; a row is never cut."""
     total = sum(batch.column(i).nbytes for i in sized)
-    rows = max(1, int(batch.num_rows * SLICE_BYTES / max(total, SLICE_BYTES)))
+    rows = max(1, int(batch.num_rows * size / max(total, size)))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
         release()

@@ -42,7 +42,7 @@ SLOTS, SLOTS2 = 256, 1 << 16
 SYMBOL_BITS, PLACE_BITS, LEAST = 20, 26, 32
 GUIDE = 10
 #: Counted at a time, and cells of counts for order 1 at most.
-AT_ONCE, CELLS = 1 << 20, 1 << 22
+AT_ONCE, CELLS = 1 << 22, 1 << 22
 U64 = np.uint64
 _LOW32 = U64(0xFFFFFFFF)
 _LIMIT = U64(1 << 32)
@@ -175,9 +175,10 @@ class Model:
 
     def learn(self, n: int, ranks: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """Every statistic moves, whichever order coded the symbol."""
-        goal2, goal1 = hit2.astype(np.int32) << 16, hit1.astype(np.int32) << 16
+        right = hit2.astype(np.int32)
+        goal2, goal1 = right << 16, hit1.astype(np.int32) << 16
         # Where both say too little or too much, the weight moves to the one that said more or less.
-        w = self.weight[:n] + np.sign(self.say2 - self.other) * (2 * hit2.view(np.int8) - 1)
+        w = self.weight[:n] + np.sign(self.say2 - self.other) * ((right << 1) - 1)
         self.weight[:n] = np.minimum(np.maximum(w, 1), 63)
         self.right2[self.q2] = self.say2 + ((goal2 - self.say2) >> 6)
         self.right1[self.q1] = self.say1 + ((goal1 - self.say1) >> 6)

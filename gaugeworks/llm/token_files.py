@@ -31,6 +31,8 @@ from gaugeworks.session import fresh_folder
 END = 1
 #: Words that a writing process remembers, about 150 MB; frames need little memory beside them.
 REMEMBERED = 700_000
+#: Text encoded at a time: a word is looked up once in it.
+ENCODED_BYTES = 16 << 20
 #: A frame is closed when it holds so many ids; it ends with a document.
 FRAME_IDS = 8192 * BLOCK
 
@@ -58,7 +60,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "do
             )
 
         for whole in batches:
-            for batch in slices(whole, [1]):
+            for batch in slices(whole, [1], ENCODED_BYTES):
                 flat, at = encoder(tokenizer, REMEMBERED).encode(as_values(batch.column(1)), end)
                 for doc, a, b in zip(as_values(batch.column(0)), at, at[1:]):
                     ids.append(doc)

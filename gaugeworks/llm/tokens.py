@@ -98,27 +98,28 @@ class WordEncoder:
         """
         sizes = np.array([len(t) if t else 0 for t in texts], np.int64) + 1
         body = b" ".join([t or b"" for t in texts]) + b" "
+        if len(body) >= 2**31 - 1:
+            raise ValueError("a batch of over 2 GB of text")
         if b"<|" not in body and b"\xcc" not in body and b"\xcd" not in body:
             body = body.translate(_LOWER)
             kind = np.frombuffer(body.translate(_KIND), np.uint8)
-            gaps = np.flatnonzero((kind[:-1] == 2) & (kind[1:] == 3)) + 1
+            gaps = (np.flatnonzero((kind[:-1] == 2) & (kind[1:] == 3)) + 1).astype(np.int32)
         else:
-            kind, gaps = np.frombuffer(body.translate(_KIND), np.uint8), np.zeros(0, np.int64)
+            kind, gaps = np.frombuffer(body.translate(_KIND), np.uint8), np.zeros(0, np.int32)
         data, space = np.frombuffer(body, np.uint8), kind == 1
         cut = np.ones(len(data) + 1, bool)  # a word begins, or has ended, here
         cut[1:-1] = space[1:] != space[:-1]
         cut[0] = not space[0]
         cut[-1] = False  # the last byte is a space
         cut[gaps] = False  # both: put in twice below
-        edges = np.flatnonzero(cut)
+        edges = np.flatnonzero(cut).astype(np.int32)
         if len(gaps):
             edges = np.sort(np.concatenate([edges, gaps, gaps]), kind="stable")  # three ordered runs
         starts, ends = edges[::2], edges[1::2]
         packed = data[~space]
-        word_at = np.concatenate([[0], np.cumsum(ends - starts)])
-        if word_at[-1] >= 2**31 - 1:
-            raise ValueError("a batch of over 2 GB of text")
-        words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(word_at.astype(np.int32)), pa.py_buffer(packed)])
+        word_at = np.zeros(len(starts) + 1, np.int32)
+        np.cumsum(ends - starts, out=word_at[1:])
+        words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(word_at), pa.py_buffer(packed)])
         coded = words.dictionary_encode()
         ids = self._lookup(as_bytes(coded.dictionary))
         flat = np.frombuffer(b"".join(ids), "<u4")
@@ -126,17 +127,23 @@ class WordEncoder:
         origins = np.concatenate([[0], np.cumsum(lengths)])
         which = coded.indices.to_numpy(zero_copy_only=False)
         text_ends = np.cumsum(sizes)
-        words_to = np.searchsorted(starts, text_ends)
-        counts = lengths[which]
+        words_to = np.searchsorted(starts, text_ends.astype(np.int32))
         if end is not None:  # the end id is one more word, after the last of each text
             flat = np.concatenate([flat, np.array([end], "<u4")])
             which = np.insert(which, words_to, len(lengths))
-            counts = np.insert(counts, words_to, 1)
+            lengths = np.concatenate([lengths, [1]])
             words_to = words_to + np.arange(1, len(texts) + 1)
+        counts = lengths.take(which)
         ends = np.cumsum(counts)
-        source = np.repeat(origins[which] - (ends - counts), counts)
-        source += np.arange(len(source))  # the place in flat of every id
-        out = flat[source]
+        # The place in flat of every id: one more than the last, but where a word begins.
+        first = origins.take(which)
+        source = np.ones(int(ends[-1]) if len(ends) else 0, np.int64)
+        some = counts > 0
+        start, begin = (ends - counts)[some], first[some]
+        if len(start):
+            source[start] = begin
+            source[start[1:]] -= begin[:-1] + counts[some][:-1] - 1
+        out = flat.take(np.cumsum(source, out=source))
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], words_to])]
         return out, bounds
 
