@@ -87,8 +87,8 @@ def test_blocks_stay_where_they_are(spark):
         columns.discard(table)
 
 
-def test_staged_tables_leave_no_shuffle(spark):
-    """Shuffles of a staged table are removed with the job that wrote it, and its buckets with the table."""
+def test_staged_buckets_go_with_their_table(spark):
+    """The session's setting is as before, all rows are there, and the catalog's entry goes with the files."""
     before = spark.conf.get(columns.FREED, None)
     table = columns.staged(spark.range(1000).withColumn("of", F.col("id") % 7), by="of")
     assert spark.conf.get(columns.FREED, None) == before
